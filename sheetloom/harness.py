@@ -7,10 +7,10 @@ The tissue reference and the code list are eight rows each.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheetloom.sources.manifests import tag_manifest
+from sheetloom.sources.manifests import TAGS, tag_manifest
 
 TISSUE_REF = (
     (0, "3S", "HEART", "UBERON:0036285"),
@@ -48,100 +48,81 @@ def tissue_ref(spark: SparkSession) -> DataFrame:
     )
 
 
-def _padded(number: Column, width: int) -> Column:
-    return F.lpad(number.cast("string"), width, "0")
+#: Columns of a manifest row, over a line ``l_*`` with ``donor`` and ``sample``.
+ROW = (
+    "concat_ws('-', 'SM', l_orderkey, l_linenumber) AS sample_id",
+    "CASE WHEN l_tax != 0.08 THEN donor END AS donor_id",
+    "CASE WHEN l_quantity != 50 THEN sample END AS collaborator_sample_id",
+    """CASE WHEN l_returnflag != 'N' AND l_discount != 0.1 THEN CASE l_suppkey % 3
+         WHEN 0 THEN concat('gs://bucket/run', l_suppkey, '/', sample, '.cram')
+         WHEN 1 THEN concat('C:', chr(92), 'data', chr(92), sample, '.cram')
+         ELSE concat(sample, '.cram') END END AS cram_path""",
+    """CASE WHEN l_returnflag = 'N' AND l_discount != 0.1
+         THEN concat('gs://bucket/', sample, '.hifi_reads.bam') END AS input_bam""",
+    "CASE WHEN l_discount != 0.0 THEN concat(sample, '.raw.aligned.bam') END AS RAW_BAM",
+    "CASE WHEN l_tax != 0.01 THEN concat(sample, '.mol_consensus.aligned.bam') END AS MolConsensusBAM",
+    "CASE WHEN l_quantity != 10 THEN concat(sample, '.vcf') END AS vcf",
+)
+FILE_ORD = """CASE WHEN l_returnflag = 'A' THEN 0 WHEN l_returnflag = 'N' THEN 1
+                   WHEN l_linestatus = 'F' THEN 2 ELSE 3 END"""
+PLACE = (
+    f"shiftright(l_orderkey, {KEY_BITS}) AS block",
+    "struct(l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate) AS pos",
+)
 
 
 def donors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Donor table: one row per customer."""
-    key = F.col("c_custkey")
-    return table(spark, sf_dir, "customer").select(
-        F.concat(F.lit("DNR"), _padded(key, 6)).alias("donor"),
-        F.when(key % 2 == 0, "Male").otherwise("Female").alias("gender"),
-        (F.lit(20) + key % 70).cast("int").alias("age"),
-        F.lit(0).alias("file_ord"),
-        F.shiftright(key, KEY_BITS).alias("block"),
-        key.alias("pos"),
-    )
-
-
-def _file_ord() -> Column:
-    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
-    return (
-        F.when(flag == "A", 0).when(flag == "N", 1).when((flag == "R") & (status == "F"), 2).otherwise(3)
+    return table(spark, sf_dir, "customer").selectExpr(
+        "concat('DNR', lpad(c_custkey, 6, '0')) AS donor",
+        "CASE WHEN c_custkey % 2 = 0 THEN 'Male' ELSE 'Female' END AS gender",
+        "CAST(20 + c_custkey % 70 AS int) AS age",
+        "0 AS file_ord",
+        f"shiftright(c_custkey, {KEY_BITS}) AS block",
+        "c_custkey AS pos",
     )
 
 
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manifest of the files that have at least one row."""
-    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(p).alias("path")) for k, p in FILES])
-    present = table(spark, sf_dir, "lineitem").select(_file_ord().alias("arg_ord")).distinct()
-    found = F.get(kinds, F.col("arg_ord"))
-    return present.select(
-        "arg_ord",
-        F.lit(0).alias("sub_ord"),
-        found["kind"].alias("kind"),
-        found["path"].alias("path"),
-        found["path"].alias("file"),
-    )
+    present = table(spark, sf_dir, "lineitem").selectExpr(f"{FILE_ORD} AS file_ord").distinct()
+    return present.join(F.broadcast(_files(spark)), F.col("file_ord") == F.col("arg_ord")).drop("file_ord")
 
 
-def file_tags(spark: SparkSession) -> DataFrame:
+def _files(spark: SparkSession) -> DataFrame:
     rows = ", ".join(f"({i}, 0, '{kind}', '{path}', '{path}')" for i, (kind, path) in enumerate(FILES))
-    listed = spark.sql(f"SELECT * FROM VALUES {rows} AS t(arg_ord, sub_ord, kind, path, file)")
-    return tag_manifest(listed).drop("arg_ord", "sub_ord", "kind", "path", "file")
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(arg_ord, sub_ord, kind, path, file)")
 
 
 def manifest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manifest rows without file tags, in the order file, order key, line and the rest of the row."""
     lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    donor = F.concat(F.lit("DNR"), _padded(F.col("o_custkey"), 6))
-    code = F.get(F.array(*[F.lit(c) for c in CODES]), (F.col("l_partkey") % len(CODES)).cast("int"))
-    part = F.concat(_padded(F.col("l_linenumber"), 3), F.lit("A"), (F.col("l_partkey") % 3).cast("string"))
-    sample = F.col("sample")
-    flag = F.col("l_returnflag")
-    remote = F.concat(F.lit("gs://bucket/run"), F.col("l_suppkey").cast("string"), F.lit("/"), sample)
-    cram = (
-        F.when(F.col("l_suppkey") % 3 == 0, F.concat(remote, F.lit(".cram")))
-        .when(F.col("l_suppkey") % 3 == 1, F.concat(F.lit("C:\\data\\"), sample, F.lit(".cram")))
-        .otherwise(F.concat(sample, F.lit(".cram")))
-    )
-    bam = F.concat(F.lit("gs://bucket/"), sample, F.lit(".hifi_reads.bam"))
+    code = " ".join(f"WHEN {i} THEN '{code}'" for i, code in enumerate(CODES))
+    code = f"CASE l_partkey % {len(CODES)} {code} END"
+    # Orders grow with the lines, so the join is a shuffle at every size.
     return (
-        lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
-        .withColumn("donor", donor)
-        .withColumn("sample", F.concat_ws("-", "donor", code, part))
-        .select(
-            F.concat_ws("-", F.lit("SM"), F.col("l_orderkey").cast("string"), "l_linenumber").alias("sample_id"),
-            F.when(F.col("l_tax") != 0.08, F.col("donor")).alias("donor_id"),
-            F.when(F.col("l_quantity") != 50, sample).alias("collaborator_sample_id"),
-            F.when((flag != "N") & (F.col("l_discount") != 0.1), cram).alias("cram_path"),
-            F.when((flag == "N") & (F.col("l_discount") != 0.1), bam).alias("input_bam"),
-            F.when(F.col("l_discount") != 0.0, F.concat(sample, F.lit(".raw.aligned.bam"))).alias("RAW_BAM"),
-            F.when(F.col("l_tax") != 0.01, F.concat(sample, F.lit(".mol_consensus.aligned.bam"))).alias(
-                "MolConsensusBAM"
-            ),
-            F.when(F.col("l_quantity") != 10, F.concat(sample, F.lit(".vcf"))).alias("vcf"),
-            _file_ord().alias("file_ord"),
-            F.shiftright("l_orderkey", KEY_BITS).alias("block"),
-            F.struct(
-                "l_orderkey",
-                "l_linenumber",
-                "l_partkey",
-                "l_suppkey",
-                "l_quantity",
-                "l_extendedprice",
-                "l_shipdate",
-            ).alias("pos"),
+        lines.join(orders.hint("merge"), F.expr("l_orderkey = o_orderkey"))
+        .selectExpr("*", "concat('DNR', lpad(o_custkey, 6, '0')) AS donor")
+        .selectExpr(
+            "*",
+            f"concat_ws('-', donor, {code}, concat(lpad(l_linenumber, 3, '0'), 'A', l_partkey % 3)) AS sample",
         )
+        .selectExpr(*ROW, f"{FILE_ORD} AS file_ord", *PLACE)
     )
 
 
+def row_bound(spark: SparkSession, sf_dir: str) -> int:
+    """Upper bound of manifest rows, read off the parquet footers."""
+    return table(spark, sf_dir, "lineitem").count()
+
+
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What :func:`sheetloom.read_manifests` returns for four files."""
     rows = manifest_rows(spark, sf_dir).withColumn("description", F.col("sample_id"))
-    return rows.join(F.broadcast(file_tags(spark)), "file_ord")
+    tags = tag_manifest(_files(spark)).select(*TAGS)
+    # Four rows, so the broadcast is bounded.
+    return rows.join(F.broadcast(tags), "file_ord")
 
 
 def codec_samples(spark: SparkSession, sf_dir: str) -> DataFrame:

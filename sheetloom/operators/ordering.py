@@ -62,6 +62,7 @@ def running_number(
     name: str,
     hot: DataFrame | None = None,
     hot_rows: int | None = None,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Number the rows of every group 1, 2, ... in row order.
 
@@ -71,9 +72,14 @@ def running_number(
     empty and drops that branch.
 
     ``hot`` names the groups to cut; any set gives the same numbers, so a caller may derive it from
-    a cheaper superset of ``df``.
+    a cheaper superset of ``df``. ``max_rows`` is an upper bound of the rows of ``df`` where one is
+    known: when all of them make less than one hot group, none has to be looked for.
     """
     keys = list(keys)
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
+    if max_rows is not None and max_rows <= hot_rows:
+        whole = Window.partitionBy(*keys).orderBy(*order_of(df))
+        return df.withColumn(name, F.row_number().over(whole).cast("long"))
     hot = F.broadcast(hot_groups(df, keys, hot_rows) if hot is None else hot)
 
     earlier = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)

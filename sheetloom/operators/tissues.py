@@ -1,4 +1,4 @@
-"""The tissue dimension and its lookups.
+"""The tissue dimension and its lookups.
 
 The reference table may repeat a code. Three readings of the repeats exist and differ only when
 the repeats disagree:
@@ -14,41 +14,48 @@ No join here carries a broadcast hint: the table is broadcast when Spark's own e
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheetloom.functions import ids, labels
-from sheetloom.operators.ordering import first_by, last_values
+from sheetloom.operators.ordering import first_by
 from sheetloom.schemas import order_of
 
 CODE = "tissue_identifier_code"
 
 
-def tissue_lookup(ref: DataFrame) -> DataFrame:
-    """``(core, tissue, label)``: the last row of every code wins; a null name counts as the code."""
-    last = last_values(ref, CODE, "corresponding_tissue")
-    tissue = F.coalesce("corresponding_tissue", CODE)
-    return last.select(
-        F.col(CODE).alias("core"), tissue.alias("tissue"), labels.tissue_label(tissue).alias("label")
+def tissue_variants(ref: DataFrame) -> DataFrame:
+    """``(core, variant, uberon_id, item)``: the distinct labels of every code, numbered by appearance."""
+    rows = _labelled(ref)
+    return first_by(rows, "core", "variant").select("core", "variant", "uberon_id", _place(rows).alias("item"))
+
+
+def tissue_codes(ref: DataFrame) -> DataFrame:
+    """``(core, label, source_label)``, one row per code.
+
+    Repeats of a code are folded per label before the code is put together.
+    """
+    rows = _labelled(ref)
+    place = _place(rows)
+    variants = rows.groupBy("core", "variant").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    last_named = F.max_by("variant", "last")
+    return variants.groupBy("core").agg(
+        F.coalesce(last_named, labels.tissue_label(F.col("core"))).alias("label"),
+        F.max_by("variant", "first").alias("source_label"),
     )
 
 
-def tissue_variants(ref: DataFrame) -> DataFrame:
-    """``(core, variant, uberon_id, item)``: the distinct labels of every code, numbered by appearance."""
-    rows = ref.where(F.col(CODE).isNotNull()).select(
+def _labelled(ref: DataFrame) -> DataFrame:
+    return ref.where(F.col(CODE).isNotNull()).select(
         F.col(CODE).alias("core"),
         labels.tissue_label(F.col("corresponding_tissue")).alias("variant"),
         "uberon_id",
         *order_of(ref),
     )
-    position = F.struct(*order_of(ref)).alias("item")
-    return first_by(rows, "core", "variant").select("core", "variant", "uberon_id", position)
 
 
-def tissue_codes(ref: DataFrame) -> DataFrame:
-    """``(core, label, source_label)``, one row per code."""
-    sources = tissue_variants(ref).groupBy("core").agg(F.max_by("variant", "item").alias("source_label"))
-    return tissue_lookup(ref).select("core", "label").join(sources, "core")
+def _place(rows: DataFrame) -> Column:
+    return F.struct(*order_of(rows))
 
 
 def parse_samples(rows: DataFrame) -> DataFrame:

@@ -187,11 +187,12 @@ def library_hot_groups(samples: DataFrame, ref: DataFrame, prefix: str = PREFIX)
     return hot_groups(_analyte_columns(samples.where("for_analyte"), ref, prefix), LIBRARY_GROUP)
 
 
-def library_sheet(rows: DataFrame, prefix: str = PREFIX, hot: DataFrame | None = None) -> DataFrame:
+def library_sheet(
+    rows: DataFrame, prefix: str = PREFIX, hot: DataFrame | None = None, max_rows: int | None = None
+) -> DataFrame:
     """One row per analyte row before dedup, numbered per donor, tissue and library type."""
-    numbered = running_number(
-        rows.select(*LIBRARY_GROUP, "submitted_id", *schemas.order_of(rows)), LIBRARY_GROUP, "number", hot
-    )
+    narrow = rows.select(*LIBRARY_GROUP, "submitted_id", *schemas.order_of(rows))
+    numbered = running_number(narrow, LIBRARY_GROUP, "number", hot, max_rows=max_rows)
     minted = ids.library_id(
         prefix, F.col("donor_part"), F.col("label"), F.col("library_type"), F.col("number").cast("string")
     )
@@ -231,10 +232,16 @@ def file_set_sizes(rows: DataFrame) -> DataFrame:
 
 
 def file_set_sheet(
-    samples: DataFrame, ref: DataFrame, analytes: DataFrame, prefix: str = PREFIX
+    samples: DataFrame,
+    ref: DataFrame,
+    analytes: DataFrame,
+    prefix: str = PREFIX,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Numbered per donor, tissue and type (W2), linked to the Library rows of ``analytes``."""
-    rows = running_number(file_set_rows(samples, ref), ["file_set_group"], "number")
+    rows = running_number(
+        file_set_rows(samples, ref), ["file_set_group"], "number", max_rows=max_rows
+    )
     rows = rows.withColumn("stem", F.upper("file_set_group"))
     number = F.col("number").cast("string")
     library = ids.mint(prefix, "LIBRARY", F.col("stem"), number)
@@ -249,7 +256,9 @@ def file_set_sheet(
     )
 
 
-def unaligned_reads_sheet(samples: DataFrame, ref: DataFrame, prefix: str = PREFIX) -> DataFrame:
+def unaligned_reads_sheet(
+    samples: DataFrame, ref: DataFrame, prefix: str = PREFIX, max_rows: int | None = None
+) -> DataFrame:
     """One row per BAM of the files named long-read, numbered per sample id.
 
     The file set is constructed from the same number and not checked (J9).
@@ -259,7 +268,7 @@ def unaligned_reads_sheet(samples: DataFrame, ref: DataFrame, prefix: str = PREF
     rows = rows.select(
         ids.SAMPLE_ID, "donor_part", "label", F.col("input_bam").cast("string"), *schemas.order_of(rows)
     )
-    numbered = running_number(rows, [ids.SAMPLE_ID], "number")
+    numbered = running_number(rows, [ids.SAMPLE_ID], "number", max_rows=max_rows)
     donor, label, number = F.col("donor_part"), F.col("label"), F.col("number").cast("string")
     return conform(
         numbered,
@@ -272,16 +281,18 @@ def unaligned_reads_sheet(samples: DataFrame, ref: DataFrame, prefix: str = PREF
     )
 
 
-def aligned_reads_sheet(samples: DataFrame, ref: DataFrame, prefix: str = PREFIX) -> DataFrame:
+def aligned_reads_sheet(
+    samples: DataFrame, ref: DataFrame, prefix: str = PREFIX, max_rows: int | None = None
+) -> DataFrame:
     """One row per CRAM, numbered over the rows that have one (W4), linked to FileSet."""
     crams = samples.where("for_aligned").dropna(subset=[ids.SAMPLE_ID, "cram_path"])
     rows = with_tissue(crams, ref)
     rows = rows.select(
         "donor_part", "label", "aligned_type", ids.SAMPLE_ID, "cram_path", *schemas.order_of(rows)
     )
-    numbered = running_number(rows, ["donor_part", "label", "aligned_type"], "number").withColumn(
-        "stem", F.upper(F.concat_ws("_", "donor_part", "label", "aligned_type"))
-    )
+    group = ["donor_part", "label", "aligned_type"]
+    numbered = running_number(rows, group, "number", max_rows=max_rows)
+    numbered = numbered.withColumn("stem", F.upper(F.concat_ws("_", *group)))
     file_set = ids.mint(prefix, "FILE-SET", F.col("stem"), F.col("number").cast("string"))
     sizes = file_set_sizes(file_set_rows(samples, ref))
     linked = link(numbered, sizes, "number", file_set, "file_set")

@@ -60,7 +60,8 @@ def analyte_sheet(spark, sf):
 def library_numbers(spark, sf):
     samples, ref = harness.samples(spark, sf), harness.tissue_ref(spark)
     hot = regular.library_hot_groups(samples, ref)
-    return cells(regular.library_sheet(regular.analyte_rows(samples, ref), hot=hot))
+    rows = regular.analyte_rows(samples, ref)
+    return cells(regular.library_sheet(rows, hot=hot, max_rows=harness.row_bound(spark, sf)))
 
 
 def sequencing_sheet(spark, sf):
@@ -73,21 +74,24 @@ def software_sheet(spark, sf):
 
 def fileset_numbers(spark, sf):
     rows = regular.file_set_rows(harness.samples(spark, sf), harness.tissue_ref(spark))
-    numbered = running_number(rows, ["file_set_group"], "number")
+    numbered = running_number(rows, ["file_set_group"], "number", max_rows=harness.row_bound(spark, sf))
     return numbered.select("file_set_group", "number", "description")
 
 
 def fileset_sheet_linked(spark, sf):
     samples, ref = harness.samples(spark, sf), harness.tissue_ref(spark)
-    return cells(regular.file_set_sheet(samples, ref, regular.analyte_rows(samples, ref)))
+    analytes = regular.analyte_rows(samples, ref)
+    return cells(regular.file_set_sheet(samples, ref, analytes, max_rows=harness.row_bound(spark, sf)))
 
 
 def unaligned_reads(spark, sf):
-    return cells(regular.unaligned_reads_sheet(harness.samples(spark, sf), harness.tissue_ref(spark)))
+    samples, ref = harness.samples(spark, sf), harness.tissue_ref(spark)
+    return cells(regular.unaligned_reads_sheet(samples, ref, max_rows=harness.row_bound(spark, sf)))
 
 
 def aligned_reads_linked(spark, sf):
-    return cells(regular.aligned_reads_sheet(harness.samples(spark, sf), harness.tissue_ref(spark)))
+    samples, ref = harness.samples(spark, sf), harness.tissue_ref(spark)
+    return cells(regular.aligned_reads_sheet(samples, ref, max_rows=harness.row_bound(spark, sf)))
 
 
 def file_names(spark, sf):
@@ -254,6 +258,7 @@ def dangling_links(spark, sf):
         harness.tissue_ref(spark),
         harness.donors(spark, sf),
         harness.manifest(spark, sf),
+        max_rows=harness.row_bound(spark, sf),
     )
     return links.dangling_links(sheets, REGULAR_EDGES)
 
@@ -268,8 +273,9 @@ def codec_dangling_links(spark, sf):
 def duplicate_reads(spark, sf):
     """Read ids that stand on more than one row."""
     samples, ref = harness.samples(spark, sf), harness.tissue_ref(spark)
-    unaligned = plain(regular.unaligned_reads_sheet(samples, ref)).select("submitted_id")
-    aligned = plain(regular.aligned_reads_sheet(samples, ref)).select("submitted_id")
+    bound = harness.row_bound(spark, sf)
+    unaligned = plain(regular.unaligned_reads_sheet(samples, ref, max_rows=bound)).select("submitted_id")
+    aligned = plain(regular.aligned_reads_sheet(samples, ref, max_rows=bound)).select("submitted_id")
     return links.duplicate_ids(unaligned.unionByName(aligned))
 
 

@@ -108,15 +108,17 @@ def conform(df: DataFrame, schema: StructType, **computed: Column | str) -> Data
 
     A string value is a constant.
     """
-
-    def value(field: StructField) -> Column:
-        v = computed.get(field.name)
-        v = F.lit(v) if v is None or isinstance(v, str) else v
-        return v.cast(field.dataType).alias(field.name)
-
     unknown = set(computed) - set(schema.names)
     if unknown:
         raise ValueError(f"not columns of the sheet: {sorted(unknown)}")
+
+    def value(field: StructField) -> Column:
+        kind = field.dataType.simpleString()
+        if field.name not in computed:
+            return F.expr(f"CAST(NULL AS {kind}) AS {field.name}")
+        v = computed[field.name]
+        return (F.lit(v) if isinstance(v, str) else v).cast(kind).alias(field.name)
+
     return df.select(*[value(f) for f in schema.fields], *order_of(df))
 
 
@@ -128,4 +130,4 @@ def plain(sheet: DataFrame) -> DataFrame:
 def cells(sheet: DataFrame) -> DataFrame:
     """The sheet as the text of its cells: blanks are empty strings, as in the written file."""
     shown = plain(sheet)
-    return shown.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in shown.columns])
+    return shown.selectExpr(*[f"coalesce(CAST(`{c}` AS string), '') AS `{c}`" for c in shown.columns])

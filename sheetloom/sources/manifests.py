@@ -9,11 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheetloom.functions import ids
-from sheetloom.functions.labels import first_marker
 from sheetloom.sources.tables import file_key, files_of, read_table, scan_tables
 
 MANIFEST_TYPE = "arg_ord int, sub_ord int, kind string, path string, file string"
@@ -50,8 +49,25 @@ def manifest(
     return spark.createDataFrame(rows, MANIFEST_TYPE).withColumn("file", file_key(F.col("file")))
 
 
-def _by_name(path: Column, markers: Sequence[tuple[str, str]], default: str) -> Column:
-    return first_marker(F.lower(path), markers, default)
+IS_RNA = "kind = 'rna'"
+IS_LONG = "contains(lower(path), 'long')"
+
+
+def _by_name(markers: Sequence[tuple[str, str]], default: str) -> str:
+    """SQL for the value of the first marker in the file name."""
+    cases = " ".join(f"WHEN contains(lower(path), '{marker}') THEN '{value}'" for marker, value in markers)
+    return f"CASE {cases} ELSE '{default}' END"
+
+
+# What a file name says about its assay, in three readings.
+SHORT, LONG = ("short", "WGS_ILLUMINA"), ("long", "WGS_PACBIO")
+TRUSEQ, WATCHMAKER = ("truseq", "RNA_TRUSEQ"), ("watchmaker", "RNA_WATCHMAKER")
+RNA_BY_TRUSEQ = _by_name([TRUSEQ], "RNA_WATCHMAKER")
+ANALYTE_LABEL = f"""CASE kind WHEN 'short_read' THEN 'GDNA_SHORTREAD' WHEN 'long_read' THEN 'GDNA_LONGREAD'
+                              ELSE {RNA_BY_TRUSEQ} END"""
+FILE_SET_TYPE = f"""CASE WHEN {IS_RNA} THEN {_by_name([WATCHMAKER, TRUSEQ], "RNA_WATCHMAKER")}
+                         ELSE {_by_name([SHORT, LONG], "WGS_ILLUMINA")} END"""
+ALIGNED_TYPE = f"CASE WHEN {IS_RNA} THEN {RNA_BY_TRUSEQ} ELSE {_by_name([SHORT], 'WGS_PACBIO')} END"
 
 
 def tag_manifest(files: DataFrame) -> DataFrame:
@@ -64,50 +80,30 @@ def tag_manifest(files: DataFrame) -> DataFrame:
     * ``aligned_type`` goes by file name with PacBio as the default, leaves out long-read names, and
       reads a path once.
     * ``for_unaligned`` marks DNA files named long-read.
+
+    The manifest has one row per argument file, so windows over all of it stay small.
     """
-    path = F.col("path")
-    is_rna = F.col("kind") == "rna"
-    is_long = F.contains(F.lower(path), F.lit("long"))
-    everywhere = Window.partitionBy()
-    same_file = Window.partitionBy("file")
-
-    by_group = (
-        F.when(F.col("kind") == "short_read", "GDNA_SHORTREAD")
-        .when(F.col("kind") == "long_read", "GDNA_LONGREAD")
-        .otherwise(_by_name(path, [("truseq", "RNA_TRUSEQ")], "RNA_WATCHMAKER"))
-    )
-    dna_type = _by_name(path, [("short", "WGS_ILLUMINA"), ("long", "WGS_PACBIO")], "WGS_ILLUMINA")
-    rna_type = _by_name(path, [("watchmaker", "RNA_WATCHMAKER"), ("truseq", "RNA_TRUSEQ")], "RNA_WATCHMAKER")
-    aligned_dna = _by_name(path, [("short", "WGS_ILLUMINA")], "WGS_PACBIO")
-    aligned_rna = _by_name(path, [("truseq", "RNA_TRUSEQ")], "RNA_WATCHMAKER")
-
-    # The manifest has one row per argument file, so windows over all of it stay small.
-    first_rna = F.min(F.when(is_rna, F.col("arg_ord"))).over(everywhere)
-    is_first_rna = is_rna & (F.col("arg_ord") == F.col("_first_rna"))
-    in_aligned = is_first_rna | (~is_rna & ~is_long)
-    last_aligned = F.max_by(
-        F.when(is_rna, aligned_rna).otherwise(aligned_dna), F.when(F.col("_aligned"), F.col("arg_ord"))
-    )
     return (
-        files.withColumn("_first_rna", first_rna)
-        .withColumns({
-            "file_ord": F.row_number().over(Window.orderBy("arg_ord", "sub_ord")) - 1,
-            "for_analyte": F.col("arg_ord") == F.min("arg_ord").over(same_file),
-            "analyte_label": F.max_by(by_group, "arg_ord").over(same_file),
-            "for_file_set": F.coalesce(~is_rna | is_first_rna, F.lit(False)),
-            "file_set_type": F.when(is_rna, rna_type).otherwise(dna_type),
-            "for_unaligned": ~is_rna & is_long,
-            "_aligned": F.coalesce(in_aligned, F.lit(False)),
-        })
-        .withColumn("_first_aligned", F.min(F.when(F.col("_aligned"), F.col("arg_ord"))).over(same_file))
-        .withColumns({
-            "for_aligned": F.coalesce(
-                F.col("_aligned") & (F.col("arg_ord") == F.col("_first_aligned")), F.lit(False)
-            ),
-            "aligned_type": last_aligned.over(same_file),
-        })
-        .drop("_first_rna", "_aligned", "_first_aligned")
-    )
+        files.selectExpr(
+            "*",
+            "row_number() OVER (ORDER BY arg_ord, sub_ord) - 1 AS file_ord",
+            f"{IS_RNA} AND arg_ord = min(CASE WHEN {IS_RNA} THEN arg_ord END) OVER () AS first_rna",
+        )
+        .selectExpr("*", f"first_rna OR NOT ({IS_RNA} OR {IS_LONG}) AS in_aligned")
+        .selectExpr(
+            *files.columns,
+            "file_ord",
+            "arg_ord = min(arg_ord) OVER (PARTITION BY file) AS for_analyte",
+            f"max_by({ANALYTE_LABEL}, arg_ord) OVER (PARTITION BY file) AS analyte_label",
+            f"first_rna OR NOT {IS_RNA} AS for_file_set",
+            f"{FILE_SET_TYPE} AS file_set_type",
+            f"NOT {IS_RNA} AND {IS_LONG} AS for_unaligned",
+            "in_aligned AND arg_ord = min(CASE WHEN in_aligned THEN arg_ord END) OVER (PARTITION BY file)"
+            " AS for_aligned",
+            f"max_by({ALIGNED_TYPE}, CASE WHEN in_aligned THEN arg_ord END) OVER (PARTITION BY file)"
+            " AS aligned_type",
+        )
+    )
 
 
 def _with_columns(rows: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -21,12 +22,13 @@ def shared_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="sheetloom-")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as parquet and read it back.
+def staged(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """Write ``df`` once as parquet; returns the written table and its row count.
 
     Later reads are columnar, take only the columns a sheet needs, and survive the loss of executors.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/sheetloom-{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n_rows")).write.parquet(path)
+    return spark.read.parquet(path), seen.get["n_rows"]
