@@ -1,0 +1,131 @@
+"""Ordered operators against brute force, hot groups included."""
+
+import random
+from collections import Counter
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from sheetloom.operators import ordering
+from sheetloom.operators.links import collisions, dangling_links, duplicate_ids, group_sizes, link
+from sheetloom.operators.ordering import first_by, hot_groups, last_values, running_number
+
+ROW = "file_ord int, block long, pos long, k string, g string, v string"
+
+
+def table(spark, rows):
+    """Rows ``(k, g, v)`` in order, spread over files and blocks, handed to Spark shuffled."""
+    placed = [(i // 50, (i // 7) % 8, i % 7, *row) for i, row in enumerate(rows)]
+    placed.sort(key=lambda r: r[:3])
+    shuffled = placed[:]
+    random.Random(7).shuffle(shuffled)
+    return placed, spark.createDataFrame(shuffled, ROW).repartition(3)
+
+
+def brute_numbers(placed):
+    seen, out = Counter(), []
+    for row in placed:
+        seen[row[3], row[4]] += 1
+        out.append((*row, seen[row[3], row[4]]))
+    return Counter(out)
+
+
+def numbers(df, **options):
+    return Counter(tuple(r) for r in running_number(df, ["k", "g"], "n", **options).collect())
+
+
+def skewed(n=400):
+    r = random.Random(3)
+    return [("hot" if r.random() < 0.5 else r.choice("abcd"), r.choice("xy"), str(i)) for i in range(n)]
+
+
+@pytest.mark.parametrize("hot_rows", [1, 5, 40, 10**6])
+def test_running_number_with_hot_groups(spark, hot_rows):
+    placed, df = table(spark, skewed())
+    assert numbers(df, hot_rows=hot_rows) == brute_numbers(placed)
+
+
+def test_running_number_within_a_known_bound(spark):
+    placed, df = table(spark, skewed())
+    assert numbers(df, hot_rows=1, max_rows=1000) == brute_numbers(placed)
+    assert numbers(df, max_rows=1000) == brute_numbers(placed)
+
+
+def test_running_number_does_not_depend_on_which_groups_are_hot(spark):
+    placed, df = table(spark, skewed())
+    some = spark.createDataFrame([("hot", "x", True), ("a", "y", True), ("gone", "x", True)], "k string, g string, _hot boolean")
+    assert numbers(df, hot=some) == brute_numbers(placed)
+
+
+def test_groups_beyond_the_hot_table_are_numbered_whole(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "HOT_KEYS", 1)
+    placed, df = table(spark, skewed())
+    assert hot_groups(df, ["k", "g"], 1).count() == 1
+    assert numbers(df, hot_rows=1) == brute_numbers(placed)
+
+
+def test_hot_group_is_not_numbered_in_one_window_partition(spark):
+    """The window over rows is partitioned by the piece too; only counted pieces meet in one partition."""
+    _, df = table(spark, skewed())
+    numbered = running_number(df, ["k", "g"], "n", hot_rows=5)
+    plan = numbered._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.split("\n") if " Window [" in line or line.startswith("Window [")]
+    rows = [w for w in windows if "row_number()" in w]
+    assert rows and all("_piece" in w for w in rows)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(st.tuples(st.sampled_from("ab"), st.sampled_from("xyz"), st.text("uv", max_size=2)), min_size=1, max_size=120),
+    st.integers(1, 30),
+)
+def test_running_number_property(spark, rows, hot_rows):
+    placed, df = table(spark, rows)
+    assert numbers(df, hot_rows=hot_rows) == brute_numbers(placed)
+
+
+def test_first_by_keeps_the_first_row_in_order(spark):
+    placed, df = table(spark, skewed())
+    expected = {}
+    for row in placed:
+        expected.setdefault(row[3], row)
+    assert Counter(tuple(r) for r in first_by(df, "k").collect()) == Counter(expected.values())
+
+
+def test_first_by_reduces_before_the_shuffle(spark):
+    _, df = table(spark, skewed())
+    plan = first_by(df, "k")._jdf.queryExecution().executedPlan().toString()
+    before_shuffle = plan[plan.index("Exchange hashpartitioning(k") :]
+    assert "WindowGroupLimit" in before_shuffle
+
+
+def test_last_values_takes_a_null_winner(spark):
+    rows = [("a", "x", "1"), ("a", "x", None), ("b", "x", None), ("b", "x", "2"), (None, "x", "3")]
+    _, df = table(spark, rows)
+    assert {r.k: r.v for r in last_values(df, "k", "v").collect()} == {"a": None, "b": "2"}
+
+
+def test_link_by_group_size_equals_lookup_of_ids(spark):
+    placed, df = table(spark, [(k.upper() if int(v) % 3 else k, g, v) for k, g, v in skewed(200)])
+    stem = F.upper(F.concat_ws("_", "k", "g"))
+    far = df.where("v % 2 = 0")
+    near = running_number(df, ["k", "g"], "n").withColumn("stem", stem)
+    linked = link(near, group_sizes(far, F.struct("k", "g"), stem), "n", F.concat_ws("_", "stem", "n"), "to")
+
+    far_ids = {f"{r[3]}_{r[4]}".upper() + f"_{r[-1]}" for r in brute_numbers([p for p in placed if int(p[5]) % 2 == 0])}
+    assert linked.count() == len(placed)
+    for r in linked.collect():
+        target = f"{r.stem}_{r.n}"
+        assert r.to == (target if target in far_ids else None)
+
+
+def test_reports(spark):
+    parent = spark.createDataFrame([("p1",), ("p2",), ("p2",)], "submitted_id string")
+    child = spark.createDataFrame([("c1", "p1"), ("c2", "p9"), ("c3", None), ("c4", "p2")], "submitted_id string, up string")
+    report = dangling_links({"Child": child, "Parent": parent}, [("Child", "up", "Parent")]).first()
+    assert (report.links, report.dangling) == (3, 1)
+    assert [tuple(r) for r in duplicate_ids(parent).collect()] == [("p2", 2)]
+    rows = spark.createDataFrame([("i", "a"), ("i", "b"), ("i", "b"), ("j", "a")], "submitted_id string, src string")
+    assert [tuple(r) for r in collisions(rows, "src").collect()] == [("i", 2, "a")]
