@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sheetloom.functions.paths import PATH_COLUMNS, base_name
 from sheetloom.schemas import order_of
-from sheetloom.sources.sinks import write_sheet
+from sheetloom.sources.sinks import in_row_order, write_rows
 from sheetloom.sources.tables import file_key, files_of, scan_tables
 
 
@@ -41,7 +41,7 @@ def strip_metrics(df: DataFrame, columns: Sequence[str] = PATH_COLUMNS) -> DataF
     return df.agg(*aggregates).select("rows_processed", names.alias("path_columns"))
 
 
-def strip_file(spark: SparkSession, source: str, target: str) -> dict:
+def strip_file(spark: SparkSession, source: str, target: str, ordered: bool = True) -> dict:
     """Strip one manifest into ``target``; cells are otherwise kept as they are, ``NA`` included.
 
     Returns the run metrics, gathered while writing.
@@ -51,7 +51,8 @@ def strip_file(spark: SparkSession, source: str, target: str) -> dict:
     rows = scan_tables(spark, [source], missing=False).join(F.broadcast(listing), "file").drop("file")
     present, aggregates = _metrics(rows, PATH_COLUMNS)
     seen = Observation()
-    write_sheet(strip_paths(rows.observe(seen, *aggregates)), target)
+    lines = in_row_order(rows) if ordered else rows
+    write_rows(strip_paths(lines.observe(seen, *aggregates)), target, "errorifexists")
     first = {c: seen.get[c] for c in present if seen.get[c] is not None}
     found = sorted(first, key=lambda c: (tuple(first[c]), present.index(c)))
     return {"rows_processed": seen.get["rows_processed"], "path_columns": found}

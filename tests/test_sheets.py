@@ -1,0 +1,218 @@
+"""B1, B2, R1-R10, C1-C12 on example manifests: row counts, ids and links."""
+
+from collections import Counter
+
+import pytest
+
+from sheetloom import codec_sheets, regular_sheets, write_bundle
+from sheetloom import schemas
+from sheetloom.operators.links import dangling_links
+from sheetloom.plans.bundle import CODEC_EDGES, REGULAR_EDGES
+from sheetloom.schemas import plain
+from tests.data import (
+    CODEC, LONG, RNA, SHORT_A, SHORT_B, codec_file, donor_file, long_file, rna_file, rows_of, short_file,
+    tissue_file,
+)
+
+
+@pytest.fixture(scope="module")
+def regular(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("regular")
+    sheets = regular_sheets(
+        spark,
+        donor_file(folder),
+        tissue_file(folder),
+        [short_file(folder / "a_short_read.tsv", SHORT_A), short_file(folder / "b_short_read.tsv", SHORT_B)],
+        [long_file(folder / "filtered_long_read.tsv", LONG)],
+        [rna_file(folder / "filtered_rna_watchmaker.tsv", RNA)],
+    )
+    return {name: sheet.cache() for name, sheet in sheets.items()}
+
+
+@pytest.fixture(scope="module")
+def codec(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("codec")
+    sheets = codec_sheets(spark, donor_file(folder), tissue_file(folder), [codec_file(folder / "c.tsv", CODEC)])
+    return {name: sheet.cache() for name, sheet in sheets.items()}
+
+
+def test_regular_row_counts_and_order(regular):
+    assert {name: sheet.count() for name, sheet in regular.items()} == {
+        "Donor": 2, "Tissue": 32, "TissueSample": 45, "Analyte": 45, "Library": 48, "Sequencing": 3,
+        "FileSet": 48, "UnalignedReads": 9, "AlignedReads": 39, "Software": 1,
+    }
+    assert list(regular) == [
+        "Donor", "Tissue", "TissueSample", "Analyte", "Library", "Sequencing", "FileSet", "UnalignedReads",
+        "AlignedReads", "Software",
+    ]
+
+
+def test_codec_row_counts_and_order(codec):
+    assert {name: sheet.count() for name, sheet in codec.items()} == {
+        "Donor": 2, "Tissue": 17, "TissueSample": 17, "Analyte": 17, "Library": 17, "LibraryPreparation": 1,
+        "Sequencing": 1, "FileSet": 17, "UnalignedReads": 0, "AlignedReads": 34, "VariantCalls": 17, "Software": 3,
+    }
+    assert list(codec) == [
+        "Donor", "Tissue", "TissueSample", "Analyte", "Library", "LibraryPreparation", "Sequencing", "FileSet",
+        "UnalignedReads", "AlignedReads", "VariantCalls", "Software",
+    ]
+
+
+SCHEMAS = {
+    "Donor": (schemas.DONOR, 7), "Tissue": (schemas.TISSUE, 16), "TissueSample": (schemas.TISSUE_SAMPLE, 12),
+    "Analyte": (schemas.ANALYTE, 30), "Library": (schemas.LIBRARY, 27), "Sequencing": (schemas.SEQUENCING, 11),
+    "UnalignedReads": (schemas.UNALIGNED_READS, 16), "AlignedReads": (schemas.ALIGNED_READS, 16),
+}
+
+
+def test_schemas(regular, codec):
+    own = {"FileSet": (schemas.FILE_SET, 5), "Software": (schemas.SOFTWARE, 11)}
+    codec_own = {
+        "FileSet": (schemas.CODEC_FILE_SET, 6), "Software": (schemas.CODEC_SOFTWARE, 11),
+        "VariantCalls": (schemas.VARIANT_CALLS, 16), "LibraryPreparation": (schemas.LIBRARY_PREPARATION, 13),
+    }
+    for sheets, extra in ((regular, own), (codec, codec_own)):
+        for name, sheet in sheets.items():
+            schema, width = {**SCHEMAS, **extra}[name]
+            got = plain(sheet)
+            assert len(schema) == width
+            assert [(f.name, f.dataType) for f in got.schema] == [(f.name, f.dataType) for f in schema], name
+
+
+def test_donors(regular):
+    assert rows_of(regular["Donor"], *schemas.DONOR.names) == [
+        ("NDRI_DONOR_DNR001", "76", "DNR001", "Male", "True", None, None),
+        ("NDRI_DONOR_DNR022", "119", "DNR022", "Male", "True", None, None),
+    ]
+
+
+def test_blood_is_liquid(regular):
+    got = dict(rows_of(regular["Tissue"], "external_id", "submitted_id"))
+    assert got["DNR001-3A"] == "NDRI_TISSUE_DNR001-3A-BLOOD"
+    assert got["DNR022-3AN"] == "NDRI_TISSUE_DNR022-3AN-L-HIPPOCAMPUS"
+    samples = {r[0]: r[1:] for r in rows_of(
+        regular["TissueSample"], "external_id", "submitted_id", "category", "sample_sources"
+    )}
+    assert samples["DNR001-3A-01"] == (
+        "BROAD_TISSUE-SAMPLE_DNR001_BLOOD_01_LIQUID", "Liquid", "NDRI_TISSUE_DNR001-3A-BLOOD",
+    )
+    assert samples["DNR022-3AN-001A1"][0] == "BROAD_TISSUE-SAMPLE_DNR022_L-HIPPOCAMPUS_001A1_CORE"
+    assert samples["DNR022-3AD-002A1"][0] == "BROAD_TISSUE-SAMPLE_DNR022_UV_SKIN_002A1_CORE"
+
+
+def test_rows_follow_the_input(regular):
+    assert rows_of(regular["TissueSample"], "external_id") == list(dict.fromkeys([*SHORT_A, *SHORT_B, *LONG, *RNA]))
+    assert rows_of(regular["FileSet"], "description") == [
+        *[f"SM-{i}" for i in range(13)], *[f"SM-{i}" for i in range(13)], *[f"LR-{i}" for i in range(9)], *RNA,
+    ]
+
+
+def test_repeated_sample(regular):
+    aorta = [r for r in rows_of(regular["Analyte"], "submitted_id", "external_id") if r[1] == "DNR001-3O-001A3"]
+    assert aorta == [("BROAD_ANALYTE_DNR001_AORTA_001A3_GDNA_SHORTREAD", "DNR001-3O-001A3")]
+    libraries = [r for r in rows_of(regular["Library"], "submitted_id", "analytes", "assay") if "DNR001_AORTA" in r[0]]
+    assert libraries == [
+        (f"BROAD_LIBRARY_DNR001_AORTA_WGS_ILLUMINA_{n}", aorta[0][0], "bulk_wgs_pcr_free") for n in (1, 2)
+    ]
+    reads = [r for r in rows_of(regular["AlignedReads"], "submitted_id", "description", "file_sets") if r[1] == aorta[0][1]]
+    assert reads == [
+        ("BROAD_ALIGNED-READS_DNR001-AORTA-WGS_ILLUMINA-CRAM", aorta[0][1], "BROAD_FILE-SET_DNR001_AORTA_WGS_ILLUMINA_1"),
+        ("BROAD_ALIGNED-READS_DNR001-AORTA-WGS_ILLUMINA-2-CRAM", aorta[0][1], "BROAD_FILE-SET_DNR001_AORTA_WGS_ILLUMINA_2"),
+    ]
+
+
+def test_reads(regular):
+    unaligned = rows_of(regular["UnalignedReads"], "submitted_id", "filename", "description", "file_format", "file_sets")
+    assert unaligned[0] == (
+        "BROAD_UNALIGNED-READS_DNR022_ESOPHAGUS_WGS_PACBIO_SMRT_SMRT1", "m0.hifi_reads.bam", "DNR022-3C-001A2", "bam",
+        "BROAD_FILE-SET_DNR022_ESOPHAGUS_WGS_PACBIO_1",
+    )
+    assert all(r[0].endswith("_SMRT1") for r in unaligned)
+    aligned = {r[0]: r[1:] for r in rows_of(
+        regular["AlignedReads"], "submitted_id", "filename", "file_format", "alignment_details", "reference_genome",
+        "software",
+    )}
+    assert aligned["BROAD_ALIGNED-READS_DNR022-ESOPHAGUS-RNA_WATCHMAKER-CRAM"] == (
+        "DNR022-3C-001A4.cram", "cram", "Sorted", "broad_grch38", "BROAD_SOFTWARE_DRAGEN_07.021.604.3.7.8",
+    )
+    assert None not in rows_of(regular["AlignedReads"], "file_sets")
+    assert None not in rows_of(regular["FileSet"], "libraries")
+
+
+def test_rna_analytes(regular):
+    kinds = Counter(rows_of(regular["Analyte"], "molecule", "molecule_detail"))
+    assert kinds == {("DNA", "Total DNA"): 32, ("RNA", "Total RNA"): 13}
+
+
+def test_sequencing_and_software(regular):
+    assert rows_of(
+        regular["Sequencing"], "submitted_id", "target_read_length", "target_coverage", "target_read_count", "flow_cell"
+    ) == [
+        ("BROAD_SEQUENCING_PACBIO_15000BP_20X", 15000, 20, None, None),
+        ("BROAD_SEQUENCING_NOVASEQXPLUS_25B_150BP_160X", 150, 160, None, "25B"),
+        ("BROAD_SEQUENCING_NOVASEQX_25B_145BP_100M", 145, None, 100000000, "25B"),
+    ]
+    assert rows_of(regular["Software"], "submitted_id", "category", "title", "version") == [
+        ("BROAD_SOFTWARE_DRAGEN_07.021.604.3.7.8", "Alignment", "DRAGEN", "07.021.604.3.7.8")
+    ]
+
+
+def report(sheets, edges):
+    return {(r.sheet, r.link): (r.links, r.dangling) for r in dangling_links(sheets, edges).collect()}
+
+
+def test_dangling_links(regular, codec):
+    got = report(regular, REGULAR_EDGES)
+    assert got.pop(("FileSet", "sequencing")) == (48, 13)  # Q2
+    assert all(dangling == 0 for _, dangling in got.values())
+    got = report(codec, CODEC_EDGES)
+    assert got.pop(("Tissue", "donor")) == (17, 11)  # two donors are not in the donor table
+    assert all(dangling == 0 for _, dangling in got.values())
+
+
+def test_codec_ids(codec):
+    sample, tail = "DNR007-3Q-01A2", "DDBTP_01A2"
+    assert rows_of(codec["Library"], "submitted_id", "analytes", "assay", "library_preparation")[0] == (
+        f"BROAD_LIBRARY_CODEC_DNR007_LUNG-{tail}", "BROAD_ANALYTE_DNR007_LUNG_01A2_GDNA_SHORTREAD", "codec",
+        "BROAD_LIBRARY-PREPARATION_CODEC_DDBTP",
+    )
+    raw, processed = rows_of(
+        codec["AlignedReads"], "submitted_id", "filename", "data_category", "description", "file_sets", "derived_from",
+        "software",
+    )[:2]
+    file_set = f"BROAD_FILE-SET_CODEC_DNR007_LUNG-{tail}"
+    assert raw == (
+        f"BROAD_ALIGNED-READS_RAW_CODEC-{sample}-{tail}", "0.raw.bam", "Sequencing Reads",
+        f"Raw bam CODEC_{sample}-ddbtp", file_set, None, "BROAD_SOFTWARE_CODEC_ALIGNMENT_PIPELINE_V1",
+    )
+    assert processed == (
+        f"BROAD_ALIGNED-READS_PROCESSED_CODEC-{sample}-{tail}", "0.mol.bam", "Sequencing Reads | Consensus Reads",
+        f"Processed duplex bam CODEC_{sample}-DDBTP", file_set, raw[0], "BROAD_SOFTWARE_CODEC_BAM_PROCESSING_PIPELINE_V1",
+    )
+    assert rows_of(codec["VariantCalls"], "submitted_id", "data_category", "data_type", "filename", "derived_from")[0] == (
+        f"BROAD_VARIANT-CALLS_CODEC-{sample}-{tail}", "Somatic Variant Calls", "SNV | Indel", "0.vcf", processed[0],
+    )
+    assert rows_of(codec["FileSet"], "submitted_id", "libraries", "sequencing")[0] == (
+        file_set, f"BROAD_LIBRARY_CODEC_DNR007_LUNG-{tail}", "BROAD_SEQUENCING_CODEC",
+    )
+    assert set(rows_of(codec["AlignedReads"], "reference_genome")) == {"GRCh38"}
+
+
+def test_codec_constants(codec):
+    assert rows_of(codec["Software"], "submitted_id", "category", "title", "version") == [
+        ("BROAD_SOFTWARE_CODEC_ALIGNMENT_PIPELINE_V1", "Alignment", "CODEC alignment pipeline", "1"),
+        ("BROAD_SOFTWARE_CODEC_BAM_PROCESSING_PIPELINE_V1", "Read Manipulation", "CODEC bam process pipeline", "1"),
+        ("BROAD_SOFTWARE_CODEC_VARIANT_CALL_PIPELINE_V1", "Variant Calling", "CODEC variant calling pipeline", "1"),
+    ]
+    assert rows_of(codec["Sequencing"], "submitted_id", "read_type", "target_read_length", "target_coverage") == [
+        ("BROAD_SEQUENCING_CODEC", "Paired-end", 150, 2)
+    ]
+    assert rows_of(codec["LibraryPreparation"], "submitted_id") == ["BROAD_LIBRARY-PREPARATION_CODEC_DDBTP"]
+
+
+def test_bundle_of_a_workflow(spark, codec, tmp_path):
+    listing = write_bundle(codec, str(tmp_path / "out"))
+    rows = [(r.sheet_name, r.n_rows) for r in listing.orderBy("sheet_order").collect()]
+    assert rows[:2] == [("(Donor)", 2), ("(Tissue)", 17)] and rows[-2:] == [("VariantCalls", 17), ("Software", 3)]
+    again = spark.read.option("sep", "\t").option("header", True).csv(str(tmp_path / "out" / "VariantCalls"))
+    assert again.columns == schemas.VARIANT_CALLS.names and again.count() == 17
