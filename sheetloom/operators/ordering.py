@@ -11,15 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sheetloom.operators.skew import hot_groups, may_be_hot
 from sheetloom.schemas import order_of
 
-#: Groups above this many rows are numbered in pieces rather than in one task.
-HOT_ROWS = 1_000_000
-
-#: Bound on the broadcast table of such groups. A group beyond it is numbered in one task, and by then
-#: holds less than one row in HOT_KEYS.
-HOT_KEYS = 10_000
-
 
 def first_by(df: DataFrame, *keys: str) -> DataFrame:
     """Keep the first row, in row order, of every key (A2).
@@ -38,19 +32,6 @@ def last_values(df: DataFrame, key: str, *values: str) -> DataFrame:
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(*picks)
 
 
-def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> DataFrame:
-    """The groups of more than ``hot_rows`` rows, largest first, at most HOT_KEYS of them."""
-    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > hot_rows)
-        .orderBy(F.desc("_rows"), *keys)
-        .limit(HOT_KEYS)
-        .select(*keys, F.lit(True).alias("_hot"))
-    )
-
-
 def _piece() -> Column:
     """Consecutive run of rows a hot group is cut along: one scan block of one file."""
     return F.struct("file_ord", "block")
@@ -76,8 +57,7 @@ def running_number(
     known: when all of them make less than one hot group, none has to be looked for.
     """
     keys = list(keys)
-    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
-    if max_rows is not None and max_rows <= hot_rows:
+    if not may_be_hot(max_rows, hot_rows):
         whole = Window.partitionBy(*keys).orderBy(*order_of(df))
         return df.withColumn(name, F.row_number().over(whole).cast("long"))
     hot = F.broadcast(hot_groups(df, keys, hot_rows) if hot is None else hot)

@@ -2,7 +2,7 @@
 
 ``samples`` is what :func:`sheetloom.sources.manifests.read_manifests` returns: one row per manifest row
 and argument position, with the file tags next to the data columns. ``ref`` is the tissue
-reference. Every builder keeps the order columns so that the sink can write rows in input order.
+reference. ``max_rows`` is an upper bound on the rows of ``samples`` where one is known. Every builder keeps the order columns so that the sink can write rows in input order.
 """
 
 from __future__ import annotations
@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from sheetloom import schemas
 from sheetloom.functions import ids, labels, paths
 from sheetloom.operators.links import group_sizes, link
-from sheetloom.operators.ordering import first_by, hot_groups, running_number
+from sheetloom.operators.ordering import first_by, running_number
+from sheetloom.operators.skew import hot_groups, semi_join
 from sheetloom.operators.tissues import parse_samples, tissue_variants, with_tissue
 from sheetloom.schemas import conform
 
@@ -130,7 +131,7 @@ def tissue_sample_sheet(
     )
 
 
-def known_samples(samples: DataFrame) -> DataFrame:
+def known_samples(samples: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Rows whose sample is known, that is named together with a donor on some row.
 
     A row with a donor proves itself; only the rows without one have to be looked up.
@@ -138,9 +139,8 @@ def known_samples(samples: DataFrame) -> DataFrame:
     named = parse_samples(samples.where("for_analyte"))
     donorless = named.where(F.col("donor_id").isNull())
     known = identified(samples).select(ids.SAMPLE_ID).distinct()
-    return named.where(F.col("donor_id").isNotNull()).unionByName(
-        donorless.join(known, ids.SAMPLE_ID, "left_semi").select(named.columns)
-    )
+    found = semi_join(donorless, known, ids.SAMPLE_ID, max_rows=max_rows)
+    return named.where(F.col("donor_id").isNotNull()).unionByName(found)
 
 
 def _analyte_columns(rows: DataFrame, ref: DataFrame, prefix: str) -> DataFrame:
@@ -161,9 +161,11 @@ def _analyte_columns(rows: DataFrame, ref: DataFrame, prefix: str) -> DataFrame:
     )
 
 
-def analyte_rows(samples: DataFrame, ref: DataFrame, prefix: str = PREFIX) -> DataFrame:
+def analyte_rows(
+    samples: DataFrame, ref: DataFrame, prefix: str = PREFIX, max_rows: int | None = None
+) -> DataFrame:
     """R4 before dedup: one row per known sample row; a file given twice counts once."""
-    return _analyte_columns(known_samples(samples), ref, prefix)
+    return _analyte_columns(known_samples(samples, max_rows), ref, prefix)
 
 
 def analyte_sheet(rows: DataFrame) -> DataFrame:

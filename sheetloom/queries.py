@@ -53,15 +53,17 @@ def tissue_sample_sheet(spark, sf):
 
 
 def analyte_sheet(spark, sf):
-    rows = regular.analyte_rows(harness.samples(spark, sf), harness.tissue_ref(spark))
+    samples, ref = harness.samples(spark, sf), harness.tissue_ref(spark)
+    rows = regular.analyte_rows(samples, ref, max_rows=harness.row_bound(spark, sf))
     return cells(regular.analyte_sheet(rows))
 
 
 def library_numbers(spark, sf):
     samples, ref = harness.samples(spark, sf), harness.tissue_ref(spark)
+    bound = harness.row_bound(spark, sf)
     hot = regular.library_hot_groups(samples, ref)
-    rows = regular.analyte_rows(samples, ref)
-    return cells(regular.library_sheet(rows, hot=hot, max_rows=harness.row_bound(spark, sf)))
+    rows = regular.analyte_rows(samples, ref, max_rows=bound)
+    return cells(regular.library_sheet(rows, hot=hot, max_rows=bound))
 
 
 def sequencing_sheet(spark, sf):
@@ -80,8 +82,9 @@ def fileset_numbers(spark, sf):
 
 def fileset_sheet_linked(spark, sf):
     samples, ref = harness.samples(spark, sf), harness.tissue_ref(spark)
-    analytes = regular.analyte_rows(samples, ref)
-    return cells(regular.file_set_sheet(samples, ref, analytes, max_rows=harness.row_bound(spark, sf)))
+    bound = harness.row_bound(spark, sf)
+    analytes = regular.analyte_rows(samples, ref, max_rows=bound)
+    return cells(regular.file_set_sheet(samples, ref, analytes, max_rows=bound))
 
 
 def unaligned_reads(spark, sf):

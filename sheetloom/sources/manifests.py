@@ -22,7 +22,7 @@ TAGS = (
     "for_unaligned", "for_aligned", "aligned_type",
 )
 
-DATA_COLUMNS = (ids.SAMPLE_ID, "donor_id", "sample_id", "cram_path", "input_bam")
+DATA_COLUMNS = (ids.SAMPLE_ID, "donor_id", "cram_path", "input_bam", "sample_id")
 CODEC_COLUMNS = (ids.SAMPLE_ID, "donor_id", "RAW_BAM", "MolConsensusBAM", "vcf")
 
 
@@ -111,25 +111,6 @@ def _with_columns(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     return rows.withColumns(absent) if absent else rows
 
 
-def _describe(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Scan manifests with their FileSet ``description`` (P10).
-
-    A file without a ``sample_id`` column describes rows by the collaborator sample id; in a file that
-    has the column an empty cell stays empty. The choice is made per header, hence two scans.
-    """
-    named, unnamed = [], []
-    for path in dict.fromkeys(paths):
-        header = scan_tables(spark, [path]).columns
-        (named if "sample_id" in header else unnamed).append(path)
-    parts = []
-    for group, source in ((named, "sample_id"), (unnamed, ids.SAMPLE_ID)):
-        if group:
-            rows = _with_columns(scan_tables(spark, group), DATA_COLUMNS)
-            parts.append(rows.withColumn("description", F.col(source)))
-    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
-    return rows.select(*DATA_COLUMNS, "description", "file", "block", "pos")
-
-
 def read_manifests(
     spark: SparkSession,
     short_read: Sequence[str] = (),
@@ -138,7 +119,11 @@ def read_manifests(
 ) -> DataFrame:
     """All manifest rows in input order with their file tags; a path given twice fans out."""
     files = tag_manifest(manifest(spark, short_read, long_read, rna)).select("file", *TAGS)
-    rows = _describe(spark, [*short_read, *long_read, *rna])
+    # FileSet describes a row by ``sample_id``, or by the collaborator sample id where a file has no such
+    # column.
+    rows = scan_tables(spark, [*short_read, *long_read, *rna], sample_id=ids.SAMPLE_ID)
+    rows = _with_columns(rows, DATA_COLUMNS).select(*DATA_COLUMNS, "file", "block", "pos")
+    rows = rows.withColumnRenamed("sample_id", "description")
     # One row per argument file, listed by the driver: fits a broadcast.
     return rows.join(F.broadcast(files), "file").drop("file")
 

@@ -8,9 +8,10 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from sheetloom.operators import ordering
+from sheetloom.operators import links, skew
 from sheetloom.operators.links import collisions, dangling_links, duplicate_ids, group_sizes, link
-from sheetloom.operators.ordering import first_by, hot_groups, last_values, running_number
+from sheetloom.operators.ordering import first_by, last_values, running_number
+from sheetloom.operators.skew import hot_groups, semi_join
 
 ROW = "file_ord int, block long, pos long, k string, g string, v string"
 
@@ -60,7 +61,7 @@ def test_running_number_does_not_depend_on_which_groups_are_hot(spark):
 
 
 def test_groups_beyond_the_hot_table_are_numbered_whole(spark, monkeypatch):
-    monkeypatch.setattr(ordering, "HOT_KEYS", 1)
+    monkeypatch.setattr(skew, "HOT_KEYS", 1)
     placed, df = table(spark, skewed())
     assert hot_groups(df, ["k", "g"], 1).count() == 1
     assert numbers(df, hot_rows=1) == brute_numbers(placed)
@@ -107,7 +108,19 @@ def test_last_values_takes_a_null_winner(spark):
     assert {r.k: r.v for r in last_values(df, "k", "v").collect()} == {"a": None, "b": "2"}
 
 
-def test_link_by_group_size_equals_lookup_of_ids(spark):
+@pytest.mark.parametrize("hot_rows", [1, 20, 10**6])
+def test_semi_join_with_hot_keys(spark, hot_rows):
+    placed, df = table(spark, [(k, g, v) for k, g, v in skewed()])
+    known = spark.createDataFrame([("hot",), ("b",), ("z",)], "k string")
+    for options in ({"hot_rows": hot_rows}, {"max_rows": 10**6}):
+        got = Counter(tuple(r) for r in semi_join(df, known, "k", **options).collect())
+        assert got == Counter(p for p in placed if p[3] in ("hot", "b"))
+    assert semi_join(df, known.where("k = 'z'"), "k", hot_rows=hot_rows).count() == 0
+
+
+@pytest.mark.parametrize("run_bits", [1, 3, 20])
+def test_link_by_group_size_equals_lookup_of_ids(spark, monkeypatch, run_bits):
+    monkeypatch.setattr(links, "RUN_BITS", run_bits)
     placed, df = table(spark, [(k.upper() if int(v) % 3 else k, g, v) for k, g, v in skewed(200)])
     stem = F.upper(F.concat_ws("_", "k", "g"))
     far = df.where("v % 2 = 0")

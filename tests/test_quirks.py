@@ -122,7 +122,7 @@ def test_q9_q10_missing_donors_and_bad_sample_ids(spark, ref, tmp_path):
     assert rows_of(regular.aligned_reads_sheet(samples, ref), "description", "file_sets")[1:] == [
         ("D-3Q-1", None), ("E-3Q-1", None), ("D-9Z", "BROAD_FILE-SET_D_9Z_WGS_ILLUMINA_1"),
     ]
-    assert rows_of(regular.rejects(samples), "sample_id", "reason") == [
+    assert rows_of(regular.rejects(samples), "description", "reason") == [
         ("d", "no sample id"), ("e", "sample id has no tissue code"),
     ]
 

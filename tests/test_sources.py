@@ -68,11 +68,11 @@ def test_columns_bind_by_name_and_may_be_missing(spark, tmp_path):
     b = long_file(tmp_path / "long.tsv", ["D-3S-2"])
     c = rna_file(tmp_path / "rna.tsv", ["D-3Q-3"])
     rows = read_manifests(spark, [a], [b], [c])
-    got = rows_of(rows, "collaborator_sample_id", "cram_path", "input_bam", "sample_id", "description")
+    got = rows_of(rows, "collaborator_sample_id", "cram_path", "input_bam", "description")
     assert got == [
-        ("D-3A-1", "sr_D-3A-1_0.cram", None, "SM-0", "SM-0"),
-        ("D-3S-2", None, "m0.hifi_reads.bam", "LR-0", "LR-0"),
-        ("D-3Q-3", "D-3Q-3.cram", None, None, "D-3Q-3"),
+        ("D-3A-1", "sr_D-3A-1_0.cram", None, "SM-0"),
+        ("D-3S-2", None, "m0.hifi_reads.bam", "LR-0"),
+        ("D-3Q-3", "D-3Q-3.cram", None, "D-3Q-3"),
     ]
 
 
