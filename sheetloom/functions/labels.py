@@ -35,8 +35,7 @@ def first_marker(text: Column, markers, default: str) -> Column:
 def tissue_label(tissue: Column) -> Column:
     """Upper-case label with spaces as hyphens; null stays null (F1)."""
     label = F.upper(F.replace(tissue, F.lit(" "), F.lit("-")))
-    hyphenated = F.replace(label, F.lit("_"), F.lit("-"))
-    return F.when(label.isin(*HYPHENATED_LABELS), hyphenated).otherwise(label)
+    return F.replace(label, F.lit("_"), F.when(label.isin(*HYPHENATED_LABELS), "-").otherwise("_"))
 
 
 def category(label: Column) -> Column:

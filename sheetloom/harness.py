@@ -53,10 +53,10 @@ ROW = (
     "concat_ws('-', 'SM', l_orderkey, l_linenumber) AS sample_id",
     "CASE WHEN l_tax != 0.08 THEN donor END AS donor_id",
     "CASE WHEN l_quantity != 50 THEN sample END AS collaborator_sample_id",
-    """CASE WHEN l_returnflag != 'N' AND l_discount != 0.1 THEN CASE l_suppkey % 3
-         WHEN 0 THEN concat('gs://bucket/run', l_suppkey, '/', sample, '.cram')
-         WHEN 1 THEN concat('C:', chr(92), 'data', chr(92), sample, '.cram')
-         ELSE concat(sample, '.cram') END END AS cram_path""",
+    """CASE WHEN l_returnflag != 'N' AND l_discount != 0.1 THEN concat(
+         CASE l_suppkey % 3 WHEN 0 THEN concat('gs://bucket/run', l_suppkey, '/')
+                            WHEN 1 THEN concat('C:', chr(92), 'data', chr(92)) ELSE '' END,
+         sample, '.cram') END AS cram_path""",
     """CASE WHEN l_returnflag = 'N' AND l_discount != 0.1
          THEN concat('gs://bucket/', sample, '.hifi_reads.bam') END AS input_bam""",
     "CASE WHEN l_discount != 0.0 THEN concat(sample, '.raw.aligned.bam') END AS RAW_BAM",

@@ -52,9 +52,14 @@ def donor_sheet(donors: DataFrame) -> DataFrame:
     )
 
 
+def filled(samples: DataFrame, *columns: str) -> DataFrame:
+    """Rows with a value in every column, as plain null tests that reach the scan."""
+    return samples.where(" AND ".join(f"{c} IS NOT NULL" for c in columns))
+
+
 def identified(samples: DataFrame) -> DataFrame:
     """Rows that name both a sample and a donor."""
-    return samples.dropna(subset=[ids.SAMPLE_ID, "donor_id"])
+    return filled(samples, ids.SAMPLE_ID, "donor_id")
 
 
 def tissue_rows(samples: DataFrame, ref: DataFrame, upper_external: bool = True) -> DataFrame:
@@ -265,7 +270,7 @@ def unaligned_reads_sheet(
 
     The file set is constructed from the same number and not checked (J9).
     """
-    bams = samples.where("for_unaligned").dropna(subset=[ids.SAMPLE_ID, "input_bam"])
+    bams = filled(samples.where("for_unaligned"), ids.SAMPLE_ID, "input_bam")
     rows = with_tissue(bams, ref)
     rows = rows.select(
         ids.SAMPLE_ID, "donor_part", "label", F.col("input_bam").cast("string"), *schemas.order_of(rows)
@@ -287,7 +292,7 @@ def aligned_reads_sheet(
     samples: DataFrame, ref: DataFrame, prefix: str = PREFIX, max_rows: int | None = None
 ) -> DataFrame:
     """One row per CRAM, numbered over the rows that have one (W4), linked to FileSet."""
-    crams = samples.where("for_aligned").dropna(subset=[ids.SAMPLE_ID, "cram_path"])
+    crams = filled(samples.where("for_aligned"), ids.SAMPLE_ID, "cram_path")
     rows = with_tissue(crams, ref)
     rows = rows.select(
         "donor_part", "label", "aligned_type", ids.SAMPLE_ID, "cram_path", *schemas.order_of(rows)

@@ -13,7 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheetloom.functions import ids
-from sheetloom.sources.tables import file_key, files_of, read_table, scan_tables
+from sheetloom.sources.tables import (
+    distinct_paths,
+    file_key,
+    in_file_order,
+    list_files,
+    read_table,
+    scan_tables,
+)
 
 MANIFEST_TYPE = "arg_ord int, sub_ord int, kind string, path string, file string"
 
@@ -40,7 +47,7 @@ def manifest(
     ]
     if not given:
         raise ValueError("give at least one short-read, long-read or RNA file")
-    listed = {path: files_of(spark, path) for path in {p for _, p in given}}
+    listed = list_files(spark, [p for _, p in given])
     rows = [
         (arg_ord, sub_ord, kind, path, file)
         for arg_ord, (kind, path) in enumerate(given)
@@ -93,14 +100,14 @@ def tag_manifest(files: DataFrame) -> DataFrame:
         .selectExpr(
             *files.columns,
             "file_ord",
-            "arg_ord = min(arg_ord) OVER (PARTITION BY file) AS for_analyte",
-            f"max_by({ANALYTE_LABEL}, arg_ord) OVER (PARTITION BY file) AS analyte_label",
+            "arg_ord = min(arg_ord) OVER (PARTITION BY path, file) AS for_analyte",
+            f"max_by({ANALYTE_LABEL}, arg_ord) OVER (PARTITION BY path, file) AS analyte_label",
             f"first_rna OR NOT {IS_RNA} AS for_file_set",
             f"{FILE_SET_TYPE} AS file_set_type",
             f"NOT {IS_RNA} AND {IS_LONG} AS for_unaligned",
-            "in_aligned AND arg_ord = min(CASE WHEN in_aligned THEN arg_ord END) OVER (PARTITION BY file)"
+            "in_aligned AND arg_ord = min(CASE WHEN in_aligned THEN arg_ord END) OVER (PARTITION BY path, file)"
             " AS for_aligned",
-            f"max_by({ALIGNED_TYPE}, CASE WHEN in_aligned THEN arg_ord END) OVER (PARTITION BY file)"
+            f"max_by({ALIGNED_TYPE}, CASE WHEN in_aligned THEN arg_ord END) OVER (PARTITION BY path, file)"
             " AS aligned_type",
         )
     )
@@ -121,7 +128,8 @@ def read_manifests(
     files = tag_manifest(manifest(spark, short_read, long_read, rna)).select("file", *TAGS)
     # FileSet describes a row by ``sample_id``, or by the collaborator sample id where a file has no such
     # column.
-    rows = scan_tables(spark, [*short_read, *long_read, *rna], sample_id=ids.SAMPLE_ID)
+    paths = distinct_paths(list_files(spark, [*short_read, *long_read, *rna]))
+    rows = scan_tables(spark, paths, sample_id=ids.SAMPLE_ID)
     rows = _with_columns(rows, DATA_COLUMNS).select(*DATA_COLUMNS, "file", "block", "pos")
     rows = rows.withColumnRenamed("sample_id", "description")
     # One row per argument file, listed by the driver: fits a broadcast.
@@ -132,16 +140,10 @@ def read_codec(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """All CODEC manifest rows in input order."""
     if not paths:
         raise ValueError("give at least one CODEC file")
-    listed = [
-        (arg_ord, sub_ord, "codec", path, file)
-        for arg_ord, path in enumerate(paths)
-        for sub_ord, file in enumerate(files_of(spark, path))
-    ]
-    files = spark.createDataFrame(
-        [(i, row[-1]) for i, row in enumerate(listed)], "file_ord int, file string"
-    ).withColumn("file", file_key(F.col("file")))
-    rows = _with_columns(scan_tables(spark, paths), CODEC_COLUMNS)
-    return rows.select(*CODEC_COLUMNS, "file", "block", "pos").join(F.broadcast(files), "file").drop("file")
+    listed = list_files(spark, paths)
+    rows = _with_columns(scan_tables(spark, distinct_paths(listed)), CODEC_COLUMNS)
+    files = [file for path in paths for file in listed[path]]
+    return in_file_order(rows.select(*CODEC_COLUMNS, "file", "block", "pos"), files)
 
 
 def read_donors(spark: SparkSession, path: str) -> DataFrame:

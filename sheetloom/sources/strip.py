@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sheetloom.functions.paths import PATH_COLUMNS, base_name
 from sheetloom.schemas import order_of
 from sheetloom.sources.sinks import in_row_order, write_rows
-from sheetloom.sources.tables import file_key, files_of, scan_tables
+from sheetloom.sources.tables import read_table
 
 
 def strip_paths(df: DataFrame, columns: Sequence[str] = PATH_COLUMNS) -> DataFrame:
@@ -46,9 +46,7 @@ def strip_file(spark: SparkSession, source: str, target: str, ordered: bool = Tr
 
     Returns the run metrics, gathered while writing.
     """
-    listing = spark.createDataFrame(list(enumerate(files_of(spark, source))), "file_ord int, file string")
-    listing = listing.withColumn("file", file_key(F.col("file")))
-    rows = scan_tables(spark, [source], missing=False).join(F.broadcast(listing), "file").drop("file")
+    rows = read_table(spark, source, missing=False)
     present, aggregates = _metrics(rows, PATH_COLUMNS)
     seen = Observation()
     lines = in_row_order(rows) if ordered else rows

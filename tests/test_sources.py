@@ -89,6 +89,16 @@ def test_directory_argument_reads_files_by_name(spark, tmp_path):
     assert rows_of(rows, "collaborator_sample_id") == ["D-3A-a", "D-3A-b", "D-3A-c"]
 
 
+def test_one_file_under_two_names(spark, tmp_path):
+    path = short_file(tmp_path / "short.tsv", ["D-3A-1", "D-3A-2"])
+    other = str(tmp_path / "." / "x" / ".." / "short.tsv").replace("/x/..", "/./")
+    rows = read_manifests(spark, [path, other])
+    assert rows_of(rows, "collaborator_sample_id", "for_analyte") == [("D-3A-1", True), ("D-3A-2", True)] * 2
+    short_file(tmp_path / "more.tsv", ["D-3A-3"])
+    with pytest.raises(ValueError, match="overlaps"):
+        read_manifests(spark, [path, str(tmp_path)])
+
+
 def test_codec_file_without_a_path_column(spark, tmp_path):
     path = tsv(tmp_path / "codec.tsv", ["collaborator_sample_id", "donor_id", "vcf"], [["D-3A-1", "D", "x.vcf"]])
     assert plain_rows(read_codec(spark, [path, path])) == [
@@ -191,6 +201,21 @@ def test_strip_without_path_columns(spark):
     assert tuple(strip_metrics(rows).first()) == (1, "")
 
 
+def test_strip_paths_on_a_stream(spark, tmp_path):
+    tsv(tmp_path / "in" / "a.tsv", ["id", "vcf"], [["1", "gs://a/b.vcf"], ["2", None]])
+    lines = spark.readStream.schema("id string, vcf string").option("sep", "\t").option("header", True)
+    query = (
+        strip_paths(lines.csv(str(tmp_path / "in")))
+        .writeStream.format("memory")
+        .queryName("stripped")
+        .option("checkpointLocation", str(tmp_path / "checkpoint"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination(120)
+    assert sorted(map(tuple, spark.table("stripped").collect())) == [("1", "b.vcf"), ("2", None)]
+
+
 def test_strip_metrics_order_within_a_row(spark):
     rows = spark.createDataFrame(
         [(0, 0, 1, "v", "c"), (0, 0, 0, "", "")], "file_ord int, block long, pos long, vcf string, cram_path string"
