@@ -215,7 +215,7 @@ def library_sheet(
 def library_sizes(rows: DataFrame) -> DataFrame:
     """How far Library numbers run, by the part of the id between entity and number."""
     stem = F.upper(F.replace(F.concat_ws("_", *LIBRARY_GROUP), F.lit(" "), F.lit("-")))
-    return group_sizes(rows, F.struct(*LIBRARY_GROUP), stem)
+    return group_sizes(rows, LIBRARY_GROUP, stem)
 
 
 def file_set_rows(samples: DataFrame, ref: DataFrame) -> DataFrame:
@@ -235,7 +235,7 @@ def file_set_rows(samples: DataFrame, ref: DataFrame) -> DataFrame:
 
 def file_set_sizes(rows: DataFrame) -> DataFrame:
     """How far FileSet numbers run."""
-    return group_sizes(rows, F.col("file_set_group"), F.upper("file_set_group"))
+    return group_sizes(rows, ["file_set_group"], F.upper("file_set_group"))
 
 
 def file_set_sheet(

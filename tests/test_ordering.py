@@ -125,7 +125,7 @@ def test_link_by_group_size_equals_lookup_of_ids(spark, monkeypatch, run_bits):
     stem = F.upper(F.concat_ws("_", "k", "g"))
     far = df.where("v % 2 = 0")
     near = running_number(df, ["k", "g"], "n").withColumn("stem", stem)
-    linked = link(near, group_sizes(far, F.struct("k", "g"), stem), "n", F.concat_ws("_", "stem", "n"), "to")
+    linked = link(near, group_sizes(far, ["k", "g"], stem), "n", F.concat_ws("_", "stem", "n"), "to")
 
     far_ids = {f"{r[3]}_{r[4]}".upper() + f"_{r[-1]}" for r in brute_numbers([p for p in placed if int(p[5]) % 2 == 0])}
     assert linked.count() == len(placed)
