@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from sheetloom.functions import ids
 from sheetloom.sources.tables import (
     distinct_paths,
-    file_key,
     in_file_order,
     list_files,
     read_table,
@@ -53,7 +52,7 @@ def manifest(
         for arg_ord, (kind, path) in enumerate(given)
         for sub_ord, file in enumerate(listed[path])
     ]
-    return spark.createDataFrame(rows, MANIFEST_TYPE).withColumn("file", file_key(F.col("file")))
+    return spark.createDataFrame(rows, MANIFEST_TYPE)
 
 
 IS_RNA = "kind = 'rna'"

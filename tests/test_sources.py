@@ -7,10 +7,11 @@ import pytest
 
 from sheetloom import read_manifests, strip_file, write_bundle, write_sheet
 from sheetloom import schemas
-from sheetloom.sources.manifests import manifest, read_codec, tag_manifest
+from sheetloom.operators.tissues import with_tissue
+from sheetloom.sources.manifests import manifest, read_codec, read_tissues, tag_manifest
 from sheetloom.sources.strip import strip_metrics, strip_paths
 from sheetloom.sources.tables import NA_TOKENS, read_table, scan_tables
-from tests.data import long_file, plain_rows, rna_file, rows_of, short_file, tsv
+from tests.data import long_file, plain_rows, rna_file, rows_of, short_file, tissue_file, tsv
 
 
 def written(path):
@@ -82,6 +83,23 @@ def test_empty_sample_id_cell_stays_empty(spark, tmp_path):
     assert rows_of(read_manifests(spark, [path]), "description") == [None, None]
 
 
+@pytest.mark.parametrize("literal", [0, 100])
+def test_table_of_several_files(spark, tmp_path, monkeypatch, literal):
+    monkeypatch.setattr("sheetloom.sources.tables.LITERAL_FILES", literal)
+    for name in ("b", "a", "c"):
+        tsv(tmp_path / "t" / f"{name}.tsv", ["k"], [[f"{name}{i}"] for i in range(3)])
+    rows = read_table(spark, str(tmp_path / "t"))
+    assert rows_of(rows, "file_ord", "k") == [(i, f"{n}{j}") for i, n in enumerate("abc") for j in range(3)]
+
+
+def test_tissue_file_is_broadcast_by_its_size(spark, tmp_path):
+    """No hint: Spark knows from the file size that the dimension is small, and shuffles no sample by code."""
+    samples = read_manifests(spark, [short_file(tmp_path / "short.tsv", ["D-3A-1"])])
+    labelled = with_tissue(samples, read_tissues(spark, tissue_file(tmp_path)))
+    plan = labelled._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin [core" in plan
+
+
 def test_directory_argument_reads_files_by_name(spark, tmp_path):
     for name in ("b", "a", "c"):
         short_file(tmp_path / "short" / f"{name}.tsv", [f"D-3A-{name}"])
