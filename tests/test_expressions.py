@@ -17,7 +17,7 @@ CASES = [
         labels.tissue_label,
         {
             "HEART": "HEART",
-            "l hippocampus": "L-HIPPOCAMPUS".replace("-H", "-H"),
+            "l hippocampus": "L-HIPPOCAMPUS",
             "L_HIPPOCAMPUS": "L-HIPPOCAMPUS",
             "temporal_lobe": "TEMPORAL-LOBE",
             "Frontal_Lobe": "FRONTAL-LOBE",
