@@ -25,13 +25,15 @@ from sheetloom.llm.text_stats import bounded_sample, ratio, text_counts
 
 SAMPLE_ROWS = 8192
 LABELLED_ROWS = 8192
-TREES, TREE_ROWS = 100, 256
+TREES, TREE_ROWS = 100, 128
 LEAST_WORDS, MOST_REPEATED = 50, 50
 #: Share of the labelled good documents that the threshold must keep.
 KEEP_SHARE = 0.995
 TEXTBOOK_SCORE = 0.6
 
-STATISTICS = ("symbol_share", "dup_line_share", "repeat_share", "again_share", "upper_share", "mark_share", "mean_word")
+#: Shares that stay put within clean prose. Shares that are 0 in most clean texts and spread out in a few (repeated
+#: lines, repeated windows) would set those few apart; the rules on counts look at them instead.
+STATISTICS = ("symbol_share", "mark_share", "mean_word")
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
