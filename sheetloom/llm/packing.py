@@ -91,44 +91,41 @@ class UnitTokenizer:
             sizes[number] = len(token)
         return tiktoken.Encoding("merges", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={}), sizes
 
-    def units(self, text: str) -> list[str]:
+    def units(self, text: str) -> tuple[str, list[str]]:
+        """The opening unit, and the others without the blank that each begins with."""
         first, *rest = text.split(" ")
         if "  " not in text and " \n" not in text and text[-1:] != " " and not _RARE_BLANK.search(text):
-            return [first, *[" " + part for part in rest]] if first else [" " + part for part in rest]
+            return first, rest
         found, open_part = [], first
         for part in rest:  # a blank before white space, or at the end, belongs to what precedes it
             if part and not part[0].isspace():
                 found.append(open_part)
-                open_part = " " + part
+                open_part = part
             else:
                 open_part += " " + part
         found.append(open_part)
-        return [u for u in found if u]
+        return found[0], found[1:]
 
     def _whole(self, text: str) -> bytes:
         ids = self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
         return np.array(ids, "<u4").tobytes()
 
     def _learn(self, fresh: list[str]) -> None:
-        strung = []
-        for unit in fresh:
-            if unit[0] == " ":
-                strung.append(unit)
-            else:  # a text's first unit, which may not be strung to another
-                self._units[unit] = self._fast.encode_to_numpy(unit).astype("<u4").tobytes()
-        ids = self._fast.encode_to_numpy("".join(strung)).astype("<u4")
-        ends = np.cumsum([len(u.encode()) for u in strung])
+        if not fresh:
+            return
+        ids = self._fast.encode_to_numpy(" " + " ".join(fresh)).astype("<u4")
+        ends = np.cumsum([len(u.encode()) + 1 for u in fresh])
         after = np.searchsorted(np.cumsum(self._sizes[ids]), ends, side="right") * 4
         raw, begin = ids.tobytes(), 0
-        for unit, end in zip(strung, after.tolist(), strict=True):
+        for unit, end in zip(fresh, after.tolist(), strict=True):
             self._units[unit] = raw[begin:end]
             begin = end
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers, closed with the end id."""
         whole = [self._fast is None or any(s in text for s in self._special) for text in texts]
-        cut = [[] if special else self.units(text) for text, special in zip(texts, whole, strict=True)]
-        used = set().union(*cut)
+        cut = [("", []) if special else self.units(text) for text, special in zip(texts, whole, strict=True)]
+        used = set().union(*[rest for _, rest in cut])
         fresh = used.difference(self._units)
         self._again |= used - fresh
         if len(self._units) + len(fresh) > REMEMBERED:  # forget what has not come again
@@ -137,8 +134,9 @@ class UnitTokenizer:
         self._learn(list(fresh))
         known = self._units.__getitem__
         return [
-            (self._whole(text) if special else b"".join(map(known, units))) + self._end
-            for text, special, units in zip(texts, whole, cut, strict=True)
+            (self._whole(text) if special else self._fast.encode_to_numpy(first).astype("<u4").tobytes() + b"".join(map(known, rest)))
+            + self._end
+            for text, special, (first, rest) in zip(texts, whole, cut, strict=True)
         ]
 
 
