@@ -156,14 +156,14 @@ def _hot_links(seekers: DataFrame, home: DataFrame, hot: DataFrame, max_bits: in
     right = right.join(count[0], ["grp", "cell"]).select(
         "grp", "cell", "print", F.col("part").alias("r"), F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("l")
     )
-    keys = ["grp", "cell", "l", "r"]
-
+    right = right.toDF("grp_right", "cell_right", "other", "r_right", "l_right")
     def forest(one: pd.DataFrame, two: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(
-            spanning(one["print"].to_numpy(np.int64), two["print"].to_numpy(np.int64), max_bits), columns=["a", "b"]
+            spanning(one["print"].to_numpy(np.int64), two["other"].to_numpy(np.int64), max_bits), columns=["a", "b"]
         )
 
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(forest, "a long, b long")
+    meeting = left.groupBy("grp", "cell", "l", "r").cogroup(right.groupBy("grp_right", "cell_right", "l_right", "r_right"))
+    return meeting.applyInPandas(forest, "a long, b long")
 
 
 def spanning(left: np.ndarray, right: np.ndarray, max_bits: int) -> np.ndarray:

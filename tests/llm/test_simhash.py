@@ -1,0 +1,125 @@
+import numpy as np
+import pytest
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from sheetloom.llm import simhash
+from sheetloom.llm.components import components
+from sheetloom.llm.queries import op10_simhash
+from tests.llm.conftest import MESSY, PROSE, table
+
+SF = "/root/testdata/sf0.001"
+
+
+def plain(text, width=3):
+    """The definition, bit by bit."""
+    words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = [w for w in "".join(" " if c in "\t\n\x0b\x0c\r" else c for c in words).split(" ") if w]
+    shingles = [" ".join(words[k : k + width]) for k in range(max(1, len(words) - width + 1))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes)) if hashes else 0
+
+
+def classes(prints, ids, bits=3):
+    """Smallest id reachable, by comparing all pairs."""
+    value = np.array(prints, np.uint64)
+    root = list(range(len(value)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a in range(len(value)):
+        for b in np.flatnonzero(np.bitwise_count(value ^ value[a]) <= bits):
+            one, two = find(a), find(int(b))
+            root[max(one, two)] = min(one, two)
+    least = {}
+    for k, i in enumerate(ids):
+        r = find(k)
+        least[r] = i if least.get(r) is None else least[r] if i is None else min(i, least[r])
+    return [least[find(k)] for k in range(len(ids))]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text(alphabet="aB cé\n\t\xa0\x1c", max_size=40))
+def test_fingerprint_equals_definition(text):
+    assert simhash.simhash(text) & (1 << 64) - 1 == plain(text)
+
+
+def test_long_text_equals_definition(monkeypatch):
+    text = " ".join(f"w{i % 37} v{i % 11}" for i in range(300))
+    monkeypatch.setattr(simhash, "_STEP", 7)
+    assert simhash.simhash(text) & (1 << 64) - 1 == plain(text)
+
+
+def test_query_equals_brute_force(spark):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    ids = [r["doc_id"] for r in rows]
+    prints = [plain(r["text"]) for r in rows]
+    want = dict(zip(ids, zip([f"{p:016x}" for p in prints], classes(prints, ids), strict=True), strict=True))
+    got = {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in op10_simhash(spark, SF).collect()}
+    assert got == want
+
+
+def clustered(seed, n=220):
+    """Fingerprints in clusters a few bits wide, so that many pairs lie on either side of the limit."""
+    draw = np.random.default_rng(seed)
+    centres = draw.integers(0, 1 << 64, 9, np.uint64)
+    out = set()
+    while len(out) < n:
+        value = int(centres[draw.integers(9)])
+        for b in draw.integers(0, 64, draw.integers(0, 6)):
+            value ^= 1 << int(b)
+        out.add(value)
+    return sorted(out)
+
+
+@pytest.mark.parametrize(("bits", "hot"), [(3, 256), (3, 2), (0, 256), (1, 256), (2, 256), (6, 256), (5, 3)])
+def test_links_find_every_pair(spark, modules, bits, hot):
+    prints = clustered(bits)
+    signed = [(p - (1 << 64) if p >> 63 else p,) for p in prints]
+    df = spark.createDataFrame(signed, "print long")
+    found = simhash.links(df, bits, hot_cell=hot, block=4)
+    rows = found.collect()
+    assert all((a ^ b).bit_count() <= bits or hot < 256 for a, b in ((r["a"] & (1 << 64) - 1, r["b"] & (1 << 64) - 1) for r in rows))
+    if hot == 256:
+        pairs = {frozenset((r["a"] & (1 << 64) - 1, r["b"] & (1 << 64) - 1)) for r in rows}
+        assert pairs == {frozenset((a, b)) for k, a in enumerate(prints) for b in prints[:k] if (a ^ b).bit_count() <= bits}
+    root = {r["node"] & (1 << 64) - 1: r["root"] for r in components(found).collect()}
+    want = classes(prints, list(range(len(prints))), bits)
+    groups = {}
+    for k, p in enumerate(prints):
+        groups.setdefault(root.get(p, ("alone", p)), set()).add(k)
+    assert sorted(map(sorted, groups.values())) == sorted(
+        sorted(k for k, w in enumerate(want) if w == least) for least in set(want)
+    )
+
+
+def test_components_of_long_paths_and_stars(spark, modules):
+    path = [(k, k + 1) for k in range(100, 140)]
+    star = [(500, 1000 + k) for k in range(300)] + [(7, 7), (1001, 500)]
+    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(path + star, "a long, b long")).collect()}
+    assert got == {k: 100 for k in range(100, 141)} | {500: 500} | {1000 + k: 500 for k in range(300)}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_messy_rows(spark, messy, empty):
+    got = simhash.near_duplicates(messy).collect()
+    ids, prints = [i for i, _ in MESSY], [plain(t) for _, t in MESSY]
+    want = sorted(zip(ids, prints, classes(prints, ids), strict=True), key=str)
+    assert sorted(((r["doc_id"], r["print"] & (1 << 64) - 1, r["component_id"]) for r in got), key=str) == want
+    kept = simhash.keep_one(messy).select("doc_id", "text", "row").collect()
+    assert len(kept) == len({w[2] for w in want}) and all(r["row"] == "kept as it is" for r in kept)
+    assert sorted(r["doc_id"] for r in kept) == sorted({w[2] for w in want})
+    assert simhash.near_duplicates(empty).count() == 0 and simhash.keep_one(empty).count() == 0
+    same = table(spark, [(4, PROSE)] * 5 + [(None, PROSE)] * 3)
+    assert [r["doc_id"] for r in simhash.keep_one(same).collect()] == [4]
+    assert simhash.keep_one(messy).columns == messy.columns
+
+
+def test_hexadecimal(spark):
+    got = spark.createDataFrame([(-1,), (0,), (255,)], "v long").select(simhash.hexadecimal(F.col("v")).alias("h")).collect()
+    assert [r["h"] for r in got] == ["f" * 16, "0" * 16, "0" * 14 + "ff"]
