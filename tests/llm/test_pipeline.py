@@ -1,0 +1,113 @@
+"""The corpus pipeline against brute force, stage by stage, and the registered queries against their SQL."""
+
+from collections import Counter
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as contract
+import corpus_pipeline
+from sheetloom.llm import queries
+from tests.llm.conftest import MESSY
+from tests.llm.test_line_dedup import brute
+from tests.llm.test_packing import check
+from tests.llm.test_quality import base
+from tests.llm.test_simhash import classes, plain
+
+SF = "/root/testdata/sf0.001"
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+@pytest.fixture(scope="module")
+def stages(spark, tmp_path_factory):
+    """What goes into the first stage, and what each stage returns, written and read as between stages."""
+    folder = tmp_path_factory.mktemp("corpus")
+    docs = [spark.read.parquet(f"{SF}/documents.parquet")]
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs[-1], SF).write.parquet(f"{folder}/{name}")
+        docs.append(spark.read.parquet(f"{folder}/{name}"))
+    return docs
+
+
+def test_stages_return_documents(stages):
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "quality_rules", "line_dedup", "simhash_near_dedup", "packing"]
+    assert all(s.columns == stages[0].columns for s in stages[:-1])
+    assert 0 < stages[4].count() < stages[3].count() <= stages[2].count() < stages[1].count() <= stages[0].count()
+
+
+def test_languages(stages):
+    assert rows_of(stages[1]) == rows_of(stages[0])  # every document here is prose in a known language
+
+
+def test_rules(stages):
+    before, after = rows_of(stages[1]), rows_of(stages[2])
+    assert set(after) <= set(before)
+
+    def passes(row):
+        found = base(row[1])
+        return found["n_words"] >= 50 and 100 * found["n_repeat_words"] <= 50 * found["n_words"]
+
+    assert all(passes(r) for r in after)
+    labels = {r["doc_id"]: r["quality"] for r in stages[0].sparkSession.read.parquet(f"{SF}/labels.parquet").collect()}
+    clean = [r for r in before if passes(r) and labels.get(r[0]) == 1]
+    assert len([r for r in clean if r in after]) >= 0.97 * len(clean)
+
+
+def test_lines(stages):
+    before = [(r["doc_id"], r["text"]) for r in stages[2].collect()]
+    want = brute(before)
+    kept = {i: t for i, t in want.items() if t != "" or dict(before)[i] == ""}
+    assert {r["doc_id"]: r["text"] for r in stages[3].collect()} == kept
+
+
+def test_documents(stages):
+    before = [(r["doc_id"], r["text"]) for r in stages[3].collect()]
+    ids = [i for i, _ in before]
+    assert sorted(r["doc_id"] for r in stages[4].collect()) == sorted(set(classes([plain(t) for _, t in before], ids)))
+    assert set(rows_of(stages[4])) <= set(rows_of(stages[3]))
+
+
+def test_packing(stages):
+    pieces = stages[5].withColumn("ids_crc32", F.crc32("ids")).collect()
+    check(pieces, [(r["doc_id"], r["text"]) for r in stages[4].collect()], 2048)
+
+
+def test_run_equals_the_stages(spark, stages):
+    same = ["doc_id", "start", "length", "ids", "doc_tokens"]
+    assert rows_of(corpus_pipeline.run(spark, SF).select(same)) == rows_of(stages[5].select(same))
+
+
+def test_messy_rows(spark, messy, empty):
+    for docs in (messy, empty):
+        for name, stage in corpus_pipeline.STAGES:
+            found = stage(spark, docs, SF)
+            if name == "packing":
+                assert set(found.columns) >= {"doc_id", "ids", "sequence_id"}
+                assert found.isEmpty() == (docs is empty)
+            else:
+                assert found.columns == docs.columns
+                assert found.count() <= docs.count()
+    assert len(MESSY) == messy.count()
+
+
+def test_registered():
+    names = set(contract.queries())
+    assert names >= {*queries.QUERIES, "pipeline"}
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert set(queries.ORACLE) <= set(contract.oracle_sql()) and "pipeline" not in contract.oracle_sql()
+
+
+@pytest.mark.parametrize("name", queries.ORACLE)
+def test_query_equals_its_sql(spark, name):
+    database = duckdb.connect()
+    for table in ("documents", "pages", "labels"):
+        database.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
+    found = database.execute(queries.ORACLE[name])
+    names = [d[0] for d in found.description]
+    got = queries.QUERIES[name](spark, SF)
+    assert sorted(got.columns) == sorted(names)
+    assert Counter(map(tuple, got.select(names).collect())) == Counter(found.fetchall())

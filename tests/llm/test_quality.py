@@ -1,0 +1,181 @@
+"""Rule ensemble and isolation forest."""
+
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from sheetloom.llm import isolation, rule_ensemble, text_stats
+from sheetloom.llm.queries import op5_quality, op6_rules
+from tests.llm.conftest import LONG, MESSY, ODD, OTHER, PROSE
+
+SF = "/root/testdata/sf0.01"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def base(text):
+    text = text or ""
+    words = WORD.findall(text)
+    windows = list(zip(words, words[1:], words[2:], strict=False))
+    times = Counter(windows)
+    covered = {k + j for k, w in enumerate(windows) if times[w] > 1 for j in range(3)}
+    seen, repeated = set(), 0
+    for line in text.split("\n"):
+        if WORD.search(line):
+            repeated += line in seen
+            seen.add(line)
+    return {
+        "n_words": len(words),
+        "word_chars": sum(map(len, words)),
+        "n_symbols": sum(c in "#*$%&|<>" for c in text),
+        "n_dup_lines": repeated,
+        "n_repeat_words": len(covered),
+    }
+
+
+TEXTS = [t for _, t in MESSY] + ["a b c a b c", "a b c\na b c\n\n \n", "x x x x", "# * $ % & | < >", "é\u00a0\u2003b\x1cc", PROSE * 3]
+
+
+def test_counts_equal_brute_force():
+    got = text_stats.counts(pa.array(TEXTS, pa.string()))
+    for k, text in enumerate(TEXTS):
+        assert {c: int(got[c][k]) for c in base(text)} == base(text)
+        assert got["n_chars"][k] == len(text or "")
+    part = text_stats.counts(pa.array(["skipped", *TEXTS], pa.string())[1:])
+    assert all((part[c] == got[c]).all() for c in text_stats.COUNTS)
+
+
+@pytest.fixture(scope="module")
+def texts(spark):
+    return {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+
+
+@pytest.fixture(scope="module")
+def quality(spark):
+    return {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+
+
+def test_quality_of_held_out_rows(spark, quality):
+    got = op5_quality(spark, SF).collect()
+    assert len(got) == 1000
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in got)
+    assert all(r["predicted"] == (r["score"] >= 0.7) and 0 <= r["score"] <= 1 for r in got)
+    held = [(r["score"], quality[r["doc_id"]]) for r in got if r["held_out"] and r["doc_id"] in quality]
+    good, bad = [s for s, q in held if q], [s for s, q in held if not q]
+    assert np.mean([g > b for g in good for b in bad]) > 0.97
+
+
+def test_held_out_labels_are_not_looked_at(spark, modules):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    changed = labels.withColumn("quality", F.when(fold == 2, 1 - F.col("quality")).otherwise(F.col("quality")))
+    one, two = (rule_ensemble.train(docs, x, fold != 2) for x in (labels, changed))
+    assert one == two and one.rules
+
+
+def test_column_equals_rules(spark, modules):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    model = rule_ensemble.train(docs, labels)
+    rows = rule_ensemble.score(docs, model).select("text", "score").limit(200).collect()
+    counted = text_stats.counts(pa.array([r["text"] for r in rows]))
+    table = {f: np.where(counted[b] > 0, counted[a] / np.maximum(counted[b], 1), 0.0) for f, (a, b) in text_stats.RATIOS.items()}
+    table |= {c: counted[c].astype(float) for c in ("n_words", "n_lines")}
+    total = model.base + sum(w * r.holds(table) for r, w in model.rules)
+    assert np.allclose([r["score"] for r in rows], 1 / (1 + np.exp(-total)))
+
+
+def test_lasso_drops_what_does_not_matter():
+    draw = np.random.default_rng(2)
+    x = (draw.random((800, 30)) < 0.5).astype(float)
+    label = (x[:, 4] + draw.normal(0, 0.1, 800) > 0.5).astype(float)
+    _, weights = rule_ensemble.lasso_logistic(x, label, penalty=0.05)
+    assert np.flatnonzero(np.abs(weights) > 1e-6).tolist() == [4] and weights[4] > 0
+
+
+def test_rules_are_tree_paths():
+    draw = np.random.default_rng(3)
+    table = {"a": draw.random(600), "b": draw.random(600), "same": np.zeros(600)}
+    label = ((table["a"] > 0.5) & (table["b"] > 0.5)).astype(float)
+    rules = rule_ensemble.tree_rules(table, label)
+    assert any({f for f, _, _ in r.tests} == {"a", "b"} for r in rules)
+    model = rule_ensemble.fit(table, label)
+    total = model.base + sum(w * r.holds(table) for r, w in model.rules)
+    assert ((total > 0) == (label == 1)).mean() > 0.95
+    assert " and " in str(next(r for r in rules if len(r.tests) > 1))
+
+
+def test_messy_quality(messy, empty, labels):
+    for model in (
+        rule_ensemble.train(messy, labels),
+        rule_ensemble.train(empty, labels),
+        rule_ensemble.train(messy, labels.limit(0)),
+        rule_ensemble.train(messy, labels.where("quality = 1")),
+    ):
+        got = rule_ensemble.score(messy, model).select("doc_id", "text", "row", "score").collect()
+        assert len(got) == len(MESSY) and all(0 < r["score"] < 1 for r in got)
+        assert len({r["score"] for r in got if not r["text"]}) == 1
+        assert rule_ensemble.score(empty, model).count() == 0
+        assert all(r["row"] == "kept as it is" for r in got)
+
+
+def test_rules_query(spark, texts, quality):
+    got = op6_rules(spark, SF).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        want = base(texts[r["doc_id"]])
+        assert {c: r[c] for c in want} == want
+        failed = want["n_words"] < 50 or 100 * want["n_repeat_words"] > 50 * want["n_words"]
+        assert r["base_failed"] == failed and not (failed and r["kept"])
+    passed = [r for r in got if not r["base_failed"] and r["doc_id"] in quality]
+    assert np.mean([r["kept"] for r in passed if quality[r["doc_id"]] == 1]) > 0.98
+    assert np.mean([r["kept"] for r in passed if quality[r["doc_id"]] == 0]) < 0.1
+
+
+def test_forest_sets_outliers_apart():
+    draw = np.random.default_rng(4)
+    x = np.concatenate([draw.normal(0, 1, (1000, 2)), [[8, 8], [9, -7]]])
+    forest = isolation.grow(x, rows=256)
+    scores = forest.anomaly(x)
+    assert set(np.argsort(scores)[-2:]) == {1000, 1001} and (scores > 0).all() and (scores < 1).all()
+    flat = isolation.grow(np.ones((50, 2)))
+    assert len(set(flat.anomaly(np.ones((5, 2))))) == 1
+
+
+def test_path_lengths_equal_a_walk():
+    draw = np.random.default_rng(6)
+    x = draw.random((64, 3))
+    forest = isolation.grow(x, trees=5, rows=32)
+
+    def walk(tree, row, node=0):
+        feature = forest.feature[tree][node]
+        if feature < 0:
+            return forest.path[tree][node]
+        return walk(tree, row, int(forest.left[tree][node]) + int(row[feature] >= forest.cut[tree][node]))
+
+    mean = np.array([np.mean([walk(t, row) for t in range(5)]) for row in x])
+    assert np.allclose(forest.anomaly(x), 2 ** (-mean / isolation._expected_path(32)))
+
+
+def test_threshold():
+    scores, good = np.array([0.3, 0.31, 0.32, 0.33, 0.5, 0.6]), np.array([True, True, True, True, False, False])
+    cut = isolation.threshold(scores, good)
+    assert (scores[good] <= cut).all() and (scores[~good] > cut).all()
+    assert isolation.threshold(scores, np.ones(6, bool)) == isolation.TEXTBOOK_SCORE
+
+
+def test_messy_rules(messy, empty, labels):
+    got = isolation.judge(messy, labels).select("row.doc_id", "row.text", "row.score", "counts", "base_failed", "kept").collect()
+    assert len(got) == len(MESSY)
+    for r in got:
+        want = base(r["text"])
+        assert {c: r["counts"][c] for c in want} == want
+        assert r["score"] == "kept as it is" and (not r["kept"] or not r["base_failed"])
+    assert {r["kept"] for r in got if not r["text"]} == {False}
+    assert isolation.judge(empty, labels).count() == 0
+    assert isolation.judge(messy, labels.limit(0)).count() == len(MESSY)
+    assert isolation.keep(messy, labels).columns == messy.columns
+    assert {OTHER, LONG, ODD} <= {t for _, t in MESSY}
