@@ -22,7 +22,7 @@ def test_histogram_equals_brute_force():
                 code = 0
                 for j in range(n):
                     code = (code * 257 + raw[k + j] + j + 1) % 2**32
-                want[(code * 2654435761 % 2**32) >> 20] += 1
+                want[(code * 2654435761 % 2**32) >> 21] += 1
         want = np.sqrt(want)
         assert np.allclose(row, want / max(np.sqrt((want**2).sum()), 1e-9), atol=1e-5)
     one = np.concatenate([x for _, _, x in lid.histograms(pa.array(["x" * 30]))])
