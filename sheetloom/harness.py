@@ -2,7 +2,7 @@
 
 The engine reads sample manifests. To run it over tables of any size, every ``lineitem`` row becomes a
 manifest row: its order gives the donor, its part the tissue code, its flags the file it stands in.
-The tissue reference and the code list are eight rows each.
+The tissue reference has nine rows, the code list eight.
 """
 
 from __future__ import annotations
@@ -11,19 +11,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheetloom.sources.manifests import TAGS, tag_manifest
+from sheetloom.sources.staging import Staging
 
+#: An invented reference. It has names with blanks and in lower case, two codes of one tissue, a code without a name,
+#: and repeats of a code that disagree. BLOOD and the hyphenated names are fixed values of the labels.
 TISSUE_REF = (
-    (0, "3S", "HEART", "UBERON:0036285"),
-    (1, "3A", "BLOOD", "UBERON:0013756"),
-    (2, "3AK", "FRONTAL_LOBE", "UBERON:0002811"),
-    (3, "3AN", "L_HIPPOCAMPUS", "UBERON:0002421"),
-    (4, "3AD", "UV_SKIN", "UBERON:0004264"),
-    (5, "3AD", "UV_SKIN", "UBERON:0004264"),
-    (6, "3Q", "LUNG", "UBERON:0008952"),
-    (7, "1D", "LUNG", "UBERON:0008952"),
+    (0, "K1", "BLOOD", "ONT:0001"),
+    (1, "K2", "L_HIPPOCAMPUS", "ONT:0002"),
+    (2, "K3", "outer bark", "ONT:0003"),
+    (3, "K4", "OUTER BARK", "ONT:0003"),
+    (4, "K5", None, "ONT:0005"),
+    (5, "K6", "STEM", "ONT:0006"),
+    (6, "K6", "LEAF_TIP", "ONT:0007"),
+    (7, "K6", "STEM", "ONT:0008"),
+    (8, "K7", "FRONTAL_LOBE", "ONT:0009"),
 )
 #: Code of a row by ``l_partkey % 8``; the last one is not in the reference.
-CODES = ("3S", "3A", "3AK", "3AN", "3AD", "3Q", "1D", "9Z")
+CODES = ("K1", "K2", "K3", "K4", "K5", "K6", "K7", "Z9")
 
 FILES = (
     ("short_read", "manifests/short_read.tsv"),
@@ -40,8 +44,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def staging(spark: SparkSession) -> Staging:
+    """Staging of a query. A local session without a shared folder, as in tests, gets one under its warehouse."""
+    if spark.conf.get("spark.checkpoint.dir", None) or not spark.sparkContext.master.startswith("local"):
+        return Staging(spark)
+    return Staging(spark, f"{spark.conf.get('spark.sql.warehouse.dir')}/staged")
+
+
 def tissue_ref(spark: SparkSession) -> DataFrame:
-    rows = ", ".join(f"(0, 0L, {i}L, '{code}', '{tissue}', '{uberon}')" for i, code, tissue, uberon in TISSUE_REF)
+    named = [(i, code, f"'{tissue}'" if tissue else "CAST(NULL AS string)", uberon) for i, code, tissue, uberon in TISSUE_REF]
+    rows = ", ".join(f"(0, 0L, {i}L, '{code}', {tissue}, '{uberon}')" for i, code, tissue, uberon in named)
     return spark.sql(
         f"SELECT * FROM VALUES {rows} "
         "AS t(file_ord, block, pos, tissue_identifier_code, corresponding_tissue, uberon_id)"
@@ -52,7 +64,8 @@ def tissue_ref(spark: SparkSession) -> DataFrame:
 ROW = (
     "concat_ws('-', 'SM', l_orderkey, l_linenumber) AS sample_id",
     "CASE WHEN l_tax != 0.08 THEN donor END AS donor_id",
-    "CASE WHEN l_quantity != 50 THEN sample END AS collaborator_sample_id",
+    # no sample id, and one without a tissue code
+    "CASE WHEN l_quantity = 49 THEN donor WHEN l_quantity != 50 THEN sample END AS collaborator_sample_id",
     """CASE WHEN l_returnflag != 'N' AND l_discount != 0.1 THEN concat(
          CASE l_suppkey % 3 WHEN 0 THEN concat('gs://bucket/run', l_suppkey, '/')
                             WHEN 1 THEN concat('C:', chr(92), 'data', chr(92)) ELSE '' END,
@@ -86,12 +99,12 @@ def donors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manifest of the files that have at least one row."""
     present = table(spark, sf_dir, "lineitem").selectExpr(f"{FILE_ORD} AS file_ord").distinct()
-    return present.join(F.broadcast(_files(spark)), F.col("file_ord") == F.col("arg_ord")).drop("file_ord")
+    return present.join(F.broadcast(_files(spark)), "file_ord")
 
 
 def _files(spark: SparkSession) -> DataFrame:
-    rows = ", ".join(f"({i}, 0, '{kind}', '{path}', '{path}')" for i, (kind, path) in enumerate(FILES))
-    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(arg_ord, sub_ord, kind, path, file)")
+    rows = ", ".join(f"({i}, {i}, 0, '{kind}', '{path}', '{path}')" for i, (kind, path) in enumerate(FILES))
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(file_ord, arg_ord, sub_ord, kind, path, file)")
 
 
 def manifest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,7 +116,8 @@ def manifest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Orders grow with the lines, so the join is a shuffle at every size.
     return (
         lines.join(orders.hint("merge"), F.expr("l_orderkey = o_orderkey"))
-        .selectExpr("*", "concat('DNR', lpad(o_custkey, 6, '0')) AS donor")
+        # one donor in two spellings
+        .selectExpr("*", "concat(CASE WHEN l_suppkey % 11 = 0 THEN 'dnr' ELSE 'DNR' END, lpad(o_custkey, 6, '0')) AS donor")
         .selectExpr(
             "*",
             f"concat_ws('-', donor, {code}, concat(lpad(l_linenumber, 3, '0'), 'A', l_partkey % 3)) AS sample",
@@ -112,11 +126,6 @@ def manifest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def row_bound(spark: SparkSession, sf_dir: str) -> int:
-    """Upper bound of manifest rows, read off the parquet footers."""
-    return table(spark, sf_dir, "lineitem").count()
-
-
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What :func:`sheetloom.read_manifests` returns for four files."""
     rows = manifest_rows(spark, sf_dir).withColumn("description", F.col("sample_id"))

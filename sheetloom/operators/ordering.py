@@ -8,10 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sheetloom.operators.skew import hot_groups, may_be_hot
 from sheetloom.schemas import order_of
 
 
@@ -32,51 +31,21 @@ def last_values(df: DataFrame, key: str, *values: str) -> DataFrame:
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(*picks)
 
 
-def _piece() -> Column:
-    """Consecutive run of rows a hot group is cut along: one scan block of one file."""
-    return F.struct("file_ord", "block")
+#: Consecutive run of rows that a group is cut along: one scan block of one file.
+PIECE = ("file_ord", "block")
 
 
-def running_number(
-    df: DataFrame,
-    keys: Sequence[str],
-    name: str,
-    hot: DataFrame | None = None,
-    hot_rows: int | None = None,
-    max_rows: int | None = None,
-) -> DataFrame:
+def running_number(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """Number the rows of every group 1, 2, ... in row order.
 
-    Keys must not be null. A group that fits a task is numbered by one window. A hot group is cut into
-    scan blocks: rows are numbered inside each block, and the rows of the earlier blocks, counted
-    with a map-side combine, are added on top. Without hot groups the adaptive planner finds their table
-    empty and drops that branch.
-
-    ``hot`` names the groups to cut; any set gives the same numbers, so a caller may derive it from
-    a cheaper superset of ``df``. ``max_rows`` is an upper bound of the rows of ``df`` where one is
-    known: when all of them make less than one hot group, none has to be looked for.
+    Keys must not be null. Every group is cut into scan blocks, whatever its size: rows are numbered inside
+    each block, and the rows of the earlier blocks, counted with a map-side combine and summed up per
+    group, are added on top. No task holds more of a group than a block, or its list of blocks.
     """
-    keys = list(keys)
-    if not may_be_hot(max_rows, hot_rows):
-        whole = Window.partitionBy(*keys).orderBy(*order_of(df))
-        return df.withColumn(name, F.row_number().over(whole).cast("long"))
-    hot = F.broadcast(hot_groups(df, keys, hot_rows) if hot is None else hot)
-
-    earlier = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        df.select(*keys, "file_ord", "block")
-        .join(hot, keys)
-        .groupBy(*keys, _piece().alias("_piece"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(*keys, "_piece", F.sum("_rows").over(earlier).alias("_before"))
-    )
-
-    inside = Window.partitionBy(*keys, "_piece").orderBy(*order_of(df))
-    numbered = (
-        df.join(hot, keys, "left")
-        .withColumn("_piece", F.when(F.col("_hot"), _piece()))
-        .withColumn("_inside", F.row_number().over(inside))
-        .join(offsets, [*keys, "_piece"], "left")
-    )
-    number = F.col("_inside") + F.coalesce("_before", F.lit(0))
-    return numbered.select(*df.columns, number.cast("long").alias(name))
+    pieces = [*keys, *PIECE]
+    counted = df.groupBy(*pieces).agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.partitionBy(*keys).orderBy(*PIECE).rowsBetween(Window.unboundedPreceding, -1)
+    before = counted.select(*pieces, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(*pieces).orderBy(*order_of(df))
+    numbered = df.withColumn("_inside", F.row_number().over(inside)).join(before, pieces)
+    return numbered.select(*df.columns, (F.col("_inside") + F.col("_before")).cast("long").alias(name))

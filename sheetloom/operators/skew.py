@@ -1,53 +1,19 @@
-"""Hot keys: groups that hold too many rows for one task."""
+"""Lookups by keys that may hold very many rows."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-#: Keys above this many rows are treated apart from the others.
-HOT_ROWS = 1_000_000
-
-#: Bound on the broadcast table of hot keys. A key beyond it is treated like any other, and by then
-#: holds less than one row in HOT_KEYS.
-HOT_KEYS = 10_000
-
-
-def may_be_hot(max_rows: int | None, hot_rows: int | None = None) -> bool:
-    """False when ``max_rows``, a bound on all rows, rules out a hot key."""
-    return max_rows is None or max_rows > (HOT_ROWS if hot_rows is None else hot_rows)
-
 
-def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> DataFrame:
-    """The keys of more than ``hot_rows`` rows, largest first, at most HOT_KEYS of them."""
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > (HOT_ROWS if hot_rows is None else hot_rows))
-        .orderBy(F.desc("_rows"), *keys)
-        .limit(HOT_KEYS)
-        .select(*keys, F.lit(True).alias("_hot"))
-    )
+from sheetloom.operators.ordering import PIECE
 
 
-def semi_join(
-    rows: DataFrame,
-    known: DataFrame,
-    key: str,
-    hot_rows: int | None = None,
-    max_rows: int | None = None,
-) -> DataFrame:
+def semi_join(rows: DataFrame, known: DataFrame, key: str) -> DataFrame:
     """Rows whose ``key`` is in ``known``, one row per key there.
 
-    Rows of hot keys never meet in a shuffle: which hot keys are known is settled on the keys, and
-    their rows are filtered where they stand. The adaptive planner drops that side when
-    there is no hot key.
+    Membership is settled once for every key and scan block it occurs in, on the keys alone and with a map-side
+    combine. Rows then meet the answer of their own block, so a key never brings more rows to a task than a
+    block has, whatever its share of the table.
     """
-    if not may_be_hot(max_rows, hot_rows):
-        return rows.join(known, key, "left_semi").select(rows.columns)
-    hot = hot_groups(rows, [key], hot_rows).select(key)
-    cold = rows.join(F.broadcast(hot), key, "left_anti").join(known, key, "left_semi")
-    hot_known = F.broadcast(hot.join(known, key, "left_semi"))
-    return cold.select(rows.columns).unionByName(rows.join(hot_known, key, "left_semi").select(rows.columns))
+    place = [key, *PIECE]
+    found = rows.select(*place).distinct().join(known, key, "left_semi")
+    return rows.join(found, place, "left_semi").select(rows.columns)

@@ -8,21 +8,34 @@ from __future__ import annotations
 
 from sheetloom import schemas
 
-REF = """
+_HYPHENATED = "'TEMPORAL_LOBE', 'FRONTAL_LOBE', 'L_HIPPOCAMPUS', 'R_HIPPOCAMPUS'"
+
+
+def _label(tissue: str) -> str:
+    shown = f"upper(replace({tissue}, ' ', '-'))"
+    return f"CASE WHEN {shown} IN ({_HYPHENATED}) THEN replace({shown}, '_', '-') ELSE {shown} END"
+
+
+REF = f"""
   tissue_ref(ord, code, tissue, uberon_id) AS (VALUES
-    (0, '3S', 'HEART', 'UBERON:0036285'), (1, '3A', 'BLOOD', 'UBERON:0013756'),
-    (2, '3AK', 'FRONTAL_LOBE', 'UBERON:0002811'), (3, '3AN', 'L_HIPPOCAMPUS', 'UBERON:0002421'),
-    (4, '3AD', 'UV_SKIN', 'UBERON:0004264'), (5, '3AD', 'UV_SKIN', 'UBERON:0004264'),
-    (6, '3Q', 'LUNG', 'UBERON:0008952'), (7, '1D', 'LUNG', 'UBERON:0008952')),
+    (0, 'K1', 'BLOOD', 'ONT:0001'), (1, 'K2', 'L_HIPPOCAMPUS', 'ONT:0002'), (2, 'K3', 'outer bark', 'ONT:0003'),
+    (3, 'K4', 'OUTER BARK', 'ONT:0003'), (4, 'K5', NULL, 'ONT:0005'), (5, 'K6', 'STEM', 'ONT:0006'),
+    (6, 'K6', 'LEAF_TIP', 'ONT:0007'), (7, 'K6', 'STEM', 'ONT:0008'), (8, 'K7', 'FRONTAL_LOBE', 'ONT:0009')),
   codes(i, code) AS (VALUES
-    (0, '3S'), (1, '3A'), (2, '3AK'), (3, '3AN'), (4, '3AD'), (5, '3Q'), (6, '1D'), (7, '9Z')),
-  tissue_map AS (SELECT code, arg_max_null(tissue, ord) AS tissue FROM tissue_ref GROUP BY code)
+    (0, 'K1'), (1, 'K2'), (2, 'K3'), (3, 'K4'), (4, 'K5'), (5, 'K6'), (6, 'K7'), (7, 'Z9')),
+  variants AS (
+    SELECT code, {_label("tissue")} AS variant, min(ord) AS first_ord, max(ord) AS last_ord,
+           arg_min(uberon_id, ord) AS uberon_id
+    FROM tissue_ref GROUP BY ALL),
+  tissue_map AS (
+    SELECT code, arg_max_null(variant, last_ord) AS variant, arg_max_null(variant, first_ord) AS source
+    FROM variants GROUP BY code)
 """
 
 ROWS = """
   base AS (
-    SELECT l.*, 'DNR' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') AS d,
-           'DNR' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') || '-' || c.code || '-' ||
+    SELECT l.*, CASE WHEN l_suppkey % 11 = 0 THEN 'dnr' ELSE 'DNR' END || lpad(CAST(o_custkey AS VARCHAR), 6, '0') AS d,
+           d || '-' || c.code || '-' ||
              lpad(CAST(l_linenumber AS VARCHAR), 3, '0') || 'A' || CAST(l_partkey % 3 AS VARCHAR) AS cs,
            CASE WHEN l_returnflag = 'A' THEN 0 WHEN l_returnflag = 'N' THEN 1
                 WHEN l_linestatus = 'F' THEN 2 ELSE 3 END AS f
@@ -31,7 +44,7 @@ ROWS = """
     SELECT
       'SM-' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS sample_id,
       CASE WHEN l_tax <> 0.08 THEN d END AS donor_id,
-      CASE WHEN l_quantity <> 50 THEN cs END AS collaborator_sample_id,
+      CASE WHEN l_quantity = 49 THEN d WHEN l_quantity <> 50 THEN cs END AS collaborator_sample_id,
       CASE WHEN l_returnflag <> 'N' AND l_discount <> 0.1 THEN
         CASE l_suppkey % 3
           WHEN 0 THEN 'gs://bucket/run' || CAST(l_suppkey AS VARCHAR) || '/' || cs || '.cram'
@@ -42,7 +55,7 @@ ROWS = """
       CASE WHEN l_discount <> 0.0 THEN cs || '.raw.aligned.bam' END AS "RAW_BAM",
       CASE WHEN l_tax <> 0.01 THEN cs || '.mol_consensus.aligned.bam' END AS "MolConsensusBAM",
       CASE WHEN l_quantity <> 10 THEN cs || '.vcf' END AS vcf,
-      f AS file_ord,
+      f AS file_ord, l_orderkey >> 12 AS block,
       row_number() OVER (ORDER BY {file} l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
                          l_extendedprice, l_shipdate) AS rn
     FROM base),
@@ -51,29 +64,23 @@ ROWS = """
       split_part(collaborator_sample_id, '-', 2) AS core,
       split_part(collaborator_sample_id, '-', 1) || '-' || split_part(collaborator_sample_id, '-', 2) AS ext,
       split_part(collaborator_sample_id, '-', -1) AS suffix,
-      coalesce(m.tissue, split_part(collaborator_sample_id, '-', 2)) AS tissue,
-      CASE WHEN upper(replace(coalesce(m.tissue, split_part(collaborator_sample_id, '-', 2)), ' ', '-'))
-                IN ('TEMPORAL_LOBE', 'FRONTAL_LOBE', 'L_HIPPOCAMPUS', 'R_HIPPOCAMPUS')
-           THEN replace(upper(coalesce(m.tissue, split_part(collaborator_sample_id, '-', 2))), '_', '-')
-           ELSE upper(replace(coalesce(m.tissue, split_part(collaborator_sample_id, '-', 2)), ' ', '-'))
-      END AS label,
-      m.code IS NOT NULL AS mapped,
+      coalesce(m.variant, upper(split_part(collaborator_sample_id, '-', 2))) AS label, m.source,
       CASE file_ord WHEN 0 THEN 'WGS_ILLUMINA' WHEN 1 THEN 'WGS_PACBIO' WHEN 2 THEN 'RNA_WATCHMAKER'
            ELSE 'RNA_TRUSEQ' END AS lib_type,
       CASE file_ord WHEN 0 THEN 'GDNA_SHORTREAD' WHEN 1 THEN 'GDNA_LONGREAD' WHEN 2 THEN 'RNA_WATCHMAKER'
            ELSE 'RNA_TRUSEQ' END AS tag
     FROM raw_rows r LEFT JOIN tissue_map m ON m.code = split_part(collaborator_sample_id, '-', 2)),
-  named AS (SELECT * FROM samples WHERE collaborator_sample_id IS NOT NULL AND donor_id IS NOT NULL)
+  coded AS (SELECT * FROM samples WHERE contains(collaborator_sample_id, '-')),
+  named AS (SELECT * FROM coded WHERE donor_id IS NOT NULL)
 """
 
 TISSUE = """
   tissue_all AS (
-    SELECT CASE WHEN t.tissue IS NULL THEN 'NDRI_TISSUE_' || ext
-             ELSE 'NDRI_TISSUE_' || upper(ext) || '-' || label END AS submitted_id,
-           ext AS external_id, 'NDRI_DONOR_' || donor_id AS donor, t.uberon_id, rn, t.ord
-    FROM named n LEFT JOIN tissue_ref t ON t.code = n.core),
+    SELECT coalesce('NDRI_TISSUE_' || upper(ext) || '-' || t.variant, 'NDRI_TISSUE_' || ext) AS submitted_id,
+           ext AS external_id, 'NDRI_DONOR_' || donor_id AS donor, t.uberon_id, rn, t.first_ord
+    FROM named n LEFT JOIN variants t ON t.code = n.core),
   tissue AS (
-    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY submitted_id ORDER BY rn, ord) AS k
+    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY submitted_id ORDER BY rn, first_ord) AS k
                    FROM tissue_all) WHERE k = 1)
 """
 
@@ -83,8 +90,8 @@ TISSUE_SAMPLE = """
              CASE WHEN label LIKE '%BLOOD%' THEN 'Liquid' ELSE 'Core' END) AS submitted_id,
            CASE WHEN label LIKE '%BLOOD%' THEN 'Liquid' ELSE 'Core' END AS category,
            collaborator_sample_id AS external_id,
-           CASE WHEN mapped THEN 'NDRI_TISSUE_' || upper(ext) || '-' || label
-                ELSE 'NDRI_TISSUE_' || ext END AS sample_sources, rn
+           coalesce('NDRI_TISSUE_' || upper(ext) || '-' || source, 'NDRI_TISSUE_' || ext) AS sample_sources, rn, file_ord,
+           block
     FROM named),
   ts AS (
     SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY submitted_id ORDER BY rn) AS k FROM ts_all)
@@ -101,7 +108,7 @@ ANALYTE = """
            upper('BROAD_TISSUE-SAMPLE_' || dp || '_' || label || '_' || suffix || '_' ||
              CASE WHEN label LIKE '%BLOOD%' THEN 'Liquid' ELSE 'Core' END) AS samples,
            dp, label, lib_type, rn
-    FROM samples
+    FROM coded
     WHERE collaborator_sample_id IN (SELECT collaborator_sample_id FROM named)),
   analyte AS (
     SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY submitted_id ORDER BY rn) AS k
@@ -122,7 +129,7 @@ FILE_SET = """
     SELECT coalesce(donor_id, 'nan') || '_' || label || '_' || lib_type AS file_set_group,
            row_number() OVER (PARTITION BY coalesce(donor_id, 'nan'), label, lib_type ORDER BY rn) AS number,
            sample_id AS description, lib_type
-    FROM samples WHERE collaborator_sample_id IS NOT NULL AND file_ord <= 2)
+    FROM coded WHERE file_ord <= 2)
 """
 
 FILE_SET_LINKED = """
@@ -144,7 +151,7 @@ UNALIGNED = """
            input_bam AS filename, collaborator_sample_id AS description, 'bam' AS file_format,
            upper('BROAD_FILE-SET_' || dp || '_' || label || '_WGS_PACBIO_' || CAST(n AS VARCHAR)) AS file_sets
     FROM (SELECT *, row_number() OVER (PARTITION BY collaborator_sample_id ORDER BY rn) AS n
-          FROM samples WHERE file_ord = 1 AND collaborator_sample_id IS NOT NULL AND input_bam IS NOT NULL))
+          FROM coded WHERE file_ord = 1 AND input_bam IS NOT NULL))
 """
 
 ALIGNED = """
@@ -160,8 +167,7 @@ ALIGNED = """
              AS file_sets,
            'broad_grch38' AS reference_genome, 'BROAD_SOFTWARE_DRAGEN_07.021.604.3.7.8' AS software
     FROM (SELECT *, row_number() OVER (PARTITION BY dp, label, lib_type ORDER BY rn) AS n
-          FROM samples WHERE file_ord IN (0, 2) AND collaborator_sample_id IS NOT NULL
-                         AND cram_path IS NOT NULL))
+          FROM coded WHERE file_ord IN (0, 2) AND cram_path IS NOT NULL))
 """
 
 FILE_SET_IDS = """
@@ -173,10 +179,10 @@ FILE_SET_IDS = """
 SEQUENCING = """
   sequencing AS (
     SELECT s.* FROM (VALUES
-      (1, 'BROAD_SEQUENCING_PACBIO_15000BP_20X', 'Single-end', '15000', '', '20', '', 'pacbio_revio_hifi'),
-      (0, 'BROAD_SEQUENCING_NOVASEQXPLUS_25B_150BP_160X', 'Paired-end', '150', '25B', '160', '',
+      (1, 'BROAD_SEQUENCING_PACBIO_15000BP_20X', 'Single-end', 15000, NULL, 20, NULL, 'pacbio_revio_hifi'),
+      (0, 'BROAD_SEQUENCING_NOVASEQXPLUS_25B_150BP_160X', 'Paired-end', 150, '25B', 160, NULL,
        'illumina_novaseq_x_plus'),
-      (2, 'BROAD_SEQUENCING_NOVASEQX_25B_145BP_100M', 'Paired-end', '145', '25B', '', '100000000',
+      (2, 'BROAD_SEQUENCING_NOVASEQX_25B_145BP_100M', 'Paired-end', 145, '25B', NULL, 100000000,
        'illumina_novaseq_x_plus'))
       AS s(file_ord, submitted_id, read_type, target_read_length, flow_cell, target_coverage,
            target_read_count, sequencer)
@@ -203,23 +209,24 @@ DONOR = """
 
 CODEC = """
   c_tissue_all AS (
-    SELECT CASE WHEN t.tissue IS NULL THEN 'NDRI_TISSUE_' || ext
-             ELSE 'NDRI_TISSUE_' || ext || '-' || label END AS submitted_id,
-           ext AS external_id, 'NDRI_DONOR_' || donor_id AS donor, t.uberon_id, rn, t.ord
-    FROM named n LEFT JOIN tissue_ref t ON t.code = n.core),
+    SELECT coalesce('NDRI_TISSUE_' || ext || '-' || t.variant, 'NDRI_TISSUE_' || ext) AS submitted_id,
+           ext AS external_id, 'NDRI_DONOR_' || donor_id AS donor, t.uberon_id, rn, t.first_ord
+    FROM named n LEFT JOIN variants t ON t.code = n.core),
   c_tissue AS (
-    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY submitted_id ORDER BY rn, ord) AS k
+    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY submitted_id ORDER BY rn, first_ord) AS k
                    FROM c_tissue_all) WHERE k = 1),
+  c_last AS (
+    SELECT external_id, arg_max(submitted_id, (rn, coalesce(first_ord, -1))) AS source FROM c_tissue GROUP BY external_id),
   c_labels AS (
-    SELECT external_id, submitted_id AS source,
-           CASE WHEN split_part(submitted_id, '-', 3) = '' THEN split_part(submitted_id, '-', 2)
-                ELSE substr(submitted_id, length('NDRI_TISSUE_' || external_id || '-') + 1) END AS cut
-    FROM c_tissue),
+    SELECT external_id, source,
+           CASE WHEN split_part(source, '-', 3) = '' THEN split_part(source, '-', 2)
+                ELSE substr(source, length('NDRI_TISSUE_' || external_id || '-') + 1) END AS cut
+    FROM c_last),
   c_ts_all AS (
     SELECT upper('BROAD_TISSUE-SAMPLE_' || dp || '_' || cut || '_' || suffix || '_' ||
              CASE WHEN cut LIKE '%BLOOD%' THEN 'Liquid' ELSE 'Core' END) AS submitted_id,
            CASE WHEN cut LIKE '%BLOOD%' THEN 'Liquid' ELSE 'Core' END AS category,
-           collaborator_sample_id AS external_id, source AS sample_sources, dp, label, suffix, rn
+           collaborator_sample_id AS external_id, c_labels.source AS sample_sources, dp, label, suffix, rn
     FROM named JOIN c_labels ON c_labels.external_id = named.ext),
   c_ts AS (
     SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY submitted_id ORDER BY rn) AS k FROM c_ts_all)
@@ -250,7 +257,7 @@ CODEC = """
            upper('BROAD_FILE-SET_CODEC_' || dp || '_' || label || '-DDBTP_' || suffix) AS file_sets,
            'GRCh38' AS reference_genome, CAST(NULL AS VARCHAR) AS derived_from,
            'BROAD_SOFTWARE_CODEC_ALIGNMENT_PIPELINE_V1' AS software
-    FROM samples WHERE collaborator_sample_id IS NOT NULL AND "RAW_BAM" IS NOT NULL
+    FROM coded WHERE "RAW_BAM" IS NOT NULL
     UNION ALL
     SELECT upper('BROAD_ALIGNED-READS_PROCESSED_CODEC-' || collaborator_sample_id || '-DDBTP_' || suffix),
            "MolConsensusBAM", 'Sequencing Reads | Consensus Reads',
@@ -259,7 +266,7 @@ CODEC = """
            CASE WHEN "RAW_BAM" IS NOT NULL THEN
              upper('BROAD_ALIGNED-READS_RAW_CODEC-' || collaborator_sample_id || '-DDBTP_' || suffix) END,
            'BROAD_SOFTWARE_CODEC_BAM_PROCESSING_PIPELINE_V1'
-    FROM samples WHERE collaborator_sample_id IS NOT NULL AND "MolConsensusBAM" IS NOT NULL),
+    FROM coded WHERE "MolConsensusBAM" IS NOT NULL),
   c_variant AS (
     SELECT upper('BROAD_VARIANT-CALLS_CODEC-' || collaborator_sample_id || '-DDBTP_' || suffix) AS submitted_id,
            'Somatic Variant Calls' AS data_category, 'SNV | Indel' AS data_type, vcf AS filename,
@@ -269,13 +276,14 @@ CODEC = """
            upper('BROAD_ALIGNED-READS_PROCESSED_CODEC-' || collaborator_sample_id || '-DDBTP_' || suffix)
              AS derived_from,
            'BROAD_SOFTWARE_CODEC_VARIANT_CALL_PIPELINE_V1' AS software
-    FROM samples WHERE collaborator_sample_id IS NOT NULL AND vcf IS NOT NULL),
-  c_software(submitted_id, title) AS (VALUES
-    ('BROAD_SOFTWARE_CODEC_ALIGNMENT_PIPELINE_V1', 'CODEC alignment pipeline'),
-    ('BROAD_SOFTWARE_CODEC_BAM_PROCESSING_PIPELINE_V1', 'CODEC bam process pipeline'),
-    ('BROAD_SOFTWARE_CODEC_VARIANT_CALL_PIPELINE_V1', 'CODEC variant calling pipeline')),
-  c_sequencing(submitted_id, title) AS (VALUES ('BROAD_SEQUENCING_CODEC', 'illumina_novaseq_x_plus')),
-  c_preparation(submitted_id, title) AS (VALUES ('BROAD_LIBRARY-PREPARATION_CODEC_DDBTP',
+    FROM coded WHERE vcf IS NOT NULL),
+  c_software(submitted_id, category, title, version) AS (VALUES
+    ('BROAD_SOFTWARE_CODEC_ALIGNMENT_PIPELINE_V1', 'Alignment', 'CODEC alignment pipeline', '1'),
+    ('BROAD_SOFTWARE_CODEC_BAM_PROCESSING_PIPELINE_V1', 'Read Manipulation', 'CODEC bam process pipeline', '1'),
+    ('BROAD_SOFTWARE_CODEC_VARIANT_CALL_PIPELINE_V1', 'Variant Calling', 'CODEC variant calling pipeline', '1')),
+  c_sequencing(submitted_id, read_type, target_read_length, target_coverage, sequencer) AS (VALUES
+    ('BROAD_SEQUENCING_CODEC', 'Paired-end', 150, 2, 'illumina_novaseq_x_plus')),
+  c_preparation(submitted_id, description) AS (VALUES ('BROAD_LIBRARY-PREPARATION_CODEC_DDBTP',
     'ddBTP End Repair is an end repair strategy that utilizes ddBTPs to optimize DNA fragment ends for ' ||
     'ligation while preventing unintended polymerase extension and exonuclease degradation.'))
 """
@@ -285,11 +293,17 @@ def _with(*parts: str, file: str = "f,") -> str:
     return "WITH " + ",".join([REF, ROWS.replace("{file}", file), *parts])
 
 
-def _sheet(schema, given: str, source: str, *parts: str, file: str = "f,", table: str = "") -> str:
-    """Every column of the sheet: ``given`` ones with nulls as blanks, all others blank."""
+_TYPES = {"string": "VARCHAR", "int": "INTEGER"}
+
+
+def _columns(schema, given: str) -> str:
+    """Every column of the sheet with its type: ``given`` ones as they are, all others null."""
     filled = set(given.split())
-    columns = ", ".join(f"coalesce({c}, '') AS {c}" if c in filled else f"'' AS {c}" for c in schema.names)
-    return f"{_with(*parts, file=file)} SELECT {columns} FROM {source}"
+    return ", ".join(f"CAST({f.name if f.name in filled else 'NULL'} AS {_TYPES[f.dataType.simpleString()]}) AS {f.name}" for f in schema)
+
+
+def _sheet(schema, given: str, source: str, *parts: str, file: str = "f,", table: str = "") -> str:
+    return f"{_with(*parts, file=file)} SELECT {_columns(schema, given)} FROM {source}"
 
 
 def _edges(edges) -> str:
@@ -333,17 +347,15 @@ aligned AS (
                       ELSE CASE WHEN p LIKE '%short%' THEN 'WGS_ILLUMINA' ELSE 'WGS_PACBIO' END END, arg_ord)
            AS label
   FROM flagged WHERE in_aligned GROUP BY path)
-SELECT CAST(f.arg_ord AS VARCHAR) AS arg_ord, f.kind, f.path, CAST(f.arg_ord AS VARCHAR) AS "position",
-       CAST(f.arg_ord = a.arg_ord AS VARCHAR) AS for_analyte, a.label AS analyte_label,
-       CAST(NOT is_rna OR is_rna0 AS VARCHAR) AS for_file_set,
+SELECT CAST(f.arg_ord AS INTEGER) AS arg_ord, f.kind, f.path, CAST(f.arg_ord AS INTEGER) AS "position",
+       f.arg_ord = a.arg_ord AS for_analyte, a.label AS analyte_label, NOT is_rna OR is_rna0 AS for_file_set,
        CASE WHEN is_rna THEN
               CASE WHEN p LIKE '%watchmaker%' THEN 'RNA_WATCHMAKER' WHEN p LIKE '%truseq%' THEN 'RNA_TRUSEQ'
                    ELSE 'RNA_WATCHMAKER' END
             ELSE CASE WHEN p LIKE '%short%' THEN 'WGS_ILLUMINA' WHEN p LIKE '%long%' THEN 'WGS_PACBIO'
                       ELSE 'WGS_ILLUMINA' END END AS file_set_type,
-       CAST(NOT is_rna AND is_long AS VARCHAR) AS for_unaligned,
-       CAST(coalesce(f.arg_ord = g.arg_ord, FALSE) AS VARCHAR) AS for_aligned,
-       coalesce(g.label, '') AS aligned_type
+       NOT is_rna AND is_long AS for_unaligned, coalesce(f.arg_ord = g.arg_ord, FALSE) AS for_aligned,
+       g.label AS aligned_type
 FROM flagged f JOIN analytes a USING (path) LEFT JOIN aligned g USING (path)
 """
 
@@ -353,8 +365,8 @@ _PATHS = ("cram_path", "input_bam", "MolConsensusBAM", "RAW_BAM", "vcf")
 def _trimmed(c: str) -> str:
     back = "chr(92)"
     return (
-        f"coalesce(CASE WHEN contains(\"{c}\", '/') THEN split_part(\"{c}\", '/', -1) "
-        f'WHEN contains("{c}", {back}) THEN split_part("{c}", {back}, -1) ELSE "{c}" END, \'\') AS "{c}"'
+        f"CASE WHEN contains(\"{c}\", '/') THEN split_part(\"{c}\", '/', -1) "
+        f'WHEN contains("{c}", {back}) THEN split_part("{c}", {back}, -1) ELSE "{c}" END AS "{c}"'
     )
 
 
@@ -363,14 +375,15 @@ ORACLE = {
         schemas.DONOR, "submitted_id age external_id sex tpc_submitted", "donor", DONOR
     ),
     "sample_parts": _with()
-    + " SELECT sample_id, file_ord, dp AS donor_part, core, ext AS external_id, suffix FROM samples "
-    "WHERE collaborator_sample_id IS NOT NULL",
+    + " SELECT sample_id, file_ord, dp AS donor_part, core, ext AS external_id, suffix FROM coded",
     "rejects": _with()
-    + " SELECT sample_id, file_ord, 'no sample id' AS reason FROM raw_rows WHERE collaborator_sample_id IS NULL",
+    + " SELECT sample_id, file_ord, CASE WHEN collaborator_sample_id IS NULL THEN 'no sample id' "
+    "ELSE 'sample id has no tissue code' END AS reason FROM raw_rows "
+    "WHERE coalesce(NOT contains(collaborator_sample_id, '-'), TRUE)",
     "tissue_lookup_fallback": _with()
     + " SELECT collaborator_sample_id, core, label, "
     "CASE WHEN label LIKE '%BLOOD%' THEN 'Liquid' ELSE 'Core' END AS category "
-    "FROM samples WHERE collaborator_sample_id IS NOT NULL",
+    "FROM coded",
     "tissue_join_fanout": _with()
     + " SELECT collaborator_sample_id, external_id, core, donor_id, t.tissue AS corresponding_tissue, t.uberon_id "
     "FROM (SELECT DISTINCT collaborator_sample_id, ext AS external_id, core, donor_id FROM named) n "
@@ -418,21 +431,21 @@ ORACLE = {
     + ") SELECT (SELECT count(*) FROM raw_rows) AS rows_processed, "
     "string_agg(name, ', ' ORDER BY place, i) AS path_columns FROM firsts WHERE place IS NOT NULL",
     "keep_first_dedup": _with()
-    + " SELECT collaborator_sample_id, sample_id, coalesce(cram_path, '') AS cram_path FROM ("
+    + " SELECT collaborator_sample_id, sample_id, cram_path FROM ("
     "SELECT *, row_number() OVER (PARTITION BY collaborator_sample_id ORDER BY rn) AS k FROM samples "
     "WHERE collaborator_sample_id IS NOT NULL) WHERE k = 1",
     "last_wins_lookup": _with()
     + " SELECT collaborator_sample_id, arg_max_null(sample_id, rn) AS sample_id, "
-    "coalesce(arg_max_null(cram_path, rn), '') AS cram_path FROM samples "
+    "arg_max_null(cram_path, rn) AS cram_path FROM samples "
     "WHERE collaborator_sample_id IS NOT NULL GROUP BY collaborator_sample_id",
     "hot_group_numbers": _with()
-    + " SELECT label, sample_id, row_number() OVER (PARTITION BY label ORDER BY rn) AS number FROM samples "
-    "WHERE collaborator_sample_id IS NOT NULL",
+    + " SELECT label, sample_id, row_number() OVER (PARTITION BY label ORDER BY rn) AS number FROM coded",
+    # A file without sample_id takes the collaborator's; a line without any cell is no row.
     "heterogeneous_union": _with()
-    + " SELECT CASE WHEN file_ord <= 1 THEN sample_id ELSE '' END AS sample_id, "
-    "coalesce(cram_path, '') AS cram_path, coalesce(donor_id, '') AS donor_id, "
-    "coalesce(collaborator_sample_id, '') AS collaborator_sample_id, "
-    "coalesce(input_bam, '') AS input_bam FROM raw_rows",
+    + " SELECT CASE WHEN file_ord <= 1 THEN sample_id ELSE collaborator_sample_id END AS sample_id, "
+    "cram_path, donor_id, collaborator_sample_id, input_bam FROM raw_rows "
+    "WHERE file_ord <= 1 OR coalesce(cram_path, donor_id, collaborator_sample_id) IS NOT NULL",
+    "sheet_order": _with(TISSUE_SAMPLE) + " SELECT submitted_id, file_ord, block FROM ts",
     "assay_tags": _TAGS,
     "missing_cells": "SELECT o_orderkey, CASE o_custkey % 8 WHEN 3 THEN 'none' WHEN 5 THEN 'Na' WHEN 6 THEN 'x' END "
     "AS cell FROM orders",
@@ -468,13 +481,22 @@ ORACLE = {
         CODEC,
         file="",
     ),
+    "codec_two_protocols": _with(CODEC, file="")
+    + " SELECT CAST(submitted_id AS VARCHAR) AS submitted_id, analytes, library_preparation FROM c_library UNION ALL "
+    "SELECT replace(submitted_id, '-DDBTP_', '-SECOND_'), analytes, 'BROAD_LIBRARY-PREPARATION_CODEC_SECOND' FROM c_library",
     "codec_constants": _with(CODEC, file="")
     + ", cites AS (SELECT software AS submitted_id FROM c_aligned UNION ALL SELECT software FROM c_variant "
     "UNION ALL SELECT sequencing FROM c_file_set UNION ALL SELECT library_preparation FROM c_library), "
-    "known AS (SELECT 'Software' AS sheet, * FROM c_software UNION ALL SELECT 'Sequencing', * FROM c_sequencing "
-    "UNION ALL SELECT 'LibraryPreparation', * FROM c_preparation) "
-    "SELECT sheet, submitted_id, title, count(*) AS cited FROM cites JOIN known USING (submitted_id) "
-    "GROUP BY sheet, submitted_id, title",
+    "cited AS (SELECT submitted_id, count(*) AS cited FROM cites GROUP BY submitted_id), known AS ("
+    + " UNION ALL BY NAME ".join(
+        f"SELECT '{sheet}' AS sheet, {_columns(schema, given)} FROM {source}"
+        for sheet, schema, given, source in (
+            ("Software", schemas.CODEC_SOFTWARE, "submitted_id category title version", "c_software"),
+            ("Sequencing", schemas.SEQUENCING, "submitted_id read_type target_read_length target_coverage sequencer", "c_sequencing"),
+            ("LibraryPreparation", schemas.LIBRARY_PREPARATION, "submitted_id description", "c_preparation"),
+        )
+    )
+    + ") SELECT * FROM known JOIN cited USING (submitted_id)",
     "dangling_links": _with(
         DONOR, TISSUE, TISSUE_SAMPLE, ANALYTE, LIBRARY, FILE_SET, FILE_SET_LINKED, FILE_SET_IDS, UNALIGNED,
         ALIGNED, SEQUENCING, SOFTWARE,

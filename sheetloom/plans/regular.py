@@ -2,7 +2,7 @@
 
 ``samples`` is what :func:`sheetloom.sources.manifests.read_manifests` returns: one row per manifest row
 and argument position, with the file tags next to the data columns. ``ref`` is the tissue
-reference. ``max_rows`` is an upper bound on the rows of ``samples`` where one is known. Every builder keeps the order columns so that the sink can write rows in input order.
+reference. Every builder keeps the order columns so that the sink can write rows in input order.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from sheetloom import schemas
 from sheetloom.functions import ids, labels, paths
 from sheetloom.operators.links import group_sizes, link
 from sheetloom.operators.ordering import first_by, running_number
-from sheetloom.operators.skew import hot_groups, semi_join
+from sheetloom.operators.skew import semi_join
 from sheetloom.operators.tissues import parse_samples, tissue_variants, with_tissue
 from sheetloom.schemas import conform
 
@@ -136,7 +136,7 @@ def tissue_sample_sheet(
     )
 
 
-def known_samples(samples: DataFrame, max_rows: int | None = None) -> DataFrame:
+def known_samples(samples: DataFrame) -> DataFrame:
     """Rows whose sample is known, that is named together with a donor on some row.
 
     A row with a donor proves itself; only the rows without one have to be looked up.
@@ -144,7 +144,7 @@ def known_samples(samples: DataFrame, max_rows: int | None = None) -> DataFrame:
     named = parse_samples(samples.where("for_analyte"))
     donorless = named.where(F.col("donor_id").isNull())
     known = identified(samples).select(ids.SAMPLE_ID).distinct()
-    found = semi_join(donorless, known, ids.SAMPLE_ID, max_rows=max_rows)
+    found = semi_join(donorless, known, ids.SAMPLE_ID)
     return named.where(F.col("donor_id").isNotNull()).unionByName(found)
 
 
@@ -166,11 +166,12 @@ def _analyte_columns(rows: DataFrame, ref: DataFrame, prefix: str) -> DataFrame:
     )
 
 
-def analyte_rows(
-    samples: DataFrame, ref: DataFrame, prefix: str = PREFIX, max_rows: int | None = None
-) -> DataFrame:
-    """R4 before dedup: one row per known sample row; a file given twice counts once."""
-    return _analyte_columns(known_samples(samples, max_rows), ref, prefix)
+def analyte_rows(samples: DataFrame, ref: DataFrame, prefix: str = PREFIX) -> DataFrame:
+    """R4 before dedup: one row per known sample row; a file given twice counts once.
+
+    Analyte, Library and FileSet all start from these rows, so a workflow stages them.
+    """
+    return _analyte_columns(known_samples(samples), ref, prefix)
 
 
 def analyte_sheet(rows: DataFrame) -> DataFrame:
@@ -189,17 +190,10 @@ def analyte_sheet(rows: DataFrame) -> DataFrame:
 LIBRARY_GROUP = ("donor_part", "label", "library_type")
 
 
-def library_hot_groups(samples: DataFrame, ref: DataFrame, prefix: str = PREFIX) -> DataFrame:
-    """Hot library groups, found without the lookup of donorless rows (a superset is enough)."""
-    return hot_groups(_analyte_columns(samples.where("for_analyte"), ref, prefix), LIBRARY_GROUP)
-
-
-def library_sheet(
-    rows: DataFrame, prefix: str = PREFIX, hot: DataFrame | None = None, max_rows: int | None = None
-) -> DataFrame:
+def library_sheet(rows: DataFrame, prefix: str = PREFIX) -> DataFrame:
     """One row per analyte row before dedup, numbered per donor, tissue and library type."""
     narrow = rows.select(*LIBRARY_GROUP, "submitted_id", *schemas.order_of(rows))
-    numbered = running_number(narrow, LIBRARY_GROUP, "number", hot, max_rows=max_rows)
+    numbered = running_number(narrow, LIBRARY_GROUP, "number")
     minted = ids.library_id(
         prefix, F.col("donor_part"), F.col("label"), F.col("library_type"), F.col("number").cast("string")
     )
@@ -238,17 +232,9 @@ def file_set_sizes(rows: DataFrame) -> DataFrame:
     return group_sizes(rows, ["file_set_group"], F.upper("file_set_group"))
 
 
-def file_set_sheet(
-    samples: DataFrame,
-    ref: DataFrame,
-    analytes: DataFrame,
-    prefix: str = PREFIX,
-    max_rows: int | None = None,
-) -> DataFrame:
+def file_set_sheet(samples: DataFrame, ref: DataFrame, analytes: DataFrame, prefix: str = PREFIX) -> DataFrame:
     """Numbered per donor, tissue and type (W2), linked to the Library rows of ``analytes``."""
-    rows = running_number(
-        file_set_rows(samples, ref), ["file_set_group"], "number", max_rows=max_rows
-    )
+    rows = running_number(file_set_rows(samples, ref), ["file_set_group"], "number")
     rows = rows.withColumn("stem", F.upper("file_set_group"))
     number = F.col("number").cast("string")
     library = ids.mint(prefix, "LIBRARY", F.col("stem"), number)
@@ -263,9 +249,7 @@ def file_set_sheet(
     )
 
 
-def unaligned_reads_sheet(
-    samples: DataFrame, ref: DataFrame, prefix: str = PREFIX, max_rows: int | None = None
-) -> DataFrame:
+def unaligned_reads_sheet(samples: DataFrame, ref: DataFrame, prefix: str = PREFIX) -> DataFrame:
     """One row per BAM of the files named long-read, numbered per sample id.
 
     The file set is constructed from the same number and not checked (J9).
@@ -275,7 +259,7 @@ def unaligned_reads_sheet(
     rows = rows.select(
         ids.SAMPLE_ID, "donor_part", "label", F.col("input_bam").cast("string"), *schemas.order_of(rows)
     )
-    numbered = running_number(rows, [ids.SAMPLE_ID], "number", max_rows=max_rows)
+    numbered = running_number(rows, [ids.SAMPLE_ID], "number")
     donor, label, number = F.col("donor_part"), F.col("label"), F.col("number").cast("string")
     return conform(
         numbered,
@@ -288,9 +272,7 @@ def unaligned_reads_sheet(
     )
 
 
-def aligned_reads_sheet(
-    samples: DataFrame, ref: DataFrame, prefix: str = PREFIX, max_rows: int | None = None
-) -> DataFrame:
+def aligned_reads_sheet(samples: DataFrame, ref: DataFrame, prefix: str = PREFIX) -> DataFrame:
     """One row per CRAM, numbered over the rows that have one (W4), linked to FileSet."""
     crams = filled(samples.where("for_aligned"), ids.SAMPLE_ID, "cram_path")
     rows = with_tissue(crams, ref)
@@ -298,7 +280,7 @@ def aligned_reads_sheet(
         "donor_part", "label", "aligned_type", ids.SAMPLE_ID, "cram_path", *schemas.order_of(rows)
     )
     group = ["donor_part", "label", "aligned_type"]
-    numbered = running_number(rows, group, "number", max_rows=max_rows)
+    numbered = running_number(rows, group, "number")
     numbered = numbered.withColumn("stem", F.upper(F.concat_ws("_", *group)))
     file_set = ids.mint(prefix, "FILE-SET", F.col("stem"), F.col("number").cast("string"))
     sizes = file_set_sizes(file_set_rows(samples, ref))

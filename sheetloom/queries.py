@@ -14,15 +14,15 @@ from sheetloom.operators import links, tissues
 from sheetloom.operators.ordering import first_by, last_values, running_number
 from sheetloom.plans import codec, regular
 from sheetloom.plans.bundle import CODEC_EDGES, REGULAR_EDGES, codec_plan, regular_plan
-from sheetloom.schemas import cells, order_of, plain
+from sheetloom.schemas import order_of, plain
 from sheetloom.sources.manifests import tag_manifest
 from sheetloom.sources.sinks import capitalized
 from sheetloom.sources.strip import strip_metrics, strip_paths
-from sheetloom.sources.tables import missing_to_null
+from sheetloom.sources.tables import missing_to_null, scan_tables
 
 
 def donor_sheet(spark: SparkSession, sf: str) -> DataFrame:
-    return cells(regular.donor_sheet(harness.donors(spark, sf)))
+    return plain(regular.donor_sheet(harness.donors(spark, sf)))
 
 
 def sample_parts(spark, sf):
@@ -45,56 +45,52 @@ def tissue_join_fanout(spark, sf):
 
 
 def tissue_sheet(spark, sf):
-    return cells(regular.tissue_sheet(harness.samples(spark, sf), harness.tissue_ref(spark)))
+    return plain(regular.tissue_sheet(harness.samples(spark, sf), harness.tissue_ref(spark)))
 
 
 def tissue_sample_sheet(spark, sf):
-    return cells(regular.tissue_sample_sheet(harness.samples(spark, sf), harness.tissue_ref(spark)))
+    return plain(regular.tissue_sample_sheet(harness.samples(spark, sf), harness.tissue_ref(spark)))
 
 
 def analyte_sheet(spark, sf):
     samples, ref = harness.samples(spark, sf), harness.tissue_ref(spark)
-    rows = regular.analyte_rows(samples, ref, max_rows=harness.row_bound(spark, sf))
-    return cells(regular.analyte_sheet(rows))
+    rows = regular.analyte_rows(samples, ref)
+    return plain(regular.analyte_sheet(rows))
 
 
 def library_numbers(spark, sf):
     samples, ref = harness.samples(spark, sf), harness.tissue_ref(spark)
-    bound = harness.row_bound(spark, sf)
-    hot = regular.library_hot_groups(samples, ref)
-    rows = regular.analyte_rows(samples, ref, max_rows=bound)
-    return cells(regular.library_sheet(rows, hot=hot, max_rows=bound))
+    return plain(regular.library_sheet(regular.analyte_rows(samples, ref)))
 
 
 def sequencing_sheet(spark, sf):
-    return cells(regular.sequencing_sheet(harness.manifest(spark, sf)))
+    return plain(regular.sequencing_sheet(harness.manifest(spark, sf)))
 
 
 def software_sheet(spark, sf):
-    return cells(regular.software_sheet(harness.manifest(spark, sf)))
+    return plain(regular.software_sheet(harness.manifest(spark, sf)))
 
 
 def fileset_numbers(spark, sf):
     rows = regular.file_set_rows(harness.samples(spark, sf), harness.tissue_ref(spark))
-    numbered = running_number(rows, ["file_set_group"], "number", max_rows=harness.row_bound(spark, sf))
+    numbered = running_number(rows, ["file_set_group"], "number")
     return numbered.select("file_set_group", "number", "description")
 
 
 def fileset_sheet_linked(spark, sf):
     samples, ref = harness.samples(spark, sf), harness.tissue_ref(spark)
-    bound = harness.row_bound(spark, sf)
-    analytes = regular.analyte_rows(samples, ref, max_rows=bound)
-    return cells(regular.file_set_sheet(samples, ref, analytes, max_rows=bound))
+    analytes = harness.staging(spark)(regular.analyte_rows(samples, ref), "analytes")
+    return plain(regular.file_set_sheet(samples, ref, analytes))
 
 
 def unaligned_reads(spark, sf):
     samples, ref = harness.samples(spark, sf), harness.tissue_ref(spark)
-    return cells(regular.unaligned_reads_sheet(samples, ref, max_rows=harness.row_bound(spark, sf)))
+    return plain(regular.unaligned_reads_sheet(samples, ref))
 
 
 def aligned_reads_linked(spark, sf):
     samples, ref = harness.samples(spark, sf), harness.tissue_ref(spark)
-    return cells(regular.aligned_reads_sheet(samples, ref, max_rows=harness.row_bound(spark, sf)))
+    return plain(regular.aligned_reads_sheet(samples, ref))
 
 
 def file_names(spark, sf):
@@ -106,7 +102,7 @@ def file_names(spark, sf):
 
 def strip_path_columns(spark, sf):
     rows = harness.manifest_rows(spark, sf).select("sample_id", *PATH_COLUMNS)
-    return cells(strip_paths(rows))
+    return plain(strip_paths(rows))
 
 
 def strip_path_metrics(spark, sf):
@@ -116,24 +112,24 @@ def strip_path_metrics(spark, sf):
 def keep_first_dedup(spark, sf):
     rows = harness.samples(spark, sf).where(F.col(ids.SAMPLE_ID).isNotNull())
     kept = first_by(rows.select(ids.SAMPLE_ID, "sample_id", "cram_path", *order_of(rows)), ids.SAMPLE_ID)
-    return cells(kept)
+    return plain(kept)
 
 
 def last_wins_lookup(spark, sf):
     rows = harness.samples(spark, sf)
-    return cells(last_values(rows, ids.SAMPLE_ID, "sample_id", "cram_path"))
+    return plain(last_values(rows, ids.SAMPLE_ID, "sample_id", "cram_path"))
 
 
 def hot_group_numbers(spark, sf):
     """W1 on groups that each hold a large share of all rows: tissue labels."""
     rows = tissues.with_tissue(harness.samples(spark, sf), harness.tissue_ref(spark))
     rows = rows.select("label", "sample_id", *order_of(rows))
-    numbered = running_number(rows, ["label"], "number", hot_rows=1000)
+    numbered = running_number(rows, ["label"], "number")
     return numbered.select("label", "sample_id", "number")
 
 
 def heterogeneous_union(spark, sf):
-    """The four files as tables of different columns, united by name."""
+    """The four files, written with columns of their own in an order of their own, read as one table."""
     rows = harness.samples(spark, sf)
     common = ["donor_id", ids.SAMPLE_ID]
     columns = {
@@ -142,9 +138,12 @@ def heterogeneous_union(spark, sf):
         2: [*common, "cram_path"],
         3: ["cram_path", *common],
     }
-    parts = [rows.where(F.col("file_ord") == i).select(c) for i, c in columns.items()]
-    united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return cells(united)
+    folder = harness.staging(spark).path("manifests")
+    for i, chosen in columns.items():
+        part = rows.where(F.col("file_ord") == i).select(chosen)
+        part.write.option("sep", "\t").option("header", True).option("escape", '"').csv(f"{folder}/{i}")
+    taken = ["sample_id", "cram_path", *common, "input_bam"]
+    return scan_tables(spark, [f"{folder}/*"], columns=taken, sample_id=ids.SAMPLE_ID).select(taken)
 
 
 def assay_tags(spark, sf):
@@ -167,13 +166,14 @@ def assay_tags(spark, sf):
     # One manifest per kind and path: the tables only spell out which names occur.
     distinct = given.distinct()
     listed = distinct.select(
+        (F.row_number().over(_by_kind_and_path()) - 1).alias("file_ord"),
         (F.row_number().over(_by_kind_and_path()) - 1).alias("arg_ord"),
         F.lit(0).alias("sub_ord"),
         "kind",
         "path",
         F.col("path").alias("file"),
     )
-    return cells(tag_manifest(listed).drop("sub_ord", "file").withColumnRenamed("file_ord", "position"))
+    return tag_manifest(listed).drop("sub_ord", "file").withColumnRenamed("file_ord", "position")
 
 
 def _by_kind_and_path():
@@ -203,31 +203,31 @@ def _codec_analytes(spark, sf):
 
 
 def codec_tissue(spark, sf):
-    return cells(codec.codec_tissue_sheet(harness.codec_samples(spark, sf), harness.tissue_ref(spark)))
+    return plain(codec.codec_tissue_sheet(harness.codec_samples(spark, sf), harness.tissue_ref(spark)))
 
 
 def codec_tissue_sample(spark, sf):
-    return cells(codec.codec_tissue_sample_sheet(harness.codec_samples(spark, sf), harness.tissue_ref(spark)))
+    return plain(codec.codec_tissue_sample_sheet(harness.codec_samples(spark, sf), harness.tissue_ref(spark)))
 
 
 def codec_analyte(spark, sf):
-    return cells(codec.codec_analyte_sheet(_codec_analytes(spark, sf)))
+    return plain(codec.codec_analyte_sheet(_codec_analytes(spark, sf)))
 
 
 def codec_library(spark, sf):
-    return cells(codec.codec_library_sheet(_codec_analytes(spark, sf)))
+    return plain(codec.codec_library_sheet(_codec_analytes(spark, sf)))
 
 
 def codec_fileset(spark, sf):
-    return cells(codec.codec_file_set_sheet(_codec_analytes(spark, sf)))
+    return plain(codec.codec_file_set_sheet(_codec_analytes(spark, sf)))
 
 
 def codec_aligned_reads(spark, sf):
-    return cells(codec.codec_aligned_reads_sheet(harness.codec_samples(spark, sf), harness.tissue_ref(spark)))
+    return plain(codec.codec_aligned_reads_sheet(harness.codec_samples(spark, sf), harness.tissue_ref(spark)))
 
 
 def codec_variant_calls(spark, sf):
-    return cells(codec.codec_variant_calls_sheet(harness.codec_samples(spark, sf), harness.tissue_ref(spark)))
+    return plain(codec.codec_variant_calls_sheet(harness.codec_samples(spark, sf), harness.tissue_ref(spark)))
 
 
 def codec_constants(spark, sf):
@@ -243,16 +243,25 @@ def codec_constants(spark, sf):
     ]
     cited = [sheets[s].groupBy(F.col(c).alias("submitted_id")).agg(F.count("*").alias("n")) for s, c in citing]
     counts = reduce(DataFrame.unionByName, cited)
-    titles = {"Software": "title", "Sequencing": "sequencer", "LibraryPreparation": "description"}
     constants = [
-        sheets[s].select(F.lit(s).alias("sheet"), "submitted_id", F.col(c).alias("title"))
-        for s, c in titles.items()
+        plain(sheets[s]).withColumn("sheet", F.lit(s)) for s in ("Software", "Sequencing", "LibraryPreparation")
     ]
     # Five rows, so the broadcast is bounded.
-    table = F.broadcast(reduce(DataFrame.unionByName, constants))
-    return counts.join(table, "submitted_id").groupBy("sheet", "submitted_id", "title").agg(
-        F.sum("n").alias("cited")
-    )
+    table = F.broadcast(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), constants))
+    cited = counts.groupBy("submitted_id").agg(F.sum("n").alias("cited"))
+    return cited.join(table, "submitted_id")
+
+
+def codec_two_protocols(spark, sf):
+    """The Library sheet of two protocols."""
+    sheet = codec.codec_library_sheet(_codec_analytes(spark, sf), protocols=("DDBTP", "SECOND"))
+    return plain(sheet).select("submitted_id", "analytes", "library_preparation")
+
+
+def sheet_order(spark, sf):
+    """O1: the order columns that a sheet carries to the sink."""
+    sheet = regular.tissue_sample_sheet(harness.samples(spark, sf), harness.tissue_ref(spark))
+    return sheet.select("submitted_id", "file_ord", "block")
 
 
 def dangling_links(spark, sf):
@@ -261,7 +270,7 @@ def dangling_links(spark, sf):
         harness.tissue_ref(spark),
         harness.donors(spark, sf),
         harness.manifest(spark, sf),
-        max_rows=harness.row_bound(spark, sf),
+        staging=harness.staging(spark),
     )
     return links.dangling_links(sheets, REGULAR_EDGES)
 
@@ -276,9 +285,8 @@ def codec_dangling_links(spark, sf):
 def duplicate_reads(spark, sf):
     """Read ids that stand on more than one row."""
     samples, ref = harness.samples(spark, sf), harness.tissue_ref(spark)
-    bound = harness.row_bound(spark, sf)
-    unaligned = plain(regular.unaligned_reads_sheet(samples, ref, max_rows=bound)).select("submitted_id")
-    aligned = plain(regular.aligned_reads_sheet(samples, ref, max_rows=bound)).select("submitted_id")
+    unaligned = plain(regular.unaligned_reads_sheet(samples, ref)).select("submitted_id")
+    aligned = plain(regular.aligned_reads_sheet(samples, ref)).select("submitted_id")
     return links.duplicate_ids(unaligned.unionByName(aligned))
 
 
@@ -322,6 +330,8 @@ QUERIES = {
     "codec_aligned_reads": codec_aligned_reads,
     "codec_variant_calls": codec_variant_calls,
     "codec_constants": codec_constants,
+    "codec_two_protocols": codec_two_protocols,
+    "sheet_order": sheet_order,
     "dangling_links": dangling_links,
     "codec_dangling_links": codec_dangling_links,
     "duplicate_reads": duplicate_reads,

@@ -126,8 +126,3 @@ def plain(sheet: DataFrame) -> DataFrame:
     """The sheet without its order columns."""
     return sheet.drop(*ORDER)
 
-
-def cells(sheet: DataFrame) -> DataFrame:
-    """The sheet as the text of its cells: blanks are empty strings, as in the written file."""
-    shown = plain(sheet)
-    return shown.selectExpr(*[f"coalesce(CAST(`{c}` AS string), '') AS `{c}`" for c in shown.columns])

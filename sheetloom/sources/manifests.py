@@ -2,26 +2,30 @@
 
 A manifest table has one row per argument position and data file: ``kind`` (``short_read``,
 ``long_read`` or ``rna``), ``path`` (the argument as given) and ``arg_ord``. Three sheets read the
-assay off the files in three different ways; each gets its own column.
+assay off the files in three different ways; each gets its own column. ``file_ord`` numbers the rows in argument order.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheetloom.functions import ids
 from sheetloom.sources.tables import (
-    distinct_paths,
     in_file_order,
     list_files,
+    listed_only,
+    listing_of,
     read_table,
-    scan_tables,
+    scan_files,
 )
 
-MANIFEST_TYPE = "arg_ord int, sub_ord int, kind string, path string, file string"
+MANIFEST_TYPE = {
+    "file_ord": pa.int32(), "arg_ord": pa.int32(), "sub_ord": pa.int32(), "kind": pa.string(), "path": pa.string(), "file": pa.string(),
+}
 
 TAGS = (
     "file_ord", "for_analyte", "analyte_label", "for_file_set", "file_set_type",
@@ -37,8 +41,9 @@ def manifest(
     short_read: Sequence[str] = (),
     long_read: Sequence[str] = (),
     rna: Sequence[str] = (),
+    listed: Mapping[str, list[str]] | None = None,
 ) -> DataFrame:
-    """Manifest table of the three argument lists, in argument order."""
+    """Manifest table of the three argument lists, in argument order; ``listed`` has their files where they are known."""
     given = [
         *[("short_read", p) for p in short_read],
         *[("long_read", p) for p in long_read],
@@ -46,13 +51,13 @@ def manifest(
     ]
     if not given:
         raise ValueError("give at least one short-read, long-read or RNA file")
-    listed = list_files(spark, [p for _, p in given])
+    listed = list_files(spark, [p for _, p in given]) if listed is None else listed
     rows = [
         (arg_ord, sub_ord, kind, path, file)
         for arg_ord, (kind, path) in enumerate(given)
         for sub_ord, file in enumerate(listed[path])
     ]
-    return spark.createDataFrame(rows, MANIFEST_TYPE)
+    return listing_of(spark, [(i, *row) for i, row in enumerate(rows)], **MANIFEST_TYPE)
 
 
 IS_RNA = "kind = 'rna'"
@@ -87,18 +92,15 @@ def tag_manifest(files: DataFrame) -> DataFrame:
       reads a path once.
     * ``for_unaligned`` marks DNA files named long-read.
 
-    The manifest has one row per argument file, so windows over all of it stay small.
+    Windows are per file; the first RNA argument comes from a count of one row per kind.
     """
+    firsts = files.groupBy("kind").agg(F.min("arg_ord").alias("first_of_kind"))
     return (
-        files.selectExpr(
-            "*",
-            "row_number() OVER (ORDER BY arg_ord, sub_ord) - 1 AS file_ord",
-            f"{IS_RNA} AND arg_ord = min(CASE WHEN {IS_RNA} THEN arg_ord END) OVER () AS first_rna",
-        )
+        files.join(firsts, "kind")
+        .selectExpr("*", f"{IS_RNA} AND arg_ord = first_of_kind AS first_rna")
         .selectExpr("*", f"first_rna OR NOT ({IS_RNA} OR {IS_LONG}) AS in_aligned")
         .selectExpr(
             *files.columns,
-            "file_ord",
             "arg_ord = min(arg_ord) OVER (PARTITION BY path, file) AS for_analyte",
             f"max_by({ANALYTE_LABEL}, arg_ord) OVER (PARTITION BY path, file) AS analyte_label",
             f"first_rna OR NOT {IS_RNA} AS for_file_set",
@@ -122,17 +124,19 @@ def read_manifests(
     short_read: Sequence[str] = (),
     long_read: Sequence[str] = (),
     rna: Sequence[str] = (),
+    listed: Mapping[str, list[str]] | None = None,
 ) -> DataFrame:
     """All manifest rows in input order with their file tags; a path given twice fans out."""
-    files = tag_manifest(manifest(spark, short_read, long_read, rna)).select("file", *TAGS)
+    listed = list_files(spark, [*short_read, *long_read, *rna]) if listed is None else listed
+    files = tag_manifest(manifest(spark, short_read, long_read, rna, listed)).select("file", *TAGS)
     # FileSet describes a row by ``sample_id``, or by the collaborator sample id where a file has no such
     # column.
-    paths = distinct_paths(list_files(spark, [*short_read, *long_read, *rna]))
-    rows = scan_tables(spark, paths, sample_id=ids.SAMPLE_ID)
+    found = {file for group in listed.values() for file in group}
+    rows = scan_files(spark, found, columns=DATA_COLUMNS, sample_id=ids.SAMPLE_ID)
     rows = _with_columns(rows, DATA_COLUMNS).select(*DATA_COLUMNS, "file", "block", "pos")
     rows = rows.withColumnRenamed("sample_id", "description")
-    # One row per argument file, listed by the driver: fits a broadcast.
-    return rows.join(F.broadcast(files), "file").drop("file")
+    # The listing's own size decides whether it is broadcast.
+    return listed_only(rows.join(files, "file", "left"), "file_ord").drop("file")
 
 
 def read_codec(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -140,8 +144,8 @@ def read_codec(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     if not paths:
         raise ValueError("give at least one CODEC file")
     listed = list_files(spark, paths)
-    rows = _with_columns(scan_tables(spark, distinct_paths(listed)), CODEC_COLUMNS)
     files = [file for path in paths for file in listed[path]]
+    rows = _with_columns(scan_files(spark, files, columns=CODEC_COLUMNS), CODEC_COLUMNS)
     return in_file_order(rows.select(*CODEC_COLUMNS, "file", "block", "pos"), files)
 
 

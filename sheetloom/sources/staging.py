@@ -2,33 +2,51 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
+def shared_folder(spark: SparkSession, folder: str | None = None) -> str:
+    """Folder every executor can reach: ``folder``, or else ``spark.checkpoint.dir`` of the session."""
+    folder = folder or spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        raise ValueError("give a folder shared by all executors, or set spark.checkpoint.dir to one")
+    return folder.rstrip("/")
 
-    A machine-local folder stands in only where it is unset and the session is local.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    return tempfile.mkdtemp(prefix="sheetloom-")
 
+class Staging:
+    """Tables written once under the shared folder, and removed together."""
 
-def staged(df: DataFrame, name: str) -> tuple[DataFrame, int]:
-    """Write ``df`` once as parquet; returns the written table and its row count.
+    def __init__(self, spark: SparkSession, folder: str | None = None) -> None:
+        self._spark = spark
+        self._root = f"{shared_folder(spark, folder)}/sheetloom-{uuid.uuid4().hex}"
 
-    Later reads are columnar, take only the columns a sheet needs, and survive the loss of executors.
-    """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/sheetloom-{uuid.uuid4().hex}/{name}"
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("n_rows")).write.parquet(path)
-    return spark.read.parquet(path), seen.get["n_rows"]
+    def path(self, name: str) -> str:
+        return f"{self._root}/{name}"
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` as parquet and read it back.
+
+        Later reads are columnar, take only the columns a sheet needs, and survive the loss of executors.
+        """
+        df.write.parquet(self.path(name))
+        return self._spark.read.parquet(self.path(name))
+
+    def release(self) -> None:
+        """Remove the staged tables."""
+        path = self._spark._jvm.org.apache.hadoop.fs.Path(self._root)
+        path.getFileSystem(self._spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+class Sheets(dict):
+    """Sheets by name, in order. They read staged tables until :meth:`release` is called."""
+
+    def __init__(self, sheets: Mapping[str, DataFrame], staging: Staging | None = None) -> None:
+        super().__init__(sheets)
+        self._staging = staging
+
+    def release(self) -> None:
+        if self._staging is not None:
+            self._staging.release()
