@@ -8,7 +8,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("spark")
     session = (
         SparkSession.builder.master("local[4]")
         .appName("tests")
@@ -17,6 +18,8 @@ def spark():
         .config("spark.driver.memory", "4g")
         .config("spark.sql.codegen.wholeStage", "false")  # compiling costs more than tiny inputs do
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.sql.warehouse.dir", f"{folder}/warehouse")
+        .config("spark.checkpoint.dir", f"{folder}/shared")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

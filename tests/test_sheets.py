@@ -1,6 +1,7 @@
 """B1, B2, R1-R10, C1-C12 on example manifests: row counts, ids and links."""
 
 from collections import Counter
+from types import SimpleNamespace
 
 import pytest
 
@@ -9,12 +10,17 @@ from sheetloom import schemas
 from sheetloom.operators.links import dangling_links
 from sheetloom.plans.bundle import CODEC_EDGES, REGULAR_EDGES
 from sheetloom.schemas import plain
+from sheetloom.sources.staging import shared_folder
 from tests.data import (
-    CODEC, LONG, RNA, SHORT_A, SHORT_B, codec_file, donor_file, long_file, rna_file, rows_of, short_file,
-    tissue_file,
+    CODEC, DONORS, LONG, RNA, SHORT_A, SHORT_B, codec_file, donor_file, long_file, parts, rna_file, rows_of,
+    short_file, tissue_file,
 )
 
 
+DNA = [*SHORT_A, *SHORT_B, *LONG]
+ALL = [*DNA, *RNA]
+
+
 @pytest.fixture(scope="module")
 def regular(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("regular")
@@ -23,8 +29,8 @@ def regular(spark, tmp_path_factory):
         donor_file(folder),
         tissue_file(folder),
         [short_file(folder / "a_short_read.tsv", SHORT_A), short_file(folder / "b_short_read.tsv", SHORT_B)],
-        [long_file(folder / "filtered_long_read.tsv", LONG)],
-        [rna_file(folder / "filtered_rna_watchmaker.tsv", RNA)],
+        [long_file(folder / "plants_long_read.tsv", LONG)],
+        [rna_file(folder / "plants_rna_watchmaker.tsv", RNA)],
     )
     return {name: sheet.cache() for name, sheet in sheets.items()}
 
@@ -36,26 +42,31 @@ def codec(spark, tmp_path_factory):
     return {name: sheet.cache() for name, sheet in sheets.items()}
 
 
+def distinct(samples, *which):
+    """How many samples differ in the given parts: donor, code, label, core."""
+    return len({tuple(parts(s)[i] for i in which) for s in samples})
+
+
 def test_regular_row_counts_and_order(regular):
-    assert {name: sheet.count() for name, sheet in regular.items()} == {
-        "Donor": 2, "Tissue": 32, "TissueSample": 45, "Analyte": 45, "Library": 48, "Sequencing": 3,
-        "FileSet": 48, "UnalignedReads": 9, "AlignedReads": 39, "Software": 1,
+    analytes = {(*parts(s)[::2], parts(s)[3], kind) for kind, rows in (("short", SHORT_A + SHORT_B), ("long", LONG), ("rna", RNA)) for s in rows}
+    expected = {
+        "Donor": len(DONORS), "Tissue": distinct(ALL, 0, 1), "TissueSample": distinct(ALL, 0, 2, 3), "Analyte": len(analytes),
+        "Library": len(ALL), "Sequencing": 3, "FileSet": len(ALL), "UnalignedReads": len(LONG),
+        "AlignedReads": len(SHORT_A + SHORT_B + RNA), "Software": 1,
     }
-    assert list(regular) == [
-        "Donor", "Tissue", "TissueSample", "Analyte", "Library", "Sequencing", "FileSet", "UnalignedReads",
-        "AlignedReads", "Software",
-    ]
+    assert {name: sheet.count() for name, sheet in regular.items()} == expected
+    assert list(regular) == list(expected)
 
 
 def test_codec_row_counts_and_order(codec):
-    assert {name: sheet.count() for name, sheet in codec.items()} == {
-        "Donor": 2, "Tissue": 17, "TissueSample": 17, "Analyte": 17, "Library": 17, "LibraryPreparation": 1,
-        "Sequencing": 1, "FileSet": 17, "UnalignedReads": 0, "AlignedReads": 34, "VariantCalls": 17, "Software": 3,
+    samples = distinct(CODEC, 0, 2, 3)
+    expected = {
+        "Donor": len(DONORS), "Tissue": distinct(CODEC, 0, 1), "TissueSample": samples, "Analyte": samples, "Library": samples,
+        "LibraryPreparation": 1, "Sequencing": 1, "FileSet": samples, "UnalignedReads": 0, "AlignedReads": 2 * len(CODEC),
+        "VariantCalls": len(CODEC), "Software": 3,
     }
-    assert list(codec) == [
-        "Donor", "Tissue", "TissueSample", "Analyte", "Library", "LibraryPreparation", "Sequencing", "FileSet",
-        "UnalignedReads", "AlignedReads", "VariantCalls", "Software",
-    ]
+    assert {name: sheet.count() for name, sheet in codec.items()} == expected
+    assert list(codec) == list(expected)
 
 
 SCHEMAS = {
@@ -81,59 +92,55 @@ def test_schemas(regular, codec):
 
 def test_donors(regular):
     assert rows_of(regular["Donor"], *schemas.DONOR.names) == [
-        ("NDRI_DONOR_DNR001", "76", "DNR001", "Male", "True", None, None),
-        ("NDRI_DONOR_DNR022", "119", "DNR022", "Male", "True", None, None),
+        (f"NDRI_DONOR_{donor}", str(age), donor, sex, "True", None, None) for donor, sex, age in DONORS
     ]
 
 
 def test_blood_is_liquid(regular):
     got = dict(rows_of(regular["Tissue"], "external_id", "submitted_id"))
-    assert got["DNR001-3A"] == "NDRI_TISSUE_DNR001-3A-BLOOD"
-    assert got["DNR022-3AN"] == "NDRI_TISSUE_DNR022-3AN-L-HIPPOCAMPUS"
+    assert got["P100-K1"] == "NDRI_TISSUE_P100-K1-BLOOD"
+    assert got["P200-K2"] == "NDRI_TISSUE_P200-K2-L-HIPPOCAMPUS"
     samples = {r[0]: r[1:] for r in rows_of(
         regular["TissueSample"], "external_id", "submitted_id", "category", "sample_sources"
     )}
-    assert samples["DNR001-3A-01"] == (
-        "BROAD_TISSUE-SAMPLE_DNR001_BLOOD_01_LIQUID", "Liquid", "NDRI_TISSUE_DNR001-3A-BLOOD",
-    )
-    assert samples["DNR022-3AN-001A1"][0] == "BROAD_TISSUE-SAMPLE_DNR022_L-HIPPOCAMPUS_001A1_CORE"
-    assert samples["DNR022-3AD-002A1"][0] == "BROAD_TISSUE-SAMPLE_DNR022_UV_SKIN_002A1_CORE"
+    assert samples["P100-K1-01"] == ("BROAD_TISSUE-SAMPLE_P100_BLOOD_01_LIQUID", "Liquid", "NDRI_TISSUE_P100-K1-BLOOD")
+    assert samples["P200-K2-001C1"][0] == "BROAD_TISSUE-SAMPLE_P200_L-HIPPOCAMPUS_001C1_CORE"
+    assert samples["P200-K5-002C1"][0] == "BROAD_TISSUE-SAMPLE_P200_STEM_TIP_002C1_CORE"
 
 
 def test_rows_follow_the_input(regular):
-    assert rows_of(regular["TissueSample"], "external_id") == list(dict.fromkeys([*SHORT_A, *SHORT_B, *LONG, *RNA]))
+    assert rows_of(regular["TissueSample"], "external_id") == list(dict.fromkeys(ALL))
     assert rows_of(regular["FileSet"], "description") == [
-        *[f"SM-{i}" for i in range(13)], *[f"SM-{i}" for i in range(13)], *[f"LR-{i}" for i in range(9)], *RNA,
+        *[f"SM-{i}" for i in range(len(SHORT_A))], *[f"SM-{i}" for i in range(len(SHORT_B))], *[f"LR-{i}" for i in range(len(LONG))], *RNA,
     ]
 
 
 def test_repeated_sample(regular):
-    aorta = [r for r in rows_of(regular["Analyte"], "submitted_id", "external_id") if r[1] == "DNR001-3O-001A3"]
-    assert aorta == [("BROAD_ANALYTE_DNR001_AORTA_001A3_GDNA_SHORTREAD", "DNR001-3O-001A3")]
-    libraries = [r for r in rows_of(regular["Library"], "submitted_id", "analytes", "assay") if "DNR001_AORTA" in r[0]]
-    assert libraries == [
-        (f"BROAD_LIBRARY_DNR001_AORTA_WGS_ILLUMINA_{n}", aorta[0][0], "bulk_wgs_pcr_free") for n in (1, 2)
-    ]
-    reads = [r for r in rows_of(regular["AlignedReads"], "submitted_id", "description", "file_sets") if r[1] == aorta[0][1]]
+    sample, stem = "P100-K4-001B1", "P100_ROOT_WGS_ILLUMINA"
+    analyte = [r for r in rows_of(regular["Analyte"], "submitted_id", "external_id") if r[1] == sample]
+    assert analyte == [("BROAD_ANALYTE_P100_ROOT_001B1_GDNA_SHORTREAD", sample)]
+    libraries = [r for r in rows_of(regular["Library"], "submitted_id", "analytes", "assay") if "P100_ROOT" in r[0]]
+    assert libraries == [(f"BROAD_LIBRARY_{stem}_{n}", analyte[0][0], "bulk_wgs_pcr_free") for n in (1, 2)]
+    reads = [r for r in rows_of(regular["AlignedReads"], "submitted_id", "description", "file_sets") if r[1] == sample]
     assert reads == [
-        ("BROAD_ALIGNED-READS_DNR001-AORTA-WGS_ILLUMINA-CRAM", aorta[0][1], "BROAD_FILE-SET_DNR001_AORTA_WGS_ILLUMINA_1"),
-        ("BROAD_ALIGNED-READS_DNR001-AORTA-WGS_ILLUMINA-2-CRAM", aorta[0][1], "BROAD_FILE-SET_DNR001_AORTA_WGS_ILLUMINA_2"),
+        ("BROAD_ALIGNED-READS_P100-ROOT-WGS_ILLUMINA-CRAM", sample, f"BROAD_FILE-SET_{stem}_1"),
+        ("BROAD_ALIGNED-READS_P100-ROOT-WGS_ILLUMINA-2-CRAM", sample, f"BROAD_FILE-SET_{stem}_2"),
     ]
 
 
 def test_reads(regular):
     unaligned = rows_of(regular["UnalignedReads"], "submitted_id", "filename", "description", "file_format", "file_sets")
     assert unaligned[0] == (
-        "BROAD_UNALIGNED-READS_DNR022_ESOPHAGUS_WGS_PACBIO_SMRT_SMRT1", "m0.hifi_reads.bam", "DNR022-3C-001A2", "bam",
-        "BROAD_FILE-SET_DNR022_ESOPHAGUS_WGS_PACBIO_1",
+        "BROAD_UNALIGNED-READS_P200_PETAL_WGS_PACBIO_SMRT_SMRT1", "m0.hifi_reads.bam", LONG[0], "bam",
+        "BROAD_FILE-SET_P200_PETAL_WGS_PACBIO_1",
     )
     assert all(r[0].endswith("_SMRT1") for r in unaligned)
     aligned = {r[0]: r[1:] for r in rows_of(
         regular["AlignedReads"], "submitted_id", "filename", "file_format", "alignment_details", "reference_genome",
         "software",
     )}
-    assert aligned["BROAD_ALIGNED-READS_DNR022-ESOPHAGUS-RNA_WATCHMAKER-CRAM"] == (
-        "DNR022-3C-001A4.cram", "cram", "Sorted", "broad_grch38", "BROAD_SOFTWARE_DRAGEN_07.021.604.3.7.8",
+    assert aligned["BROAD_ALIGNED-READS_P100-PETAL-RNA_WATCHMAKER-CRAM"] == (
+        "P100-K7-003E1.cram", "cram", "Sorted", "broad_grch38", "BROAD_SOFTWARE_DRAGEN_07.021.604.3.7.8",
     )
     assert None not in rows_of(regular["AlignedReads"], "file_sets")
     assert None not in rows_of(regular["FileSet"], "libraries")
@@ -141,7 +148,8 @@ def test_reads(regular):
 
 def test_rna_analytes(regular):
     kinds = Counter(rows_of(regular["Analyte"], "molecule", "molecule_detail"))
-    assert kinds == {("DNA", "Total DNA"): 32, ("RNA", "Total RNA"): 13}
+    long, short = ({(*parts(s)[::2], parts(s)[3]) for s in rows} for rows in (LONG, SHORT_A + SHORT_B))
+    assert kinds == {("DNA", "Total DNA"): len(long) + len(short), ("RNA", "Total RNA"): distinct(RNA, 0, 2, 3)}
 
 
 def test_sequencing_and_software(regular):
@@ -163,24 +171,25 @@ def report(sheets, edges):
 
 def test_dangling_links(regular, codec):
     got = report(regular, REGULAR_EDGES)
-    assert got.pop(("FileSet", "sequencing")) == (48, 13)  # Q2
+    assert got.pop(("FileSet", "sequencing")) == (len(ALL), len(RNA))  # Q2
     assert all(dangling == 0 for _, dangling in got.values())
     got = report(codec, CODEC_EDGES)
-    assert got.pop(("Tissue", "donor")) == (17, 11)  # two donors are not in the donor table
+    unknown = distinct([s for s in CODEC if parts(s)[0] not in {d for d, _, _ in DONORS}], 0, 1)
+    assert got.pop(("Tissue", "donor")) == (distinct(CODEC, 0, 1), unknown)
     assert all(dangling == 0 for _, dangling in got.values())
 
 
 def test_codec_ids(codec):
-    sample, tail = "DNR007-3Q-01A2", "DDBTP_01A2"
+    sample, tail = CODEC[0], "DDBTP_01F1"
     assert rows_of(codec["Library"], "submitted_id", "analytes", "assay", "library_preparation")[0] == (
-        f"BROAD_LIBRARY_CODEC_DNR007_LUNG-{tail}", "BROAD_ANALYTE_DNR007_LUNG_01A2_GDNA_SHORTREAD", "codec",
+        f"BROAD_LIBRARY_CODEC_P300_ROOT-{tail}", "BROAD_ANALYTE_P300_ROOT_01F1_GDNA_SHORTREAD", "codec",
         "BROAD_LIBRARY-PREPARATION_CODEC_DDBTP",
     )
     raw, processed = rows_of(
         codec["AlignedReads"], "submitted_id", "filename", "data_category", "description", "file_sets", "derived_from",
         "software",
     )[:2]
-    file_set = f"BROAD_FILE-SET_CODEC_DNR007_LUNG-{tail}"
+    file_set = f"BROAD_FILE-SET_CODEC_P300_ROOT-{tail}"
     assert raw == (
         f"BROAD_ALIGNED-READS_RAW_CODEC-{sample}-{tail}", "0.raw.bam", "Sequencing Reads",
         f"Raw bam CODEC_{sample}-ddbtp", file_set, None, "BROAD_SOFTWARE_CODEC_ALIGNMENT_PIPELINE_V1",
@@ -193,7 +202,7 @@ def test_codec_ids(codec):
         f"BROAD_VARIANT-CALLS_CODEC-{sample}-{tail}", "Somatic Variant Calls", "SNV | Indel", "0.vcf", processed[0],
     )
     assert rows_of(codec["FileSet"], "submitted_id", "libraries", "sequencing")[0] == (
-        file_set, f"BROAD_LIBRARY_CODEC_DNR007_LUNG-{tail}", "BROAD_SEQUENCING_CODEC",
+        file_set, f"BROAD_LIBRARY_CODEC_P300_ROOT-{tail}", "BROAD_SEQUENCING_CODEC",
     )
     assert set(rows_of(codec["AlignedReads"], "reference_genome")) == {"GRCh38"}
 
@@ -210,9 +219,28 @@ def test_codec_constants(codec):
     assert rows_of(codec["LibraryPreparation"], "submitted_id") == ["BROAD_LIBRARY-PREPARATION_CODEC_DDBTP"]
 
 
+def test_staged_tables_go_with_the_bundle(spark, tmp_path):
+    shared = tmp_path / "shared"
+    sheets = codec_sheets(
+        spark, donor_file(tmp_path), tissue_file(tmp_path), [codec_file(tmp_path / "c.tsv", CODEC)], folder=str(shared)
+    )
+    assert len(list(shared.iterdir())) == 1
+    write_bundle(sheets, str(tmp_path / "out"))
+    assert not list(shared.iterdir())
+
+
+def test_staging_needs_a_folder(spark):
+    unset = SimpleNamespace(conf=SimpleNamespace(get=lambda name, default: default))
+    with pytest.raises(ValueError, match="shared by all executors"):
+        shared_folder(unset)
+    assert shared_folder(unset, "/given/") == "/given"
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
 def test_bundle_of_a_workflow(spark, codec, tmp_path):
     listing = write_bundle(codec, str(tmp_path / "out"))
     rows = [(r.sheet_name, r.n_rows) for r in listing.orderBy("sheet_order").collect()]
-    assert rows[:2] == [("(Donor)", 2), ("(Tissue)", 17)] and rows[-2:] == [("VariantCalls", 17), ("Software", 3)]
+    assert rows[:2] == [("(Donor)", 2), ("(Tissue)", distinct(CODEC, 0, 1))]
+    assert rows[-2:] == [("VariantCalls", len(CODEC)), ("Software", 3)]
     again = spark.read.option("sep", "\t").option("header", True).csv(str(tmp_path / "out" / "VariantCalls"))
-    assert again.columns == schemas.VARIANT_CALLS.names and again.count() == 17
+    assert again.columns == schemas.VARIANT_CALLS.names and again.count() == len(CODEC)

@@ -10,7 +10,7 @@ from sheetloom import schemas
 from sheetloom.operators.tissues import with_tissue
 from sheetloom.sources.manifests import manifest, read_codec, read_tissues, tag_manifest
 from sheetloom.sources.strip import strip_metrics, strip_paths
-from sheetloom.sources.tables import NA_TOKENS, read_table, scan_tables
+from sheetloom.sources.tables import NA_TOKENS, column_names, files_of, in_file_order, read_table, scan_tables, survey
 from tests.data import long_file, plain_rows, rna_file, rows_of, short_file, tissue_file, tsv
 
 
@@ -83,9 +83,7 @@ def test_empty_sample_id_cell_stays_empty(spark, tmp_path):
     assert rows_of(read_manifests(spark, [path]), "description") == [None, None]
 
 
-@pytest.mark.parametrize("literal", [0, 100])
-def test_table_of_several_files(spark, tmp_path, monkeypatch, literal):
-    monkeypatch.setattr("sheetloom.sources.tables.LITERAL_FILES", literal)
+def test_table_of_several_files(spark, tmp_path):
     for name in ("b", "a", "c"):
         tsv(tmp_path / "t" / f"{name}.tsv", ["k"], [[f"{name}{i}"] for i in range(3)])
     rows = read_table(spark, str(tmp_path / "t"))
@@ -113,8 +111,76 @@ def test_one_file_under_two_names(spark, tmp_path):
     rows = read_manifests(spark, [path, other])
     assert rows_of(rows, "collaborator_sample_id", "for_analyte") == [("D-3A-1", True), ("D-3A-2", True)] * 2
     short_file(tmp_path / "more.tsv", ["D-3A-3"])
-    with pytest.raises(ValueError, match="overlaps"):
-        read_manifests(spark, [path, str(tmp_path)])
+    rows = read_manifests(spark, [path, str(tmp_path)])  # the file is read once, and comes for each argument
+    assert rows_of(rows, "collaborator_sample_id") == ["D-3A-1", "D-3A-2", "D-3A-3", "D-3A-1", "D-3A-2"]
+
+
+HEADERS = (["sample_id", "cram_path", "donor_id", "collaborator_sample_id"], ["collaborator_sample_id", "sample_id", "donor_id", "cram_path"])
+
+
+def test_every_file_is_bound_by_its_own_header(spark, tmp_path):
+    for i, header in enumerate(HEADERS):
+        rows = [[{"sample_id": f"s{i}{n}", "cram_path": f"p{i}{n}.cram", "donor_id": "D1", "collaborator_sample_id": f"D1-3A-{i}{n}"}[c]
+                 for c in header] for n in range(3)]
+        tsv(tmp_path / "in" / f"{i}.tsv", header, rows)
+    got = rows_of(read_manifests(spark, [str(tmp_path / "in")]), "collaborator_sample_id", "cram_path", "description")
+    assert got == [(f"D1-3A-{i}{n}", f"p{i}{n}.cram", f"s{i}{n}") for i in range(2) for n in range(3)]
+
+
+def test_headers_that_differ_by_case(spark, tmp_path):
+    header = ["Sample_id", "sample_id", "donor_id", "collaborator_sample_id", "cram_path"]
+    path = tsv(tmp_path / "short.tsv", header, [["other", "own", "D", "D-3A-1", "x.cram"]])
+    assert rows_of(read_manifests(spark, [path]), "description") == ["own"]
+    with pytest.raises(ValueError, match="letter case"):
+        read_table(spark, path)
+
+
+def test_header_names(spark, tmp_path):
+    assert column_names('a\t"b\tc"\t\ta\ta') == ("a", "b\tc", "_c2", "a.1", "a.2")
+    path = tsv(tmp_path / "t [1] {x}*.tsv", ["k", "k", ""], [[1, 2, 3]])
+    rows = read_table(spark, str(tmp_path))
+    assert [tuple(r)[:3] for r in rows.select("k", "`k.1`", "_c2").collect()] == [("1", "2", "3")] and path
+
+
+def test_line_break_in_a_quoted_cell(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("sheetloom.sources.tables.BLOCK_BITS", 2)
+    body = 'k\tv\n1\t"a\nb"\n2\t"c ""x""\n\t"\n3\tplain "quote" \n4\t""\n' + "".join(f"{i}\tz\n" for i in range(5, 30))
+    (tmp_path / "broken.tsv").write_text(body)
+    (tmp_path / "whole.tsv").write_text('v\tk\n"a ""b"""\t1\nx"y\t2\n')
+    assert sorted(broken for _, broken in survey(spark, files_of(spark, str(tmp_path)))) == [True, True]
+    got = rows_of(read_table(spark, str(tmp_path)), "k", "v")
+    assert got[:4] == [("1", "a\nb"), ("2", 'c "x"\n\t'), ("3", 'plain "quote" '), ("4", None)]
+    assert [k for k, _ in got[4:29]] == [str(i) for i in range(5, 30)]
+    assert got[29:] == [("1", 'a "b"'), ("2", 'x"y')]
+
+
+def test_closed_quotes_do_not_keep_a_file_whole(spark, tmp_path):
+    (tmp_path / "t.tsv").write_text('k\tv\n1\t"a ""b"""\n2\t""\n3\t"x"\n')
+    assert [broken for _, broken in survey(spark, files_of(spark, str(tmp_path)))] == [False]
+
+
+@pytest.mark.parametrize("files", [2, 150])
+def test_a_file_that_comes_late_is_not_read(spark, tmp_path, files):
+    for i in range(files):
+        tsv(tmp_path / "in" / f"{i:04d}.tsv", ["k"], [[i]])
+    rows = read_table(spark, str(tmp_path / "in"))
+    tsv(tmp_path / "in" / "0000a.tsv", ["k"], [["late"]])
+    assert rows_of(rows, "file_ord", "k") == [(i, str(i)) for i in range(files)]
+
+
+@pytest.mark.parametrize("files", [2, 150])
+def test_a_row_of_an_unlisted_file_is_an_error(spark, files):
+    rows = spark.createDataFrame([("f0", 1), ("late", 2)], "file string, v int")
+    with pytest.raises(Exception, match="not a listed file: late"):
+        in_file_order(rows, [f"f{i}" for i in range(files)]).collect()
+
+
+def test_files_without_a_line(spark, tmp_path):
+    tsv(tmp_path / "b.tsv", ["k"], [[1]])
+    (tmp_path / "a.tsv").write_text("")
+    assert rows_of(read_table(spark, str(tmp_path)), "file_ord", "k") == [(1, "1")]
+    with pytest.raises(ValueError, match="no file with a header"):
+        read_table(spark, str(tmp_path / "a.tsv"))
 
 
 def test_codec_file_without_a_path_column(spark, tmp_path):
@@ -127,8 +193,8 @@ def test_codec_file_without_a_path_column(spark, tmp_path):
 
 
 def tags(spark, given):
-    rows = [(i, 0, kind, path, path) for i, (kind, path) in enumerate(given)]
-    files = spark.createDataFrame(rows, "arg_ord int, sub_ord int, kind string, path string, file string")
+    rows = [(i, i, 0, kind, path, path) for i, (kind, path) in enumerate(given)]
+    files = spark.createDataFrame(rows, "file_ord int, arg_ord int, sub_ord int, kind string, path string, file string")
     return [r.asDict() for r in tag_manifest(files).orderBy("file_ord").collect()]
 
 
@@ -213,6 +279,13 @@ def test_strip_file(spark, tmp_path):
     )
 
 
+def test_strip_file_with_a_broken_record(spark, tmp_path):
+    (tmp_path / "in.tsv").write_text('id\tcram_path\n"s\n1"\t/a/b.cram\n2\t/c/d.cram\n')
+    metrics = strip_file(spark, str(tmp_path / "in.tsv"), str(tmp_path / "out"))
+    assert metrics == {"rows_processed": 2, "path_columns": ["cram_path"]}
+    assert written(tmp_path / "out") == (["id", "cram_path"], [["s\n1", "b.cram"], ["2", "d.cram"]])
+
+
 def test_strip_without_path_columns(spark):
     rows = spark.createDataFrame([(0, 0, 0, "a/b")], "file_ord int, block long, pos long, note string")
     assert [r.note for r in strip_paths(rows).collect()] == ["a/b"]
