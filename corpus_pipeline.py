@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from sheetloom.llm import isolation, language_id, line_dedup, packing, simhash
 from sheetloom.llm.common import ensure_folder, ship
+from sheetloom.sources.staging import Staging
 
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,12 +52,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``. What each keeps is written to the shared checkpoint folder and read again."""
+    """All stages over ``documents``.
+
+    What a stage keeps is written to the shared checkpoint folder and read again; it is removed once the next
+    stage has written its own. The last one stays for the result to be read from.
+    """
     ensure_folder(spark)
-    folder = f"{spark.sparkContext.getCheckpointDir()}/corpus-{uuid.uuid4().hex}"
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for number, (name, stage) in enumerate(STAGES):
-        path = f"{folder}/{number}-{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+    folder = spark.sparkContext.getCheckpointDir()
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for name, stage in STAGES:
+        staging = Staging(spark, folder)
+        docs = staging(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            before.release()
+        before = staging
     return docs

@@ -1,5 +1,5 @@
-from collections import defaultdict
 import hashlib
+from collections import defaultdict
 
 from pyspark.sql import functions as F
 
@@ -73,6 +73,12 @@ def test_equal_hashes_of_unequal_chunks_are_told_apart(spark, modules, monkeypat
     assert dict(map(tuple, got)) == brute(ROWS)
 
 
+def test_result_is_the_same_without_a_broadcast(spark, modules, monkeypatch):
+    monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", 0)
+    got = line_dedup.dedup_lines(table(spark, ROWS)).select("row.doc_id", "text").collect()
+    assert dict(map(tuple, got)) == brute(ROWS)
+
+
 def test_messy_rows(messy, empty):
     found = line_dedup.dedup_lines(messy).select("row.doc_id", "row.text", F.col("text").alias("kept"), "row.score").collect()
     assert len(found) == messy.count()
