@@ -44,11 +44,16 @@ def ensure_folder(spark: SparkSession) -> None:
     sc.setCheckpointDir(folder)
 
 
+#: Rows of an Arrow batch. A row is a whole document, so batches are kept shorter than for narrow rows.
+BATCH_ROWS = 1000
 _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Hand this library's modules to the Python workers, which need not have it installed."""
+    """Hand this library's modules to the Python workers, which need not have it installed, and bound their batches."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, str(BATCH_ROWS))
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return

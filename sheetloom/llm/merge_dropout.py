@@ -1,10 +1,11 @@
 """Subword encoding with seeded merge dropout, and decoding.
 
-A text is cut into characters, which are merged pair by pair. All possible merges wait on an agenda, the
-best-scored first, of equal ones the leftmost. With dropout, a merge whose turn comes is passed over if a
-keyed hash says so, which gives another segmentation for each key, all of which decode to the same text. The
-key is the seed, the variant drawn for the document, the run of characters, the place in it and the piece
-that would be made, so results do not depend on partitions, order or retries.
+A word, with the blanks before it, is cut into characters, which are merged pair by pair. All possible merges
+wait on an agenda, the best-scored first, of equal ones the leftmost. With dropout, a merge whose turn comes is
+passed over if a keyed hash says so, which gives another segmentation for each key, all of which decode to the
+same text. The key is the seed, the variant drawn for the document, the word, the place in it and the piece that
+would be made, so results do not depend on partitions, order or retries. The agendas of all new words of a
+slice of text are worked off side by side, one step of each at a time.
 
 Pieces and scores come from a public model file of the merge type; nothing is trained. With dropout 0 the ids
 are those of the file's own library. A character without a piece of its own is written as its UTF-8 bytes, and so
@@ -26,20 +27,24 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheetloom.llm.common import text_of, whole_rows, with_outputs
+from sheetloom.llm.common import slices, text_of, utf8, whole_rows, with_outputs
 
 MODEL = "piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 1
 #: Segmentations a word may have under one seed; a document draws its variant by its id.
 VARIANTS = 2
-#: Runs that a worker remembers the ids of, for each variant.
-REMEMBERED = 300_000
+#: Words that a worker remembers the ids of for each variant, at most.
+REMEMBERED = 200_000
+#: Longest word whose agenda is worked off next to others; a longer one has a heap of its own.
+SIDE_BY_SIDE = 31
 
 BLANK = "▁"
 #: A literal U+2581 of a text. Longer than any character, so no piece of the file holds it.
 _LITERAL = "\x00▁"
 _RUNS = re.compile(r"( *)([^ ]*)")
+_ALL = (1 << 64) - 1
+_PLACE, _PIECE, _MIX = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x94D049BB133111EB
 
 
 def model_file(name: str = MODEL) -> str:
@@ -48,8 +53,41 @@ def model_file(name: str = MODEL) -> str:
     return public_tokenizers.path(name)
 
 
+#: Turn of a pair that makes nothing, after all others.
+NEVER = 1 << 40
+
+
+class _PairTable:
+    """Made piece and turn by pair key, looked up for many keys at once: a key has one place in each of a few tables."""
+
+    BITS = 18
+
+    def __init__(self, keys: np.ndarray, made: np.ndarray, turns: np.ndarray) -> None:
+        self._levels = []
+        self._made, self._turns = np.append(made, -1), np.append(turns, NEVER)
+        left = np.arange(len(keys))
+        while len(left):
+            place = self._place(keys[left], len(self._levels))
+            taken, first = np.unique(place, return_index=True)
+            held, which = np.full(1 << self.BITS, -2, np.int64), np.full(1 << self.BITS, len(keys), np.int32)
+            held[taken], which[taken] = keys[left[first]], left[first]
+            self._levels.append((held, which))
+            left = np.delete(left, first)
+
+    def _place(self, keys: np.ndarray, level: int) -> np.ndarray:
+        spread = keys.astype(np.uint64) * np.uint64((_PLACE, _PIECE, _MIX)[level % 3] + 2 * (level // 3))
+        return (spread >> np.uint64(64 - self.BITS)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.full(keys.shape, len(self._made) - 1, np.int32)
+        for level, (held, which) in enumerate(self._levels):
+            place = self._place(keys, level)
+            at = np.where(held[place] == keys, which[place], at)
+        return self._made[at], self._turns[at]
+
+
 class Vocabulary:
-    """Pieces of a model file: ids and scores by piece, ids by byte, and the bytes of each id."""
+    """Pieces of a model file: ids and scores by piece, ids by byte, the bytes of each id, and all pairs that merge."""
 
     def __init__(self, path: str) -> None:
         import sentencepiece
@@ -70,14 +108,34 @@ class Vocabulary:
             else:
                 self.ids[piece], self.scores[piece] = i, model.get_score(i)
                 self.written.append(piece.replace(BLANK, " ").encode())
-        #: Characters that follow each other inside some piece; no merge joins others.
-        self.joints = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
+        self._raw = {piece: i.to_bytes(4, "little") for piece, i in self.ids.items()}
+        self._number()
+
+    def _number(self) -> None:
+        """The same as sorted arrays: single characters, and pairs of ids with the id and the turn of what they make."""
+        self.size = len(self.written)
+        singles = sorted((ord(p), i) for p, i in self.ids.items() if len(p) == 1)
+        self.characters, self.character_ids = np.array(singles, np.int64).reshape(-1, 2).T
+        turn = {score: n for n, score in enumerate(sorted(set(self.scores.values()), reverse=True))}
+        pairs = sorted(
+            (self.ids[p[:k]] * self.size + self.ids[p[k:]], i, turn[self.scores[p]])
+            for p, i in self.ids.items()
+            for k in range(1, len(p))
+            if p[:k] in self.ids and p[k:] in self.ids
+        )
+        self._pairs = _PairTable(*np.array(pairs, np.int64).reshape(-1, 3).T)
+
+    def merge_of(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What two neighbours make, and its turn; NEVER where they make nothing."""
+        return self._pairs.find(np.where((left >= 0) & (right >= 0), left * self.size + right, -1))
 
-    def spelled(self, piece: str) -> list[int]:
-        known = self.ids.get(piece)
+    def spelled(self, piece: str) -> bytes:
+        """Ids of a piece as little-endian 32-bit numbers; bytes stand in for a character without a piece."""
+        known = self._raw.get(piece)
         if known is not None:
-            return [known]
-        return [self.bytes[b] for b in (BLANK if piece == _LITERAL else piece).encode()]
+            return known
+        raw = (BLANK if piece == _LITERAL else piece).encode()
+        return b"".join([self.bytes[b].to_bytes(4, "little") for b in raw])
 
 
 _VOCABULARIES: dict[str, Vocabulary] = {}
@@ -89,99 +147,167 @@ def vocabulary(path: str) -> Vocabulary:
     return _VOCABULARIES[path]
 
 
-_ALL = (1 << 64) - 1
+
+
+def _passed_over(key: int, left: int, piece: int, limit: int) -> bool:
+    """Whether the merge that makes ``piece`` at ``left`` is skipped under ``key``."""
+    state = (key ^ (left * _PLACE + piece * _PIECE)) & _ALL
+    return (((state ^ (state >> 31)) * _MIX) & _ALL) >> 32 < limit
 
 
 def merged(symbols: list[str], words: Vocabulary, dropout: float = 0.0, key: int = 0) -> list[str]:
     """Pieces that the agenda leaves of a run of characters. ``key`` decides which merges are passed over."""
-    scores, n = words.scores, len(symbols)
-    if n < 2:
-        return symbols
+    limit, scores, n = int(dropout * (1 << 32)), words.scores, len(symbols)
     pieces, after, before = list(symbols), list(range(1, n + 1)), list(range(-1, n - 1))
-    agenda = []
-    for left in range(n - 1):
-        made = pieces[left] + pieces[left + 1]
+    agenda: list[tuple[float, int, str]] = []
+
+    def suggest(left: int, made: str) -> None:
         score = scores.get(made)
         if score is not None:
-            agenda.append((-score, left, made))
-    heapq.heapify(agenda)
-    limit = int(dropout * (1 << 32))
+            heapq.heappush(agenda, (-score, left, made))
+
+    for left in range(n - 1):
+        suggest(left, pieces[left] + pieces[left + 1])
     while agenda:
         _, left, made = heapq.heappop(agenda)
         right = after[left]
         if not pieces[left] or right >= n or pieces[left] + pieces[right] != made:
             continue  # a part of it has been merged since
-        if limit:
-            state = (key ^ (left * 0x9E3779B97F4A7C15 + words.ids[made] * 0xC2B2AE3D27D4EB4F)) & _ALL
-            state = ((state ^ (state >> 31)) * 0x94D049BB133111EB) & _ALL
-            if (state >> 32) < limit:
-                continue
+        if limit and _passed_over(key, left, words.ids[made], limit):
+            continue
         pieces[left], pieces[right] = made, ""
         after[left] = behind = after[right]
         if behind < n:
             before[behind] = left
-            score = scores.get(made + pieces[behind])
-            if score is not None:
-                heapq.heappush(agenda, (-score, left, made + pieces[behind]))
-        ahead = before[left]
-        if ahead >= 0:
-            score = scores.get(pieces[ahead] + made)
-            if score is not None:
-                heapq.heappush(agenda, (-score, ahead, pieces[ahead] + made))
+            suggest(left, made + pieces[behind])
+        if before[left] >= 0:
+            suggest(before[left], pieces[before[left]] + made)
     return [p for p in pieces if p]
 
 
-class Encoder(dict):
-    """Ids of one variant, as little-endian 32-bit numbers by word; a word stands for a blank and itself.
+def merged_many(ids: np.ndarray, words: Vocabulary, dropout: float, keys: np.ndarray) -> np.ndarray:
+    """:func:`merged` for many words at once: a row of ids for each, negative ones for characters without a piece.
 
-    The segmentation of a run depends on nothing but the run and the key, so it may be remembered.
+    Rows are filled up with -1 at the end. In every step each row that still has a merge takes its best one, or
+    passes it over; rows that are done leave.
+    """
+    limit, width = np.uint64(int(dropout * (1 << 32))), ids.shape[1]
+    out, rows = ids.copy(), np.arange(len(ids))
+    places = np.broadcast_to(np.arange(width), ids.shape).copy()
+    made, turns = words.merge_of(ids[:, :-1], ids[:, 1:])
+    column = np.arange(width)
+    while len(rows):
+        at = turns.argmin(axis=1)  # of equal turns the leftmost
+        open_ = np.take_along_axis(turns, at[:, None], 1)[:, 0] < NEVER
+        if not open_.all():
+            out[rows[~open_]] = ids[~open_]
+            rows, ids, places, made, turns, keys, at = (x[open_] for x in (rows, ids, places, made, turns, keys, at))
+        line = np.arange(len(rows))
+        piece, place = made[line, at], places[line, at]
+        state = keys ^ (place.astype(np.uint64) * np.uint64(_PLACE) + piece.astype(np.uint64) * np.uint64(_PIECE))
+        skipped = ((state ^ (state >> np.uint64(31))) * np.uint64(_MIX)) >> np.uint64(32) < limit
+        turns[line[skipped], at[skipped]] = NEVER
+        line, at, piece = line[~skipped], at[~skipped], piece[~skipped]
+        # the right neighbour goes, and with it the pair that was merged
+        behind = np.minimum(column + (column > at[:, None]), width - 1)
+        moved = np.take_along_axis(ids[line], behind, 1)
+        moved[:, -1] = -1
+        moved[np.arange(len(line)), at] = piece
+        ids[line] = moved
+        places[line] = np.take_along_axis(places[line], behind, 1)
+        pair = np.minimum(column[:-1] + (column[:-1] >= at[:, None]), width - 2)
+        for table, none in ((made, -1), (turns, NEVER)):
+            shifted = np.take_along_axis(table[line], pair, 1)
+            shifted[:, -1] = none
+            table[line] = shifted
+        for left in (at, at - 1):  # the pairs the new piece is part of
+            inside = (left >= 0) & (left < width - 1)
+            row, left = line[inside], left[inside]
+            made[row, left], turns[row, left] = words.merge_of(ids[row, left], ids[row, left + 1])
+    return out
+
+
+class Encoder:
+    """Ids of one variant, as little-endian 32-bit numbers.
+
+    The segmentation of a word depends on nothing but the word and the key, so it may be remembered.
     """
 
     def __init__(self, words: Vocabulary, dropout: float, seed: int, variant: int) -> None:
-        super().__init__()
-        self._words, self._dropout = words, dropout
+        self._vocabulary, self._dropout = words, dropout
         self._key = xxhash.xxh64_intdigest(f"{seed}/{variant}".encode())
-        self._runs: dict[str, bytes] = {}
-
-    def _ids(self, symbols: list[str]) -> bytes:
-        run = "".join(symbols)
-        known = self._runs.get(run)
-        if known is None:
-            key = xxhash.xxh64_intdigest(run.encode(), self._key)
-            pieces = merged(symbols, self._words, self._dropout, key)
-            known = np.array([i for p in pieces for i in self._words.spelled(p)], "<u4").tobytes()
-            if len(self._runs) >= REMEMBERED:
-                self._runs.clear()
-            self._runs[run] = known
-        return known
+        self._words: dict[str, bytes] = {}
+        self._again: set[str] = set()
+
+    def _keys_of(self, codes: np.ndarray) -> np.ndarray:
+        """Keys of words, given as rows of code points; zeros at the end do not count."""
+        state = np.full(len(codes), self._key, np.uint64)
+        for column in codes.T.astype(np.uint64):
+            state = np.where(column > 0, (state ^ column ^ (state >> np.uint64(29))) * np.uint64(_PIECE), state)
+        return state
+
+    def _key_of(self, run: str) -> int:
+        if len(run) > SIDE_BY_SIDE + 1:
+            return xxhash.xxh64_intdigest(run.encode(), self._key)
+        return int(self._keys_of(np.array([[ord(c) for c in run]], np.int64).reshape(1, -1))[0])
 
     def spell(self, blanks: int, word: str) -> bytes:
         """Ids of a word behind some blanks. No piece joins a character to a blank behind it."""
         symbols = [BLANK] * blanks + [_LITERAL if c == BLANK else c for c in word]
-        joints, out, first = self._words.joints, [], 0
-        for k in range(1, len(symbols)):
-            if symbols[k - 1] + symbols[k] not in joints:
-                out.append(self._ids(symbols[first:k]))
-                first = k
-        out.append(self._ids(symbols[first:]))
-        return b"".join(out)
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[word] = found = self.spell(1, word)
-        return found
+        pieces = merged(symbols, self._vocabulary, self._dropout, self._key_of(BLANK * blanks + word))
+        return b"".join([self._vocabulary.spelled(p) for p in pieces])
+
+    def _learn(self, fresh: list[str]) -> None:
+        """Spell words behind one blank, those of about the same length side by side."""
+        groups: dict[int, list[str]] = {}
+        for word in fresh:
+            width = (len(word) + 4) // 4 * 4
+            if width <= SIDE_BY_SIDE + 1 and "\0" not in word:
+                groups.setdefault(width, []).append(word)
+            else:
+                self._words[word] = self.spell(1, word)
+        words = self._vocabulary
+        for width, members in groups.items():
+            codes = np.array(members, f"<U{width - 1}").view(np.uint32).reshape(len(members), width - 1).astype(np.int64)
+            at = np.minimum(np.searchsorted(words.characters, codes), len(words.characters) - 1)
+            plain = (words.characters[at] == codes) & (codes != ord(BLANK))
+            ids = np.where(plain, words.character_ids[at], np.where(codes == 0, -1, -1 - codes))
+            ids = np.column_stack([np.full(len(members), words.ids[BLANK]), ids])
+            keys = self._keys_of(np.column_stack([np.full(len(members), ord(BLANK)), codes]))
+            done = merged_many(ids, words, self._dropout, keys)
+            held = done != -1
+            ends = np.cumsum(held.sum(axis=1)).tolist()
+            raw, strange = done[held].astype("<i4"), set(np.flatnonzero((done < -1).any(axis=1)).tolist())
+            flat, begin = raw.tobytes(), 0
+            for k, (word, end) in enumerate(zip(members, ends, strict=True)):
+                self._words[word] = self._spelled(raw[begin:end]) if k in strange else flat[4 * begin : 4 * end]
+                begin = end
+
+    def _spelled(self, ids: np.ndarray) -> bytes:
+        """Ids with negative ones written out as the bytes of their character."""
+        found = [i.to_bytes(4, "little") if i >= 0 else self._vocabulary.spelled(chr(-1 - i)) for i in ids.tolist()]
+        return b"".join([self._vocabulary.spelled(_LITERAL) if i == -1 - ord(BLANK) else f for i, f in zip(ids.tolist(), found, strict=True)])
+
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        plain = ["  " not in text and text[:1] != " " for text in texts]
+        cut = [text.split(" ") if text and easy else [] for text, easy in zip(texts, plain, strict=True)]
+        used = set().union(*cut)
+        fresh = used.difference(self._words)
+        self._again |= used - fresh
+        if len(self._words) + len(fresh) > REMEMBERED:  # forget what has not come again
+            self._words = {word: self._words[word] for word in self._again}
+            self._again = used - fresh
+        self._learn(list(fresh))
+        known = self._words.__getitem__
+        return [
+            b"".join(map(known, words))
+            if easy
+            else b"".join([self.spell(len(b), word) for b, word in _RUNS.findall(" " + text) if b or word])
+            for text, easy, words in zip(texts, plain, cut, strict=True)
+        ]
 
     def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if "  " not in text and text[0] != " ":
-            return b"".join(map(self.__getitem__, text.split(" ")))
-        return b"".join(
-            self.spell(len(blanks), word)
-            for blanks, word in _RUNS.findall(" " + text)
-            if blanks or word
-        )
+        return self.encode_many([text])[0]
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
@@ -207,9 +333,15 @@ def encode(
     @F.arrow_udf("array<int>")
     def of(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, draws in batches:
-            raw = []
-            for text_, drawn in zip(texts, draws.to_pylist(), strict=True):
-                raw.append(_encoder(path, dropout, seed, drawn % variants).encode(text_.as_py()))
+            raw: list[bytes] = []
+            variant = draws.to_numpy(zero_copy_only=False) % variants
+            for first, last in slices(utf8(texts)[1]):
+                part, found = texts[first:last].to_pylist(), [b""] * (last - first)
+                for v in range(variants):
+                    mine = np.flatnonzero(variant[first:last] == v).tolist()
+                    for k, ids in zip(mine, _encoder(path, dropout, seed, v).encode_many([part[k] for k in mine]), strict=True):
+                        found[k] = ids
+                raw += found
             ends = np.cumsum([0, *[len(r) // 4 for r in raw]]).astype(np.int32)
             yield pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(raw), "<i4")))
 
@@ -222,10 +354,15 @@ def decode(ids: Column, path: str | None = None) -> Column:
 
     @F.arrow_udf("string")
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        written = vocabulary(path).written
+        written = vocabulary(path).written.__getitem__
         for batch in batches:
-            rows = (None if r.as_py() is None else b"".join([written[i] for i in r.as_py()])[1:] for r in batch)
-            yield pa.array([None if r is None else r.decode("utf-8", "replace") for r in rows], pa.string())
+            ends = batch.offsets.to_numpy()
+            flat = batch.values.to_numpy(zero_copy_only=False)
+            rows = [
+                b"".join(map(written, flat[a:b].tolist()))[1:].decode("utf-8", "replace") if known else None
+                for a, b, known in zip(ends[:-1].tolist(), ends[1:].tolist(), batch.is_valid().to_pylist(), strict=True)
+            ]
+            yield pa.array(rows, pa.string())
 
     return of(ids)
 

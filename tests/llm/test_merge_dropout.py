@@ -46,6 +46,23 @@ def test_share_of_skipped_merges():
     assert abs(cut / (40 * len(words)) - 0.25) < 0.03
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(alphabet="theanignr.,▁é★\n", min_size=1, max_size=34), min_size=1, max_size=20), st.sampled_from([0.0, 0.1, 0.5]))
+def test_side_by_side_equals_one_by_one(words, dropout):
+    encoder = md.Encoder(WORDS, dropout, 5, 1)
+    encoder._learn(words)
+    assert [encoder._words[w] for w in words] == [encoder.spell(1, w) for w in words]
+
+
+def test_forgetting_does_not_change_ids(monkeypatch):
+    whole = ids_of(LONG[:9000], 0.2)
+    monkeypatch.setattr(md, "REMEMBERED", 40)
+    encoder = md.Encoder(WORDS, 0.2, 1, 0)
+    for text in (PROSE, LONG[:9000], OTHER, LONG[:9000]):
+        raw = encoder.encode(text)
+    assert [int.from_bytes(raw[k : k + 4], "little") for k in range(0, len(raw), 4)] == whole
+
+
 def test_messy_rows(messy, empty):
     done = md.encoded(messy).withColumn("decoded", md.decode(F.col("ids"))).select("doc_id", "text", "ids", "decoded").collect()
     assert len(done) == len(MESSY)
