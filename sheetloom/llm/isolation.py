@@ -13,6 +13,7 @@ labelled rows of both kinds the threshold is the textbook score 0.6; an empty ta
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheetloom.llm.common import text_of, whole_rows
-from sheetloom.llm.text_stats import bounded_sample, ratio, text_counts
+from sheetloom.llm.text_stats import COUNTS, STRUCT, bounded_sample, counts, ratio, shares, text_counts
 
 SAMPLE_ROWS = 8192
 LABELLED_ROWS = 8192
@@ -144,15 +145,17 @@ def judge(docs: DataFrame, labels: DataFrame, text_col: str = "text", **bounds:
     forest, most = fit(docs, labels, **bounds)
     shared = docs.sparkSession.sparkContext.broadcast(forest)  # a few hundred nodes a tree
 
-    @F.arrow_udf("double")
-    def anomaly(*columns: pa.Array) -> pa.Array:
-        x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in columns])
-        return pa.array(shared.value.anomaly(x) if shared.value is not None else np.zeros(len(x)))
-
-    counted = whole_rows(docs, counts=text_counts(text_of(text_col)))
-    scored = counted.select(
-        "row", "counts", base_failed("counts.").alias("base_failed"), anomaly(*[ratio(s, "counts.") for s in STATISTICS]).alias("anomaly")
-    )
+    @F.arrow_udf(f"{STRUCT}, anomaly double")
+    def look(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            found = counts(batch)
+            x = np.column_stack([shares(found, s) for s in STATISTICS])
+            found["anomaly"] = shared.value.anomaly(x) if shared.value is not None else np.zeros(len(x))
+            names = [*COUNTS, "anomaly"]
+            yield pa.StructArray.from_arrays([pa.array(found[n]) for n in names], names)
+
+    looked = whole_rows(docs, counts=look(text_of(text_col)))
+    scored = looked.select("row", "counts", base_failed("counts.").alias("base_failed"), F.col("counts.anomaly").alias("anomaly"))
     return scored.withColumn("kept", ~F.col("base_failed") & (F.col("anomaly") <= most))
 
 

@@ -239,6 +239,10 @@ class Encoder:
         self._words: dict[str, bytes] = {}
         self._again: set[str] = set()
 
+    def forget(self) -> None:
+        """Let go of what is remembered."""
+        self._words, self._again = {}, set()
+
     def _keys_of(self, codes: np.ndarray) -> np.ndarray:
         """Keys of words, given as rows of code points; zeros at the end do not count."""
         state = np.full(len(codes), self._key, np.uint64)
@@ -344,6 +348,8 @@ def encode(
                 raw += found
             ends = np.cumsum([0, *[len(r) // 4 for r in raw]]).astype(np.int32)
             yield pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(raw), "<i4")))
+        for v in range(variants):  # an idle worker should hold the vocabulary only
+            _encoder(path, dropout, seed, v).forget()
 
     return of(text, draw)
 

@@ -91,6 +91,10 @@ class UnitTokenizer:
             sizes[number] = len(token)
         return tiktoken.Encoding("merges", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={}), sizes
 
+    def forget(self) -> None:
+        """Let go of what is remembered: an idle worker should hold the vocabulary only."""
+        self._units, self._again = {}, set()
+
     def units(self, text: str) -> tuple[str, list[str]]:
         """The opening unit, and the others without the blank that each begins with."""
         first, *rest = text.split(" ")
@@ -205,6 +209,7 @@ def pieces(
                     ],
                     names=["doc_id", "start", "length", "doc_tokens", "ids", "block", "rank"],
                 )
+        tokenizer.forget()
 
     return arrow.mapInArrow(cut, PIECES.format(id=kind))
 

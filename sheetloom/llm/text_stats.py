@@ -120,6 +120,12 @@ def ratio(name: str, source: str = "") -> Column:
     return F.when(below > 0, above / below).otherwise(F.lit(0.0)).cast("double")
 
 
+def shares(found: dict[str, np.ndarray], name: str) -> np.ndarray:
+    """The same share over the counts of :func:`counts`."""
+    above, below = (found[c] for c in RATIOS[name])
+    return np.where(below > 0, above / np.maximum(below, 1), 0.0)
+
+
 def bounded_sample(rows: DataFrame, key: Column, most: int) -> DataFrame:
     """At most ``most`` rows, those with the smallest hash of their key: the same rows at every run.
 
