@@ -38,14 +38,20 @@ PIECE = ("file_ord", "block")
 def running_number(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """Number the rows of every group 1, 2, ... in row order.
 
-    Keys must not be null. Every group is cut into scan blocks, whatever its size: rows are numbered inside
-    each block, and the rows of the earlier blocks, counted with a map-side combine and summed up per
-    group, are added on top. No task holds more of a group than a block, or its list of blocks.
+    Rows with a null key have no group and are left out. Every group is cut into scan blocks, whatever its size: rows
+    are numbered inside each block, and the rows of the earlier blocks, summed up per group, are added on top. No task
+    holds more of a group than a block, or its list of blocks.
     """
     pieces = [*keys, *PIECE]
-    counted = df.groupBy(*pieces).agg(F.count(F.lit(1)).alias("_rows"))
+    columns = df.columns
+    df = df.where(" AND ".join(f"`{c}` IS NOT NULL" for c in pieces))  # said here, so that both sides below are the same plan
+    inside = Window.partitionBy(*pieces).orderBy(*order_of(df))
+    numbered = df.withColumn("_inside", F.row_number().over(inside))
+    # The count is the last number of a block. Taken with all columns, it reads the very shuffle that the numbering
+    # reads, which Spark then writes once; the rows come sorted by block, so this aggregation sorts nothing.
+    last = F.max(F.struct("_inside", *[c for c in df.columns if c not in pieces]))
+    counted = numbered.groupBy(*pieces).agg(last["_inside"].alias("_rows"))
     earlier = Window.partitionBy(*keys).orderBy(*PIECE).rowsBetween(Window.unboundedPreceding, -1)
     before = counted.select(*pieces, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy(*pieces).orderBy(*order_of(df))
-    numbered = df.withColumn("_inside", F.row_number().over(inside)).join(before, pieces)
-    return numbered.select(*df.columns, (F.col("_inside") + F.col("_before")).cast("long").alias(name))
+    placed = numbered.join(before, pieces)
+    return placed.select(*columns, (F.col("_inside") + F.col("_before")).cast("long").alias(name))
