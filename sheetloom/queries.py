@@ -60,7 +60,8 @@ def analyte_sheet(spark, sf):
 
 def library_numbers(spark, sf):
     samples, ref = harness.samples(spark, sf), harness.tissue_ref(spark)
-    return plain(regular.library_sheet(regular.analyte_rows(samples, ref)))
+    analytes = harness.staging(spark)(regular.analyte_rows(samples, ref), "analytes")
+    return plain(regular.library_sheet(analytes))
 
 
 def sequencing_sheet(spark, sf):
@@ -277,7 +278,10 @@ def dangling_links(spark, sf):
 
 def codec_dangling_links(spark, sf):
     sheets = codec_plan(
-        harness.codec_samples(spark, sf), harness.tissue_ref(spark), harness.donors(spark, sf)
+        harness.codec_samples(spark, sf),
+        harness.tissue_ref(spark),
+        harness.donors(spark, sf),
+        staging=harness.staging(spark),
     )
     return links.dangling_links(sheets, CODEC_EDGES)
 
