@@ -289,8 +289,11 @@ class Encoder:
 
     def _spelled(self, ids: np.ndarray) -> bytes:
         """Ids with negative ones written out as the bytes of their character."""
-        found = [i.to_bytes(4, "little") if i >= 0 else self._vocabulary.spelled(chr(-1 - i)) for i in ids.tolist()]
-        return b"".join([self._vocabulary.spelled(_LITERAL) if i == -1 - ord(BLANK) else f for i, f in zip(ids.tolist(), found, strict=True)])
+        literal = -1 - ord(BLANK)
+        return b"".join([
+            i.to_bytes(4, "little") if i >= 0 else self._vocabulary.spelled(_LITERAL if i == literal else chr(-1 - i))
+            for i in ids.tolist()
+        ])
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
         plain = ["  " not in text and text[:1] != " " for text in texts]

@@ -137,11 +137,13 @@ class UnitTokenizer:
             self._again = used - fresh
         self._learn(list(fresh))
         known = self._units.__getitem__
-        return [
-            (self._whole(text) if special else self._fast.encode_to_numpy(first).astype("<u4").tobytes() + b"".join(map(known, rest)))
-            + self._end
-            for text, special, (first, rest) in zip(texts, whole, cut, strict=True)
-        ]
+
+        def ids(text: str, special: bool, first: str, rest: list[str]) -> bytes:
+            if special:
+                return self._whole(text)
+            return self._fast.encode_to_numpy(first).astype("<u4").tobytes() + b"".join(map(known, rest))
+
+        return [ids(t, special, *units) + self._end for t, special, units in zip(texts, whole, cut, strict=True)]
 
 
 def tokenizer_file(name: str = TOKENIZER) -> str:
@@ -191,7 +193,8 @@ def pieces(
                 doc = np.repeat(np.arange(last - first), count)
                 start = (np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)) * window
                 length = np.minimum(window, total[doc] - start)
-                raw = [ids[d][4 * a : 4 * b] for d, a, b in zip(doc.tolist(), start.tolist(), (start + length).tolist(), strict=True)]
+                bounds = zip(doc.tolist(), start.tolist(), (start + length).tolist(), strict=True)
+                raw = [ids[d][4 * a : 4 * b] for d, a, b in bounds]
                 order = np.argsort(length, kind="stable")
                 rank = np.empty(len(order), np.int64)
                 values, index, sizes = np.unique(length[order], return_index=True, return_counts=True)

@@ -1,7 +1,6 @@
 import hashlib
 
 import numpy as np
-import pyarrow as pa  # noqa: F401
 import pytest
 
 from sheetloom.llm import spot_signatures as spots
