@@ -21,6 +21,12 @@ from sheetloom.sources.strip import strip_metrics, strip_paths
 from sheetloom.sources.tables import missing_to_null, scan_tables
 
 
+def _staged(spark, sf):
+    """Samples written once, as the workflows do before several sheets read them, and where to stage more."""
+    staging = harness.staging(spark)
+    return staging(harness.samples(spark, sf), "samples"), staging
+
+
 def donor_sheet(spark: SparkSession, sf: str) -> DataFrame:
     return plain(regular.donor_sheet(harness.donors(spark, sf)))
 
@@ -53,15 +59,14 @@ def tissue_sample_sheet(spark, sf):
 
 
 def analyte_sheet(spark, sf):
-    samples, ref = harness.samples(spark, sf), harness.tissue_ref(spark)
+    (samples, _), ref = _staged(spark, sf), harness.tissue_ref(spark)
     rows = regular.analyte_rows(samples, ref)
     return plain(regular.analyte_sheet(rows))
 
 
 def library_numbers(spark, sf):
-    samples, ref = harness.samples(spark, sf), harness.tissue_ref(spark)
-    analytes = harness.staging(spark)(regular.analyte_rows(samples, ref), "analytes")
-    return plain(regular.library_sheet(analytes))
+    (samples, _), ref = _staged(spark, sf), harness.tissue_ref(spark)
+    return plain(regular.library_sheet(regular.analyte_rows(samples, ref)))
 
 
 def sequencing_sheet(spark, sf):
@@ -79,8 +84,8 @@ def fileset_numbers(spark, sf):
 
 
 def fileset_sheet_linked(spark, sf):
-    samples, ref = harness.samples(spark, sf), harness.tissue_ref(spark)
-    analytes = harness.staging(spark)(regular.analyte_rows(samples, ref), "analytes")
+    (samples, staging), ref = _staged(spark, sf), harness.tissue_ref(spark)
+    analytes = staging(regular.analyte_rows(samples, ref), "analytes")
     return plain(regular.file_set_sheet(samples, ref, analytes))
 
 
@@ -90,7 +95,7 @@ def unaligned_reads(spark, sf):
 
 
 def aligned_reads_linked(spark, sf):
-    samples, ref = harness.samples(spark, sf), harness.tissue_ref(spark)
+    (samples, _), ref = _staged(spark, sf), harness.tissue_ref(spark)
     return plain(regular.aligned_reads_sheet(samples, ref))
 
 
@@ -231,11 +236,15 @@ def codec_variant_calls(spark, sf):
     return plain(codec.codec_variant_calls_sheet(harness.codec_samples(spark, sf), harness.tissue_ref(spark)))
 
 
+def _codec_sheets(spark, sf):
+    staging = harness.staging(spark)
+    samples = staging(harness.codec_samples(spark, sf), "samples")
+    return codec_plan(samples, harness.tissue_ref(spark), harness.donors(spark, sf), staging=staging)
+
+
 def codec_constants(spark, sf):
     """The constant rows with the number of sheet rows that cite each."""
-    sheets = codec_plan(
-        harness.codec_samples(spark, sf), harness.tissue_ref(spark), harness.donors(spark, sf)
-    )
+    sheets = _codec_sheets(spark, sf)
     citing = [
         ("AlignedReads", "software"),
         ("VariantCalls", "software"),
@@ -266,29 +275,18 @@ def sheet_order(spark, sf):
 
 
 def dangling_links(spark, sf):
-    sheets = regular_plan(
-        harness.samples(spark, sf),
-        harness.tissue_ref(spark),
-        harness.donors(spark, sf),
-        harness.manifest(spark, sf),
-        staging=harness.staging(spark),
-    )
-    return links.dangling_links(sheets, REGULAR_EDGES)
+    samples, staging = _staged(spark, sf)
+    ref, donors, manifest = harness.tissue_ref(spark), harness.donors(spark, sf), harness.manifest(spark, sf)
+    return links.dangling_links(regular_plan(samples, ref, donors, manifest, staging=staging), REGULAR_EDGES)
 
 
 def codec_dangling_links(spark, sf):
-    sheets = codec_plan(
-        harness.codec_samples(spark, sf),
-        harness.tissue_ref(spark),
-        harness.donors(spark, sf),
-        staging=harness.staging(spark),
-    )
-    return links.dangling_links(sheets, CODEC_EDGES)
+    return links.dangling_links(_codec_sheets(spark, sf), CODEC_EDGES)
 
 
 def duplicate_reads(spark, sf):
     """Read ids that stand on more than one row."""
-    samples, ref = harness.samples(spark, sf), harness.tissue_ref(spark)
+    (samples, _), ref = _staged(spark, sf), harness.tissue_ref(spark)
     unaligned = plain(regular.unaligned_reads_sheet(samples, ref)).select("submitted_id")
     aligned = plain(regular.aligned_reads_sheet(samples, ref)).select("submitted_id")
     return links.duplicate_ids(unaligned.unionByName(aligned))
