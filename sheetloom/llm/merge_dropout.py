@@ -3,9 +3,14 @@
 A word, with the blanks before it, is cut into characters, which are merged pair by pair. All possible merges
 wait on an agenda, the best-scored first, of equal ones the leftmost. With dropout, a merge whose turn comes is
 passed over if a keyed hash says so, which gives another segmentation for each key, all of which decode to the
-same text. The key is the seed, the variant drawn for the document, the word, the place in it and the piece that
-would be made, so results do not depend on partitions, order or retries. The agendas of all new words of a
-slice of text are worked off side by side, one step of each at a time.
+same text. The key is the seed, the document (its id and text), the number of the word in the text, the place in the
+word and the piece that would be made, so every occurrence of a word is drawn anew, and results do not depend on
+partitions, order or retries.
+
+What a worker remembers is no draw: it is what the agenda does with a word after given steps were passed over, up to the
+next one that is. An occurrence draws every step of its own and follows these states. Where none is known yet its
+agenda is worked off under its own key, next to those of others, one step of each at a time; a state is remembered
+when it is reached again.
 
 Pieces and scores come from a public model file of the merge type; nothing is trained. With dropout 0 the ids
 are those of the file's own library. A character without a piece of its own is written as its UTF-8 bytes, and so
@@ -19,7 +24,7 @@ from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,15 +32,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheetloom.llm.common import slices, text_of, utf8, whole_rows, with_outputs
+from sheetloom.llm.common import mixed, slices, text_of, utf8, whole_rows, with_outputs
 
 MODEL = "piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 1
-#: Segmentations a word may have under one seed; a document draws its variant by its id.
-VARIANTS = 2
-#: Words that a worker remembers the ids of for each variant, at most.
+#: Words, and states of their agendas, that a worker remembers at most.
 REMEMBERED = 200_000
+REMEMBERED_STATES = 400_000
+#: Words drawn in one numpy step, and bytes of texts taken together.
+BLOCK, TOGETHER = 1 << 17, 1 << 20
 #: Longest word whose agenda is worked off next to others; a longer one has a heap of its own.
 SIDE_BY_SIDE = 31
 
@@ -54,7 +60,7 @@ def model_file(name: str = MODEL) -> str:
 
 
 #: Turn of a pair that makes nothing, after all others.
-NEVER = 1 << 40
+NEVER = 1 << 30
 
 
 class _PairTable:
@@ -64,7 +70,7 @@ class _PairTable:
 
     def __init__(self, keys: np.ndarray, made: np.ndarray, turns: np.ndarray) -> None:
         self._levels = []
-        self._made, self._turns = np.append(made, -1), np.append(turns, NEVER)
+        self._made, self._turns = (np.append(x, none).astype(np.int32) for x, none in ((made, -1), (turns, NEVER)))
         left = np.arange(len(keys))
         while len(left):
             place = self._place(keys[left], len(self._levels))
@@ -127,7 +133,7 @@ class Vocabulary:
 
     def merge_of(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """What two neighbours make, and its turn; NEVER where they make nothing."""
-        return self._pairs.find(np.where((left >= 0) & (right >= 0), left * self.size + right, -1))
+        return self._pairs.find(np.where((left >= 0) & (right >= 0), left.astype(np.int64) * self.size + right, -1))
 
     def spelled(self, piece: str) -> bytes:
         """Ids of a piece as little-endian 32-bit numbers; bytes stand in for a character without a piece."""
@@ -185,174 +191,307 @@ def merged(symbols: list[str], words: Vocabulary, dropout: float = 0.0, key: int
     return [p for p in pieces if p]
 
 
-def merged_many(ids: np.ndarray, words: Vocabulary, dropout: float, keys: np.ndarray) -> np.ndarray:
+def merged_many(ids: np.ndarray, words: Vocabulary, passed: Callable, record: bool = False) -> tuple[np.ndarray, ...]:
     """:func:`merged` for many words at once: a row of ids for each, negative ones for characters without a piece.
 
     Rows are filled up with -1 at the end. In every step each row that still has a merge takes its best one, or
-    passes it over; rows that are done leave.
+    passes it over where ``passed`` (of rows, step and what is hashed with a key) says so; rows that are done leave.
+    A row of 32 has at most 93 steps. With ``record``, row, step and hashed term of every merge looked at come along.
     """
-    limit, width = np.uint64(int(dropout * (1 << 32))), ids.shape[1]
-    out, rows = ids.copy(), np.arange(len(ids))
-    places = np.broadcast_to(np.arange(width), ids.shape).copy()
+    width = ids.shape[1]
+    out, rows, step, seen = ids.astype(np.int32), np.arange(len(ids)), 0, []
+    # one column more than is filled, so that the last one can be moved up
+    ids = np.column_stack([out, np.full(len(out), -1, np.int32)])
+    places = np.repeat(np.arange(width + 1, dtype=np.int32)[None], len(ids), 0)
     made, turns = words.merge_of(ids[:, :-1], ids[:, 1:])
-    column = np.arange(width)
     while len(rows):
         at = turns.argmin(axis=1)  # of equal turns the leftmost
-        open_ = np.take_along_axis(turns, at[:, None], 1)[:, 0] < NEVER
+        open_ = turns[np.arange(len(rows)), at] < NEVER
         if not open_.all():
-            out[rows[~open_]] = ids[~open_]
-            rows, ids, places, made, turns, keys, at = (x[open_] for x in (rows, ids, places, made, turns, keys, at))
-        line = np.arange(len(rows))
+            out[rows[~open_], :width] = ids[~open_, :width]
+            out[rows[~open_], width:] = -1
+            rows, ids, places, made, turns, at = (x[open_] for x in (rows, ids, places, made, turns, at))
+            while len(rows) and width > 2 and (ids[:, width - 1] == -1).all():
+                width -= 1
+            ids, places, made, turns = (np.ascontiguousarray(x[:, :w]) for x, w in ((ids, width + 1), (places, width + 1), (made, width), (turns, width)))
+        line, column = np.arange(len(rows)), np.arange(width)
         piece, place = made[line, at], places[line, at]
-        state = keys ^ (place.astype(np.uint64) * np.uint64(_PLACE) + piece.astype(np.uint64) * np.uint64(_PIECE))
-        skipped = ((state ^ (state >> np.uint64(31))) * np.uint64(_MIX)) >> np.uint64(32) < limit
+        term = place.astype(np.uint64) * np.uint64(_PLACE) + piece.astype(np.uint64) * np.uint64(_PIECE)
+        if record:
+            seen.append((rows, np.full(len(rows), step), term))
+        skipped = passed(rows, step, term)
+        step += 1
         turns[line[skipped], at[skipped]] = NEVER
-        line, at, piece = line[~skipped], at[~skipped], piece[~skipped]
-        # the right neighbour goes, and with it the pair that was merged
-        behind = np.minimum(column + (column > at[:, None]), width - 1)
-        moved = np.take_along_axis(ids[line], behind, 1)
-        moved[:, -1] = -1
-        moved[np.arange(len(line)), at] = piece
-        ids[line] = moved
-        places[line] = np.take_along_axis(places[line], behind, 1)
-        pair = np.minimum(column[:-1] + (column[:-1] >= at[:, None]), width - 2)
-        for table, none in ((made, -1), (turns, NEVER)):
-            shifted = np.take_along_axis(table[line], pair, 1)
-            shifted[:, -1] = none
-            table[line] = shifted
+        # the right neighbour goes, and with it the pair that was merged; nothing where it was passed over
+        gone = np.where(skipped, width, at)[:, None]
+        behind = column + (column > gone) + (line * (width + 1))[:, None]
+        ids[:, :-1], places[:, :-1] = np.take(ids, behind), np.take(places, behind)
+        pair = column[:-1] + (column[:-1] >= gone) + (line * width)[:, None]
+        made[:, :-1], turns[:, :-1] = np.take(made, pair), np.take(turns, pair)
+        line, at = line[~skipped], at[~skipped]
+        ids[line, at] = piece[~skipped]
         for left in (at, at - 1):  # the pairs the new piece is part of
-            inside = (left >= 0) & (left < width - 1)
+            inside = left >= 0
             row, left = line[inside], left[inside]
             made[row, left], turns[row, left] = words.merge_of(ids[row, left], ids[row, left + 1])
-    return out
+    row, steps, terms = (np.concatenate(x) for x in zip(*seen, strict=True)) if seen else (np.zeros(0, np.int64),) * 3
+    return out, row, steps, terms.astype(np.uint64)
 
 
-class Encoder:
-    """Ids of one variant, as little-endian 32-bit numbers.
+def _hits(keys: np.ndarray, terms: np.ndarray, limit: np.uint64) -> np.ndarray:
+    """:func:`_passed_over` for many."""
+    state = keys ^ terms
+    return ((state ^ (state >> np.uint64(31))) * np.uint64(_MIX)) >> np.uint64(32) < limit
 
-    The segmentation of a word depends on nothing but the word and the key, so it may be remembered.
-    """
 
-    def __init__(self, words: Vocabulary, dropout: float, seed: int, variant: int) -> None:
-        self._vocabulary, self._dropout = words, dropout
-        self._key = xxhash.xxh64_intdigest(f"{seed}/{variant}".encode())
-        self._words: dict[str, bytes] = {}
-        self._again: set[str] = set()
+class _Grown:
+    """An array that grows at its end."""
 
-    def forget(self) -> None:
-        """Let go of what is remembered."""
-        self._words, self._again = {}, set()
+    def __init__(self, dtype: str) -> None:
+        self.held, self.size = np.zeros(1024, dtype), 0
 
-    def _keys_of(self, codes: np.ndarray) -> np.ndarray:
-        """Keys of words, given as rows of code points; zeros at the end do not count."""
-        state = np.full(len(codes), self._key, np.uint64)
-        for column in codes.T.astype(np.uint64):
-            state = np.where(column > 0, (state ^ column ^ (state >> np.uint64(29))) * np.uint64(_PIECE), state)
-        return state
+    def add(self, values: np.ndarray) -> int:
+        """Append; where the values begin."""
+        begin, self.size = self.size, self.size + len(values)
+        if self.size > len(self.held):
+            more = np.zeros(max(self.size, 2 * len(self.held)), self.held.dtype)
+            more[:begin] = self.held[:begin]
+            self.held = more
+        self.held[begin : self.size] = values
+        return begin
+
+
+def _spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Positions of all elements of runs, one run after the other."""
+    return np.arange(int(lengths.sum())) + np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
 
-    def _key_of(self, run: str) -> int:
-        if len(run) > SIDE_BY_SIDE + 1:
-            return xxhash.xxh64_intdigest(run.encode(), self._key)
-        return int(self._keys_of(np.array([[ord(c) for c in run]], np.int64).reshape(1, -1))[0])
 
-    def spell(self, blanks: int, word: str) -> bytes:
+class Encoder:
+    """Ids under one seed, as 32-bit numbers. ``draw`` stands for the document where none is given."""
+
+    def __init__(self, words: Vocabulary, dropout: float, seed: int, draw: int = 0) -> None:
+        self._vocabulary, self._dropout, self._draw = words, dropout, draw
+        self._limit = np.uint64(int(dropout * (1 << 32)))
+        self._seed = np.uint64(xxhash.xxh64_intdigest(str(seed).encode()))
+        self.forget()
+
+    def forget(self) -> None:
+        """Let go of what is remembered."""
+        self._numbers: dict[str, int] = {}
+        # by word: its symbols, and the state in which nothing was passed over (-1: not known yet, -2: a heap of its own)
+        self._symbols, self._symbols_at, self._width, self._root = (_Grown(t) for t in ("<i8", "<i8", "<i8", "<i8"))
+        # by state: its word, the steps passed over, the first step still to draw, and where its steps and ids are
+        self._word, self._low, self._high, self._first = (_Grown(t) for t in ("<i8", "<u8", "<u8", "<i8"))
+        self._steps_at, self._steps, self._ids_at, self._length = (_Grown(t) for t in ("<i8", "<i8", "<i8", "<i8"))
+        # by step: what is hashed with the key, and the state that passing over leads to (-1: never, -2: reached once)
+        self._terms, self._leads, self._ids = _Grown("<u8"), _Grown("<i8"), _Grown("<i4")
+        self._known = 0  # words of earlier blocks
+
+    def _keys_of(self, draws: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Key of each occurrence: the seed, the document and the number of the word in the text."""
+        return mixed(mixed(draws.astype(np.uint64) ^ self._seed) + places.astype(np.uint64) * np.uint64(_PLACE))
+
+    def spell(self, blanks: int, word: str, key: int | None = None) -> bytes:
         """Ids of a word behind some blanks. No piece joins a character to a blank behind it."""
+        if key is None:
+            key = int(self._keys_of(np.array([self._draw], np.int64), np.zeros(1, np.int64))[0])
         symbols = [BLANK] * blanks + [_LITERAL if c == BLANK else c for c in word]
-        pieces = merged(symbols, self._vocabulary, self._dropout, self._key_of(BLANK * blanks + word))
+        pieces = merged(symbols, self._vocabulary, self._dropout, key)
         return b"".join([self._vocabulary.spelled(p) for p in pieces])
 
+    @property
+    def _words(self) -> dict[str, bytes]:
+        """Remembered words with their ids at the first place of a text."""
+        return {word: self._spell_all([word], {}, self._keys_of(np.array([self._draw]), np.zeros(1)))[0].tobytes() for word in self._numbers}
+
     def _learn(self, fresh: list[str]) -> None:
-        """Spell words behind one blank, those of about the same length side by side."""
+        """Number words behind one blank, and keep their symbols, those of about the same length together."""
         groups: dict[int, list[str]] = {}
         for word in fresh:
-            width = (len(word) + 4) // 4 * 4
-            if width <= SIDE_BY_SIDE + 1 and "\0" not in word:
-                groups.setdefault(width, []).append(word)
-            else:
-                self._words[word] = self.spell(1, word)
+            if word not in self._numbers:
+                width = (len(word) + 4) // 4 * 4
+                self._numbers[word] = -1
+                groups.setdefault(width if width <= SIDE_BY_SIDE + 1 and "\0" not in word else 0, []).append(word)
         words = self._vocabulary
         for width, members in groups.items():
-            codes = np.array(members, f"<U{width - 1}").view(np.uint32).reshape(len(members), width - 1).astype(np.int64)
-            at = np.minimum(np.searchsorted(words.characters, codes), len(words.characters) - 1)
-            plain = (words.characters[at] == codes) & (codes != ord(BLANK))
-            ids = np.where(plain, words.character_ids[at], np.where(codes == 0, -1, -1 - codes))
-            ids = np.column_stack([np.full(len(members), words.ids[BLANK]), ids])
-            keys = self._keys_of(np.column_stack([np.full(len(members), ord(BLANK)), codes]))
-            done = merged_many(ids, words, self._dropout, keys)
-            held = done != -1
-            ends = np.cumsum(held.sum(axis=1)).tolist()
-            raw, strange = done[held].astype("<i4"), set(np.flatnonzero((done < -1).any(axis=1)).tolist())
-            flat, begin = raw.tobytes(), 0
-            for k, (word, end) in enumerate(zip(members, ends, strict=True)):
-                self._words[word] = self._spelled(raw[begin:end]) if k in strange else flat[4 * begin : 4 * end]
-                begin = end
-
-    def _spelled(self, ids: np.ndarray) -> bytes:
-        """Ids with negative ones written out as the bytes of their character."""
-        literal = -1 - ord(BLANK)
-        return b"".join([
-            i.to_bytes(4, "little") if i >= 0 else self._vocabulary.spelled(_LITERAL if i == literal else chr(-1 - i))
-            for i in ids.tolist()
-        ])
-
-    def encode_many(self, texts: list[str]) -> list[bytes]:
-        plain = ["  " not in text and text[:1] != " " for text in texts]
-        cut = [text.split(" ") if text and easy else [] for text, easy in zip(texts, plain, strict=True)]
-        used = set().union(*cut)
-        fresh = used.difference(self._words)
-        self._again |= used - fresh
-        if len(self._words) + len(fresh) > REMEMBERED:  # forget what has not come again
-            self._words = {word: self._words[word] for word in self._again}
-            self._again = used - fresh
-        self._learn(list(fresh))
-        known = self._words.__getitem__
-        return [
-            b"".join(map(known, words))
-            if easy
-            else b"".join([self.spell(len(b), word) for b, word in _RUNS.findall(" " + text) if b or word])
-            for text, easy, words in zip(texts, plain, cut, strict=True)
-        ]
+            self._numbers.update(zip(members, range(self._root.size, self._root.size + len(members)), strict=True))
+            self._width.add(np.full(len(members), width))
+            self._root.add(np.full(len(members), -1 if width else -2))
+            self._symbols_at.add(self._symbols.size + width * np.arange(len(members)))
+            if width:
+                codes = np.array(members, f"<U{width - 1}").view(np.uint32).reshape(len(members), width - 1).astype(np.int64)
+                at = np.minimum(np.searchsorted(words.characters, codes), len(words.characters) - 1)
+                plain = (words.characters[at] == codes) & (codes != ord(BLANK))
+                ids = np.where(plain, words.character_ids[at], np.where(codes == 0, -1, -1 - codes))
+                self._symbols.add(np.column_stack([np.full(len(members), words.ids[BLANK]), ids]).ravel())
+
+    def _by_width(self, numbers: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Words of about the same length, as places in ``numbers`` and rows of symbols."""
+        wide = (self._width.held[numbers] + 7) // 8 * 8
+        for width in np.unique(wide).tolist():
+            mine = np.flatnonzero(wide == width)
+            own = self._width.held[numbers[mine]][:, None]
+            at = self._symbols_at.held[numbers[mine]][:, None] + np.arange(width)
+            yield mine, np.where(np.arange(width) < own, np.take(self._symbols.held, at, mode="clip"), -1)
+
+    def _written(self, done: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids row after row, negative ones as the bytes of their character, and how many each row has."""
+        held = done != -1
+        flat, length = done[held], held.sum(axis=1)
+        strange = flat < 0
+        if not strange.any():
+            return flat, length
+        codes, which = np.unique(flat[strange], return_inverse=True)
+        parts = [np.frombuffer(self._vocabulary.spelled(_LITERAL if c == ord(BLANK) else chr(c)), "<i4") for c in (-1 - codes).tolist()]
+        size = np.array([len(p) for p in parts])
+        sizes = np.ones(len(flat), np.int64)
+        sizes[strange] = size[which]
+        out = np.repeat(flat, sizes)
+        into = _spread((np.cumsum(sizes) - sizes)[strange], size[which])
+        out[into] = np.concatenate(parts)[_spread((np.cumsum(size) - size)[which], size[which])]
+        return out, np.bincount(np.repeat(np.arange(len(length)), length), sizes, len(length)).astype(np.int64)
+
+    def _reach(self, numbers: np.ndarray, low: np.ndarray, high: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """New states of words, given the steps passed over (bits, from 64 on in ``high``) and the first step behind them."""
+        states = np.empty(len(numbers), np.int64)
+        for mine, ids in self._by_width(numbers):
+            masks = low[mine], high[mine]
+            done, row, step, term = merged_many(
+                ids, self._vocabulary, lambda rows, step, _, m=masks: (m[step >> 6][rows] >> np.uint64(step & 63)) & np.uint64(1) > 0, True
+            )
+            later = step >= first[mine][row]
+            row, term = row[later], term[later]
+            steps = np.bincount(row, minlength=len(mine))
+            at = self._terms.add(term[np.argsort(row, kind="stable")])
+            self._leads.add(np.full(len(term), -1))
+            flat, length = self._written(done)
+            ids_at = self._ids.add(flat)
+            states[mine] = self._word.size + np.arange(len(mine))
+            for table, values in (
+                (self._word, numbers[mine]), (self._low, masks[0]), (self._high, masks[1]), (self._first, first[mine]),
+                (self._steps, steps), (self._steps_at, at + np.cumsum(steps) - steps),
+                (self._length, length), (self._ids_at, ids_at + np.cumsum(length) - length),
+            ):
+                table.add(values)
+        return states
+
+    def _drawn(self, numbers: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """The state each occurrence ends in, -1 if it is not known. Every step looked at is drawn under the occurrence's key."""
+        again = np.bincount(numbers, minlength=self._root.size) > 1
+        again[: self._known] = True
+        fresh = np.flatnonzero(again & (self._root.held[: self._root.size] == -1))
+        self._known = self._root.size
+        none = np.zeros(len(fresh), np.uint64)
+        self._root.held[fresh] = self._reach(fresh, none, none, none.astype(np.int64))
+        state = self._root.held[numbers]
+        open_ = np.flatnonzero(state >= 0) if self._limit else np.zeros(0, np.int64)
+        while len(open_):
+            steps = self._steps.held[state[open_]]
+            owner = np.repeat(open_, steps)
+            at = _spread(self._steps_at.held[state[open_]], steps)
+            passed = np.flatnonzero(_hits(keys[owner], self._terms.held[at], self._limit))
+            passed = passed[np.diff(owner[passed], prepend=-1) != 0]  # the first one of each
+            open_, edge = owner[passed], at[passed]
+            edges, which, times = np.unique(edge, return_index=True, return_counts=True)
+            lead = self._leads.held[edges]
+            learn = (lead == -2) | ((lead == -1) & (times > 1))
+            self._leads.held[edges[(lead == -1) & ~learn]] = -2
+            if learn.any():
+                before, edges = state[open_[which[learn]]], edges[learn]
+                step = self._first.held[before] + edges - self._steps_at.held[before]
+                bit = np.uint64(1) << (step & 63).astype(np.uint64)
+                low = self._low.held[before] | np.where(step < 64, bit, np.uint64(0))
+                high = self._high.held[before] | np.where(step < 64, np.uint64(0), bit)
+                self._leads.held[edges] = self._reach(self._word.held[before], low, high, step + 1)
+            state[open_] = np.maximum(self._leads.held[edge], -1)
+            open_ = open_[state[open_] >= 0]
+        return state
+
+    def _spell_all(self, words: list[str], blanks: dict[int, int], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words one after the other, and how many each has. ``blanks`` by position where it is not one."""
+        if len(self._numbers) > REMEMBERED or self._word.size > REMEMBERED_STATES:
+            self.forget()
+        self._learn(list(set(words).difference(self._numbers)))
+        numbers = np.fromiter(map(self._numbers.__getitem__, words), np.int64, len(words))
+        state = self._drawn(numbers, keys)
+        state[list(blanks)] = -2
+        known, length = state >= 0, np.zeros(len(words), np.int64)
+        length[known] = self._length.held[state[known]]
+        found = [(np.array([k]), ids, np.array([len(ids)])) for k, ids in (
+            (k, np.frombuffer(self.spell(blanks.get(k, 1), words[k], int(keys[k])), "<i4")) for k in np.flatnonzero(state == -2).tolist()
+        )]
+        first = np.flatnonzero(state == -1)
+        for mine, ids in self._by_width(numbers[first]):
+            own = keys[first[mine]]
+            done = merged_many(ids, self._vocabulary, lambda rows, _, term, own=own: _hits(own[rows], term, self._limit))[0]
+            found.append((first[mine], *self._written(done)))
+        for which, _, sizes in found:
+            length[which] = sizes
+        begin = np.cumsum(length) - length
+        out = np.empty(int(length.sum()), "<i4")
+        out[_spread(begin[known], length[known])] = self._ids.held[_spread(self._ids_at.held[state[known]], length[known])]
+        for which, ids, sizes in found:
+            out[_spread(begin[which], sizes)] = ids
+        return out, length
+
+    def encode_many(self, texts: list[str], draws: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts one after the other, and how many each has."""
+        words: list[str] = []
+        sizes, blanks = [], {}
+        for text in texts:
+            begin = len(words)
+            if "  " not in text and text[:1] != " ":
+                words += text.split(" ") if text else []
+            else:
+                runs = [(len(b), word) for b, word in _RUNS.findall(" " + text) if b or word]
+                blanks |= {begin + k: b for k, (b, _) in enumerate(runs) if b != 1}
+                words += [word for _, word in runs]
+            sizes.append(len(words) - begin)
+        counts = np.array(sizes, np.int64)
+        keys = self._keys_of(np.repeat(draws, counts), _spread(np.zeros(len(counts), np.int64), counts))
+        done = []
+        for k in range(0, len(words), BLOCK):
+            here = {at - k: b for at, b in blanks.items() if k <= at < k + BLOCK} if blanks else {}
+            done.append(self._spell_all(words[k : k + BLOCK], here, keys[k : k + BLOCK]))
+        flat, lengths = (np.concatenate(x) for x in zip(*done, strict=True)) if done else (np.zeros(0, "<i4"), np.zeros(0, np.int64))
+        before = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])]
+        return flat, np.diff(before)
 
     def encode(self, text: str) -> bytes:
-        return self.encode_many([text])[0]
+        return self.encode_many([text], np.array([self._draw], np.int64))[0].tobytes()
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
 
 
-def _encoder(path: str, dropout: float, seed: int, variant: int) -> Encoder:
-    key = (path, dropout, seed, variant)
+def _encoder(path: str, dropout: float, seed: int) -> Encoder:
+    key = (path, dropout, seed)
     if key not in _ENCODERS:
-        if len(_ENCODERS) >= 8:
+        if len(_ENCODERS) >= 4:
             _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(vocabulary(path), dropout, seed, variant)
+        _ENCODERS[key] = Encoder(vocabulary(path), dropout, seed)
     return _ENCODERS[key]
 
 
-def encode(
-    text: Column, draw: Column, path: str | None = None, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS
-) -> Column:
-    """Ids of a text column as an array of ints; ``draw`` is a long that picks the document's variant."""
-    if not 0 <= dropout <= 1 or variants < 1:
-        raise ValueError("dropout is a share and there is at least one variant")
+def encode(text: Column, draw: Column, path: str | None = None, dropout: float = DROPOUT, seed: int = SEED) -> Column:
+    """Ids of a text column as an array of ints; ``draw`` is a long that stands for the document."""
+    if not 0 <= dropout <= 1:
+        raise ValueError("dropout is a share")
     path = path or model_file()
 
     @F.arrow_udf("array<int>")
     def of(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        encoder = _encoder(path, dropout, seed)
         for texts, draws in batches:
-            raw: list[bytes] = []
-            variant = draws.to_numpy(zero_copy_only=False) % variants
-            for first, last in slices(utf8(texts)[1]):
-                part, found = texts[first:last].to_pylist(), [b""] * (last - first)
-                for v in range(variants):
-                    mine = np.flatnonzero(variant[first:last] == v).tolist()
-                    for k, ids in zip(mine, _encoder(path, dropout, seed, v).encode_many([part[k] for k in mine]), strict=True):
-                        found[k] = ids
-                raw += found
-            ends = np.cumsum([0, *[len(r) // 4 for r in raw]]).astype(np.int32)
-            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(raw), "<i4")))
-        for v in range(variants):  # an idle worker should hold the vocabulary only
-            _encoder(path, dropout, seed, v).forget()
+            drawn = draws.to_numpy(zero_copy_only=False)
+            done = [
+                encoder.encode_many(texts[first:last].to_pylist(), drawn[first:last])
+                for first, last in slices(utf8(texts)[1], TOGETHER)
+            ]
+            flat, sizes = (np.concatenate(x) for x in zip(*done, strict=True)) if done else (np.zeros(0, "<i4"), np.zeros(0, np.int64))
+            ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+        encoder.forget()  # an idle worker should hold the vocabulary only
 
     return of(text, draw)
 
@@ -378,5 +517,5 @@ def decode(ids: Column, path: str | None = None) -> Column:
 
 def encoded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
     """All columns of ``docs`` and ``ids``."""
-    rows = whole_rows(docs, text=text_of(text_col), draw=F.xxhash64(F.lit(params.get("seed", SEED)), F.col(id_col)))
+    rows = whole_rows(docs, text=text_of(text_col), draw=F.xxhash64(F.col(id_col), text_of(text_col)))
     return with_outputs(rows.select("row", encode(F.col("text"), F.col("draw"), **params).alias("ids")), docs, ["ids"])

@@ -1,3 +1,4 @@
+import numpy as np
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -63,6 +64,24 @@ def test_forgetting_does_not_change_ids(monkeypatch):
     assert [int.from_bytes(raw[k : k + 4], "little") for k in range(0, len(raw), 4)] == whole
 
 
+def test_every_occurrence_is_drawn_anew():
+    """A word comes in far more than a few segmentations, in one document and by document, as the agenda makes them one by one."""
+    encoder, word, times = md.Encoder(WORDS, 0.1, 1), "internationalisation", 300
+    ids, sizes = encoder.encode_many([" ".join([word] * times)] * 2, np.array([5, 6]))
+    keys = encoder._keys_of(np.repeat([5, 6], times), np.tile(np.arange(times), 2))
+    want = [encoder.spell(1, word, int(key)) for key in keys]
+    assert ids.tobytes() == b"".join(want)
+    first, second = want[:times], want[times:]
+    assert len(set(first)) > 20 and len(set(second)) > 20 and first != second
+    assert sizes.tolist() == [sum(map(len, part)) // 4 for part in (first, second)]
+
+
+def test_documents_draw_their_own_ids(spark, modules):
+    rows = spark.createDataFrame([(k, PROSE) for k in range(40)] * 2, "doc_id long, text string")
+    done = md.encoded(rows, dropout=0.3).collect()
+    assert len({tuple(r["ids"]) for r in done}) == 40 == len({(r["doc_id"], tuple(r["ids"])) for r in done})
+
+
 def test_messy_rows(messy, empty):
     done = md.encoded(messy).withColumn("decoded", md.decode(F.col("ids"))).select("doc_id", "text", "ids", "decoded").collect()
     assert len(done) == len(MESSY)
