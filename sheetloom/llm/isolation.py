@@ -1,14 +1,17 @@
-"""Quality rules: an isolation forest on rule statistics.
+"""Quality rules: isolation forests on rule statistics.
 
 A tree cuts a small sample at random features and random values until every row is alone. A document
-that a few cuts set apart from the sample is anomalous: its mean path is short. The forest learns from
-statistics alone; labelled rows only place the threshold.
+that a few cuts set apart from the sample is anomalous: its mean path is short. Cuts are also drawn beyond the sample's
+range, so that a value further out than any in the sample is set apart as well. Forests learn from
+statistics alone; labelled rows only place their thresholds. There is one forest for the statistics that stay
+put within clean prose, and one for each share that is 0 in most texts: it would be drowned by the others in a common
+one, or set its few clean texts apart. A document is anomalous if one forest says so.
 
-The forest is grown from at most :data:`SAMPLE_ROWS` documents, the threshold is placed on at most
+Forests are grown from at most :data:`SAMPLE_ROWS` documents, the thresholds are placed on at most
 :data:`LABELLED_ROWS` labelled ones; every document is judged.
 
 Defined results: a null text is empty and fails the word-count rule; repeated rows are judged alike; without
-labelled rows of both kinds the threshold is the textbook score 0.6; an empty table gives an empty result.
+labelled rows of both kinds a threshold is the textbook score 0.6; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,15 +29,20 @@ from sheetloom.llm.text_stats import COUNTS, STRUCT, bounded_sample, counts, rat
 
 SAMPLE_ROWS = 8192
 LABELLED_ROWS = 8192
-TREES, TREE_ROWS = 100, 128
+TREES, TREE_ROWS = 100, 256
+#: How far beyond the range of its rows a node may cut, in spans of that range.
+BEYOND = 1.0
 LEAST_WORDS, MOST_REPEATED = 50, 50
-#: Share of the labelled good documents that the threshold must keep.
+#: Share of the labelled good documents that all thresholds together must keep.
 KEEP_SHARE = 0.995
 TEXTBOOK_SCORE = 0.6
 
-#: Shares that stay put within clean prose. Shares that are 0 in most clean texts and spread out in a few (repeated
-#: lines, repeated windows) would set those few apart; the rules on counts look at them instead.
-STATISTICS = ("symbol_share", "mark_share", "mean_word")
+#: Statistics by forest: those that stay put within clean prose together, zero-heavy ones each by itself.
+GROUPS = (
+    ("symbol_share", "mark_share", "mean_word"),
+    ("dup_line_share",), ("repeat_share",), ("again_share",), ("upper_share",), ("digit_share",),
+)
+STATISTICS = tuple(s for group in GROUPS for s in group)
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -77,7 +85,7 @@ class Forest:
 
 
 def grow(x: np.ndarray, trees: int = TREES, rows: int = TREE_ROWS, seed: int = 5) -> Forest:
-    """A forest of ``trees`` trees over ``rows`` random rows each. Values of a cut's feature must differ."""
+    """A forest of ``trees`` trees over ``rows`` random rows each. Values of a cut's feature must differ; a side without rows is a leaf."""
     draw = np.random.default_rng(seed)
     rows = min(rows, len(x))
     limit = max(1, int(np.ceil(np.log2(max(rows, 2)))))
@@ -94,8 +102,8 @@ def grow(x: np.ndarray, trees: int = TREES, rows: int = TREE_ROWS, seed: int = 5
                 path[tree, node] = depth + _expected_path(len(members))
                 continue
             chosen = int(draw.choice(open_features))
-            at = draw.uniform(low[chosen], high[chosen])
-            at = at if at > low[chosen] else high[chosen]
+            span = BEYOND * (high[chosen] - low[chosen])
+            at = draw.uniform(low[chosen] - span, high[chosen] + span)
             feature[tree, node], cut[tree, node], left[tree, node] = chosen, at, used
             above = x[members, chosen] >= at
             waiting += [(used, members[~above], depth + 1), (used + 1, members[above], depth + 1)]
@@ -103,6 +111,29 @@ def grow(x: np.ndarray, trees: int = TREES, rows: int = TREE_ROWS, seed: int = 5
     return Forest(feature, cut, left, path, limit, rows)
 
 
+@dataclass(frozen=True)
+class Forests:
+    """A forest and its threshold for each of :data:`GROUPS`."""
+
+    forests: tuple[Forest, ...]
+    most: tuple[float, ...]
+
+    def scores(self, x: np.ndarray) -> np.ndarray:
+        """A column of scores for each forest; ``x`` has a column for each of :data:`STATISTICS`."""
+        ends = np.cumsum([len(group) for group in GROUPS])
+        return np.column_stack([f.anomaly(part) for f, part in zip(self.forests, np.split(x, ends[:-1], axis=1), strict=True)])
+
+    def anomaly(self, x: np.ndarray) -> np.ndarray:
+        """The largest score in terms of its threshold: above 1 where a forest sets the row apart."""
+        return (self.scores(x) / np.array(self.most)).max(axis=1)
+
+
+def plant(x: np.ndarray) -> tuple[Forest, ...]:
+    """A forest for each of :data:`GROUPS`."""
+    ends = np.cumsum([len(group) for group in GROUPS])
+    return tuple(grow(part) for part in np.split(x, ends[:-1], axis=1))
+
+
 def threshold(scores: np.ndarray, good: np.ndarray, keep: float = KEEP_SHARE) -> float:
     """Scores above it are anomalous: of the cuts that keep enough good rows, the one that tells most apart."""
     if not good.any() or good.all():
@@ -120,8 +151,8 @@ def _statistics(rows: DataFrame, *extra: str) -> DataFrame:
     )
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS, labelled: int = LABELLED_ROWS) -> tuple[Forest | None, float]:
-    """Forest and threshold. The ids of both samples are chosen first; only their texts are looked at."""
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS, labelled: int = LABELLED_ROWS) -> Forests | None:
+    """Forests and thresholds. The ids of both samples are chosen first; only their texts are looked at."""
     ids = bounded_sample(docs.where(F.col("doc_id").isNotNull()).select("doc_id").distinct(), F.col("doc_id"), sample)
     known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
     known = bounded_sample(known.groupBy("doc_id").agg(F.max("quality").alias("quality")), F.col("doc_id"), labelled)
@@ -135,15 +166,18 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS, labelled:
     x, quality = got[list(STATISTICS)].to_numpy(float), got["quality"].to_numpy(float)
     free = np.isnan(quality)
     if free.sum() < 2:
-        return None, TEXTBOOK_SCORE
-    forest = grow(x[free])
-    return forest, threshold(forest.anomaly(x[~free]), quality[~free] == 1) if (~free).any() else TEXTBOOK_SCORE
+        return None
+    forests, each = plant(x[free]), (TEXTBOOK_SCORE,) * len(GROUPS)
+    if (~free).any():
+        scores, good = Forests(forests, each).scores(x[~free]), quality[~free] == 1
+        each = tuple(threshold(own, good, 1 - (1 - KEEP_SHARE) / len(GROUPS)) for own in scores.T)
+    return Forests(forests, each)
 
 
 def judge(docs: DataFrame, labels: DataFrame, text_col: str = "text", **bounds: int) -> DataFrame:
     """``row`` (the document as it is), ``counts``, ``base_failed``, ``anomaly`` and ``kept``."""
-    forest, most = fit(docs, labels, **bounds)
-    shared = docs.sparkSession.sparkContext.broadcast(forest)  # a few hundred nodes a tree
+    forests = fit(docs, labels, **bounds)
+    shared = docs.sparkSession.sparkContext.broadcast(forests)  # a few hundred nodes a tree
 
     @F.arrow_udf(f"{STRUCT}, anomaly double")
     def look(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -156,7 +190,7 @@ def judge(docs: DataFrame, labels: DataFrame, text_col: str = "text", **bounds:
 
     looked = whole_rows(docs, counts=look(text_of(text_col)))
     scored = looked.select("row", "counts", base_failed("counts.").alias("base_failed"), F.col("counts.anomaly").alias("anomaly"))
-    return scored.withColumn("kept", ~F.col("base_failed") & (F.col("anomaly") <= most))
+    return scored.withColumn("kept", ~F.col("base_failed") & (F.col("anomaly") <= 1))
 
 
 def keep(docs: DataFrame, labels: DataFrame, **bounds: int) -> DataFrame:

@@ -145,6 +145,35 @@ def test_forest_sets_outliers_apart():
     assert len(set(flat.anomaly(np.ones((5, 2))))) == 1
 
 
+def odd(text):
+    """Copies of a clean text that one statistic only tells from it."""
+    words = text.split()
+    lines = [" ".join(words[k : k + 8]) for k in range(0, len(words), 8)]
+    twice = [line for line in lines for _ in (0, 1)]
+    return {
+        "capitals": text.upper(),
+        "digits": " ".join("7" * len(w) if k % 2 else w for k, w in enumerate(words)),
+        "again": " ".join(w for word in words for w in (word, word)),
+        "lines": "\n".join([*words[:3], *["a b"] * 400]),
+        "twice": "\n".join(twice),
+    }
+
+
+def test_every_statistic_is_judged(spark, texts, quality):
+    """Texts in capitals, of digits, with doubled words or lines are anomalous; the clean texts they come from are not."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    forests = isolation.fit(docs, labels)
+    clean = [t for i, t in sorted(texts.items()) if quality.get(i) == 1 and base(t)["n_words"] > 100][:50]
+
+    def passing(some):
+        found = text_stats.counts(pa.array(some, pa.string()))
+        return np.mean(forests.anomaly(np.column_stack([text_stats.shares(found, s) for s in isolation.STATISTICS])) <= 1)
+
+    assert passing(clean) >= 0.98
+    for kind in odd(clean[0]):
+        assert passing([odd(t)[kind] for t in clean]) < 0.1, kind
+
+
 def test_path_lengths_equal_a_walk():
     draw = np.random.default_rng(6)
     x = draw.random((64, 3))
