@@ -7,8 +7,8 @@ statistics alone; labelled rows only place their thresholds. There is one forest
 put within clean prose, and one for each share that is 0 in most texts: it would be drowned by the others in a common
 one, or set its few clean texts apart. A document is anomalous if one forest says so.
 
-Forests are grown from at most :data:`SAMPLE_ROWS` documents, the thresholds are placed on at most
-:data:`LABELLED_ROWS` labelled ones; every document is judged.
+Forests are grown from at most :data:`SAMPLE_ROWS` documents. Every labelled document is scored, and thresholds are placed
+on how many good and bad ones there are by score, in :data:`SCORE_BINS` bins; every document is judged.
 
 Defined results: a null text is empty and fails the word-count rule; repeated rows are judged alike; without
 labelled rows of both kinds a threshold is the textbook score 0.6; an empty table gives an empty result.
@@ -28,7 +28,8 @@ from sheetloom.llm.common import text_of, whole_rows
 from sheetloom.llm.text_stats import COUNTS, STRUCT, bounded_sample, counts, ratio, shares, text_counts
 
 SAMPLE_ROWS = 8192
-LABELLED_ROWS = 8192
+#: Bins of equal width that scores, 0 to 1, are counted in.
+SCORE_BINS = 1 << 14
 TREES, TREE_ROWS = 100, 256
 #: How far beyond the range of its rows a node may cut, in spans of that range.
 BEYOND = 1.0
@@ -136,13 +137,18 @@ def plant(x: np.ndarray) -> tuple[Forest, ...]:
 
 def threshold(scores: np.ndarray, good: np.ndarray, keep: float = KEEP_SHARE) -> float:
     """Scores above it are anomalous: of the cuts that keep enough good rows, the one that tells most apart."""
-    if not good.any() or good.all():
+    values, which = np.unique(scores, return_inverse=True)
+    return counted_threshold(values, *(np.bincount(which[kind], minlength=len(values)) for kind in (good, ~good)), keep)
+
+
+def counted_threshold(values: np.ndarray, good: np.ndarray, bad: np.ndarray, keep: float = KEEP_SHARE) -> float:
+    """:func:`threshold` from ascending scores and how many good and bad rows have each."""
+    if not good.sum() or not bad.sum():
         return TEXTBOOK_SCORE
-    least = float(np.quantile(scores[good], keep))
-    cuts = np.unique(np.concatenate([[least], scores[scores >= least]]))
-    # of equally good cuts the highest: it keeps more
-    judged = [(scores[~good] > c).mean() - (scores[good] > c).mean() for c in cuts]
-    return float(cuts[len(cuts) - 1 - int(np.argmax(judged[::-1]))])
+    kept, missed = np.cumsum(good) / good.sum(), np.cumsum(bad) / bad.sum()
+    open_ = np.flatnonzero((kept >= keep) & (good + bad > 0))
+    told = (kept - missed)[open_]
+    return float(values[open_[len(open_) - 1 - int(np.argmax(told[::-1]))]])  # of equally good cuts the highest: it keeps more
 
 
 def _statistics(rows: DataFrame, *extra: str) -> DataFrame:
@@ -151,27 +157,46 @@ def _statistics(rows: DataFrame, *extra: str) -> DataFrame:
     )
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS, labelled: int = LABELLED_ROWS) -> Forests | None:
-    """Forests and thresholds. The ids of both samples are chosen first; only their texts are looked at."""
-    ids = bounded_sample(docs.where(F.col("doc_id").isNotNull()).select("doc_id").distinct(), F.col("doc_id"), sample)
+def _once(rows: DataFrame, *keys: str) -> DataFrame:
+    """One row per document id, of those that pass the base rules."""
+    once = _statistics(rows, *keys).groupBy(*keys).agg(F.min(F.struct("failed", *STATISTICS)).alias("s")).select(*keys, "s.*")
+    return once.where(~F.col("failed"))
+
+
+def score_counts(docs: DataFrame, labels: DataFrame, forests: tuple[Forest, ...]) -> np.ndarray:
+    """Labelled documents by forest, score bin and quality (0 bad, 1 good), all of them counted on Spark."""
     known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
-    known = bounded_sample(known.groupBy("doc_id").agg(F.max("quality").alias("quality")), F.col("doc_id"), labelled)
-    asked = ids.select(F.col("doc_id").alias("asked"), F.lit(None).cast("int").alias("quality")).unionByName(
-        known.select(F.col("doc_id").alias("asked"), F.col("quality").cast("int").alias("quality"))
-    )
-    rows = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(asked), F.col("doc_id") == F.col("asked"))
-    once = _statistics(rows, "doc_id", "quality").groupBy("doc_id", "quality").agg(F.min(F.struct("failed", *STATISTICS)).alias("s"))
-    got = once.select("doc_id", "quality", "s.*").toPandas().sort_values("doc_id", ignore_index=True)
-    got = got[~got["failed"].astype(bool)]
-    x, quality = got[list(STATISTICS)].to_numpy(float), got["quality"].to_numpy(float)
-    free = np.isnan(quality)
-    if free.sum() < 2:
+    known = known.groupBy("doc_id").agg((F.max("quality") == 1).alias("good")).withColumnRenamed("doc_id", "labelled_id")
+    rows = _once(docs.where(F.col("doc_id").isNotNull()).select("doc_id", text_of().alias("text")), "doc_id")
+    met = rows.join(known, F.col("doc_id") == F.col("labelled_id")).select("good", F.array(*STATISTICS).alias("x"))
+    shared = docs.sparkSession.sparkContext.broadcast(Forests(forests, (TEXTBOOK_SCORE,) * len(forests)))
+
+    @F.arrow_udf("array<int>")
+    def bins(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            x = batch.flatten().to_numpy(zero_copy_only=False).reshape(len(batch), len(STATISTICS))
+            found = np.minimum(shared.value.scores(x) * SCORE_BINS, SCORE_BINS - 1).astype(np.int32)
+            starts = np.arange(len(batch) + 1, dtype=np.int32) * len(forests)
+            yield pa.ListArray.from_arrays(pa.array(starts), pa.array(found.ravel()))
+
+    binned = met.select("good", F.posexplode(bins("x")).alias("forest", "bin"))
+    counted = np.zeros((len(forests), SCORE_BINS, 2), np.int64)
+    for r in binned.groupBy("forest", "bin", "good").count().collect():  # two for each bin at most
+        counted[r["forest"], r["bin"], int(r["good"])] = r["count"]
+    return counted
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS) -> Forests | None:
+    """Forests from a sample, whose ids are chosen first so that only its texts are looked at; thresholds from all labelled rows."""
+    ids = bounded_sample(docs.where(F.col("doc_id").isNotNull()).select("doc_id").distinct(), F.col("doc_id"), sample)
+    asked = F.broadcast(ids.withColumnRenamed("doc_id", "asked"))
+    rows = docs.select("doc_id", text_of().alias("text")).join(asked, F.col("doc_id") == F.col("asked"))
+    got = _once(rows, "doc_id").toPandas().sort_values("doc_id", ignore_index=True)
+    if len(got) < 2:
         return None
-    forests, each = plant(x[free]), (TEXTBOOK_SCORE,) * len(GROUPS)
-    if (~free).any():
-        scores, good = Forests(forests, each).scores(x[~free]), quality[~free] == 1
-        each = tuple(threshold(own, good, 1 - (1 - KEEP_SHARE) / len(GROUPS)) for own in scores.T)
-    return Forests(forests, each)
+    forests = plant(got[list(STATISTICS)].to_numpy(float))
+    edges, keep = np.arange(1, SCORE_BINS + 1) / SCORE_BINS, 1 - (1 - KEEP_SHARE) / len(GROUPS)
+    return Forests(forests, tuple(counted_threshold(edges, own[:, 1], own[:, 0], keep) for own in score_counts(docs, labels, forests)))
 
 
 def judge(docs: DataFrame, labels: DataFrame, text_col: str = "text", **bounds: int) -> DataFrame:

@@ -196,6 +196,25 @@ def test_threshold():
     assert isolation.threshold(scores, np.ones(6, bool)) == isolation.TEXTBOOK_SCORE
 
 
+def test_every_labelled_row_counts(spark, modules):
+    """More labelled rows than any sample holds: each is in the counts that thresholds are placed on."""
+    n = 9_000
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(PROSE).alias("text"))
+    labels = docs.select("doc_id", F.when(F.col("doc_id") % 9 == 0, 0).otherwise(1).alias("quality"))
+    forests = isolation.plant(np.random.default_rng(1).random((64, len(isolation.STATISTICS))))
+    counted = isolation.score_counts(docs, labels.unionByName(labels), forests)
+    assert counted.sum(axis=1).tolist() == [[n // 9, n - n // 9]] * len(isolation.GROUPS)
+
+
+def test_counted_threshold_equals_the_threshold():
+    draw = np.random.default_rng(8)
+    scores, good = draw.integers(1, 50, 400) / 50, draw.random(400) < 0.8
+    values = np.arange(1, 51) / 50
+    counts = [np.bincount((scores[kind] * 50).round().astype(int) - 1, minlength=50) for kind in (good, ~good)]
+    cut = isolation.counted_threshold(values, *counts, 0.9)
+    assert cut == isolation.threshold(scores, good, 0.9) and (scores[good] <= cut).mean() >= 0.9
+
+
 def test_messy_rules(messy, empty, labels):
     got = isolation.judge(messy, labels).select("row.doc_id", "row.text", "row.score", "counts", "base_failed", "kept").collect()
     assert len(got) == len(MESSY)
