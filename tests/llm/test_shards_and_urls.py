@@ -148,6 +148,23 @@ def test_model_learns_and_generalises(spark, modules):
     assert {r["verdict"] for r in url_filter.judge(pages, url_filter.train(table.limit(0))).collect()} == {"allow"}
 
 
+def test_labelled_table_knows_nothing_of_the_check_tables(spark):
+    """No host is put together from words or syllables of the generated pages, no path looks like theirs; held-out names count."""
+    from itertools import permutations
+
+    planted = [("casino", "win"), ("free", "bets"), ("ads", "track"), ("spam", "farm"), ("cheap", "pills"), ("adult", "x")]
+    rows = url_filter.labelled_urls(spark).collect()
+    assert len(rows) > 400 and len({r["url"].split("/")[2].rsplit(".", 1)[1] for r in rows}) > 3
+    for url in (r["url"] for r in rows):
+        host, path = url.split("/")[2], "/" + "/".join(url.split("/")[3:])
+        words = host.replace("-", ".").split(".")
+        assert not any(set(pair) <= set(words) or any("".join(p) in host for p in permutations(pair)) for pair in planted[:-1])
+        assert not any(s in host for s in ("thther", "tionthe", "thention", "stonthe", "hethon", "ontheran"))
+        assert not any(path.startswith(f"/{lang}/0") for lang in ("en", "de", "fr", "es"))
+    blocked, allowed = url_filter.held_out_shares()
+    assert blocked > 0.3 and allowed > 0.95
+
+
 def test_url_query(spark):
     got = op8_url_filter(spark, SF).collect()
     assert len(got) == spark.read.parquet(f"{SF}/pages.parquet").count()
