@@ -13,6 +13,7 @@ from sheetloom.llm import (
     language_id,
     line_dedup,
     merge_dropout,
+    merkle,
     packing,
     rule_ensemble,
     simhash,
@@ -104,11 +105,23 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hexadecimal(F.col("print")).alias("fingerprint"), "component_id")
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    capitals, small = (bytes(range(first, first + 26)).decode() for first in b"Aa")
+    lowered = [F.translate("text", capitals, small) if c == "text" else F.col(c) for c in merkle.LEAF_COLUMNS]
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, merkle.leaf(lowered))
+    proven = merkle.manifest(docs, tampered=tampered)
+    root = merkle.folded(F.coalesce("tampered", "leaf"), F.col("path"))
+    return proven.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"), root.alias("folded_root")
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_line_dedup, op2_sentencepiece, op3_language_id, op4_fingerprints, op5_quality,
-        op6_rules, op7_sharding, op8_url_filter, op9_packing, op10_simhash,
+        op6_rules, op7_sharding, op8_url_filter, op9_packing, op10_simhash, op11_merkle,
     )
 }
 
