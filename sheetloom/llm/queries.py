@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheetloom.llm import (
+    hard_negatives,
     isolation,
     jump_shards,
     language_id,
@@ -117,11 +118,17 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine(_table(spark, sf_dir, "embeddings"), vec_id % 100 == 0, moved)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_line_dedup, op2_sentencepiece, op3_language_id, op4_fingerprints, op5_quality,
-        op6_rules, op7_sharding, op8_url_filter, op9_packing, op10_simhash, op11_merkle,
+        op6_rules, op7_sharding, op8_url_filter, op9_packing, op10_simhash, op11_merkle, op12_hard_negatives,
     )
 }
 
