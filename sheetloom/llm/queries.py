@@ -19,6 +19,7 @@ from sheetloom.llm import (
     rule_ensemble,
     simhash,
     spot_signatures,
+    substrings,
     url_filter,
 )
 from sheetloom.llm.common import ship, text_of
@@ -124,11 +125,17 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(_table(spark, sf_dir, "embeddings"), vec_id % 100 == 0, moved)
 
 
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.dedup_substrings(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_line_dedup, op2_sentencepiece, op3_language_id, op4_fingerprints, op5_quality,
         op6_rules, op7_sharding, op8_url_filter, op9_packing, op10_simhash, op11_merkle, op12_hard_negatives,
+        op13_substring_dedup,
     )
 }
 
