@@ -15,6 +15,7 @@ from sheetloom.llm import (
     line_dedup,
     merge_dropout,
     merkle,
+    oracle,
     packing,
     rule_ensemble,
     simhash,
@@ -170,4 +171,7 @@ ORACLE: dict[str, str] = {
         SELECT d.doc_id, coalesce(n_removed, 0)::BIGINT AS n_removed, length(body)::BIGINT AS kept_chars, md5(body) AS kept_md5
         FROM documents d LEFT JOIN kept USING (doc_id)
     """,
+    "op11_merkle": oracle.MERKLE,
+    "op12_hard_negatives": oracle.NEGATIVES,
+    "op13_substring_dedup": oracle.SUBSTRINGS,
 }
