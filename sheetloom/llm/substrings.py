@@ -19,6 +19,7 @@ columns have no part, whatever they are called. Ids are whole numbers.
 from __future__ import annotations
 
 import math
+from array import array
 from collections.abc import Iterable
 from itertools import compress
 
@@ -33,7 +34,7 @@ from sheetloom.llm.common import mixed, text_of
 
 WINDOW = 20
 #: Bytes of text of a chunk, about, and windows of a bucket. A task holds one of either.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 BUCKET_WINDOWS = 1 << 21
 #: Runs of ids that chunks are put together from; their sizes are all that the driver sees.
 RUNS = 4096
@@ -51,11 +52,12 @@ class _Words(dict):
 
     def __init__(self) -> None:
         super().__init__()
-        self.hashes: list[tuple[int, int]] = []
+        self.hashes = array("Q"), array("Q")
 
     def __missing__(self, word: bytes) -> int:
-        self[word] = code = len(self.hashes)
-        self.hashes.append((xxhash.xxh64_intdigest(word, 1), xxhash.xxh64_intdigest(word, 2)))
+        self[word] = code = len(self.hashes[0])
+        for seed, held in enumerate(self.hashes, 1):
+            held.append(xxhash.xxh64_intdigest(word, seed))
         return code
 
 
@@ -74,27 +76,25 @@ def _rolling(words: np.ndarray, base: np.uint64, window: int) -> np.ndarray:
 
 
 class Chunk:
-    """Words and distinct window hashes of some documents in their order."""
+    """Distinct window hashes of some documents in their order."""
 
     def __init__(self, texts: Iterable[bytes], window: int, low_bits: int) -> None:
         global _WORDS
         if len(_WORDS) > REMEMBERED:
             _WORDS = _Words()
         self.window = window
-        codes: list[int] = []
-        self.words: list[list[bytes]] = []
+        codes, ends = array("q"), array("q")
         for text in texts:
-            found = text.split()  # at the six ASCII blanks, as bytes do
-            self.words.append(found)
-            codes += map(_WORDS.__getitem__, found)
-        self.sizes = np.array([len(w) for w in self.words], np.int64)
-        self.ends = np.cumsum(self.sizes)
-        values = np.array(_WORDS.hashes, np.uint64).reshape(-1, 2)
+            codes.extend(map(_WORDS.__getitem__, text.split()))  # at the six ASCII blanks, as bytes do
+            ends.append(len(codes))
+        self.ends = np.array(ends, np.int64)
+        self.sizes = np.diff(self.ends, prepend=0)
         which = np.array(codes, np.int64)
         whole = np.repeat(self.ends, self.sizes) - np.arange(len(which)) >= window
         self.starts = np.flatnonzero(whole)  # words that a window begins with
-        one, two = (_rolling(values[which, k] if len(which) else np.zeros(0, np.uint64), _BASES[k], window) for k in (0, 1))
-        one, two = one[self.starts], two[self.starts]
+        one, two = (
+            _rolling(np.array(held, np.uint64)[which], base, window)[self.starts] for held, base in zip(_WORDS.hashes, _BASES, strict=True)
+        )
         high = mixed(one ^ mixed(two))
         low = mixed(two + high) >> np.uint64(64 - low_bits)
         order = np.argsort(high)
@@ -296,7 +296,8 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             a, b = cuts[bucket], cuts[bucket + 1]
             owned[a:b] = np.unpackbits(np.frombuffer(raw, np.uint8), count=b - a).astype(bool)
         removed, spans, rest = [], [], []
-        for words, stays in zip(chunk.words, chunk.kept(owned) if order else [], strict=True):
+        for text, stays in zip(texts, chunk.kept(owned) if order else [], strict=True):
+            words = text.split()
             removed.append(len(words) - int(stays.sum()))
             edges = np.flatnonzero(np.diff(np.concatenate([[True], stays, [True]]))).tolist()
             spans.append([{"start": a, "length": b - a} for a, b in zip(edges[::2], edges[1::2], strict=True)])
