@@ -445,6 +445,16 @@ ORACLE = {
     + " SELECT CASE WHEN file_ord <= 1 THEN sample_id ELSE collaborator_sample_id END AS sample_id, "
     "cram_path, donor_id, collaborator_sample_id, input_bam FROM raw_rows "
     "WHERE file_ord <= 1 OR coalesce(cram_path, donor_id, collaborator_sample_id) IS NOT NULL",
+    "uneven_rows": """
+        WITH cells AS (
+            SELECT 'SM-' || l_orderkey || '-' || l_linenumber AS sample_id, l_orderkey % 2 AS part,
+                   CASE WHEN l_linenumber = 3 THEN NULL WHEN l_partkey % 5 = 0 THEN l_suppkey || '" tube'
+                        WHEN l_partkey % 5 = 1 THEN 'a' || chr(9) || l_suppkey WHEN l_partkey % 5 = 2 THEN 'say "x" so'
+                        WHEN l_partkey % 5 = 3 THEN '"in"' || l_suppkey ELSE l_suppkey::VARCHAR END AS note,
+                   CASE WHEN l_linenumber = 5 THEN 'x' || l_suppkey || '|NA' END AS surplus
+            FROM lineitem)
+        SELECT sample_id, CASE WHEN part = 0 THEN note END AS note, CASE WHEN part = 1 THEN note END AS remark, surplus FROM cells
+    """,
     "sheet_order": _with(TISSUE_SAMPLE) + " SELECT submitted_id, file_ord, block FROM ts",
     "assay_tags": _TAGS,
     "missing_cells": "SELECT o_orderkey, CASE o_custkey % 8 WHEN 3 THEN 'none' WHEN 5 THEN 'Na' WHEN 6 THEN 'x' END "

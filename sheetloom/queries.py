@@ -152,6 +152,24 @@ def heterogeneous_union(spark, sf):
     return scan_tables(spark, [f"{folder}/*"], columns=taken, sample_id=ids.SAMPLE_ID).select(taken)
 
 
+def uneven_rows(spark, sf):
+    """Lines of uneven length, with stray, doubled and enclosing quotes, under two headers; no cell is lost."""
+    note = """CASE l_partkey % 5 WHEN 0 THEN concat(l_suppkey, '" tube') WHEN 1 THEN concat('"a\\t', l_suppkey, '"')
+                   WHEN 2 THEN '"say ""x"" so"' WHEN 3 THEN concat('"in"', l_suppkey) ELSE string(l_suppkey) END"""
+    rest = """CASE l_linenumber WHEN 3 THEN '' WHEN 5 THEN concat('\\t', note, '\\tx', l_suppkey, '\\t\\tNA')
+                   WHEN 6 THEN concat('\\t', note, '\\t\\t') ELSE concat('\\t', note) END"""
+    lines = harness.table(spark, sf, "lineitem").selectExpr(
+        "l_orderkey % 2 AS part", f"{note} AS note", "l_linenumber", "l_suppkey", "concat_ws('-', 'SM', l_orderkey, l_linenumber) AS sample"
+    )
+    folder = harness.staging(spark).path("uneven")
+    for part, header in enumerate(("sample_id\tnote", "sample_id\tremark")):
+        text = lines.where(F.col("part") == part).select(F.expr(f"concat(sample, {rest})").alias(header))
+        as_is = text.write.option("header", True).option("quote", "").option("ignoreTrailingWhiteSpace", False)
+        as_is.csv(f"{folder}/{part}")
+    rows = scan_tables(spark, [f"{folder}/*"], columns=["sample_id", "note", "remark"], surplus="keep")
+    return rows.select("sample_id", "note", "remark", F.array_join("surplus", "|").alias("surplus"))
+
+
 def assay_tags(spark, sf):
     """Manifest tags of file names that the rows of ``supplier`` and ``part`` spell out."""
     words = F.array(*[F.lit(w) for w in ("Short", "long", "x", "Watchmaker", "TruSeq")])
@@ -321,6 +339,7 @@ QUERIES = {
     "last_wins_lookup": last_wins_lookup,
     "hot_group_numbers": hot_group_numbers,
     "heterogeneous_union": heterogeneous_union,
+    "uneven_rows": uneven_rows,
     "assay_tags": assay_tags,
     "missing_cells": missing_cells,
     "capitalized_cells": capitalized_cells,

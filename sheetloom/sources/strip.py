@@ -41,16 +41,29 @@ def strip_metrics(df: DataFrame, columns: Sequence[str] = PATH_COLUMNS) -> DataF
     return df.agg(*aggregates).select("rows_processed", names.alias("path_columns"))
 
 
-def strip_file(spark: SparkSession, source: str, target: str, ordered: bool = True) -> dict:
-    """Strip one manifest into ``target``; cells are otherwise kept as they are, ``NA`` included.
+def _telling_case_apart(spark: SparkSession) -> SparkSession:
+    """A session with the settings of ``spark`` in which names that differ by letter case only are two columns."""
+    session = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if session.conf.isModifiable(name):
+            session.conf.set(name, value)
+    session.conf.set("spark.sql.caseSensitive", "true")
+    return session
 
-    Returns the run metrics, gathered while writing.
+
+def strip_file(
+    spark: SparkSession, source: str, target: str, ordered: bool = True, columns: Sequence[str] = PATH_COLUMNS
+) -> dict:
+    """Strip the path ``columns`` of one manifest into ``target``; cells are otherwise kept as they are, ``NA`` included.
+
+    Columns whose names differ by letter case only are all kept. A row with more cells than the header has names is
+    an error. Returns the run metrics, gathered while writing.
     """
-    rows = read_table(spark, source, missing=False)
-    present, aggregates = _metrics(rows, PATH_COLUMNS)
+    rows = read_table(_telling_case_apart(spark), source, missing=False)
+    present, aggregates = _metrics(rows, columns)
     seen = Observation()
     lines = in_row_order(rows) if ordered else rows
-    write_rows(strip_paths(lines.observe(seen, *aggregates)), target, "errorifexists")
+    write_rows(strip_paths(lines.observe(seen, *aggregates), columns), target, "errorifexists")
     first = {c: seen.get[c] for c in present if seen.get[c] is not None}
     found = sorted(first, key=lambda c: (tuple(first[c]), present.index(c)))
     return {"rows_processed": seen.get["rows_processed"], "path_columns": found}

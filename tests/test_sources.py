@@ -2,15 +2,29 @@
 
 import csv
 import gzip
+import io
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from sheetloom import read_manifests, strip_file, write_bundle, write_sheet
 from sheetloom import schemas
 from sheetloom.operators.tissues import with_tissue
 from sheetloom.sources.manifests import manifest, read_codec, read_tissues, tag_manifest
 from sheetloom.sources.strip import strip_metrics, strip_paths
-from sheetloom.sources.tables import NA_TOKENS, column_names, files_of, in_file_order, read_table, scan_tables, survey
+from sheetloom.sources.tables import (
+    NA_TOKENS,
+    cells_of,
+    column_names,
+    files_of,
+    in_file_order,
+    read_table,
+    scan_tables,
+    surplus_cells,
+    survey,
+)
 from tests.data import long_file, plain_rows, rna_file, rows_of, short_file, tissue_file, tsv
 
 
@@ -147,7 +161,7 @@ def test_line_break_in_a_quoted_cell(spark, tmp_path, monkeypatch):
     body = 'k\tv\n1\t"a\nb"\n2\t"c ""x""\n\t"\n3\tplain "quote" \n4\t""\n' + "".join(f"{i}\tz\n" for i in range(5, 30))
     (tmp_path / "broken.tsv").write_text(body)
     (tmp_path / "whole.tsv").write_text('v\tk\n"a ""b"""\t1\nx"y\t2\n')
-    assert sorted(broken for _, broken in survey(spark, files_of(spark, str(tmp_path)))) == [True, True]
+    assert sorted(broken for _, broken in survey(spark, files_of(spark, str(tmp_path)))) == [False, True]
     got = rows_of(read_table(spark, str(tmp_path)), "k", "v")
     assert got[:4] == [("1", "a\nb"), ("2", 'c "x"\n\t'), ("3", 'plain "quote" '), ("4", None)]
     assert [k for k, _ in got[4:29]] == [str(i) for i in range(5, 30)]
@@ -159,6 +173,88 @@ def test_closed_quotes_do_not_keep_a_file_whole(spark, tmp_path):
     assert [broken for _, broken in survey(spark, files_of(spark, str(tmp_path)))] == [False]
 
 
+@pytest.mark.parametrize("stray", ['5" tube', 'a"b"c', 'x""', '"a"b', '"a" ', '""', '""""', '"a""b"', 'it""s 5"', '"tab\there"'])
+def test_a_stray_quote_does_not_keep_a_file_whole(spark, tmp_path, stray):
+    lines = ["k\tv\tw", *[f"{i}\t{stray if i == 70 else i}\t{stray if i == 40 else 'z'}" for i in range(200)]]
+    (tmp_path / "t.tsv").write_text("\n".join(lines) + "\n")
+    assert [broken for _, broken in survey(spark, files_of(spark, str(tmp_path)))] == [False]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300b")
+    try:
+        rows = read_table(spark, str(tmp_path))
+        assert rows.rdd.getNumPartitions() > 3
+        got = rows_of(rows, "k", "v", "w")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    expected = {'"a"b': '"a"b', '"a" ': '"a" ', '""': None, '""""': '"', '"a""b"': 'a"b', '"tab\there"': "tab\there"}.get(stray, stray)
+    assert got == [(str(i), expected if i == 70 else str(i), expected if i == 40 else "z") for i in range(200)]
+
+
+@pytest.mark.parametrize("cell", ['"a\nb"', '"\n"', '"a""\n"', '"""\n"""', '"tab\t\n\t"', '"\r\n"'])
+@pytest.mark.parametrize("before", ["", '5"\t', '"q"\t', '""\t', '"a"b\t'])
+def test_a_line_break_is_found_behind_any_cell(spark, tmp_path, cell, before):
+    (tmp_path / "t.tsv").write_bytes(f"k\tv\tw\n1\t2\t3\n{before}{cell}\tx\n4\t5\t6\n".encode())
+    assert [broken for _, broken in survey(spark, files_of(spark, str(tmp_path)))] == [True]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.text(alphabet='a" \\', max_size=6), min_size=1, max_size=5), min_size=1, max_size=30))
+def test_cells_of_a_written_line(spark, rows):
+    """Cells of lines that a writer of tables wrote, over any quotes."""
+    held = io.StringIO()
+    csv.writer(held, delimiter="\t", lineterminator="\n").writerows(rows)
+    lines = held.getvalue().split("\n")[:-1]
+    got = spark.createDataFrame(list(enumerate(lines)), "i int, line string").select("i", cells_of(F.col("line")).alias("cells"))
+    found = {r["i"]: r["cells"] for r in got.collect()}
+    expected = [["" if c is None else c for c in found[i]] for i in range(len(lines))]
+    assert expected == rows
+
+
+def test_a_cell_of_very_many_quotes(spark):
+    line = '1\t"' + '""x' * 50_000 + '"\t' + 'y"' * 50_000
+    cells = spark.createDataFrame([(line,)], "line string").select(cells_of(F.col("line")).alias("c")).first()["c"]
+    assert cells == ["1", '"x' * 50_000, 'y"' * 50_000]
+
+
+def test_surplus_cells_are_an_error_or_kept(spark, tmp_path):
+    body = "A\tB\n/x/p.cram\t1\n/y/q.cram\t2\textra\tNA\n/z/r.cram\t3\t\t\n"
+    (tmp_path / "a.tsv").write_text(body)
+    (tmp_path / "b.tsv").write_text('C\tA\tB\n1\t2\t"3\n"\t\t"too\nmuch"\n4\n5\t6\t7\n')
+    path = str(tmp_path)
+    for count in (lambda: read_table(spark, path).count(), lambda: scan_tables(spark, [f"{path}/b.tsv"], columns=["C"]).collect()):
+        with pytest.raises(Exception, match="more cells than the header has names: (extra; NA in .*a.tsv|too\nmuch in .*b.tsv)"):
+            count()
+    rows = scan_tables(spark, [path], surplus="keep").orderBy("file", "block", "pos")
+    assert [tuple(r) for r in rows.select("A", "B", "C", "surplus").collect()] == [
+        ("/x/p.cram", "1", None, None), ("/y/q.cram", "2", None, ["extra", "NA"]), ("/z/r.cram", "3", None, None),
+        ("2", "3\n", "1", ["too\nmuch"]), (None, None, "4", None), ("6", "7", "5", None),
+    ]
+    found = surplus_cells(spark, [path]).orderBy("file").collect()
+    assert [(r["file"].rpartition("/")[2], r["surplus"]) for r in found] == [("a.tsv", ["extra", "NA"]), ("b.tsv", ["too\nmuch"])]
+    with pytest.raises(Exception, match="more cells than the header has names"):
+        strip_file(spark, f"{path}/a.tsv", str(tmp_path / "out"))
+    with pytest.raises(ValueError, match="error or keep"):
+        scan_tables(spark, [path], surplus="drop")
+
+
+@pytest.mark.parametrize("batch", [20_000, 50])
+def test_many_headers_take_one_scan(spark, tmp_path, monkeypatch, batch):
+    monkeypatch.setattr("sheetloom.sources.tables.MAPPED_FILES", batch)
+    for i in range(200):
+        names = [f"c{j}" for j in range(i % 7)] + ["k"] + [f"own{i}"]
+        tsv(tmp_path / f"{i:03d}.tsv", names, [[f"{i}.{n}.{c}" for c in names] for n in range(3)])
+    rows = scan_tables(spark, [str(tmp_path)])
+    assert len(rows.columns) == 6 + 1 + 200 + 3
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == (1 if batch == 20_000 else 4)
+    got = {r["k"]: r.asDict() for r in rows.collect()}
+    assert len(got) == 600
+    for i in range(200):
+        for n in range(3):
+            names = {f"c{j}" for j in range(i % 7)} | {"k", f"own{i}"}
+            row = got[f"{i}.{n}.k"]
+            assert {c: v for c, v in row.items() if v is not None and c not in ("file", "block", "pos")} == {c: f"{i}.{n}.{c}" for c in names}
+
+
 @pytest.mark.parametrize("files", [2, 150])
 def test_a_file_that_comes_late_is_not_read(spark, tmp_path, files):
     for i in range(files):
@@ -279,6 +375,17 @@ def test_strip_file(spark, tmp_path):
     )
 
 
+def test_strip_file_keeps_columns_that_differ_by_case(spark, tmp_path):
+    header, rows = ["vcf", "VCF", "cram_path", "Cram_Path"], [["/a/b.vcf", "/a/c.vcf", "", "/x/y.cram"], ["1", "2", "/p/q.cram"]]
+    source = tsv(tmp_path / "in.tsv", header, rows)
+    assert strip_file(spark, source, str(tmp_path / "out")) == {"rows_processed": 2, "path_columns": ["vcf", "cram_path"]}
+    assert written(tmp_path / "out") == (header, [["b.vcf", "/a/c.vcf", "", "/x/y.cram"], ["1", "2", "q.cram", ""]])
+    metrics = strip_file(spark, source, str(tmp_path / "own"), columns=["VCF", "Cram_Path"])
+    assert metrics == {"rows_processed": 2, "path_columns": ["VCF", "Cram_Path"]}
+    assert written(tmp_path / "own")[1] == [["/a/b.vcf", "c.vcf", "", "y.cram"], ["1", "2", "/p/q.cram", ""]]
+    assert spark.conf.get("spark.sql.caseSensitive") == "false"
+
+
 def test_strip_file_with_a_broken_record(spark, tmp_path):
     (tmp_path / "in.tsv").write_text('id\tcram_path\n"s\n1"\t/a/b.cram\n2\t/c/d.cram\n')
     metrics = strip_file(spark, str(tmp_path / "in.tsv"), str(tmp_path / "out"))
