@@ -41,17 +41,28 @@ def running_number(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     Rows with a null key have no group and are left out. Every group is cut into scan blocks, whatever its size: rows
     are numbered inside each block, and the rows of the earlier blocks, summed up per group, are added on top. No task
     holds more of a group than a block, or its list of blocks.
+
+    Only blocks with earlier ones get an offset, so where groups lie in one block, which most do, next to nothing is joined.
+    """
+    pieces = [*keys, *PIECE]
+    rows = df.where(" AND ".join(f"`{c}` IS NOT NULL" for c in pieces))
+    dealt = rows.repartition(*pieces)
+    numbered = dealt.withColumn("_inside", F.row_number().over(Window.partitionBy(*pieces).orderBy(*order_of(rows))))
+    placed = numbered.join(block_offsets(dealt, keys), pieces, "left")
+    number = F.col("_inside") + F.coalesce("_before", F.lit(0))
+    return placed.select(*df.columns, number.cast("long").alias(name))
+
+
+def block_offsets(dealt: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``_before``: rows of the same group in earlier blocks, for every group and block that has some.
+
+    Counts read the very shuffle that the numbering reads, so that Spark writes it once. For that both must take the same
+    columns of it: the counting hashes those it has no use for. Without the reuse the result is the same, and the
+    rows are derived and shuffled twice.
     """
     pieces = [*keys, *PIECE]
-    columns = df.columns
-    df = df.where(" AND ".join(f"`{c}` IS NOT NULL" for c in pieces))  # said here, so that both sides below are the same plan
-    inside = Window.partitionBy(*pieces).orderBy(*order_of(df))
-    numbered = df.withColumn("_inside", F.row_number().over(inside))
-    # The count is the last number of a block. Taken with all columns, it reads the very shuffle that the numbering
-    # reads, which Spark then writes once; the rows come sorted by block, so this aggregation sorts nothing.
-    last = F.max(F.struct("_inside", *[c for c in df.columns if c not in pieces]))
-    counted = numbered.groupBy(*pieces).agg(last["_inside"].alias("_rows"))
+    others = [c for c in dealt.columns if c not in pieces]
+    counted = dealt.groupBy(*pieces).agg(F.count(F.lit(1)).alias("_rows"), F.bit_xor(F.xxhash64(*others)).alias("_mark"))
+    counted = counted.where("_rows > 0 OR _mark IS NULL").drop("_mark")
     earlier = Window.partitionBy(*keys).orderBy(*PIECE).rowsBetween(Window.unboundedPreceding, -1)
-    before = counted.select(*pieces, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
-    placed = numbered.join(before, pieces)
-    return placed.select(*columns, (F.col("_inside") + F.col("_before")).cast("long").alias(name))
+    return counted.select(*pieces, F.sum("_rows").over(earlier).alias("_before")).where("_before IS NOT NULL")

@@ -21,10 +21,17 @@ from sheetloom.sources.strip import strip_metrics, strip_paths
 from sheetloom.sources.tables import missing_to_null, scan_tables
 
 
-def _staged(spark, sf):
-    """Samples written once, as the workflows do before several sheets read them, and where to stage more."""
-    staging = harness.staging(spark)
-    return staging(harness.samples(spark, sf), "samples"), staging
+#: Columns of a sample that say what it is and where it stands.
+_KEYS = (ids.SAMPLE_ID, "donor_id", "file_ord", "block", "pos")
+
+
+def _staged(spark, sf, *columns):
+    """Samples written once, as the workflows do before several sheets read them, and where to stage more.
+
+    ``columns`` beside the keys name what the sheets of a query read; without any, all are staged.
+    """
+    staging, rows = harness.staging(spark), harness.samples(spark, sf)
+    return staging(rows.select(*_KEYS, *columns) if columns else rows, "samples"), staging
 
 
 def donor_sheet(spark: SparkSession, sf: str) -> DataFrame:
@@ -59,13 +66,13 @@ def tissue_sample_sheet(spark, sf):
 
 
 def analyte_sheet(spark, sf):
-    (samples, _), ref = _staged(spark, sf), harness.tissue_ref(spark)
+    (samples, _), ref = _staged(spark, sf, "for_analyte", "analyte_label"), harness.tissue_ref(spark)
     rows = regular.analyte_rows(samples, ref)
     return plain(regular.analyte_sheet(rows))
 
 
 def library_numbers(spark, sf):
-    (samples, _), ref = _staged(spark, sf), harness.tissue_ref(spark)
+    (samples, _), ref = _staged(spark, sf, "for_analyte", "analyte_label"), harness.tissue_ref(spark)
     return plain(regular.library_sheet(regular.analyte_rows(samples, ref)))
 
 
@@ -84,7 +91,8 @@ def fileset_numbers(spark, sf):
 
 
 def fileset_sheet_linked(spark, sf):
-    (samples, staging), ref = _staged(spark, sf), harness.tissue_ref(spark)
+    columns = ("description", "for_analyte", "analyte_label", "for_file_set", "file_set_type")
+    (samples, staging), ref = _staged(spark, sf, *columns), harness.tissue_ref(spark)
     analytes = staging(regular.analyte_rows(samples, ref), "analytes")
     return plain(regular.file_set_sheet(samples, ref, analytes))
 
@@ -95,7 +103,8 @@ def unaligned_reads(spark, sf):
 
 
 def aligned_reads_linked(spark, sf):
-    (samples, _), ref = _staged(spark, sf), harness.tissue_ref(spark)
+    columns = ("cram_path", "description", "for_aligned", "aligned_type", "for_file_set", "file_set_type")
+    (samples, _), ref = _staged(spark, sf, *columns), harness.tissue_ref(spark)
     return plain(regular.aligned_reads_sheet(samples, ref))
 
 
