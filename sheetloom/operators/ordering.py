@@ -7,8 +7,9 @@ every pick and every number is decided by the order columns of :mod:`sheetloom.s
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sheetloom.schemas import order_of
@@ -35,7 +36,7 @@ def last_values(df: DataFrame, key: str, *values: str) -> DataFrame:
 PIECE = ("file_ord", "block")
 
 
-def running_number(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+def running_number(df: DataFrame, keys: Sequence[str], name: str, after: DataFrame | None = None) -> DataFrame:
     """Number the rows of every group 1, 2, ... in row order.
 
     Rows with a null key have no group and are left out. Every group is cut into scan blocks, whatever its size: rows
@@ -43,26 +44,65 @@ def running_number(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     holds more of a group than a block, or its list of blocks.
 
     Only blocks with earlier ones get an offset, so where groups lie in one block, which most do, next to nothing is joined.
+
+    ``after`` (the keys and ``last``, see :func:`last_numbers`) continues the numbers of earlier runs: rows of files that come
+    later are numbered as if all files had been there from the start. It meets the blocks of a group, not its rows.
     """
     pieces = [*keys, *PIECE]
     rows = df.where(" AND ".join(f"`{c}` IS NOT NULL" for c in pieces))
     dealt = rows.repartition(*pieces)
     numbered = dealt.withColumn("_inside", F.row_number().over(Window.partitionBy(*pieces).orderBy(*order_of(rows))))
-    placed = numbered.join(block_offsets(dealt, keys), pieces, "left")
+    placed = numbered.join(block_offsets(dealt, keys, after), pieces, "left")
     number = F.col("_inside") + F.coalesce("_before", F.lit(0))
     return placed.select(*df.columns, number.cast("long").alias(name))
 
 
-def block_offsets(dealt: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``_before``: rows of the same group in earlier blocks, for every group and block that has some.
+def _of_blocks(dealt: DataFrame, keys: Sequence[str], **values: Column) -> DataFrame:
+    """Aggregates by group and block that read the very shuffle ``dealt`` ends with, so that Spark writes it once.
 
-    Counts read the very shuffle that the numbering reads, so that Spark writes it once. For that both must take the same
-    columns of it: the counting hashes those it has no use for. Without the reuse the result is the same, and the
-    rows are derived and shuffled twice.
+    For that all readers must take the same columns of it: this one hashes those it has no use for. Without
+    the reuse the result is the same, and the rows are derived and shuffled twice.
     """
-    pieces = [*keys, *PIECE]
-    others = [c for c in dealt.columns if c not in pieces]
-    counted = dealt.groupBy(*pieces).agg(F.count(F.lit(1)).alias("_rows"), F.bit_xor(F.xxhash64(*others)).alias("_mark"))
-    counted = counted.where("_rows > 0 OR _mark IS NULL").drop("_mark")
+    mark = F.bit_xor(F.xxhash64(*[c for c in dealt.columns if c not in (*keys, *PIECE)]))
+    found = dealt.groupBy(*keys, *PIECE).agg(*[v.alias(n) for n, v in values.items()], F.count(F.lit(1)).alias("_rows"), mark.alias("_mark"))
+    return found.where("_rows > 0 OR _mark IS NULL").drop("_mark")
+
+
+def block_offsets(dealt: DataFrame, keys: Sequence[str], after: DataFrame | None = None) -> DataFrame:
+    """``_before``: rows of the same group in earlier blocks and runs, for every group and block that has some."""
     earlier = Window.partitionBy(*keys).orderBy(*PIECE).rowsBetween(Window.unboundedPreceding, -1)
-    return counted.select(*pieces, F.sum("_rows").over(earlier).alias("_before")).where("_before IS NOT NULL")
+    counted = _of_blocks(dealt, keys).select(*keys, *PIECE, F.sum("_rows").over(earlier).alias("_before"))
+    if after is not None:
+        met = counted.join(after.select(*keys, "last"), list(keys), "left")
+        total = F.coalesce("_before", F.lit(0)) + F.coalesce("last", F.lit(0))
+        counted = met.select(*keys, *PIECE, F.when(total > 0, total).alias("_before"))
+    return counted.where("_before IS NOT NULL")
+
+
+def last_numbers(df: DataFrame, keys: Sequence[str], after: DataFrame | None = None) -> DataFrame:
+    """The keys and ``last``: how far the numbers of every group run, those of earlier runs (``after``) included.
+
+    What a run stores for the next one. Groups are counted with a map-side combine; no row is numbered for it.
+    """
+    here = df.where(" AND ".join(f"`{c}` IS NOT NULL" for c in keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("last"))
+    if after is None:
+        return here
+    return here.unionByName(after.select(*keys, "last")).groupBy(*keys).agg(F.sum("last").alias("last"))
+
+
+def merged_rows(df: DataFrame, *keys: str) -> DataFrame:
+    """The rows that :func:`first_by` drops, each with the place of the row that is kept instead (A2): ``kept_file_ord``, ...
+
+    The first place of a key is found per block, then over its blocks, and rows meet the answer of their own block, so a
+    key that holds most of the rows spreads over its blocks.
+    """
+    order = order_of(df)
+    rows = df.where(" AND ".join(f"{c} IS NOT NULL" for c in PIECE))
+    dealt = rows.repartition(*keys, *PIECE)
+    place = F.struct(*order)
+    first = F.min("_first").over(Window.partitionBy(*keys)).alias("_first")
+    blocks = _of_blocks(dealt, keys, _first=F.min(place)).select(*keys, *PIECE, first)
+    blocks = blocks.withColumnsRenamed({c: f"_{c}" for c in (*keys, *PIECE)})
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*keys, *PIECE)]
+    lost = dealt.join(blocks, reduce(Column.__and__, same)).where(place > F.col("_first"))
+    return lost.select(*df.columns, *[F.col("_first")[c].alias(f"kept_{c}") for c in order])

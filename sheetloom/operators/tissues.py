@@ -9,7 +9,7 @@ the repeats disagree:
 * the variants - one Tissue row per distinct label, in order of first appearance.
 
 No join here carries a broadcast hint: the table is broadcast when Spark's own estimate keeps it under
-``spark.sql.autoBroadcastJoinThreshold``, and otherwise joined by a shuffle with adaptive skew splitting.
+``spark.sql.autoBroadcastJoinThreshold``. Beyond that codes are looked up once per scan block, see :func:`sheetloom.operators.skew.lookup`.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from sheetloom.functions import ids, labels
 from sheetloom.operators.ordering import first_by
+from sheetloom.operators.skew import lookup
 from sheetloom.schemas import order_of
 
 CODE = "tissue_identifier_code"
@@ -73,11 +74,8 @@ def parse_samples(rows: DataFrame) -> DataFrame:
 
 def with_tissue(rows: DataFrame, ref: DataFrame) -> DataFrame:
     """Parsed samples with ``label`` and ``source_label``; an unmapped code labels itself."""
-    return (
-        parse_samples(rows)
-        .join(tissue_codes(ref), "core", "left")
-        .withColumn("label", F.coalesce("label", labels.tissue_label(F.col("core"))))
-    )
+    named = lookup(parse_samples(rows), tissue_codes(ref), "core")
+    return named.withColumn("label", F.coalesce("label", labels.tissue_label(F.col("core"))))
 
 
 def tissue_fanout(rows: DataFrame, ref: DataFrame) -> DataFrame:

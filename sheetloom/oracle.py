@@ -410,6 +410,36 @@ ORACLE = {
         schemas.SOFTWARE, "submitted_id category title version", "software", SOFTWARE
     ),
     "fileset_numbers": _with(FILE_SET) + " SELECT file_set_group, number, description FROM file_set_rows",
+    "appended_numbers": _with(FILE_SET) + " SELECT file_set_group, number, description FROM file_set_rows",
+    "merge_audit": _with(TISSUE, TISSUE_SAMPLE, ANALYTE)
+    + """,
+        listed AS (
+            SELECT 'Tissue' AS sheet, submitted_id, rn, first_ord FROM tissue_all
+            UNION ALL SELECT 'TissueSample', submitted_id, rn, 0 FROM ts_all
+            UNION ALL SELECT 'Analyte', submitted_id, rn, 0 FROM analyte_all),
+        placed AS (
+            SELECT sheet, submitted_id, r.file_ord, row_number() OVER w AS k, first_value(r.file_ord) OVER w AS kept_file_ord
+            FROM listed JOIN raw_rows r USING (rn) WINDOW w AS (PARTITION BY sheet, submitted_id ORDER BY rn, first_ord))
+        SELECT sheet, count(*) AS merged, count(DISTINCT submitted_id) AS kept,
+               count(*) FILTER (file_ord <> kept_file_ord) AS from_other_file
+        FROM placed WHERE k > 1 GROUP BY sheet""",
+    "bundle_read_back": _with(DONOR, TISSUE, TISSUE_SAMPLE, SEQUENCING)
+    + """
+        SELECT 0 AS sheet_order, 'Donor' AS sheet, count(*) AS n_rows,
+               count(submitted_id) + count(age) + count(external_id) + count(sex) + count(tpc_submitted) AS n_cells,
+               max(submitted_id) AS last_id FROM donor
+        UNION ALL
+        SELECT 1, 'Tissue', count(*), count(submitted_id) + count(external_id) + count(donor) + count(uberon_id),
+               arg_max(submitted_id, rn * 100 + coalesce(first_ord, 0)) FROM tissue
+        UNION ALL
+        SELECT 2, 'TissueSample', count(*), count(submitted_id) + count(category) + count(external_id) + count(sample_sources),
+               arg_max(submitted_id, rn) FROM ts
+        UNION ALL
+        SELECT 3, 'Sequencing', count(*),
+               count(submitted_id) + count(read_type) + count(target_read_length) + count(flow_cell) + count(target_coverage)
+               + count(target_read_count) + count(sequencer),
+               arg_max(submitted_id, CASE file_ord WHEN 1 THEN 0 WHEN 0 THEN 1 ELSE 2 END) FROM sequencing
+        UNION ALL SELECT 4, 'UnalignedReads', 0, 0, NULL""",
     "fileset_sheet_linked": _sheet(
         schemas.FILE_SET, "submitted_id description libraries sequencing", "file_set", *_FILE_SETS
     ),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from sheetloom import schemas
 from sheetloom.functions import ids, labels, paths
 from sheetloom.operators.links import group_sizes, link
-from sheetloom.operators.ordering import first_by, running_number
+from sheetloom.operators.ordering import first_by, last_numbers, running_number
 from sheetloom.operators.skew import semi_join
 from sheetloom.operators.tissues import parse_samples, tissue_variants, with_tissue
 from sheetloom.schemas import conform
@@ -190,10 +190,13 @@ def analyte_sheet(rows: DataFrame) -> DataFrame:
 LIBRARY_GROUP = ("donor_part", "label", "library_type")
 
 
-def library_sheet(rows: DataFrame, prefix: str = PREFIX) -> DataFrame:
-    """One row per analyte row before dedup, numbered per donor, tissue and library type."""
+def library_sheet(rows: DataFrame, prefix: str = PREFIX, after: DataFrame | None = None) -> DataFrame:
+    """One row per analyte row before dedup, numbered per donor, tissue and library type.
+
+    ``after``, what :func:`library_numbers` gave for the rows of earlier runs, continues their numbers.
+    """
     narrow = rows.select(*LIBRARY_GROUP, "submitted_id", *schemas.order_of(rows))
-    numbered = running_number(narrow, LIBRARY_GROUP, "number")
+    numbered = running_number(narrow, LIBRARY_GROUP, "number", after)
     minted = ids.library_id(
         prefix, F.col("donor_part"), F.col("label"), F.col("library_type"), F.col("number").cast("string")
     )
@@ -206,10 +209,15 @@ def library_sheet(rows: DataFrame, prefix: str = PREFIX) -> DataFrame:
     )
 
 
-def library_sizes(rows: DataFrame) -> DataFrame:
+def library_numbers(rows: DataFrame, after: DataFrame | None = None) -> DataFrame:
+    """Last Library number of every group, to be stored for a run over files that come later."""
+    return last_numbers(rows, LIBRARY_GROUP, after)
+
+
+def library_sizes(rows: DataFrame, after: DataFrame | None = None) -> DataFrame:
     """How far Library numbers run, by the part of the id between entity and number."""
     stem = F.upper(F.replace(F.concat_ws("_", *LIBRARY_GROUP), F.lit(" "), F.lit("-")))
-    return group_sizes(rows, LIBRARY_GROUP, stem)
+    return group_sizes(rows, LIBRARY_GROUP, stem, after)
 
 
 def file_set_rows(samples: DataFrame, ref: DataFrame) -> DataFrame:
@@ -227,18 +235,33 @@ def file_set_rows(samples: DataFrame, ref: DataFrame) -> DataFrame:
     )
 
 
-def file_set_sizes(rows: DataFrame) -> DataFrame:
+def file_set_numbers(rows: DataFrame, after: DataFrame | None = None) -> DataFrame:
+    """Last FileSet number of every group, to be stored for a run over files that come later."""
+    return last_numbers(rows, ["file_set_group"], after)
+
+
+def file_set_sizes(rows: DataFrame, after: DataFrame | None = None) -> DataFrame:
     """How far FileSet numbers run."""
-    return group_sizes(rows, ["file_set_group"], F.upper("file_set_group"))
+    return group_sizes(rows, ["file_set_group"], F.upper("file_set_group"), after)
+
 
+def file_set_sheet(
+    samples: DataFrame,
+    ref: DataFrame,
+    analytes: DataFrame,
+    prefix: str = PREFIX,
+    after: DataFrame | None = None,
+    library_after: DataFrame | None = None,
+) -> DataFrame:
+    """Numbered per donor, tissue and type (W2), linked to the Library rows of ``analytes``.
 
-def file_set_sheet(samples: DataFrame, ref: DataFrame, analytes: DataFrame, prefix: str = PREFIX) -> DataFrame:
-    """Numbered per donor, tissue and type (W2), linked to the Library rows of ``analytes``."""
-    rows = running_number(file_set_rows(samples, ref), ["file_set_group"], "number")
+    ``after`` and ``library_after`` are the last FileSet and Library numbers of earlier runs.
+    """
+    rows = running_number(file_set_rows(samples, ref), ["file_set_group"], "number", after)
     rows = rows.withColumn("stem", F.upper("file_set_group"))
     number = F.col("number").cast("string")
     library = ids.mint(prefix, "LIBRARY", F.col("stem"), number)
-    linked = link(rows, library_sizes(analytes), "number", library, "library")
+    linked = link(rows, library_sizes(analytes, library_after), "number", library, "library")
     return conform(
         linked,
         schemas.FILE_SET,

@@ -11,12 +11,14 @@ from sheetloom import harness
 from sheetloom.functions import ids, labels
 from sheetloom.functions.paths import PATH_COLUMNS, extension, slash_name
 from sheetloom.operators import links, tissues
-from sheetloom.operators.ordering import first_by, last_values, running_number
+from sheetloom.operators.ordering import first_by, last_values, merged_rows, running_number
 from sheetloom.plans import codec, regular
 from sheetloom.plans.bundle import CODEC_EDGES, REGULAR_EDGES, codec_plan, regular_plan
 from sheetloom.schemas import order_of, plain
+from sheetloom.sources.bundles import read_bundle
 from sheetloom.sources.manifests import tag_manifest
-from sheetloom.sources.sinks import capitalized
+from sheetloom.sources.sinks import block_parts, capitalized, write_bundle
+from sheetloom.sources.staging import Sheets
 from sheetloom.sources.strip import strip_metrics, strip_paths
 from sheetloom.sources.tables import missing_to_null, scan_tables
 
@@ -90,6 +92,64 @@ def fileset_numbers(spark, sf):
     return numbered.select("file_set_group", "number", "description")
 
 
+def appended_numbers(spark, sf):
+    """W2 in two runs: the first two files, then the other two after the numbers that the first run stored."""
+    ref, staging = harness.tissue_ref(spark), harness.staging(spark)
+    samples = staging(harness.samples(spark, sf).select(*_KEYS, "description", "for_file_set", "file_set_type"), "samples")
+    first = regular.file_set_rows(samples.where("file_ord < 2"), ref)
+    later = regular.file_set_rows(samples.where("file_ord >= 2"), ref)
+    stored = staging(regular.file_set_numbers(first), "numbers")
+    runs = [running_number(first, ["file_set_group"], "number"), running_number(later, ["file_set_group"], "number", stored)]
+    return runs[0].unionByName(runs[1]).select("file_set_group", "number", "description")
+
+
+def merge_audit(spark, sf):
+    """A2: rows that keep-first drops, by sheet: how many, for how many kept rows, and how many stand in another file."""
+    samples, ref = harness.samples(spark, sf), harness.tissue_ref(spark)
+    sheets = {
+        "Tissue": regular.tissue_rows(samples, ref),
+        "TissueSample": regular.tissue_sample_rows(samples, ref),
+        "Analyte": regular.analyte_rows(samples, ref),
+    }
+    found = []
+    for name, rows in sheets.items():
+        lost = merged_rows(rows.select("submitted_id", "external_id", *order_of(rows)), "submitted_id")
+        found.append(
+            lost.agg(
+                F.count(F.lit(1)).alias("merged"),
+                F.count_distinct("submitted_id").alias("kept"),
+                F.count_if(F.col("file_ord") != F.col("kept_file_ord")).alias("from_other_file"),
+            ).select(F.lit(name).alias("sheet"), "merged", "kept", "from_other_file")
+        )
+    return reduce(DataFrame.unionByName, found)
+
+
+def bundle_read_back(spark, sf):
+    """Sheets written as a bundle and read back; rows and filled cells of each, and its last id in row order."""
+    staging = harness.staging(spark)
+    samples, ref = staging(harness.samples(spark, sf), "samples"), harness.tissue_ref(spark)
+    sheets = {
+        "Donor": regular.donor_sheet(harness.donors(spark, sf)),
+        "Tissue": regular.tissue_sheet(samples, ref),
+        "TissueSample": regular.tissue_sample_sheet(samples, ref),
+        "Sequencing": regular.sequencing_sheet(harness.manifest(spark, sf)),
+        "UnalignedReads": codec.codec_unaligned_reads_sheet(spark),
+    }
+    root = staging.path("bundle")
+    write_bundle(Sheets(sheets, parts=staging(block_parts(samples), "parts")), root)
+    found = []
+    for i, (name, sheet) in enumerate(read_bundle(spark, root).items()):
+        place = F.struct(*order_of(sheet))
+        cells = [F.count(c) for c in sheet.columns if c not in order_of(sheet)]
+        found.append(
+            sheet.agg(
+                F.count(F.lit(1)).alias("n_rows"), reduce(lambda a, b: a + b, cells).alias("n_cells"),
+                F.max_by("submitted_id", place).alias("last_id"),
+            ).select(F.lit(i).alias("sheet_order"), F.lit(name).alias("sheet"), "n_rows", "n_cells", "last_id")
+        )
+    return reduce(DataFrame.unionByName, found)
+
+
 def fileset_sheet_linked(spark, sf):
     columns = ("description", "for_analyte", "analyte_label", "for_file_set", "file_set_type")
     (samples, staging), ref = _staged(spark, sf, *columns), harness.tissue_ref(spark)
@@ -338,6 +398,9 @@ QUERIES = {
     "sequencing_sheet": sequencing_sheet,
     "software_sheet": software_sheet,
     "fileset_numbers": fileset_numbers,
+    "appended_numbers": appended_numbers,
+    "merge_audit": merge_audit,
+    "bundle_read_back": bundle_read_back,
     "fileset_sheet_linked": fileset_sheet_linked,
     "unaligned_reads": unaligned_reads,
     "aligned_reads_linked": aligned_reads_linked,

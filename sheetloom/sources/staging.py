@@ -16,6 +16,17 @@ def shared_folder(spark: SparkSession, folder: str | None = None) -> str:
     return folder.rstrip("/")
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Remove a folder, if it is there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(path)
+
+
 class Staging:
     """Tables written once under the shared folder, and removed together."""
 
@@ -36,16 +47,19 @@ class Staging:
 
     def release(self) -> None:
         """Remove the staged tables."""
-        path = self._spark._jvm.org.apache.hadoop.fs.Path(self._root)
-        path.getFileSystem(self._spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        remove(self._spark, self._root)
 
 
 class Sheets(dict):
-    """Sheets by name, in order. They read staged tables until :meth:`release` is called."""
+    """Sheets by name, in order. They read staged tables until :meth:`release` is called.
+
+    ``parts`` tells where their rows go in the output, see :func:`sheetloom.sources.sinks.block_parts`.
+    """
 
-    def __init__(self, sheets: Mapping[str, DataFrame], staging: Staging | None = None) -> None:
+    def __init__(self, sheets: Mapping[str, DataFrame], staging: Staging | None = None, parts: DataFrame | None = None) -> None:
         super().__init__(sheets)
         self._staging = staging
+        self.parts = parts
 
     def release(self) -> None:
         if self._staging is not None:

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from sheetloom.operators import links
 from sheetloom.operators.links import collisions, dangling_links, duplicate_ids, group_sizes, link
-from sheetloom.operators.ordering import first_by, last_values, running_number
-from sheetloom.operators.skew import semi_join
+from sheetloom.operators.ordering import first_by, last_numbers, last_values, merged_rows, running_number
+from sheetloom.operators.skew import broadcastable, lookup, semi_join
 
 ROW = "file_ord int, block long, pos long, k string, g string, v string"
 
@@ -124,3 +124,90 @@ def test_reports(spark):
     assert [tuple(r) for r in duplicate_ids(parent).collect()] == [("p2", 2)]
     rows = spark.createDataFrame([("i", "a"), ("i", "b"), ("i", "b"), ("j", "a")], "submitted_id string, src string")
     assert [tuple(r) for r in collisions(rows, "src").collect()] == [("i", 2, "a")]
+
+
+def test_offsets_are_for_blocks_with_earlier_ones_only(spark):
+    """Groups that lie in one block take part in no join, and the shuffle of the rows is written once."""
+    from sheetloom.operators.ordering import block_offsets
+
+    rows = [("hot", "x", str(i)) for i in range(30)] + [(f"k{i}", "x", str(i)) for i in range(100)]
+    _, df = table(spark, rows)
+    dealt = df.repartition("k", "g", "file_ord", "block")
+    blocks = df.where("k = 'hot'").select("file_ord", "block").distinct().count()
+    assert {r["k"] for r in block_offsets(dealt, ["k", "g"]).collect()} == {"hot"}
+    assert block_offsets(dealt, ["k", "g"]).count() == blocks - 1 > 3
+    numbered = running_number(df, ["k", "g"], "n")
+    numbered.collect()
+    assert "ReusedExchange" in numbered._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("cuts", [[200], [1, 399], [100, 200, 300], [0, 400]])
+@pytest.mark.parametrize("threshold", ["-1", "10MB"])
+def test_runs_over_later_files_number_as_one_run(spark, tmp_path, cuts, threshold):
+    """Last numbers are stored and read again; every run numbers its own rows only."""
+    placed, df = table(spark, skewed())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        found, stored = Counter(), None
+        for run, (a, b) in enumerate(zip([0, *cuts], [*cuts, len(placed)], strict=True)):
+            part = spark.createDataFrame(placed[a:b], ROW)
+            found += Counter(tuple(r) for r in running_number(part, ["k", "g"], "n", stored).collect())
+            last_numbers(part, ["k", "g"], stored).write.parquet(f"{tmp_path}/{run}")
+            stored = spark.read.parquet(f"{tmp_path}/{run}")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert found == numbers(df) == brute_numbers(placed)
+
+
+def test_last_numbers_leave_null_groups_out(spark):
+    rows = [("a", "x", "1"), (None, "x", "2"), ("a", None, "3"), ("a", "x", "4")]
+    _, df = table(spark, rows)
+    assert [tuple(r) for r in last_numbers(df, ["k", "g"]).collect()] == [("a", "x", 2)]
+    twice = last_numbers(df, ["k", "g"], last_numbers(df, ["k", "g"]))
+    assert [tuple(r) for r in twice.collect()] == [("a", "x", 4)]
+
+
+def test_sizes_of_groups_include_earlier_runs(spark):
+    _, df = table(spark, [("a", "x", "1"), ("a", "x", "2"), ("b", "x", "3")])
+    after = spark.createDataFrame([("a", "x", 5), ("c", "x", 2)], "k string, g string, last long")
+    found = group_sizes(df, ["k", "g"], F.concat_ws("_", "k", "g"), after)
+    assert sorted(map(tuple, found.collect())) == [("a_x", 7), ("b_x", 1), ("c_x", 2)]
+
+
+@pytest.mark.parametrize("rows", [skewed(), [(None, "x", "1"), (None, "x", "2"), ("a", "x", "3")], []])
+def test_merged_rows_name_the_row_that_stays(spark, rows):
+    placed, df = table(spark, rows) if rows else ([], spark.createDataFrame([], ROW))
+    first, expected = {}, []
+    for row in placed:
+        if row[3] in first:
+            expected.append((*row, *first[row[3]]))
+        first.setdefault(row[3], row[:3])
+    found = merged_rows(df, "k")
+    assert Counter(map(tuple, found.collect())) == Counter(expected)
+    assert found.columns[-3:] == ["kept_file_ord", "kept_block", "kept_pos"]
+    assert found.count() + first_by(df, "k").count() == len(placed)
+
+
+def test_lookup_of_a_code_that_holds_half_of_the_rows(spark):
+    """With broadcasts and adaptive plans off, no task gets the hot code whole, and codes that are not there stay."""
+    rows = [("hot" if i % 2 else f"c{i % 7}" if i % 3 else None, "x", str(i)) for i in range(2000)]
+    placed, df = table(spark, rows)
+    codes = spark.createDataFrame([("hot", "H", 1), ("c1", None, 2), ("c2", "C2", 3), ("unused", "U", 4)], "k string, label string, m int")
+    known = {"hot": ("H", 1), "c1": (None, 2), "c2": ("C2", 3)}
+    expected = Counter((*r, *known.get(r[3], (None, None))) for r in placed)
+    assert broadcastable(spark.range(10)) and Counter(map(tuple, lookup(df, codes, "k").collect())) == expected
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    for name, value in conf.items():
+        spark.conf.set(name, value)
+    try:
+        assert not broadcastable(codes)
+        found = lookup(df, codes, "k")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan
+        assert Counter(map(tuple, found.select(*df.columns, "label", "m").collect())) == expected
+        sizes = found.groupBy(F.spark_partition_id()).agg(F.count_if(F.col("k") == "hot").alias("n")).collect()
+        assert sum(r["n"] for r in sizes) == 1000 and max(r["n"] for r in sizes) < 300
+    finally:
+        for name in conf:
+            spark.conf.unset(name)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")

@@ -4,13 +4,16 @@ from collections import Counter
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
-from sheetloom import codec_sheets, regular_sheets, write_bundle
+from sheetloom import codec_sheets, read_bundle, read_manifests, read_sheet, read_tissues, regular_sheets, write_bundle, write_sheet
 from sheetloom import schemas
 from sheetloom.operators.links import dangling_links
+from sheetloom.plans import regular as sheets_of
 from sheetloom.plans.bundle import CODEC_EDGES, REGULAR_EDGES
 from sheetloom.schemas import plain
-from sheetloom.sources.staging import shared_folder
+from sheetloom.sources.sinks import block_parts, in_row_order
+from sheetloom.sources.staging import Sheets, shared_folder
 from tests.data import (
     CODEC, DONORS, LONG, RNA, SHORT_A, SHORT_B, codec_file, donor_file, long_file, parts, rna_file, rows_of,
     short_file, tissue_file,
@@ -244,3 +247,104 @@ def test_bundle_of_a_workflow(spark, codec, tmp_path):
     assert rows[-2:] == [("VariantCalls", len(CODEC)), ("Software", 3)]
     again = spark.read.option("sep", "\t").option("header", True).csv(str(tmp_path / "out" / "VariantCalls"))
     assert again.columns == schemas.VARIANT_CALLS.names and again.count() == len(CODEC)
+
+
+def workflow(spark, folder, kind, shared):
+    if kind == "codec":
+        return codec_sheets(spark, donor_file(folder), tissue_file(folder), [codec_file(folder / "c.tsv", CODEC)], folder=str(shared))
+    return regular_sheets(
+        spark, donor_file(folder), tissue_file(folder),
+        [short_file(folder / "a_short_read.tsv", SHORT_A), short_file(folder / "b_short_read.tsv", SHORT_B)],
+        [long_file(folder / "plants_long_read.tsv", LONG)], [rna_file(folder / "plants_rna_watchmaker.tsv", RNA)], folder=str(shared),
+    )
+
+
+@pytest.mark.parametrize("kind", ["regular", "codec"])
+def test_a_bundle_reads_back_as_it_was(spark, tmp_path, kind):
+    sheets = workflow(spark, tmp_path, kind, tmp_path / "shared")
+    expected = {name: [tuple(r) for r in plain(in_row_order(s)).collect()] for name, s in sheets.items()}
+    kinds = {name: plain(s).dtypes for name, s in sheets.items()}
+    write_bundle(sheets, str(tmp_path / "out"))
+    again = read_bundle(spark, str(tmp_path / "out"))
+    assert list(again) == list(sheets)
+    assert {name: plain(s).dtypes for name, s in again.items()} == kinds
+    assert {name: [tuple(r) for r in plain(in_row_order(s)).collect()] for name, s in again.items()} == expected
+    assert any(rows == [] for rows in expected.values()) == (kind == "codec")
+
+
+def test_a_sheet_of_unknown_columns_reads_back_as_text(spark, tmp_path):
+    cells = [('q"z', None), ("NA", " x "), ("tab\there", "new\nline"), ("1", "")]
+    sheet = spark.createDataFrame([(0, 0, i, *c) for i, c in enumerate(cells)], "file_ord int, block long, pos long, `a b` string, A2 string")
+    write_sheet(sheet, str(tmp_path / "s"))
+    assert rows_of(read_sheet(spark, str(tmp_path / "s")), "a b", "A2") == [*cells[:3], ("1", None)]
+    with pytest.raises(ValueError, match="has no column x"):
+        read_sheet(spark, str(tmp_path / "s"), ["x"])
+
+
+@pytest.mark.parametrize("mode", ["errorifexists", "overwrite"])
+def test_a_sheet_that_fails_leaves_no_bundle_and_nothing_staged(spark, tmp_path, mode):
+    shared, out = tmp_path / "shared", str(tmp_path / "out")
+    if mode == "overwrite":
+        write_bundle(workflow(spark, tmp_path, "codec", shared), out)
+        assert len(read_bundle(spark, out)) == 12
+    sheets = workflow(spark, tmp_path, "codec", shared)
+    assert list(shared.iterdir())
+    sheets["Software"] = sheets["Software"].withColumn("model", F.raise_error(F.lit("out of order")).cast("string"))
+    with pytest.raises(Exception, match="out of order"):
+        write_bundle(sheets, out, mode)
+    assert not list(shared.iterdir())
+    with pytest.raises(ValueError, match="no finished bundle"):
+        read_bundle(spark, out)
+    write_bundle(workflow(spark, tmp_path, "codec", shared), out, "overwrite")
+    assert len(read_bundle(spark, out)) == 12
+
+
+def test_a_plan_that_fails_leaves_nothing_staged(spark, tmp_path):
+    shared = tmp_path / "shared"
+    with pytest.raises(Exception):
+        regular_sheets(spark, str(tmp_path / "no donors"), tissue_file(tmp_path), [short_file(tmp_path / "short.tsv", SHORT_A)], folder=str(shared))
+    assert not shared.exists() or not list(shared.iterdir())
+
+
+@pytest.mark.parametrize("part_rows", [1, 7, 1 << 20])
+def test_parts_from_blocks_are_in_order_and_derived_once(spark, tmp_path, monkeypatch, part_rows):
+    """No range shuffle, which samples, and part files that follow each other."""
+    monkeypatch.setattr("sheetloom.sources.tables.BLOCK_BITS", 2)
+    files = [short_file(tmp_path / f"short_{i}.tsv", [f"D{i}-3A-{n:03d}" for n in range(30)]) for i in (2, 1)]
+    samples = read_manifests(spark, files).repartition(5)
+    sheet = sheets_of.tissue_sample_sheet(samples, read_tissues(spark, tissue_file(tmp_path)))
+    parts = block_parts(samples, part_rows).cache()
+    placed = in_row_order(sheet, parts)
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
+    write_sheet(sheet, str(tmp_path / "out"), parts=parts)
+    written = len(list((tmp_path / "out").glob("part-*")))
+    assert written == 1 if part_rows == 1 << 20 else written > 4
+    got = [r[0] for r in read_sheet(spark, str(tmp_path / "out")).orderBy("file_ord", "block", "pos").select("external_id").collect()]
+    assert got == [f"D{i}-3A-{n:03d}" for i in (2, 1) for n in range(30)]
+    with pytest.raises(Exception, match="not among the parts"):
+        in_row_order(sheet, parts.where("file_ord = 0")).collect()
+
+
+def test_a_later_file_continues_the_numbers_and_links_of_the_first(spark, tmp_path):
+    """Library and FileSet of two runs, the second over the later file alone, equal one run over both."""
+    files = [short_file(tmp_path / "a_short_read.tsv", SHORT_A), short_file(tmp_path / "b_short_read.tsv", SHORT_A + SHORT_B)]
+    ref = read_tissues(spark, tissue_file(tmp_path))
+
+    def sheets(paths, stored):
+        samples = read_manifests(spark, paths)
+        analytes, file_sets = sheets_of.analyte_rows(samples, ref), sheets_of.file_set_rows(samples, ref)
+        library = sheets_of.library_sheet(analytes, after=stored and stored[0])
+        file_set = sheets_of.file_set_sheet(samples, ref, analytes, after=stored and stored[1], library_after=stored and stored[0])
+        numbers = sheets_of.library_numbers(analytes, stored and stored[0]), sheets_of.file_set_numbers(file_sets, stored and stored[1])
+        return [Counter(tuple(r) for r in plain(s).collect()) for s in (library, file_set)], numbers
+
+    one, _ = sheets(files, None)
+    first, stored = sheets(files[:1], None)
+    second, _ = sheets(files[1:], stored)
+    assert [a + b for a, b in zip(first, second, strict=True)] == one
+    assert all(r[2] is not None for r in one[1])
+
+
+def test_sheets_without_a_workflow_have_nothing_to_release(spark):
+    Sheets({}).release()
