@@ -252,12 +252,14 @@ def file_set_sheet(
     prefix: str = PREFIX,
     after: DataFrame | None = None,
     library_after: DataFrame | None = None,
+    rows: DataFrame | None = None,
 ) -> DataFrame:
     """Numbered per donor, tissue and type (W2), linked to the Library rows of ``analytes``.
 
-    ``after`` and ``library_after`` are the last FileSet and Library numbers of earlier runs.
+    ``after`` and ``library_after`` are the last FileSet and Library numbers of earlier runs; ``rows`` are the
+    :func:`file_set_rows` where they are at hand.
     """
-    rows = running_number(file_set_rows(samples, ref), ["file_set_group"], "number", after)
+    rows = running_number(file_set_rows(samples, ref) if rows is None else rows, ["file_set_group"], "number", after)
     rows = rows.withColumn("stem", F.upper("file_set_group"))
     number = F.col("number").cast("string")
     library = ids.mint(prefix, "LIBRARY", F.col("stem"), number)
@@ -295,8 +297,13 @@ def unaligned_reads_sheet(samples: DataFrame, ref: DataFrame, prefix: str = PREF
     )
 
 
-def aligned_reads_sheet(samples: DataFrame, ref: DataFrame, prefix: str = PREFIX) -> DataFrame:
-    """One row per CRAM, numbered over the rows that have one (W4), linked to FileSet."""
+def aligned_reads_sheet(
+    samples: DataFrame, ref: DataFrame, prefix: str = PREFIX, file_sets: DataFrame | None = None
+) -> DataFrame:
+    """One row per CRAM, numbered over the rows that have one (W4), linked to FileSet.
+
+    ``file_sets`` are the :func:`file_set_rows` where they are at hand.
+    """
     crams = filled(samples.where("for_aligned"), ids.SAMPLE_ID, "cram_path")
     rows = with_tissue(crams, ref)
     rows = rows.select(
@@ -306,7 +313,7 @@ def aligned_reads_sheet(samples: DataFrame, ref: DataFrame, prefix: str = PREFIX
     numbered = running_number(rows, group, "number")
     numbered = numbered.withColumn("stem", F.upper(F.concat_ws("_", *group)))
     file_set = ids.mint(prefix, "FILE-SET", F.col("stem"), F.col("number").cast("string"))
-    sizes = file_set_sizes(file_set_rows(samples, ref))
+    sizes = file_set_sizes(file_set_rows(samples, ref) if file_sets is None else file_sets)
     linked = link(numbered, sizes, "number", file_set, "file_set")
     name = paths.slash_name(F.col("cram_path"))
     return conform(
