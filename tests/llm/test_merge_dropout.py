@@ -1,12 +1,17 @@
+import zlib
+
 import numpy as np
+import pyarrow as pa
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from sheetloom.llm import merge_dropout as md
+from sheetloom.llm import queries
 from tests.llm.conftest import LONG, MESSY, ODD, OTHER, PROSE
 
+SF = "/root/testdata/sf0.001"
 PATH = md.model_file()
 WORDS = md.vocabulary(PATH)
 
@@ -91,3 +96,33 @@ def test_messy_rows(messy, empty):
     assert sevens[0] == sevens[1]
     assert md.encoded(empty).count() == 0
     assert messy.limit(1).select(md.decode(F.lit(None).cast("array<int>")).alias("t")).first()["t"] is None
+
+
+def test_many_ids_decode_as_one_by_one(spark, modules):
+    """Any ids, also such that no text has, empty lists, nulls, slices of an array."""
+    rng = np.random.default_rng(2)
+    rows = [rng.integers(0, WORDS.size, n).tolist() for n in (0, 1, 2, 50, 3000)] + [None, [], ids_of(ODD), ids_of(LONG[:5000])]
+    expected = [None if r is None else b"".join(WORDS.written[i] for i in r)[1:].decode("utf-8", "replace") for r in rows]
+    whole = pa.array(rows, pa.list_(pa.int32()))
+    assert md.decoded(whole, WORDS).to_pylist() == expected
+    assert md.decoded(whole[3:8], WORDS).to_pylist() == expected[3:8]
+    assert md.decoded(whole[:0], WORDS).to_pylist() == []
+    frame = spark.createDataFrame([(k, r) for k, r in enumerate(rows)], "k int, ids array<int>")
+    found = {r["k"]: r["text"] for r in frame.select("k", md.decode(F.col("ids")).alias("text")).collect()}
+    assert [found[k] for k in range(len(rows))] == expected
+
+
+def test_query_equals_encoding_one_by_one(spark, modules):
+    """The registered query against the agenda run for each document and occurrence by itself."""
+    found = {r["doc_id"]: r for r in queries.op2_sentencepiece(spark, SF).collect()}
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", F.xxhash64("doc_id", "text").alias("draw")).collect()
+    ids, expected = [], {}
+    for d in docs[:40]:
+        raw = md.Encoder(WORDS, md.DROPOUT, md.SEED, d["draw"]).encode(d["text"] or "")
+        ids.append((d["doc_id"], np.frombuffer(raw, "<i4").tolist()))
+        expected[d["doc_id"]] = (len(d["text"] or ""), len(ids[-1][1]), zlib.crc32((d["text"] or "").encode()))
+    hashes = {r["k"]: r["h"] for r in spark.createDataFrame(ids, "k long, ids array<int>").select("k", F.xxhash64("ids").alias("h")).collect()}
+    for k, (chars, many, crc) in expected.items():
+        assert (found[k]["n_chars"], found[k]["n_ids"], found[k]["decoded_crc32"], found[k]["lossless"]) == (chars, many, crc, True)
+        assert found[k]["ids_hash"] == hashes[k]
+    assert len(found) == len(docs)
