@@ -2,8 +2,9 @@
 
 Texts become histograms of hashed byte n-grams. Linear support vector machines, one against the rest, tell the
 families apart; within a family one machine for each pair of languages votes. They are fitted on the
-driver from at most :data:`SAMPLE_ROWS` labelled rows of :data:`DIMENSIONS` numbers each, drawn evenly from the
-languages; every text is read whole.
+driver from at most :data:`SAMPLE_ROWS` labelled rows of :data:`DIMENSIONS` numbers each, drawn evenly from all
+languages, whatever their number; every text is read whole. Where there are more than :data:`SAMPLE_ROWS` languages,
+each gives one row, so the sample grows with the languages and no language is left out.
 
 Defined results: ``und`` with score 0 for a text that is null, empty or without a letter, and where nothing
 could be learned; with one known language, that language with score 1; ties go to the first name; repeated
@@ -23,13 +24,13 @@ from pyspark.sql import functions as F
 
 from sheetloom.llm.common import slices, text_of, utf8, whole_rows, with_outputs
 
-SAMPLE_ROWS = 2400
-#: The most frequent languages are learned, so many at most.
-MOST_LANGUAGES = 500
-DIMENSIONS = 2048
+SAMPLE_ROWS = 3000
+DIMENSIONS = 4096
+#: Languages up to which their row counts are broadcast, some 50 bytes each.
+BROADCAST_LANGUAGES = 100_000
 GRAMS = (1, 2, 3)
 UNKNOWN = "und"
-PENALTY, STEPS = 1e-4, 150
+PENALTY, STEPS = 1e-4, 300
 
 #: Families by language code; a code that is not listed is a family by itself.
 FAMILIES = {
@@ -71,7 +72,7 @@ def histograms(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray]]:
                 ahead = part[n - 1 : n - 1 + len(code)]
                 code[: len(ahead)] = code[: len(ahead)] * np.uint32(257) + ahead + np.uint32(n)
                 if n in GRAMS:
-                    dim = (code[fits] * np.uint32(2654435761)) >> np.uint32(21)  # the top 11 bits: DIMENSIONS values
+                    dim = (code[fits] * np.uint32(2654435761)) >> np.uint32(20)  # the top 12 bits: DIMENSIONS values
                     held += np.bincount(row[fits] * DIMENSIONS + dim, minlength=len(held))
         x = np.sqrt(held.reshape(rows, DIMENSIONS).astype(np.float32))
         norm = np.sqrt((x * x).sum(1, keepdims=True))
@@ -178,14 +179,16 @@ def train(docs: DataFrame, usable: Column | None = None, most: int = SAMPLE_ROWS
         known = known.where(usable)
     ids = known.select("doc_id", "lang").distinct()
     counted = ids.groupBy("lang").agg(F.count("*").alias("rows"))
-    sizes = {r["lang"]: r["rows"] for r in counted.orderBy(F.desc("rows"), "lang").limit(MOST_LANGUAGES).collect()}
-    if not sizes:
+    languages = counted.count()
+    if not languages:
         return Model()
+    most = max(most, languages)
+    each = -(-most // languages) * 4  # a language that has fewer leaves room to the others
     # thinned by the hash first, so that no language's rows are ever sorted as a whole
     draw = F.pmod(F.xxhash64(F.lit(17), F.col("doc_id")), F.lit(1 << 40))
-    shares = {code: min(1.0, (1.5 * most + 1000) / n) for code, n in sizes.items()}
-    limit = F.create_map(*[F.lit(x) for code, share in shares.items() for x in (code, int(share * (1 << 40)))])
-    thinned = ids.where(F.col("lang").isin(*shares)).where(draw < limit[F.col("lang")])
+    limit = F.least(F.lit(1.0), (1.5 * min(most, each) + 1000) / F.col("rows")) * (1 << 40)
+    sizes = F.broadcast(counted) if languages <= BROADCAST_LANGUAGES else counted
+    thinned = ids.join(sizes, "lang").where(draw < limit)
     by_hash = Window.partitionBy("lang").orderBy(draw, "doc_id")
     ranked = thinned.withColumn("nth", F.row_number().over(by_hash)).where(F.col("nth") <= most)
     chosen = ranked.orderBy("nth", draw, "lang").limit(most)

@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from sheetloom.llm import language_id as lid
@@ -22,7 +23,7 @@ def test_histogram_equals_brute_force():
                 code = 0
                 for j in range(n):
                     code = (code * 257 + raw[k + j] + j + 1) % 2**32
-                want[(code * 2654435761 % 2**32) >> 21] += 1
+                want[(code * 2654435761 % 2**32) >> 20] += 1
         want = np.sqrt(want)
         assert np.allclose(row, want / max(np.sqrt((want**2).sum()), 1e-9), atol=1e-5)
     one = np.concatenate([x for _, _, x in lid.histograms(pa.array(["x" * 30]))])
@@ -73,3 +74,29 @@ def test_messy_rows(spark, messy, empty):
     one = lid.train(table(spark, [(1, "The only text."), (2, None)]).withColumn("lang", F.lit("en")))
     assert {(r["lang_pred"], r["score"]) for r in lid.predict(messy.where("doc_id = 1"), one).collect()} == {("en", 1.0)}
     assert lid.keep(messy, model).columns == messy.columns
+
+
+@pytest.mark.parametrize("broadcast", [100_000, 10])
+def test_no_language_is_left_out(spark, modules, monkeypatch, broadcast):
+    """600 languages, one with half of the rows: every one is in the sample, which stays bounded."""
+    monkeypatch.setattr(lid, "BROADCAST_LANGUAGES", broadcast)
+    seen = []
+    monkeypatch.setattr(lid, "fit", lambda x, language: seen.append(language) or lid.Model())
+    rows = [(k, f"text {k} of it", "hot" if k % 2 else f"l{k // 2 % 599}") for k in range(6000)]
+    lid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), most=1200)
+    assert len(set(seen[0])) == 600 and len(seen[0]) == 1200
+    lid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), most=100)
+    assert len(set(seen[1])) == 600 == len(seen[1])
+
+
+def test_many_languages_are_told_apart(spark, modules, monkeypatch):
+    """40 languages, each with words of its own; none is predicted as another."""
+    monkeypatch.setattr(lid, "STEPS", 60)
+    words = [[f"{chr(97 + k % 26)}{chr(97 + k // 7 % 26)}{chr(97 + (k * j) % 26)}{j}" for j in range(1, 9)] for k in range(40)]
+    draw = np.random.default_rng(4)
+    rows = [(k, " ".join(draw.choice(words[k % 40], 30)), f"lang{k % 40}") for k in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = lid.train(docs, F.col("doc_id") < 400, most=400)
+    got = lid.predict(docs, model).collect()
+    assert np.mean([r["lang"] == r["lang_pred"] for r in got if r["doc_id"] >= 400]) > 0.95
+    assert {r["lang_pred"] for r in got} == {f"lang{k}" for k in range(40)}
