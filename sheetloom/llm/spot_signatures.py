@@ -1,24 +1,33 @@
 """Document fingerprints by SpotSigs: chains of content words behind common words.
 
-Wherever one of a few common words (an anchor) occurs, the next content words make a signature. Common
-words are spread over natural prose, and rare in menus and listings, so the set of signatures
-stands for what a document says. Two documents are compared by the Jaccard share of their sets; sets whose
-sizes differ too much need no comparison, which :func:`similar` uses to partition by size.
-
-Defined results: a null text is empty; a text without a signature, the empty one included, gets one signature
-from all of its words, so equal texts and only those share it; a fingerprint lists the set in order, in
-base64; repeated rows are compared as they come; an empty table gives an empty result.
+Wherever a common word (an anchor) occurs, the next content words make a signature. Anchors are the most frequent words
+of the corpus in each script, counted over all rows. They are spread over natural prose, and rare in menus and
+listings, so the set of signatures stands for what a document says. Two documents are compared by the Jaccard share of
+their sets; sets whose sizes differ too much need no comparison, which :func:`similar` uses to partition by size.
+
+In a text where anchors are rare (less than one word in :data:`RARE`: a list, a short text, a language with few rows) every word
+whose hash is a multiple of :data:`PICK` serves as an anchor too, in a text of up to :data:`SHORT` words every word, and chains
+take the words that follow. So every text with a word has chains, and texts that differ in one word share most of them.
+Scripts without blanks are taken character by character.
+
+Defined results: a null text is empty; a text without a word, the empty one included, gets one signature from all
+of its characters, so equal texts and only those share it; a fingerprint lists the set in order, in
+base64; repeated rows are compared as they come; rows of one id are in order of their texts, rows without an id come last;
+ids may be of any type that has an order; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import binascii
 import hashlib
+import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,19 +37,67 @@ from sheetloom.llm.components import components
 
 #: Content words of a signature.
 CHAIN = 2
-#: Rows of a neighbour bucket, about; buckets are what a task reads in order.
-BUCKET_ROWS = 500
+#: Anchors of each script, and how often a word occurs at least to be one: in a small corpus no word is common.
+COMMON, LEAST = 60, 20
+#: A text with fewer anchors than one in so many words also has anchors by hash, one in PICK words, or all in a short text.
+RARE, PICK, SHORT = 20, 4, 50
 #: Distinct words that a worker remembers.
 REMEMBERED = 400_000
 
-#: Common words of English, German, French and Spanish that serve as anchors.
-ANCHORS = (
-    "the", "of", "and", "to", "in", "is", "was", "that", "for", "with", "on", "by", "are", "be", "this", "from", "at", "an", "it", "as",
-    "der", "die", "das", "und", "ist", "von", "mit", "den", "ein", "eine", "zu", "im", "auf", "nicht", "des", "als", "sich", "für",
-    "le", "la", "les", "et", "du", "un", "une", "est", "que", "dans", "pour", "par", "sur", "au", "qui", "avec", "pas",
-    "el", "los", "las", "y", "en", "por", "con", "para", "su", "una", "se", "no", "es", "lo", "de",
+#: First code points of scripts; what lies before the next one belongs to it.
+SCRIPTS = (
+    (0, "latin"), (0x370, "greek"), (0x400, "cyrillic"), (0x530, "armenian"), (0x590, "hebrew"), (0x600, "arabic"),
+    (0x900, "indic"), (0xE00, "thai"), (0x1000, "other"), (0x1E00, "latin"), (0x1F00, "greek"), (0x2000, "other"),
+    (0x3000, "cjk"), (0xA000, "other"), (0xAC00, "hangul"), (0xD800, "other"), (0x20000, "cjk"),
 )
+_FIRST = np.array([first for first, _ in SCRIPTS])
 _EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»„“”’…¿¡–—"
+#: Characters that are words by themselves, since their scripts put no blanks between words.
+_ALONE = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\U00020000-\U0003ffff]")
+
+
+def words_of(text: str) -> list[str]:
+    if not text.isascii() and _ALONE.search(text):
+        text = _ALONE.sub(r" \g<0> ", text)
+    return text.split()
+
+
+def script_of(word: str) -> str:
+    return SCRIPTS[int(np.searchsorted(_FIRST, ord(word[0]), side="right")) - 1][1]
+
+
+def common_words(docs: DataFrame, text_col: str = "text", most: int = COMMON, least: int = LEAST) -> tuple[str, ...]:
+    """The ``most`` most frequent words of each script over whole texts of all rows; ties go to the first by code points.
+
+    A task counts the words it reads and hands on a count for each, from time to time; Spark adds them up. What comes
+    to the driver is ``most`` words for each of a fixed list of scripts.
+    """
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter = Counter()
+
+        def emptied() -> pa.RecordBatch:
+            bare: Counter = Counter()
+            for word, n in held.items():
+                bare[word.lower().strip(_EDGES)] += n
+            held.clear()
+            known = [(w, script_of(w), n) for w, n in bare.items() if w and w[0].isalpha()]
+            columns = [list(c) for c in zip(*known, strict=True)] or [[], [], []]
+            kinds = (pa.string(), pa.string(), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["word", "script", "n"])
+
+        for batch in batches:
+            for text in batch.column(0):
+                held.update(words_of(text.as_py()))
+                if len(held) > REMEMBERED:
+                    yield emptied()
+        yield emptied()
+
+    found = docs.select(text_of(text_col).alias("text")).mapInArrow(counted, "word string, script string, n long")
+    total = found.groupBy("script", "word").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    first = Window.partitionBy("script").orderBy(F.desc("n"), "word")
+    kept = total.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= most)
+    return tuple(sorted(r["word"] for r in kept.select("word").collect()))
 
 
 class _Words(dict):
@@ -63,10 +120,21 @@ class _Words(dict):
 class Spotter:
     """Signature sets of texts."""
 
-    def __init__(self, chain: int = CHAIN, anchors: tuple[str, ...] = ANCHORS) -> None:
+    def __init__(self, anchors: tuple[str, ...], chain: int = CHAIN) -> None:
         self._chain, self._anchors = chain, anchors
         self._words = _Words(anchors)
 
+    def _chains(self, starts: np.ndarray, following: np.ndarray, begin: np.ndarray, hashes: np.ndarray, text: np.ndarray, salt: int) -> np.ndarray:
+        """Signatures of words ``starts``, each with the next words of the list ``following`` from ``begin`` on, within its text."""
+        state = mixed(hashes[starts] ^ np.uint64(salt))
+        padded = np.append(following, len(text))
+        owner = np.append(text, -1)
+        for k in range(self._chain):
+            ahead = padded[np.minimum(begin + k, len(following))]
+            here = owner[ahead] == text[starts]
+            state = np.where(here, mixed(state + np.append(hashes, np.uint64(0))[ahead]), state)
+        return (text[starts].astype(np.uint64) << np.uint64(32)) | (state >> np.uint64(32))
+
     def sets(self, texts: list[str]) -> list[np.ndarray]:
         """Sorted distinct signatures (unsigned 32-bit) of each text."""
         if len(self._words) > REMEMBERED:
@@ -74,35 +142,30 @@ class Spotter:
         codes: list[int] = []
         ends = []
         for text in texts:
-            codes += map(self._words.__getitem__, text.split())
+            codes += map(self._words.__getitem__, words_of(text))
             ends.append(len(codes))
         which = np.array(codes, np.int64)
         hashes, kinds = np.array(self._words.hashes, np.uint64), np.array(self._words.kinds, np.int8)
         hashes, kinds = (hashes[which], kinds[which]) if len(which) else (np.zeros(0, np.uint64), np.zeros(0, np.int8))
-        ends_at = np.array(ends, np.int64)
-        text_of_word = np.repeat(np.arange(len(texts)), np.diff(ends_at, prepend=0))
-        content = np.flatnonzero(kinds == 1)
-        spots = np.flatnonzero(kinds == 2)
+        text = np.repeat(np.arange(len(texts)), np.diff(np.array(ends, np.int64), prepend=0))
+        content, spots, all_words = (np.flatnonzero(k) for k in (kinds == 1, kinds == 2, kinds > 0))
         nearest = np.searchsorted(content, spots)  # the first content word behind each anchor
-        whole = nearest + self._chain <= len(content)
-        spots, nearest = spots[whole], nearest[whole]
-        same = text_of_word[content[nearest + self._chain - 1]] == text_of_word[spots] if len(spots) else np.zeros(0, bool)
-        spots, nearest = spots[same], nearest[same]
-        state = mixed(hashes[spots])
-        for k in range(self._chain):
-            state = mixed(state + hashes[content[nearest + k]])
-        keyed = (text_of_word[spots].astype(np.uint64) << np.uint64(32)) | (state >> np.uint64(32))
-        keyed = np.unique(keyed)
+        behind = np.append(text[content], -1)[np.minimum(nearest, len(content))] == text[spots]
+        spots, nearest = spots[behind], nearest[behind]
+        found = [self._chains(spots, content, nearest, hashes, text, 0)]
+
+        sizes = np.bincount(text[all_words], minlength=len(texts))
+        rare = np.bincount(text[spots], minlength=len(texts)) * RARE < sizes
+        picked = hashes[all_words] % np.uint64(PICK) == 0
+        few = (sizes <= SHORT) | (np.bincount(text[all_words], picked, len(texts)) == 0)
+        chosen = np.flatnonzero(rare[text[all_words]] & (picked | few[text[all_words]]))
+        found.append(self._chains(all_words[chosen], all_words, chosen + 1, hashes, text, 0x5851F42D4C957F2D))
+        keyed = np.unique(np.concatenate(found))
         cut = np.searchsorted(keyed, np.arange(len(texts) + 1).astype(np.uint64) << np.uint64(32))
-        found = []
-        for row, (low, high) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)):
-            if low < high:
-                found.append(keyed[low:high].astype(np.uint32))
-            else:  # no spot: all words are the one signature
-                begin, end = (ends[row - 1] if row else 0), ends[row]
-                raw = hashes[begin:end].tobytes()
-                found.append(np.array([xxhash.xxh32_intdigest(raw)], np.uint32))
-        return found
+        return [
+            keyed[low:high].astype(np.uint32) if low < high else np.array([xxhash.xxh32_intdigest(texts[row].encode())], np.uint32)
+            for row, (low, high) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True))
+        ]
 
 
 _SPOTTERS: dict[tuple, Spotter] = {}
@@ -110,7 +173,8 @@ _SPOTTERS: dict[tuple, Spotter] = {}
 
 def _spotter(chain: int, anchors: tuple[str, ...]) -> Spotter:
     if (chain, anchors) not in _SPOTTERS:
-        _SPOTTERS[chain, anchors] = Spotter(chain, anchors)
+        _SPOTTERS.clear()
+        _SPOTTERS[chain, anchors] = Spotter(anchors, chain)
     return _SPOTTERS[chain, anchors]
 
 
@@ -122,13 +186,16 @@ def read(fingerprint: str) -> np.ndarray:
     return np.frombuffer(binascii.a2b_base64(fingerprint), "<u4")
 
 
-def jaccard(one: np.ndarray, two: np.ndarray) -> float:
-    """Share of common members of two sorted sets."""
-    common = len(np.intersect1d(one, two, assume_unique=True))
-    return common / (len(one) + len(two) - common) if len(one) + len(two) else 1.0
+def jaccard(one: np.ndarray, two: np.ndarray, least: float = 0.0) -> float:
+    """Share of common members of two sorted sets; 0 without a look where their sizes rule ``least`` out."""
+    small, large = sorted((len(one), len(two)))
+    if small < least * large:
+        return 0.0
+    common = len(np.intersect1d(one, two, assume_unique=True)) if small else 0
+    return common / (small + large - common) if large else 1.0
 
 
-def fingerprint(text: Column, chain: int = CHAIN, anchors: tuple[str, ...] = ANCHORS) -> Column:
+def fingerprint(text: Column, anchors: tuple[str, ...], chain: int = CHAIN) -> Column:
     """Struct of ``fingerprint`` and ``n_signatures`` for a text column."""
 
     @F.arrow_udf("fingerprint string, n_signatures int")
@@ -146,117 +213,103 @@ def fingerprint(text: Column, chain: int = CHAIN, anchors: tuple[str, ...] = ANC
 
 # ---- a document against its neighbour and an edited text
 
+EDITED = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+_NAMES = [f.split()[0] for f in EDITED.split(", ")]
+
 
-def _bounds(docs: DataFrame, id_col: str, rows: int) -> list:
-    """Ids that begin a bucket when ids are read downwards, the largest id first. At most 10,000 of them."""
-    ids = docs.select(F.col(id_col).alias("id")).where(F.col("id").isNotNull())
-    n = ids.count()
-    if not n:
-        return []
-    parts = max(1, min(10_000, n // rows))
-    shares = [(k + 1) / parts for k in range(parts)]
-    found = ids.agg(F.percentile_approx("id", F.array(*[F.lit(s) for s in shares]), F.lit(10 * parts)), F.max("id")).first()
-    return sorted({*found[0], found[1]}, reverse=True)
+class _Row:
+    """A document: its id, its text, and its signatures once they are known."""
 
+    __slots__ = ("id", "text", "found")
 
-EDITED = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    def __init__(self, id_: object, text: str, found: np.ndarray) -> None:
+        self.id, self.text, self.found = id_, text, found
+
+
+def _judged(rows: list[_Row], nexts: list[_Row], spotter: Spotter, id_type: pa.DataType) -> list[pa.Array]:
+    """The columns of some documents, each held against the next one and against its edited text."""
+    edited = [r.text[: len(r.text) - len(r.text) // 2] + n.text[: len(r.text) // 2] for r, n in zip(rows, nexts, strict=True)]
+    sets = spotter.sets(edited)
+    return [
+        pa.array([r.id for r in rows], id_type),
+        pa.array([len(r.text) for r in rows], pa.int64()),
+        pa.array([hashlib.sha256(e.encode()).hexdigest() for e in edited], pa.string()),
+        pa.array([written(r.found) for r in rows], pa.string()),
+        pa.array([written(s) for s in sets], pa.string()),
+        pa.array([jaccard(r.found, s) for r, s in zip(rows, sets, strict=True)], pa.float64()),
+        pa.array([jaccard(r.found, n.found) for r, n in zip(rows, nexts, strict=True)], pa.float64()),
+    ]
 
 
 def against_next(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chain: int = CHAIN, bucket_rows: int = BUCKET_ROWS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chain: int = CHAIN, anchors: tuple[str, ...] | None = None
 ) -> DataFrame:
     """Each document's fingerprint, held against that of an edited text and of the next document.
 
     The next document is the one with the next smaller id, for the last one the first. The edited text has
     the last half of its code points (rounded down) replaced by as many of the next document's first ones.
 
-    Ids are cut into buckets at approximate quantiles, all of which begin with an id that occurs. A bucket
-    is read downwards in one task, and the first document of each bucket goes to the end of the one
-    before, too. Texts are shuffled once. Of rows with one id the order is that of their texts; rows without an id
-    come last.
+    Documents are dealt to partitions by ranges of id and text, largest id first, and each partition is read in order, so
+    texts are shuffled once, and an id that very many rows share, or none, spreads over partitions. The last document of a partition
+    waits: it and the first one go to a second step, where each meets the first one of the next partition.
     """
+    anchors = common_words(docs, text_col) if anchors is None else anchors
     kind = docs.select(id_col).schema[0].dataType
-    bounds = _bounds(docs, id_col, bucket_rows)
-    last = max(len(bounds) - 1, 0)
-    rising = bounds[::-1]
-
-    @F.arrow_udf("array<struct<bucket:int,peek:boolean>>")
-    def homes(ids: pa.Array) -> pa.Array:
-        """A row's own bucket, and for the first of a bucket the one that looks ahead to it."""
-        out = []
-        position = {b: k for k, b in enumerate(bounds)}
-        values = ids.to_pylist()
-        known = np.array([rising[0] if rising and v is None else v for v in values])
-        place = len(rising) - 1 - np.minimum(np.searchsorted(np.array(rising), known), last) if rising else np.zeros(len(values), int)
-        for value, at in zip(values, place.tolist(), strict=True):
-            here = [{"bucket": at if value is not None else last, "peek": False}]
-            if value in position and value is not None:
-                before = position[value] - 1
-                here.append({"bucket": before if before >= 0 else last, "peek": True})
-            out.append(here)
-        return pa.array(out, pa.list_(pa.struct([("bucket", pa.int32()), ("peek", pa.bool_())])))
-
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
-    if not bounds:  # no row has an id: the whole table is one bucket of rows without ids
-        spread = rows.withColumn("at", F.struct(F.lit(0).alias("bucket"), F.lit(False).alias("peek")))
-    else:
-        spread = rows.withColumn("at", F.explode(homes(F.col("doc_id"))))
-    dealt = spread.select("doc_id", "text", "at.bucket", "at.peek").repartition("bucket")
-    ordered = dealt.sortWithinPartitions("bucket", "peek", F.col("doc_id").desc_nulls_last(), "text")
-    names = ["doc_id", *[f.split()[0] for f in EDITED.split(", ")]]
+    order = [F.col("doc_id").desc_nulls_last(), F.col("text")]
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spotter = _spotter(chain, ANCHORS)
-        first: dict = {}
-        held = None  # the row that waits for its next one
-
-        def judged(rows_: list, nexts: list) -> pa.RecordBatch:
-            """rows_: (id, text, set); nexts: the same for the next document of each."""
-            edited = []
-            for (_, text, _), (_, ahead, _) in zip(rows_, nexts, strict=True):
-                half = len(text) // 2
-                edited.append(text[: len(text) - half] + ahead[:half])
-            sets = spotter.sets(edited)
-            columns = [
-                pa.array([r[0] for r in rows_], id_type),
-                pa.array([len(r[1]) for r in rows_], pa.int64()),
-                pa.array([hashlib.sha256(e.encode()).hexdigest() for e in edited]),
-                pa.array([written(r[2]) for r in rows_]),
-                pa.array([written(s) for s in sets]),
-                pa.array([jaccard(r[2], s) for r, s in zip(rows_, sets, strict=True)]),
-                pa.array([jaccard(r[2], n[2]) for r, n in zip(rows_, nexts, strict=True)]),
-            ]
-            return pa.RecordBatch.from_arrays(columns, names=names)
+        spotter, part = _spotter(chain, anchors), TaskContext.get().partitionId()
+        first = held = None
+
+        def batch_of(columns: list[pa.Array] | None, ends: list[tuple[str, _Row]]) -> pa.RecordBatch:
+            """Judged rows, then rows that stand for an end of the partition: these carry their text."""
+            done = len(columns[0]) if columns else 0
+            wide = columns or [pa.array([], t) for t in (id_type, pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 2)]
+            ids = pa.array([row.id for _, row in ends], id_type)
+            own = [pa.concat_arrays([wide[0], ids]), *[pa.concat_arrays([c, pa.nulls(len(ends), c.type)]) for c in wide[1:]]]
+            role = pa.array([None] * done + [name for name, _ in ends], pa.string())
+            text = pa.array([None] * done + [row.text for _, row in ends], pa.string())
+            return pa.RecordBatch.from_arrays(
+                [*own, role, text, pa.array([part] * len(text), pa.int32())], names=["doc_id", *_NAMES, "role", "text", "part"]
+            )
 
         id_type = pa.null()
         for batch in batches:
             id_type = batch.schema.field("doc_id").type
-            texts, buckets, peeks = batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            ids = batch.column(0).to_pylist()
+            ids, texts = batch.column(0).to_pylist(), batch.column(1)
             for a, b in slices(utf8(texts)[1]):
-                part = texts[a:b].to_pylist()
-                rows_, nexts = [], []
-                for k, (text, found) in enumerate(zip(part, spotter.sets(part), strict=True), a):
-                    now = (ids[k], text, found)
-                    if held is not None and held[0] == buckets[k]:
-                        rows_.append(held[1])
-                        nexts.append(now)
-                        held = None
-                    elif held is not None:  # a bucket without a row to look ahead to: the only one, without ids
-                        rows_.append(held[1])
-                        nexts.append(first[held[0]])
-                        held = None
-                    if not peeks[k]:
-                        if buckets[k] not in first:
-                            first = {buckets[k]: now}
-                        held = (buckets[k], now)
-                if rows_:
-                    yield judged(rows_, nexts)
+                part_texts = texts[a:b].to_pylist()
+                now = [_Row(*x) for x in zip(ids[a:b], part_texts, spotter.sets(part_texts), strict=True)]
+                first = first or now[0]
+                waiting = [held, *now] if held is not None else now
+                held = waiting.pop()
+                if waiting:
+                    yield batch_of(_judged(waiting, [*waiting[1:], held], spotter, id_type), [])
         if held is not None:
-            yield judged([held[1]], [first.get(held[0], held[1])])
+            yield batch_of(None, [("first", first), ("last", held)])
+
+    fields = [T.StructField("doc_id", kind), *T.StructType.fromDDL(f"{EDITED}, role string, text string, part int").fields]
+    done = settled(ordered.mapInArrow(compare, T.StructType(fields)))
 
-    schema = T.StructType([T.StructField("doc_id", kind), *T.StructType.fromDDL(EDITED).fields])
-    return ordered.mapInArrow(compare, schema)
+    # Partitions that hold a document, in order; the last one is followed by the first. One narrow row for each.
+    parts = done.where("role = 'first'").select("part")
+    following = F.coalesce(F.lead("part").over(Window.orderBy("part")), F.min("part").over(Window.partitionBy(F.lit(0))))
+    heads = done.where("role = 'first'").select(F.col("part").alias("ahead_part"), F.col("doc_id").alias("ahead_id"), F.col("text").alias("ahead"))
+    tails = done.where("role = 'last'").select("doc_id", "text", "part").join(parts.withColumn("ahead_part", following), "part")
+    pairs = tails.join(heads, "ahead_part").select("doc_id", "text", "ahead")
+
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spotter = _spotter(chain, anchors)
+        for batch in batches:
+            ids, texts, ahead = (batch.column(k).to_pylist() for k in range(3))
+            rows_ = [_Row(i, t, s) for i, t, s in zip(ids, texts, spotter.sets(texts), strict=True)]
+            nexts = [_Row(None, t, s) for t, s in zip(ahead, spotter.sets(ahead), strict=True)]
+            yield pa.RecordBatch.from_arrays(_judged(rows_, nexts, spotter, batch.schema.field("doc_id").type), names=["doc_id", *_NAMES])
+
+    closed = pairs.mapInArrow(close, T.StructType(fields[: 1 + len(_NAMES)]))
+    return done.where("role IS NULL").select("doc_id", *_NAMES).unionByName(closed)
 
 
 # ---- near-duplicates by signature sets
@@ -267,15 +320,23 @@ def _size_class(size: Column, threshold: float) -> Column:
     return F.floor(F.log(size.cast("double")) / F.lit(-np.log(threshold))).cast("int")
 
 
-def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, chain: int = CHAIN) -> DataFrame:
+def similar(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    threshold: float = 0.8,
+    chain: int = CHAIN,
+    anchors: tuple[str, ...] | None = None,
+) -> DataFrame:
     """``doc_id``, ``fingerprint``, ``class_id``: documents tied by signature sets of at least ``threshold``.
 
     Equal fingerprints collapse to one set first. Sets are partitioned by size, so that similar ones lie in
     one class or in two next to each other. In each class a set is listed under its rarest signatures only,
     as many as a similar set cannot all miss; pairs that meet and whose sizes allow it are compared in full.
     """
+    anchors = common_words(docs, text_col) if anchors is None else anchors
     prints = settled(
-        docs.select(F.col(id_col).alias("doc_id"), fingerprint(text_of(text_col), chain).alias("f")).select("doc_id", "f.*")
+        docs.select(F.col(id_col).alias("doc_id"), fingerprint(text_of(text_col), anchors, chain).alias("f")).select("doc_id", "f.*")
     )
     sets = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first"), F.max("n_signatures").alias("size"))
     sets = settled(sets.withColumn("node", F.xxhash64("fingerprint")))
@@ -303,7 +364,7 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
 
     @F.arrow_udf("double")
     def share(one: pa.Array, two: pa.Array) -> pa.Array:
-        return pa.array([jaccard(read(x), read(y)) for x, y in zip(one.to_pylist(), two.to_pylist(), strict=True)])
+        return pa.array([jaccard(read(x), read(y), threshold) for x, y in zip(one.to_pylist(), two.to_pylist(), strict=True)])
 
     tied = components(both.where(share("one", "two") >= threshold).select("a", "b"))
     rooted = sets.join(tied, "node", "left").select("fingerprint", "first", F.coalesce("root", "node").alias("root"))

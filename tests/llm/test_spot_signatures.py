@@ -2,24 +2,34 @@ import hashlib
 
 import numpy as np
 import pytest
+import xxhash
+from pyspark.sql import functions as F
 
 from sheetloom.llm import spot_signatures as spots
 from sheetloom.llm.queries import op4_fingerprints
-from tests.llm.conftest import LONG, MESSY, PROSE, table
+from tests.llm.conftest import LONG, MESSY, ODD, PROSE, table
 
 SF = "/root/testdata/sf0.001"
+ANCHORS = ("the", "of", "and", "in", "der", "die", "und", "is", "a")
 
 
-def chains(text, chain=spots.CHAIN):
+def picked(word):
+    return xxhash.xxh64_intdigest(word.encode()) % spots.PICK == 0
+
+
+def chains(text, chain=spots.CHAIN, anchors=ANCHORS):
     """Signatures as tuples of words."""
-    words = [w.lower().strip(spots._EDGES) for w in text.split()]
-    found = set()
+    words = [w for w in (w.lower().strip(spots._EDGES) for w in spots.words_of(text)) if w]
+    found, at = set(), 0
     for k, word in enumerate(words):
-        if word in spots.ANCHORS:
-            content = [w for w in words[k + 1 :] if w and w not in spots.ANCHORS][:chain]
-            if len(content) == chain:
-                found.add((word, *content))
-    return found or {("all", *words)}
+        content = [w for w in words[k + 1 :] if w not in anchors][:chain]
+        if word in anchors and content:
+            found.add((word, *content))
+            at += 1
+    if at * spots.RARE < len(words):
+        few = len(words) <= spots.SHORT or not any(map(picked, words))
+        found |= {("by hash", *words[k : k + 1 + chain]) for k, w in enumerate(words) if few or picked(w)}
+    return found or {("whole", text)}
 
 
 def share(one, two):
@@ -27,20 +37,73 @@ def share(one, two):
 
 
 def test_signatures_equal_brute_force():
-    texts = [PROSE, "", "of the", "of the old town", "no anchors here", LONG[:5000]]
-    got = spots.Spotter().sets(texts)
+    texts = [PROSE, "", "of the", "of the old town", "no anchors here", LONG[:5000], "...", "x", "a b", "東京 は 日本の首都です。", ODD]
+    texts += [" ".join(f"w{k * j % 31}" for j in range(40)) for k in range(1, 9)]
+    got = spots.Spotter(ANCHORS).sets(texts)
     assert [len(s) for s in got] == [len(chains(t)) for t in texts]
     for one, a in zip(got, texts, strict=True):
         for two, b in zip(got, texts, strict=True):
             assert spots.jaccard(one, two) == pytest.approx(share(chains(a), chains(b)))
+            if share(chains(a), chains(b)) >= 0.3:
+                assert spots.jaccard(one, two, 0.3) == spots.jaccard(one, two)
     assert np.array_equal(spots.read(spots.written(got[0])), got[0])
 
 
-@pytest.mark.parametrize("bucket_rows", [7, 500])
-def test_query_equals_brute_force(spark, modules, bucket_rows):
+def test_common_words_are_counted_over_all_rows(spark, modules):
+    words = {"the": 50, "река": 30, "город": 20, "Τον": 7, "the,": 3, "rare": 1, "7": 90, "": 0}
+    rows = [(k, " ".join([w] * n)) for k, (w, n) in enumerate(words.items())] + [(99, None), (98, "京京 京")]
+    assert spots.common_words(table(spark, rows), most=1, least=2) == ("the", "τον", "река", "京")
+    assert spots.common_words(table(spark, rows), least=1) == ("rare", "the", "τον", "город", "река", "京")
+    assert spots.common_words(table(spark, rows)) == ("the", "город", "река")
+    assert spots.common_words(table(spark, [])) == ()
+
+
+RUSSIAN = [
+    "Дом стоял на краю деревни и был виден издалека всем кто шёл по дороге от реки к старой мельнице",
+    "В саду росли яблони и груши а за садом начиналось поле где летом паслись коровы и лошади соседей",
+    "Каждое утро дед выходил на крыльцо смотрел на небо и говорил какая будет погода до самого вечера",
+    "Мы бежали к пруду прыгали с мостков в холодную воду и потом долго грелись на тёплых досках у берега",
+    "Осенью дорога размокала и почтальон приходил пешком с тяжёлой сумкой полной писем газет и посылок",
+]
+
+
+def test_texts_that_differ_in_a_word_are_near_in_any_script(spark, modules):
+    """Next to each other stand texts one word apart: prose of five scripts, lists, and short texts, in a corpus mostly English."""
+    pairs = [(t, " ".join([*t.split()[:5], "другое", *t.split()[6:]])) for t in RUSSIAN]
+    greek = "το σπίτι ήταν στην άκρη του χωριού και το έβλεπε από μακριά όποιος ερχόταν από το ποτάμι προς τον μύλο"
+    thai = "บ้านหลังนี้อยู่ริมหมู่บ้านและมองเห็นได้จากที่ไกลสำหรับทุกคนที่เดินมาจากแม่น้ำ"
+    chinese = "这座房子在村子的边上从河边走到老磨坊的人远远就能看见它每天早上爷爷都会走到门口看看天空"
+    listing = " ".join(f"part{k} screw{k}" for k in range(30))
+    pairs += [(greek, greek.replace("χωριού", "δάσους")), (chinese, chinese.replace("爷", "父", 1)), (listing, listing.replace("part7", "part7b"))]
+    pairs += [(thai, thai.replace("ไกล", "ใกล้")), ("one two three four five six seven eight nine ten eleven twelve", "one two three four five six seven eight nine ten eleven last")]
+    rows = [(2 * k + 1000, a) for k, (a, _) in enumerate(pairs)] + [(2 * k + 999, b) for k, (_, b) in enumerate(pairs)]
+    rows += [(k, f"the mill of stone{k} and the barn in field{k} is the house of miller{k}") for k in range(200)]
+    got = {r["doc_id"]: r for r in spots.against_next(table(spark, rows)).collect()}
+    for k in range(len(pairs)):
+        assert got[2 * k + 1000]["near_next"] > 0.5, pairs[k]
+        assert got[2 * k + 1000]["near_edited"] > 0.1, pairs[k]
+    assert got[999]["near_next"] < 0.1
+
+
+def partitions(spark, many):
+    spark.conf.set("spark.sql.shuffle.partitions", str(many))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", str(many == 1).lower())
+
+
+@pytest.fixture
+def many_partitions(spark):
+    partitions(spark, 13)
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+@pytest.mark.parametrize("many", [1, 13])
+def test_query_equals_brute_force(spark, modules, many, many_partitions):
+    partitions(spark, many)
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
-    got = {r["doc_id"]: r for r in spots.against_next(docs, bucket_rows=bucket_rows).collect()}
+    got = {r["doc_id"]: r for r in spots.against_next(docs, anchors=ANCHORS).collect()}
     order = sorted(texts, reverse=True)
     assert sorted(got, reverse=True) == order
     for k, i in enumerate(order):
@@ -54,8 +117,8 @@ def test_query_equals_brute_force(spark, modules, bucket_rows):
     assert op4_fingerprints(spark, SF).columns == list(next(iter(got.values())).asDict())
 
 
-def test_messy_rows(spark, messy, empty):
-    got = spots.against_next(messy, bucket_rows=2).collect()
+def test_messy_rows(spark, messy, empty, many_partitions):
+    got = spots.against_next(messy).collect()
     assert len(got) == len(MESSY)
     ids = [r["doc_id"] for r in got]
     assert sorted((i for i in ids if i is not None)) == sorted(i for i, _ in MESSY if i is not None)
@@ -72,11 +135,35 @@ def test_messy_rows(spark, messy, empty):
     assert len(unnamed) == 2
 
 
+@pytest.mark.parametrize("cast", ["string", "date", "struct<a:bigint>"])
+def test_ids_of_any_type_that_has_an_order(spark, modules, cast, many_partitions):
+    rows = [(k * 7 % 40, f"the mill{k} of stone{k % 5} and barn{k % 3}") for k in range(40)]
+    as_id = {"string": F.lpad("doc_id", 3, "0"), "date": F.date_add(F.lit("2020-01-01"), F.col("doc_id").cast("int")), "struct<a:bigint>": F.struct(F.col("doc_id").alias("a"))}
+    docs = table(spark, rows)
+    plain = {r["doc_id"]: tuple(r)[1:] for r in spots.against_next(docs, anchors=ANCHORS).collect()}
+    named = docs.withColumn("doc_id", as_id[cast])
+    found = spots.against_next(named, anchors=ANCHORS)
+    assert sorted(tuple(r)[1:] for r in found.collect()) == sorted(plain.values())
+    assert found.schema["doc_id"].dataType == named.schema["doc_id"].dataType
+
+
+def test_ids_that_many_rows_share_spread_over_partitions(spark, modules, many_partitions):
+    """A third of the rows have one id, a third none; their texts decide the order."""
+    rows = [((7, None, k)[k % 3], f"the word{k:03d} of text{k * 31 % 97:02d}") for k in range(300)]
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    found = spots.against_next(table(spark, rows), anchors=ANCHORS).collect()
+    expected = []
+    for k, (i, text) in enumerate(order):
+        half, ahead = len(text) // 2, order[(k + 1) % 300][1]
+        expected.append((i, hashlib.sha256((text[: len(text) - half] + ahead[:half]).encode()).hexdigest()))
+    assert sorted(((r["doc_id"], r["edited_sha256"]) for r in found), key=str) == sorted(expected, key=str)
+
+
 def test_similar_equals_brute_force(spark, messy):
     base = [f"the mill{k} stands of stone{k % 7} in field{k % 11} and barn{k}" for k in range(40)]
     near = [(k, " ".join(base[:30] + [f"of extra{k} words{k}"])) for k in range(6)]
     rows = near + [(10 + k, " ".join(base[k : k + 12])) for k in range(0, 28, 3)] + [(50, near[0][1]), (51, ""), (52, None)]
-    got = {r["doc_id"]: r["class_id"] for r in spots.similar(table(spark, rows)).collect()}
+    got = {r["doc_id"]: r["class_id"] for r in spots.similar(table(spark, rows), anchors=ANCHORS).collect()}
     sets = {i: chains(t or "") for i, t in rows}
     root = {i: i for i in sets}
 
