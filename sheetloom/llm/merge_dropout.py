@@ -71,26 +71,31 @@ class _PairTable:
 
     def __init__(self, keys: np.ndarray, made: np.ndarray, turns: np.ndarray) -> None:
         self._levels = []
-        self._made, self._turns = (np.append(x, none).astype(np.int32) for x, none in ((made, -1), (turns, NEVER)))
+        values = made << 32 | turns  # both in one look
         left = np.arange(len(keys))
         while len(left):
             place = self._place(keys[left], len(self._levels))
             taken, first = np.unique(place, return_index=True)
-            held, which = np.full(1 << self.BITS, -2, np.int64), np.full(1 << self.BITS, len(keys), np.int32)
-            held[taken], which[taken] = keys[left[first]], left[first]
-            self._levels.append((held, which))
+            held, value = np.full(1 << self.BITS, -2, np.int64), np.zeros(1 << self.BITS, np.int64)
+            held[taken], value[taken] = keys[left[first]], values[left[first]]
+            self._levels.append((held, value))
             left = np.delete(left, first)
 
     def _place(self, keys: np.ndarray, level: int) -> np.ndarray:
-        spread = keys.astype(np.uint64) * np.uint64((_PLACE, _PIECE, _MIX)[level % 3] + 2 * (level // 3))
-        return (spread >> np.uint64(64 - self.BITS)).astype(np.int64)
+        spread = keys.view(np.uint64) * np.uint64((_PLACE, _PIECE, _MIX)[level % 3] + 2 * (level // 3))
+        return (spread >> np.uint64(64 - self.BITS)).view(np.int64)
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.full(keys.shape, len(self._made) - 1, np.int32)
-        for level, (held, which) in enumerate(self._levels):
-            place = self._place(keys, level)
-            at = np.where(held[place] == keys, which[place], at)
-        return self._made[at], self._turns[at]
+        shape, keys = keys.shape, np.ascontiguousarray(keys).ravel()
+        found = np.full(len(keys), -1 << 32 | NEVER, np.int64)
+        open_ = np.flatnonzero(keys >= 0)
+        for level, (held, value) in enumerate(self._levels):
+            mine = keys[open_]
+            place = self._place(mine, level)
+            hit = held[place] == mine
+            found[open_[hit]] = value[place[hit]]
+            open_ = open_[~hit]
+        return (found >> 32).astype(np.int32).reshape(shape), (found & 0xFFFFFFFF).astype(np.int32).reshape(shape)
 
 
 class Vocabulary:
@@ -199,46 +204,44 @@ def merged(symbols: list[str], words: Vocabulary, dropout: float = 0.0, key: int
 def merged_many(ids: np.ndarray, words: Vocabulary, passed: Callable, record: bool = False) -> tuple[np.ndarray, ...]:
     """:func:`merged` for many words at once: a row of ids for each, negative ones for characters without a piece.
 
-    Rows are filled up with -1 at the end. In every step each row that still has a merge takes its best one, or
-    passes it over where ``passed`` (of rows, step and what is hashed with a key) says so; rows that are done leave.
+    Rows are filled up with -1. In every step each row that still has a merge takes its best one, or
+    passes it over where ``passed`` (of rows, step and what is hashed with a key) says so. A merged piece stands where its
+    left part stood, and -1 where its right part was, so places stay as they are and neighbours are told by links.
     A row of 32 has at most 93 steps. With ``record``, row, step and hashed term of every merge looked at come along.
     """
     width = ids.shape[1]
     out, rows, step, seen = ids.astype(np.int32), np.arange(len(ids)), 0, []
-    # one column more than is filled, so that the last one can be moved up
-    ids = np.column_stack([out, np.full(len(out), -1, np.int32)])
-    places = np.repeat(np.arange(width + 1, dtype=np.int32)[None], len(ids), 0)
+    ids = np.column_stack([out, np.full(len(out), -1, np.int32)])  # the place behind the last one
+    after = np.repeat(np.arange(1, width + 2, dtype=np.int32)[None], len(ids), 0)
+    before = after - 2
     made, turns = words.merge_of(ids[:, :-1], ids[:, 1:])
-    while len(rows):
-        at = turns.argmin(axis=1)  # of equal turns the leftmost
-        open_ = turns[np.arange(len(rows)), at] < NEVER
-        if not open_.all():
-            out[rows[~open_], :width] = ids[~open_, :width]
-            out[rows[~open_], width:] = -1
-            rows, ids, places, made, turns, at = (x[open_] for x in (rows, ids, places, made, turns, at))
-            while len(rows) and width > 2 and (ids[:, width - 1] == -1).all():
-                width -= 1
-            ids, places, made, turns = (np.ascontiguousarray(x[:, :w]) for x, w in ((ids, width + 1), (places, width + 1), (made, width), (turns, width)))
-        line, column = np.arange(len(rows)), np.arange(width)
-        piece, place = made[line, at], places[line, at]
-        term = place.astype(np.uint64) * np.uint64(_PLACE) + piece.astype(np.uint64) * np.uint64(_PIECE)
+    while True:
+        at = turns.argmin(axis=1) if len(rows) else np.zeros(0, np.int64)  # of equal turns the leftmost
+        line = np.flatnonzero(turns[np.arange(len(rows)), at] < NEVER)
+        if len(line) < 0.7 * len(rows) or not len(line):  # rows that are done leave, many at a time
+            out[rows] = ids[:, :width]
+            if not len(line):
+                break
+            rows, ids, after, before, made, turns, at = (x[line] for x in (rows, ids, after, before, made, turns, at))
+            line = np.arange(len(rows))
+        at = at[line]
+        piece = made[line, at]
+        term = at.astype(np.uint64) * np.uint64(_PLACE) + piece.astype(np.uint64) * np.uint64(_PIECE)
         if record:
-            seen.append((rows, np.full(len(rows), step), term))
-        skipped = passed(rows, step, term)
+            seen.append((rows[line], np.full(len(line), step), term))
+        skipped = passed(rows[line], step, term)
         step += 1
         turns[line[skipped], at[skipped]] = NEVER
-        # the right neighbour goes, and with it the pair that was merged; nothing where it was passed over
-        gone = np.where(skipped, width, at)[:, None]
-        behind = column + (column > gone) + (line * (width + 1))[:, None]
-        ids[:, :-1], places[:, :-1] = np.take(ids, behind), np.take(places, behind)
-        pair = column[:-1] + (column[:-1] >= gone) + (line * width)[:, None]
-        made[:, :-1], turns[:, :-1] = np.take(made, pair), np.take(turns, pair)
-        line, at = line[~skipped], at[~skipped]
-        ids[line, at] = piece[~skipped]
-        for left in (at, at - 1):  # the pairs the new piece is part of
-            inside = left >= 0
-            row, left = line[inside], left[inside]
-            made[row, left], turns[row, left] = words.merge_of(ids[row, left], ids[row, left + 1])
+        line, at, piece = line[~skipped], at[~skipped], piece[~skipped]
+        right = after[line, at]
+        behind = after[line, right]
+        ids[line, at], ids[line, right], turns[line, np.minimum(right, width - 1)] = piece, -1, NEVER
+        after[line, at], before[line, behind] = behind, at
+        left = before[line, at]
+        inside = left >= 0
+        # the pairs that the new piece is part of
+        row, one, two = np.concatenate([line, line[inside]]), np.concatenate([at, left[inside]]), np.concatenate([behind, at[inside]])
+        made[row, one], turns[row, one] = words.merge_of(ids[row, one], ids[row, two])
     row, steps, terms = (np.concatenate(x) for x in zip(*seen, strict=True)) if seen else (np.zeros(0, np.int64),) * 3
     return out, row, steps, terms.astype(np.uint64)
 
