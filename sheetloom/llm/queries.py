@@ -149,25 +149,35 @@ ORACLE: dict[str, str] = {
             SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
                    generate_subscripts(string_split(text, chr(10)), 1) AS pos
             FROM documents WHERE text IS NOT NULL),
-        digested AS (SELECT *, md5(line) AS digest, len(regexp_extract_all(line, '[^ ]+')) > {line_dedup.LONG_LINE_WORDS} AS lengthy FROM split),
-        valued AS (SELECT doc_id, line, pos, lengthy, {_LINE_VALUE} AS value FROM digested),
-        rolled AS (
-            SELECT *, (value + 31 * coalesce(lag(value) OVER w, 0)) % 4096 AS rolled, coalesce(lead(lengthy) OVER w, true) AS next_long
-            FROM valued WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
-        marked AS (SELECT *, lengthy OR next_long OR rolled % {line_dedup.DIVISOR} = 0 AS ends FROM rolled),
-        numbered AS (
-            SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY pos
-                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nth FROM marked),
+        worded AS (
+            SELECT *, md5(line) AS digest, len(regexp_extract_all(line, '[^ ]+')) > {line_dedup.LONG_LINE_WORDS} AS lengthy,
+                   row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS k, count(*) OVER (PARTITION BY doc_id) AS n
+            FROM split WHERE regexp_matches(line, '[^ \\t\\n\\x0B\\f\\r]')),
+        valued AS (SELECT *, {_LINE_VALUE} AS value FROM worded),
+        marked AS (
+            SELECT *, (value + 31 * coalesce(lag(value) OVER (PARTITION BY doc_id ORDER BY k), 0))
+                      % {line_dedup.PRIME} % {line_dedup.DIVISOR} <> 0 AS mark
+            FROM valued),
+        ended AS (
+            SELECT *, least(n, coalesce(min(CASE WHEN mark THEN k END) OVER (
+                PARTITION BY doc_id ORDER BY k ROWS BETWEEN 1 FOLLOWING AND {line_dedup.MOST_LINES - 2} FOLLOWING),
+                k + {line_dedup.MOST_LINES - 1})) AS last
+            FROM marked),
+        spans AS (
+            SELECT doc_id, k, last FROM ended WHERE k < n
+            UNION ALL SELECT doc_id, k, k FROM ended WHERE lengthy),
         chunk AS (
-            SELECT doc_id, nth, string_agg(line, chr(10) ORDER BY pos) AS body,
-                   (count(*) > 1 OR bool_or(lengthy)) AND regexp_matches(string_agg(line, chr(10)), '[^ \\t\\n\\x0B\\f\\r]') AS worth
-            FROM numbered GROUP BY doc_id, nth),
-        placed AS (
-            SELECT *, row_number() OVER (PARTITION BY body, worth ORDER BY doc_id, nth) AS place FROM chunk),
+            SELECT s.doc_id, s.k, s.last, string_agg(w.line, chr(10) ORDER BY w.k) AS body
+            FROM spans s JOIN worded w ON w.doc_id = s.doc_id AND w.k BETWEEN s.k AND s.last GROUP BY ALL),
+        later AS (SELECT doc_id, k, last FROM chunk QUALIFY row_number() OVER (PARTITION BY body ORDER BY doc_id, k) > 1),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(k, last + 1)) AS k FROM later),
+        owned AS (
+            SELECT s.*, max(w.k) OVER (PARTITION BY s.doc_id ORDER BY s.pos) AS owner
+            FROM split s LEFT JOIN worded w ON w.doc_id = s.doc_id AND w.pos = s.pos),
         kept AS (
-            SELECT doc_id, count(*) FILTER (worth AND place > 1) AS n_removed,
-                   coalesce(string_agg(body, chr(10) ORDER BY nth) FILTER (NOT (worth AND place > 1)), '') AS body
-            FROM placed GROUP BY doc_id)
+            SELECT o.doc_id, count(DISTINCT g.k) AS n_removed,
+                   coalesce(string_agg(o.line, chr(10) ORDER BY o.pos) FILTER (g.k IS NULL), '') AS body
+            FROM owned o LEFT JOIN gone g ON g.doc_id = o.doc_id AND g.k = o.owner GROUP BY o.doc_id)
         SELECT d.doc_id, coalesce(n_removed, 0)::BIGINT AS n_removed, length(body)::BIGINT AS kept_chars, md5(body) AS kept_md5
         FROM documents d LEFT JOIN kept USING (doc_id)
     """,

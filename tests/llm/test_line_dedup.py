@@ -1,37 +1,51 @@
 import hashlib
 from collections import defaultdict
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from sheetloom.llm import line_dedup
 from tests.llm.conftest import table
 
 
-def cut(text, window=2, divisor=4):
-    lines = text.split("\n")
+def worded(text):
+    """Lines with a word, each with the lines without one behind it, and what stands before the first."""
+    before, found = [], []
+    for line in text.split("\n"):
+        if line.strip(" \t\n\x0b\x0c\r"):
+            found.append([line])
+        else:
+            (found[-1] if found else before).append(line)
+    return before, found
+
+
+def cut(lines):
+    """Chunks as (first, last)."""
     value = [int(hashlib.md5(x.encode()).hexdigest()[:3], 16) for x in lines]
-    long = [len([w for w in x.split(" ") if w]) > 50 for x in lines]
-    chunks, first = [], 0
-    for i in range(len(lines)):
-        rolled = sum(value[i - k] * 31**k for k in range(window) if i >= k) % 4096
-        if i == len(lines) - 1 or long[i] or long[i + 1] or rolled % divisor == 0:
-            body = "\n".join(lines[first : i + 1])
-            chunks.append((body, (i > first or long[i]) and bool(body.strip(" \t\n\x0b\x0c\r"))))
-            first = i + 1
-    return chunks
+    marked = [(v + 31 * (value[i - 1] if i else 0)) % 4093 % 8 != 0 for i, v in enumerate(value)]
+    spans = []
+    for i, line in enumerate(lines):
+        if len([w for w in line.split(" ") if w]) > 50:
+            spans.append((i, i))
+        if i + 1 < len(lines):
+            last = next((j for j in range(i + 1, min(i + 7, len(lines))) if marked[j]), i + 7)
+            spans.append((i, min(last, len(lines) - 1)))
+    return spans
 
 
 def brute(rows):
     """Texts after removal, by id; ids must differ."""
     places = defaultdict(list)
-    for i, text in sorted(r for r in rows if r[1] is not None):
-        for nth, (body, worth) in enumerate(cut(text)):
-            if worth:
-                places[body].append((i, nth))
-    kept = {}
-    for i, text in rows:
-        gone = text is not None and {p[1] for ps in places.values() for p in ps[1:] if p[0] == i}
-        kept[i] = text if not gone else "\n".join(b for n, (b, _) in enumerate(cut(text)) if n not in gone)
+    held = {i: worded(text) for i, text in rows if text is not None}
+    for i in sorted(held):
+        lines = [part[0] for part in held[i][1]]
+        for first, last in sorted(cut(lines)):
+            places["\n".join(lines[first : last + 1])].append((i, first, last))
+    gone = {(i, k) for found in places.values() for i, first, last in found[1:] for k in range(first, last + 1)}
+    kept = {i: None for i, text in rows if text is None}
+    for i, (before, parts) in held.items():
+        kept[i] = "\n".join(before + [line for k, part in enumerate(parts) if (i, k) not in gone for line in part])
     return kept
 
 
@@ -53,6 +67,10 @@ ROWS = [
     (10, "\n".join(SHARED)),
     (11, "one short line"),
     (12, "one short line"),
+    (13, "\n \n" + "\n\n".join(["alpha beta", *passage(11, 3), "gamma"]) + "\n\n"),
+    (14, "\n\t\n".join([*passage(11, 3), "delta"])),
+    (15, "\n".join(["equal footer line"] * 40)),
+    (16, "\n".join(["own line", *["equal footer line"] * 40])),
 ]
 
 
@@ -63,7 +81,38 @@ def test_equals_brute_force(spark, modules):
     assert kept[1] == ROWS[0][1]  # the first place stays whole
     assert len(kept[2]) < len(ROWS[1][1]) and len(kept[3]) < len(ROWS[2][1])  # shifted copies are found
     assert LINE in kept[4] and LINE not in kept[5]
-    assert kept[11] == kept[12]  # a single short line is no passage
+    assert kept[11] == kept[12] == "one short line"  # a single short line is no passage
+    assert kept[2] == "\n".join(passage(4, 3) + passage(5, 7)) and kept[10] == ""
+    assert kept[14].endswith("delta") and len(kept[14]) < len(ROWS[13][1]) and kept[13] == ROWS[12][1]
+    assert kept[15] in ("equal footer line", "\n".join(["equal footer line"] * 7)) and kept[16] == "own line"
+
+
+@pytest.mark.parametrize("lines", [2, 3, 4, 8, 12, 24])
+def test_planted_passages_are_removed(spark, modules, lines):
+    """Passages of 14-word lines, each in three documents between lines of their own: how many of the lines go."""
+    draw = np.random.default_rng(lines)
+
+    def own(n):
+        return [" ".join(f"o{x}" for x in draw.integers(0, 10**9, 9)) for _ in range(n)]
+
+    rows, planted = [], 0
+    for k in range(60):
+        shared = [" ".join(f"s{x}" for x in draw.integers(0, 10**9, 14)) for _ in range(lines)]
+        for copy in range(3):
+            rows.append((3 * k + copy, "\n".join(own(draw.integers(0, 5)) + shared + own(draw.integers(0, 5)))))
+        planted += 2 * lines
+    found = line_dedup.dedup_lines(table(spark, rows)).select("row.doc_id", "text", "n_removed").collect()
+    removed = sum(r["n_removed"] for r in found)
+    assert removed >= (0.75 if lines == 2 else 0.9) * planted
+    kept = {r["doc_id"]: r["text"] for r in found}
+    for i, text in rows:  # nothing but shared lines goes
+        assert [x for x in text.split("\n") if x[0] == "o"] == [x for x in kept[i].split("\n") if x[:1] == "o"]
+
+
+def test_a_long_run_of_equal_lines_stays_linear(spark, modules):
+    rows = [(1, "\n".join(["the same line"] * 30_000)), (2, "\n".join(["the same line"] * 3000 + ["end"]))]
+    got = dict(map(tuple, line_dedup.dedup_lines(table(spark, rows)).select("row.doc_id", "text").collect()))
+    assert len(got[1].split("\n")) <= 8 and len(got[2].split("\n")) <= 8
 
 
 def test_equal_hashes_of_unequal_chunks_are_told_apart(spark, modules, monkeypatch):
