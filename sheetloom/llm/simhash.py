@@ -29,7 +29,11 @@ from sheetloom.llm.components import components
 WIDTH, MAX_BITS = 3, 3
 #: Cells with more fingerprints than this are compared in blocks that report a spanning forest only.
 HOT_CELL = 256
+#: So are cells that more fingerprints than this look into, from the cells below as well.
+HOT_SEEKERS = 8192
 BLOCK = 2048
+#: Hot cells up to which their table is broadcast (some 40 bytes each), and keys that a cell is spread over beyond that.
+BROADCAST_CELLS, SALTS = 500_000, 32
 #: XXH64 seed; Spark's own xxhash64 uses the same.
 SEED = 42
 SEGMENT_BITS = 2
@@ -117,46 +121,63 @@ def cells(prints: DataFrame, max_bits: int = MAX_BITS) -> tuple[DataFrame, DataF
     return home, above.where(F.col("cell").isNotNull())
 
 
-def links(prints: DataFrame, max_bits: int = MAX_BITS, hot_cell: int = HOT_CELL, block: int = BLOCK) -> DataFrame:
+def links(
+    prints: DataFrame, max_bits: int = MAX_BITS, hot_cell: int = HOT_CELL, block: int = BLOCK, hot_seekers: int = HOT_SEEKERS
+) -> DataFrame:
     """Links ``a``, ``b`` between distinct fingerprints (column ``print``) of at most ``max_bits`` bits.
 
-    All such pairs are found. Pairs in a cell of over ``hot_cell`` fingerprints are reported as a
-    spanning forest of each pair of blocks, which has the same connected components, so the links are
-    linear in the fingerprints however dense a cell is.
+    All such pairs are found. A cell is hot if it has more than ``hot_cell`` fingerprints, or if more than ``hot_seekers`` of
+    its own and the cells below look into it, so that no key of the join on cells has more rows than these bounds. Pairs in a
+    hot cell are reported as a spanning forest of each pair of blocks, which has the same connected components, so
+    the links are linear in the fingerprints however dense a cell is. With m fingerprints and s that look for them, a hot
+    cell takes (s / block) * (m / block) tasks of block * block comparisons.
     """
     if max_bits < 0:
         raise ValueError("max_bits must not be negative")
     home, above = cells(prints, max_bits)
-    hot = settled(home.groupBy("grp", "cell").count().where(F.col("count") > hot_cell).drop("count"))
     seekers = home.withColumn("up", F.lit(False)).unionByName(above.withColumn("up", F.lit(True)))
+    counted = seekers.groupBy("grp", "cell").agg(F.count_if(~F.col("up")).alias("members"), F.count("*").alias("seekers"))
+    crowded = (F.col("members") > hot_cell) | ((F.col("members") > 0) & (F.col("seekers") > hot_seekers))
+    hot = settled(counted.where(crowded))
     near = (F.col("up") | (F.col("print") < F.col("other"))) & (
         F.bit_count(F.col("print").bitwiseXOR(F.col("other"))) <= max_bits
     )
-    targets = home.withColumnRenamed("print", "other")
-    any_hot = not hot.isEmpty()
-    if any_hot:
-        targets = targets.join(hot, ["grp", "cell"], "left_anti")
-    found = seekers.join(targets, ["grp", "cell"]).where(near).select(F.col("print").alias("a"), F.col("other").alias("b"))
-    return found.unionByName(_hot_links(seekers, home, hot, max_bits, block)) if any_hot else found
+    many = hot.count()
+    cold, looking = home, seekers
+    if many:
+        cold, looking = _with_hot(home, hot, many, "left_anti"), _with_hot(seekers, hot, many, "left_anti")
+    targets = cold.withColumnRenamed("print", "other")
+    found = looking.join(targets, ["grp", "cell"]).where(near).select(F.col("print").alias("a"), F.col("other").alias("b"))
+    return found.unionByName(_hot_links(seekers, home, hot, many, max_bits, block)) if many else found
+
+
+def _with_hot(rows: DataFrame, hot: DataFrame, many: int, how: str) -> DataFrame:
+    """Join rows to the hot cells: broadcast up to :data:`BROADCAST_CELLS` of them, else by cell and salt, so that no cell is one key."""
+    if many <= BROADCAST_CELLS:
+        return rows.join(F.broadcast(hot), ["grp", "cell"], how)
+    salted = hot.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    own = rows.withColumn("salt", F.pmod(F.xxhash64("print", F.lit(3)), F.lit(SALTS)).cast("int"))
+    return own.join(salted, ["grp", "cell", "salt"], how).drop("salt")
 
 
-def _hot_links(seekers: DataFrame, home: DataFrame, hot: DataFrame, max_bits: int, block: int) -> DataFrame:
+def _hot_links(seekers: DataFrame, home: DataFrame, hot: DataFrame, many: int, max_bits: int, block: int) -> DataFrame:
     """Links within hot cells: rows are cut into blocks by their hash, every block meets every other once."""
-    sides = []
-    for rows in (seekers.drop("up"), home):
-        members = rows.join(hot, ["grp", "cell"])
-        size = members.groupBy("grp", "cell").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-        cut = members.join(size, ["grp", "cell"])
-        sides.append(cut.withColumn("part", F.pmod(F.xxhash64("print", F.lit(7)), "blocks").cast("int")))
-    left, right = sides
-    count = [s.select("grp", "cell", F.col("blocks").alias(n)).distinct() for s, n in ((left, "lefts"), (right, "rights"))]
-    left = left.join(count[1], ["grp", "cell"]).select(
-        "grp", "cell", "print", F.col("part").alias("l"), F.explode(F.sequence(F.lit(0), F.col("rights") - 1)).alias("r")
-    )
-    right = right.join(count[0], ["grp", "cell"]).select(
-        "grp", "cell", "print", F.col("part").alias("r"), F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("l")
-    )
+
+    def blocks(rows: DataFrame) -> DataFrame:
+        return _with_hot(rows, hot, many, "inner").select(
+            "grp", "cell", "print", F.ceil(F.col("seekers") / block).cast("int").alias("lefts"), F.ceil(F.col("members") / block).cast("int").alias("rights")
+        )
+
+    def part(of: str) -> Column:
+        return F.pmod(F.xxhash64("print", F.lit(7)), F.col(of)).cast("int")
+
+    def every(of: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(of) - 1))
+
+    left = blocks(seekers.drop("up")).select("grp", "cell", "print", part("lefts").alias("l"), every("rights").alias("r"))
+    right = blocks(home).select("grp", "cell", "print", part("rights").alias("r"), every("lefts").alias("l"))
     right = right.toDF("grp_right", "cell_right", "other", "r_right", "l_right")
+
     def forest(one: pd.DataFrame, two: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(
             spanning(one["print"].to_numpy(np.int64), two["other"].to_numpy(np.int64), max_bits), columns=["a", "b"]

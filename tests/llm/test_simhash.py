@@ -98,6 +98,30 @@ def test_links_find_every_pair(spark, modules, bits, hot):
     )
 
 
+@pytest.mark.parametrize("broadcast", [500_000, 0])
+def test_a_small_cell_that_very_many_look_into(spark, modules, monkeypatch, broadcast):
+    """Few fingerprints, and thousands one step below them: no key of the join on cells has more rows than the bound."""
+    monkeypatch.setattr(simhash, "BROADCAST_CELLS", broadcast)
+    draw = np.random.default_rng(8)
+    high = draw.integers(0, 1 << 32, 3000, np.uint64) << np.uint64(32)
+    low = np.uint64(0b0101)
+    prints = {int(h | low ^ np.uint64(0b0100)) for h in high} | {int(h | low) for h in high[:20]}
+    prints |= {int(h ^ (np.uint64(1) << np.uint64(40)) | low) for h in high[:10]}
+    rows = sorted(prints)
+    df = spark.createDataFrame([(p - (1 << 64) if p >> 63 else p,) for p in rows], "print long")
+    found = simhash.links(df, 3, hot_cell=256, block=64, hot_seekers=200)
+    root = {r["node"] & (1 << 64) - 1: r["root"] for r in components(found).collect()}
+    want = classes(rows, list(range(len(rows))))
+    groups = {}
+    for k, p in enumerate(rows):
+        groups.setdefault(root.get(p, ("alone", p)), set()).add(k)
+    assert sorted(map(sorted, groups.values())) == sorted(sorted(k for k, w in enumerate(want) if w == least) for least in set(want))
+    home, above = simhash.cells(df)
+    seeking = home.unionByName(above).groupBy("grp", "cell").count()
+    small = home.groupBy("grp", "cell").agg(F.count("*").alias("members")).where("members <= 256").join(seeking, ["grp", "cell"])
+    assert small.agg(F.max("count")).first()[0] > 2500  # such a cell is there
+
+
 def test_components_of_long_paths_and_stars(spark, modules):
     path = [(k, k + 1) for k in range(100, 140)]
     star = [(500, 1000 + k) for k in range(300)] + [(7, 7), (1001, 500)]
