@@ -1,4 +1,10 @@
-"""A training corpus from raw documents: five stages, each written and read again before the next."""
+"""A training corpus from raw documents: five stages, each written and read again before the next.
+
+Defined results: a null or empty text has no language and goes in the first stage; a table without a known ``lang`` teaches no
+language, so that all its documents go there; a null ``doc_id`` is an id like any other; rows repeated in id and text are near
+duplicates of one another, so one of them stays; ties go to the smallest id; very long texts are taken whole; other
+columns are handed on by all stages but the last; an empty table gives an empty result with the same columns.
+"""
 
 from __future__ import annotations
 

@@ -4,6 +4,7 @@ from sheetloom.plans.bundle import codec_sheets, regular_sheets
 from sheetloom.sources.bundles import read_bundle, read_sheet
 from sheetloom.sources.manifests import read_codec, read_donors, read_manifests, read_tissues
 from sheetloom.sources.sinks import write_bundle, write_sheet
+from sheetloom.sources.staging import scratch
 from sheetloom.sources.strip import strip_file, strip_paths
 
 __all__ = [
@@ -15,6 +16,7 @@ __all__ = [
     "read_sheet",
     "read_tissues",
     "regular_sheets",
+    "scratch",
     "strip_file",
     "strip_paths",
     "write_bundle",

@@ -46,9 +46,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def staging(spark: SparkSession) -> Staging:
     """Staging of a query. A local session without a shared folder, as in tests, gets one under its warehouse."""
-    if spark.conf.get("spark.checkpoint.dir", None) or not spark.sparkContext.master.startswith("local"):
+    try:
         return Staging(spark)
-    return Staging(spark, f"{spark.conf.get('spark.sql.warehouse.dir')}/staged")
+    except ValueError:
+        if not spark.sparkContext.master.startswith("local"):
+            raise
+        return Staging(spark, f"{spark.conf.get('spark.sql.warehouse.dir')}/staged")
 
 
 def tissue_ref(spark: SparkSession) -> DataFrame:

@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_SCRATCH: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
 def shared_folder(spark: SparkSession, folder: str | None = None) -> str:
-    """Folder every executor can reach: ``folder``, or else ``spark.checkpoint.dir`` of the session."""
-    folder = folder or spark.conf.get("spark.checkpoint.dir", None)
+    """Folder every executor can reach: ``folder``, or that of :func:`scratch`, or else ``spark.checkpoint.dir`` of the session."""
+    folder = folder or _SCRATCH.get() or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         raise ValueError("give a folder shared by all executors, or set spark.checkpoint.dir to one")
     return folder.rstrip("/")
@@ -27,6 +32,12 @@ def exists(spark: SparkSession, folder: str) -> bool:
     return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(path)
 
 
+def _is_empty(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return fs.exists(path) and len(fs.listStatus(path)) == 0
+
+
 class Staging:
     """Tables written once under the shared folder, and removed together."""
 
@@ -50,6 +61,36 @@ class Staging:
         remove(self._spark, self._root)
 
 
+#: Setting of a session that parts of the library lower for the work at hand.
+_LENT = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def scratch(spark: SparkSession, folder: str | None = None) -> Iterator[str]:
+    """A folder of its own for all that is staged and checkpointed inside of the ``with``, removed at its end.
+
+    Also after a failure, and settings that were changed meanwhile are put back. Results have to be used, or written
+    somewhere else, before it ends::
+
+        with scratch(spark):
+            queries()["analyte_sheet"](spark, folder).write.parquet(target)
+    """
+    sc, lent = spark.sparkContext, spark.conf.get(_LENT)
+    own = f"{shared_folder(spark, folder)}/scratch-{uuid.uuid4().hex}"
+    held, token = sc.getCheckpointDir(), _SCRATCH.set(own)
+    sc.setCheckpointDir(own)
+    try:
+        yield own
+    finally:
+        _SCRATCH.reset(token)
+        spark.conf.set(_LENT, lent)
+        if held is not None:
+            sc.setCheckpointDir(held.rpartition("/")[0])  # Spark adds a name of its own to what it is given
+            if _is_empty(spark, held):
+                remove(spark, held)
+        remove(spark, own)
+
+
 class Sheets(dict):
     """Sheets by name, in order. They read staged tables until :meth:`release` is called.
 

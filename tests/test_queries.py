@@ -1,11 +1,13 @@
 """Every registered query against its SQL, and the driver contract."""
 
 from collections import Counter
+from pathlib import Path
 
 import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from sheetloom import harness, scratch
 from sheetloom.oracle import ORACLE
 from sheetloom.queries import QUERIES
 
@@ -45,3 +47,26 @@ def test_every_query_has_its_sql():
     assert set(QUERIES) == set(ORACLE)
     assert set(QUERIES) <= set(contract.queries()) and set(ORACLE) <= set(contract.oracle_sql())
     assert set(contract.oracle_sql()) <= set(contract.queries())
+
+
+@pytest.mark.parametrize("name", ["analyte_sheet", "heterogeneous_union", "dangling_links", "bundle_read_back"])
+def test_nothing_is_left_of_a_query(spark, tmp_path, name):
+    with scratch(spark, str(tmp_path / "shared")) as folder:
+        assert QUERIES[name](spark, SF).count() > 0
+        assert list((tmp_path / "shared").iterdir()) and folder.startswith(str(tmp_path))
+    assert not list((tmp_path / "shared").iterdir())
+
+
+def test_nothing_is_left_of_a_failure_and_settings_are_put_back(spark, tmp_path):
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    with pytest.raises(ZeroDivisionError), scratch(spark, str(tmp_path)) as folder:
+        spark.conf.set(setting, "7")
+        spark.range(5).checkpoint()
+        harness.staging(spark)(QUERIES["donor_sheet"](spark, SF), "donors")
+        assert len(list(Path(folder).iterdir())) == 2
+        1 / 0
+    assert not list(tmp_path.iterdir()) and spark.conf.get(setting) == before
+    spark.range(5).checkpoint()
+    harness.staging(spark)(QUERIES["donor_sheet"](spark, SF), "donors")
+    assert not list(tmp_path.iterdir())
