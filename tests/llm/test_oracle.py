@@ -5,6 +5,7 @@ from collections import Counter
 import duckdb
 import pytest
 
+from sheetloom import scratch
 from sheetloom.llm.queries import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -24,3 +25,13 @@ def test_query_equals_its_sql(spark, modules, name):
     places = [names.index(c) for c in columns]
     assert rows == Counter(tuple(r[i] for i in places) for r in found.fetchall())
     assert rows
+
+
+@pytest.mark.parametrize("name", ["op1_line_dedup", "op4_fingerprints", "op7_sharding", "op10_simhash", "op11_merkle"])
+def test_nothing_is_left_of_a_query(spark, modules, tmp_path, name):
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    with scratch(spark, str(tmp_path)):
+        assert QUERIES[name](spark, SF).count() == 200
+        assert list(tmp_path.iterdir())
+    assert not list(tmp_path.iterdir())
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
