@@ -90,8 +90,9 @@ def linear_svm(x: np.ndarray, y: np.ndarray, penalty: float = PENALTY, steps: in
     rate = 1 / (2 * float((share[:, None] * z * z).sum()) + 2 + penalty)  # the trace bounds the largest curvature
     w, b, aw, ab, t = np.zeros(x.shape[1]), 0.0, np.zeros(x.shape[1]), 0.0, 1.0
     for _ in range(steps):
-        slack = 2 * share * np.maximum(0, 1 - y * (z @ aw + ab)) * -y
-        nw, nb = aw - rate * (z.T @ slack + penalty * aw), ab - rate * slack.sum()
+        # products in the matrix's own type: a vector of doubles would have it converted every time
+        slack = 2 * share * np.maximum(0, 1 - y * (z @ aw.astype(z.dtype) + ab)) * -y
+        nw, nb = aw - rate * (slack.astype(z.dtype) @ z + penalty * aw), ab - rate * slack.sum()
         tn = (1 + (1 + 4 * t * t) ** 0.5) / 2
         aw, ab = nw + (t - 1) / tn * (nw - w), nb + (t - 1) / tn * (nb - b)
         w, b, t = nw, nb, tn
