@@ -316,6 +316,22 @@ def _edges(edges) -> str:
     return " UNION ALL ".join(selects)
 
 
+def _summed_up(filled: dict[str, str], sources: dict[str, str]) -> str:
+    """Rows of every sheet, and the sum of a checksum over its filled columns."""
+    return " UNION ALL ".join(
+        f"SELECT '{sheet}' AS sheet, count(*) AS n_rows, coalesce(sum(('0x' || substr(md5(concat_ws('|', "
+        f"{', '.join(columns.split())})), 1, 8))::BIGINT), 0)::BIGINT AS checksum FROM {sources[sheet]}"
+        for sheet, columns in filled.items()
+    )
+
+
+_FILLED = {
+    "Donor": "submitted_id age external_id sex tpc_submitted",
+    "Tissue": "submitted_id external_id donor uberon_id",
+    "TissueSample": "submitted_id category external_id sample_sources",
+    "Analyte": "submitted_id molecule molecule_detail external_id samples",
+}
+
 _FILE_SETS = (TISSUE_SAMPLE, ANALYTE, LIBRARY, FILE_SET, FILE_SET_LINKED)
 _ALIGNED = (FILE_SET, FILE_SET_IDS, ALIGNED)
 _READS = "submitted_id filename description alignment_details file_format file_sets reference_genome software"
@@ -440,6 +456,48 @@ ORACLE = {
                + count(target_read_count) + count(sequencer),
                arg_max(submitted_id, CASE file_ord WHEN 1 THEN 0 WHEN 0 THEN 1 ELSE 2 END) FROM sequencing
         UNION ALL SELECT 4, 'UnalignedReads', 0, 0, NULL""",
+    "regular_from_files": _with(
+        DONOR, TISSUE, TISSUE_SAMPLE, ANALYTE, LIBRARY, FILE_SET, FILE_SET_LINKED, FILE_SET_IDS, UNALIGNED, ALIGNED, SEQUENCING, SOFTWARE
+    )
+    + " "
+    + _summed_up(
+        _FILLED
+        | {
+            "Library": "submitted_id analytes assay",
+            "FileSet": "submitted_id description libraries sequencing",
+            "UnalignedReads": "submitted_id filename description file_format file_sets",
+            "AlignedReads": _READS,
+            "Sequencing": "submitted_id read_type target_read_length flow_cell target_coverage target_read_count sequencer",
+            "Software": "submitted_id category title version",
+        },
+        {
+            "Donor": "donor", "Tissue": "tissue", "TissueSample": "ts", "Analyte": "analyte", "Library": "library", "FileSet": "file_set",
+            "UnalignedReads": "unaligned", "AlignedReads": "aligned", "Sequencing": "sequencing", "Software": "software",
+        },
+    ),
+    "codec_from_files": _with(DONOR, CODEC, file="")
+    + " "
+    + _summed_up(
+        _FILLED
+        | {
+            "Library": "submitted_id analytes assay library_preparation",
+            "FileSet": "submitted_id libraries sequencing",
+            "AlignedReads": _READS + " data_category derived_from",
+            "VariantCalls": "submitted_id data_category data_type filename description file_format file_sets reference_genome "
+            "derived_from software",
+            "UnalignedReads": "submitted_id",
+            "Sequencing": "submitted_id read_type target_read_length target_coverage sequencer",
+            "Software": "submitted_id category title version",
+            "LibraryPreparation": "submitted_id description",
+        },
+        {
+            "Donor": "donor", "Tissue": "c_tissue", "TissueSample": "c_ts",
+            "Analyte": "(SELECT *, 'DNA' AS molecule, 'Total DNA' AS molecule_detail FROM c_analyte)", "Library": "c_library",
+            "FileSet": "c_file_set", "AlignedReads": "c_aligned", "VariantCalls": "c_variant",
+            "UnalignedReads": "(SELECT 1 AS submitted_id WHERE false)", "Sequencing": "c_sequencing", "Software": "c_software",
+            "LibraryPreparation": "c_preparation",
+        },
+    ),
     "fileset_sheet_linked": _sheet(
         schemas.FILE_SET, "submitted_id description libraries sequencing", "file_set", *_FILE_SETS
     ),
@@ -536,7 +594,7 @@ ORACLE = {
             ("LibraryPreparation", schemas.LIBRARY_PREPARATION, "submitted_id description", "c_preparation"),
         )
     )
-    + ") SELECT * FROM known JOIN cited USING (submitted_id)",
+    + ") SELECT known.*, coalesce(cited, 0) AS cited FROM known LEFT JOIN cited USING (submitted_id)",
     "dangling_links": _with(
         DONOR, TISSUE, TISSUE_SAMPLE, ANALYTE, LIBRARY, FILE_SET, FILE_SET_LINKED, FILE_SET_IDS, UNALIGNED,
         ALIGNED, SEQUENCING, SOFTWARE,

@@ -13,7 +13,7 @@ from sheetloom.functions.paths import PATH_COLUMNS, extension, slash_name
 from sheetloom.operators import links, tissues
 from sheetloom.operators.ordering import first_by, last_values, merged_rows, running_number
 from sheetloom.plans import codec, regular
-from sheetloom.plans.bundle import CODEC_EDGES, REGULAR_EDGES, codec_plan, regular_plan
+from sheetloom.plans.bundle import CODEC_EDGES, REGULAR_EDGES, codec_plan, codec_sheets, regular_plan, regular_sheets
 from sheetloom.schemas import order_of, plain
 from sheetloom.sources.bundles import read_bundle
 from sheetloom.sources.manifests import tag_manifest
@@ -150,6 +150,83 @@ def bundle_read_back(spark, sf):
     return reduce(DataFrame.unionByName, found)
 
 
+def _written(rows, folder, *columns):
+    """Rows as a directory of tab-separated files in row order; its path."""
+    ordered = rows.orderBy(*order_of(rows)).select(*columns)
+    ordered.write.option("sep", "\t").option("header", True).option("escape", '"').csv(folder)
+    return folder
+
+
+def _dimensions(spark, sf, folder):
+    """Donor table and tissue reference as files."""
+    ref = harness.tissue_ref(spark).coalesce(1)
+    return (
+        _written(harness.donors(spark, sf), f"{folder}/donors", "donor", "gender", "age"),
+        _written(ref, f"{folder}/tissues", "tissue_identifier_code", "corresponding_tissue", "uberon_id"),
+    )
+
+
+#: Columns of a sheet that some row fills, by workflow and sheet.
+_FILLED = {
+    "Donor": "submitted_id age external_id sex tpc_submitted",
+    "Tissue": "submitted_id external_id donor uberon_id",
+    "TissueSample": "submitted_id category external_id sample_sources",
+    "Analyte": "submitted_id molecule molecule_detail external_id samples",
+}
+REGULAR_FILLED = _FILLED | {
+    "Library": "submitted_id analytes assay",
+    "FileSet": "submitted_id description libraries sequencing",
+    "UnalignedReads": "submitted_id filename description file_format file_sets",
+    "AlignedReads": "submitted_id filename description alignment_details file_format file_sets reference_genome software",
+    "Sequencing": "submitted_id read_type target_read_length flow_cell target_coverage target_read_count sequencer",
+    "Software": "submitted_id category title version",
+}
+CODEC_FILLED = _FILLED | {
+    "Library": "submitted_id analytes assay library_preparation",
+    "FileSet": "submitted_id libraries sequencing",
+    "AlignedReads": "submitted_id filename description alignment_details file_format file_sets reference_genome software data_category derived_from",
+    "VariantCalls": "submitted_id data_category data_type filename description file_format file_sets reference_genome derived_from software",
+    "UnalignedReads": "submitted_id",
+    "Sequencing": "submitted_id read_type target_read_length target_coverage sequencer",
+    "Software": "submitted_id category title version",
+    "LibraryPreparation": "submitted_id description",
+}
+
+
+def _summed_up(sheets, filled):
+    """Rows of every sheet, and the sum of a checksum over its filled columns."""
+
+    def of(name, columns):
+        digest = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in columns.split()]).cast("binary"))
+        checksum = F.sum(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"))
+        counted = sheets[name].agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(checksum, F.lit(0)).alias("checksum"))
+        return counted.select(F.lit(name).alias("sheet"), "n_rows", "checksum")
+
+    return reduce(DataFrame.unionByName, [of(*item) for item in filled.items()])
+
+
+def regular_from_files(spark, sf):
+    """The regular workflow over manifests, donors and tissues that were written as files."""
+    staging = harness.staging(spark)
+    folder, rows = staging.path("in"), staging(harness.manifest_rows(spark, sf), "rows")
+    donors, ref = _dimensions(spark, sf, folder)
+    columns = ("sample_id", "cram_path", "donor_id", ids.SAMPLE_ID, "input_bam")
+    names = ("short_read", "long_read", "rna_watchmaker", "rna_truseq")
+    paths = [_written(rows.where(F.col("file_ord") == i), f"{folder}/{name}", *columns) for i, name in enumerate(names)]
+    sheets = regular_sheets(spark, donors, ref, paths[:1], paths[1:2], paths[2:], folder=staging.path("sheets"))
+    return _summed_up(sheets, REGULAR_FILLED)
+
+
+def codec_from_files(spark, sf):
+    """The CODEC workflow over files."""
+    staging = harness.staging(spark)
+    folder, rows = staging.path("in"), staging(harness.codec_samples(spark, sf), "rows")
+    donors, ref = _dimensions(spark, sf, folder)
+    columns = ("sample_id", ids.SAMPLE_ID, "MolConsensusBAM", "RAW_BAM", "donor_id", "vcf")
+    path = _written(rows, f"{folder}/codec", *columns)
+    return _summed_up(codec_sheets(spark, donors, ref, [path], folder=staging.path("sheets")), CODEC_FILLED)
+
+
 def fileset_sheet_linked(spark, sf):
     columns = ("description", "for_analyte", "analyte_label", "for_file_set", "file_set_type")
     (samples, staging), ref = _staged(spark, sf, *columns), harness.tissue_ref(spark)
@@ -343,10 +420,9 @@ def codec_constants(spark, sf):
     constants = [
         plain(sheets[s]).withColumn("sheet", F.lit(s)) for s in ("Software", "Sequencing", "LibraryPreparation")
     ]
-    # Five rows, so the broadcast is bounded.
-    table = F.broadcast(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), constants))
+    table = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), constants)
     cited = counts.groupBy("submitted_id").agg(F.sum("n").alias("cited"))
-    return cited.join(table, "submitted_id")
+    return table.join(cited, "submitted_id", "left").withColumn("cited", F.coalesce("cited", F.lit(0)))
 
 
 def codec_two_protocols(spark, sf):
@@ -401,6 +477,8 @@ QUERIES = {
     "appended_numbers": appended_numbers,
     "merge_audit": merge_audit,
     "bundle_read_back": bundle_read_back,
+    "regular_from_files": regular_from_files,
+    "codec_from_files": codec_from_files,
     "fileset_sheet_linked": fileset_sheet_linked,
     "unaligned_reads": unaligned_reads,
     "aligned_reads_linked": aligned_reads_linked,
