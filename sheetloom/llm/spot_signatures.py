@@ -12,8 +12,8 @@ Scripts without blanks are taken character by character.
 
 Defined results: a null text is empty; a text without a word, the empty one included, gets one signature from all
 of its characters, so equal texts and only those share it; a fingerprint lists the set in order, in
-base64; repeated rows are compared as they come; rows of one id are in order of their texts, rows without an id come last;
-ids may be of any type that has an order; an empty table gives an empty result.
+base64; repeated rows are compared as they come; rows of one id are in order of the XXH64 of id and text, rows without an id come
+last; ids may be of any atomic type that has an order; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,19 +21,20 @@ from __future__ import annotations
 import binascii
 import hashlib
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sheetloom.llm.common import mixed, settled, slices, text_of, utf8
 from sheetloom.llm.components import components
+from sheetloom.llm.text_stats import bounded_sample
 
 #: Content words of a signature.
 CHAIN = 2
@@ -41,6 +42,8 @@ CHAIN = 2
 COMMON, LEAST = 60, 20
 #: A text with fewer anchors than one in so many words also has anchors by hash, one in PICK words, or all in a short text.
 RARE, PICK, SHORT = 20, 4, 50
+#: Rows of a part, about, which a task reads in order; the most parts, and rows that are sampled to place the cut between two.
+PART_ROWS, MOST_PARTS, SAMPLED = 500, 100_000, 5
 #: Distinct words that a worker remembers.
 REMEMBERED = 400_000
 
@@ -241,75 +244,83 @@ def _judged(rows: list[_Row], nexts: list[_Row], spotter: Spotter, id_type: pa.D
     ]
 
 
+def _heads(rows: DataFrame, part_rows: int) -> list[tuple]:
+    """The rows that parts begin with, as ``(has an id, id, - key)`` in rising order; the last one is the first document.
+
+    Quantiles of a sample of at most SAMPLED * MOST_PARTS rows' ids and keys.
+    """
+    order = [F.col("at").desc_nulls_last(), F.col("row_key")]
+    first = rows.select("at", "row_key").orderBy(*order).limit(1).collect()
+    if not first:
+        return []
+    parts = max(1, min(MOST_PARTS, rows.count() // part_rows))
+    sample = bounded_sample(rows.select("at", "row_key"), F.col("row_key"), SAMPLED * parts).collect() if parts > 1 else []
+    rising = sorted((r["at"] is not None, 0 if r["at"] is None else r["at"], -r["row_key"]) for r in sample)
+    (top,) = first
+    heads = {rising[len(rising) * k // parts] for k in range(1, parts)} if rising else set()
+    return sorted({*heads, (top["at"] is not None, 0 if top["at"] is None else top["at"], -top["row_key"])})
+
+
 def against_next(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chain: int = CHAIN, anchors: tuple[str, ...] | None = None
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    chain: int = CHAIN,
+    anchors: tuple[str, ...] | None = None,
+    part_rows: int = PART_ROWS,
 ) -> DataFrame:
     """Each document's fingerprint, held against that of an edited text and of the next document.
 
     The next document is the one with the next smaller id, for the last one the first. The edited text has
     the last half of its code points (rounded down) replaced by as many of the next document's first ones.
 
-    Documents are dealt to partitions by ranges of id and text, largest id first, and each partition is read in order, so
-    texts are shuffled once, and an id that very many rows share, or none, spreads over partitions. The last document of a partition
-    waits: it and the first one go to a second step, where each meets the first one of the next partition.
+    Documents in falling order of id and key (XXH64 of id and text) are cut into parts at documents of a sample. A part is read in
+    order in one task, and the document that each part begins with goes to the end of the part before, too. So texts are
+    shuffled once, and an id that very many rows share, or none, spreads over parts.
     """
     anchors = common_words(docs, text_col) if anchors is None else anchors
     kind = docs.select(id_col).schema[0].dataType
+    at = F.unix_micros(F.col("doc_id")) if isinstance(kind, T.TimestampType) else F.col("doc_id")
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
-    order = [F.col("doc_id").desc_nulls_last(), F.col("text")]
-    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = rows.select("doc_id", "text", at.alias("at"), F.xxhash64("doc_id", "text").alias("row_key"))
+    rising = _heads(rows, part_rows)
+
+    @F.arrow_udf("array<struct<part:int,peek:boolean>>")
+    def homes(ids: pa.Array, keys: pa.Array) -> pa.Array:
+        """A row's own part, and for the one that a part begins with the part before, which looks ahead to it."""
+        out, last = [], len(rising) - 1
+        for value, key in zip(ids.to_pylist(), keys.to_pylist(), strict=True):
+            place = (value is not None, 0 if value is None else value, -key)
+            head = bisect_left(rising, place)
+            part = last - head
+            out.append([{"part": part, "peek": False}])
+            if rising[head] == place:
+                out[-1].append({"part": part - 1 if part else last, "peek": True})
+        return pa.array(out, pa.list_(pa.struct([("part", pa.int32()), ("peek", pa.bool_())])))
+
+    spread = rows.withColumn("home", F.explode(homes("at", "row_key"))).select("doc_id", "text", "home.part", "home.peek", "at", "row_key")
+    dealt = spread.repartition("part").sortWithinPartitions("part", "peek", F.col("at").desc_nulls_last(), "row_key")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spotter, part = _spotter(chain, anchors), TaskContext.get().partitionId()
-        first = held = None
-
-        def batch_of(columns: list[pa.Array] | None, ends: list[tuple[str, _Row]]) -> pa.RecordBatch:
-            """Judged rows, then rows that stand for an end of the partition: these carry their text."""
-            done = len(columns[0]) if columns else 0
-            wide = columns or [pa.array([], t) for t in (id_type, pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 2)]
-            ids = pa.array([row.id for _, row in ends], id_type)
-            own = [pa.concat_arrays([wide[0], ids]), *[pa.concat_arrays([c, pa.nulls(len(ends), c.type)]) for c in wide[1:]]]
-            role = pa.array([None] * done + [name for name, _ in ends], pa.string())
-            text = pa.array([None] * done + [row.text for _, row in ends], pa.string())
-            return pa.RecordBatch.from_arrays(
-                [*own, role, text, pa.array([part] * len(text), pa.int32())], names=["doc_id", *_NAMES, "role", "text", "part"]
-            )
-
-        id_type = pa.null()
+        spotter, held, held_part = _spotter(chain, anchors), None, None  # the row that waits for its next one
         for batch in batches:
             id_type = batch.schema.field("doc_id").type
             ids, texts = batch.column(0).to_pylist(), batch.column(1)
+            parts, peeks = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             for a, b in slices(utf8(texts)[1]):
-                part_texts = texts[a:b].to_pylist()
-                now = [_Row(*x) for x in zip(ids[a:b], part_texts, spotter.sets(part_texts), strict=True)]
-                first = first or now[0]
-                waiting = [held, *now] if held is not None else now
-                held = waiting.pop()
-                if waiting:
-                    yield batch_of(_judged(waiting, [*waiting[1:], held], spotter, id_type), [])
-        if held is not None:
-            yield batch_of(None, [("first", first), ("last", held)])
-
-    fields = [T.StructField("doc_id", kind), *T.StructType.fromDDL(f"{EDITED}, role string, text string, part int").fields]
-    done = settled(ordered.mapInArrow(compare, T.StructType(fields)))
-
-    # Partitions that hold a document, in order; the last one is followed by the first. One narrow row for each.
-    parts = done.where("role = 'first'").select("part")
-    following = F.coalesce(F.lead("part").over(Window.orderBy("part")), F.min("part").over(Window.partitionBy(F.lit(0))))
-    heads = done.where("role = 'first'").select(F.col("part").alias("ahead_part"), F.col("doc_id").alias("ahead_id"), F.col("text").alias("ahead"))
-    tails = done.where("role = 'last'").select("doc_id", "text", "part").join(parts.withColumn("ahead_part", following), "part")
-    pairs = tails.join(heads, "ahead_part").select("doc_id", "text", "ahead")
-
-    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spotter = _spotter(chain, anchors)
-        for batch in batches:
-            ids, texts, ahead = (batch.column(k).to_pylist() for k in range(3))
-            rows_ = [_Row(i, t, s) for i, t, s in zip(ids, texts, spotter.sets(texts), strict=True)]
-            nexts = [_Row(None, t, s) for t, s in zip(ahead, spotter.sets(ahead), strict=True)]
-            yield pa.RecordBatch.from_arrays(_judged(rows_, nexts, spotter, batch.schema.field("doc_id").type), names=["doc_id", *_NAMES])
-
-    closed = pairs.mapInArrow(close, T.StructType(fields[: 1 + len(_NAMES)]))
-    return done.where("role IS NULL").select("doc_id", *_NAMES).unionByName(closed)
+                here = texts[a:b].to_pylist()
+                waited, nexts = [], []
+                for k, (text, found) in enumerate(zip(here, spotter.sets(here), strict=True), a):
+                    now = _Row(ids[k], text, found)
+                    if held is not None and held_part == parts[k]:
+                        waited.append(held)
+                        nexts.append(now)
+                    held, held_part = (None, None) if peeks[k] else (now, parts[k])
+                if waited:
+                    yield pa.RecordBatch.from_arrays(_judged(waited, nexts, spotter, id_type), names=["doc_id", *_NAMES])
+
+    schema = T.StructType([T.StructField("doc_id", kind), *T.StructType.fromDDL(EDITED).fields])
+    return dealt.select("doc_id", "text", "part", "peek").mapInArrow(compare, schema)
 
 
 # ---- near-duplicates by signature sets

@@ -85,25 +85,11 @@ def test_texts_that_differ_in_a_word_are_near_in_any_script(spark, modules):
     assert got[999]["near_next"] < 0.1
 
 
-def partitions(spark, many):
-    spark.conf.set("spark.sql.shuffle.partitions", str(many))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", str(many == 1).lower())
-
-
-@pytest.fixture
-def many_partitions(spark):
-    partitions(spark, 13)
-    yield
-    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    spark.conf.set("spark.sql.shuffle.partitions", "4")
-
-
-@pytest.mark.parametrize("many", [1, 13])
-def test_query_equals_brute_force(spark, modules, many, many_partitions):
-    partitions(spark, many)
+@pytest.mark.parametrize("part_rows", [7, 500])
+def test_query_equals_brute_force(spark, modules, part_rows):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
-    got = {r["doc_id"]: r for r in spots.against_next(docs, anchors=ANCHORS).collect()}
+    got = {r["doc_id"]: r for r in spots.against_next(docs, anchors=ANCHORS, part_rows=part_rows).collect()}
     order = sorted(texts, reverse=True)
     assert sorted(got, reverse=True) == order
     for k, i in enumerate(order):
@@ -117,8 +103,8 @@ def test_query_equals_brute_force(spark, modules, many, many_partitions):
     assert op4_fingerprints(spark, SF).columns == list(next(iter(got.values())).asDict())
 
 
-def test_messy_rows(spark, messy, empty, many_partitions):
-    got = spots.against_next(messy).collect()
+def test_messy_rows(spark, messy, empty):
+    got = spots.against_next(messy, part_rows=2).collect()
     assert len(got) == len(MESSY)
     ids = [r["doc_id"] for r in got]
     assert sorted((i for i in ids if i is not None)) == sorted(i for i, _ in MESSY if i is not None)
@@ -135,28 +121,35 @@ def test_messy_rows(spark, messy, empty, many_partitions):
     assert len(unnamed) == 2
 
 
-@pytest.mark.parametrize("cast", ["string", "date", "struct<a:bigint>"])
-def test_ids_of_any_type_that_has_an_order(spark, modules, cast, many_partitions):
+@pytest.mark.parametrize("kind", ["string", "date", "timestamp", "binary", "decimal(20,2)"])
+def test_ids_of_any_atomic_type(spark, modules, kind):
     rows = [(k * 7 % 40, f"the mill{k} of stone{k % 5} and barn{k % 3}") for k in range(40)]
-    as_id = {"string": F.lpad("doc_id", 3, "0"), "date": F.date_add(F.lit("2020-01-01"), F.col("doc_id").cast("int")), "struct<a:bigint>": F.struct(F.col("doc_id").alias("a"))}
+    text = F.lpad("doc_id", 3, "0")
+    day = F.date_add(F.lit("2020-01-01"), F.col("doc_id").cast("int"))
+    as_id = {"string": text, "date": day, "timestamp": day.cast("timestamp"), "binary": text.cast("binary")}
     docs = table(spark, rows)
-    plain = {r["doc_id"]: tuple(r)[1:] for r in spots.against_next(docs, anchors=ANCHORS).collect()}
-    named = docs.withColumn("doc_id", as_id[cast])
-    found = spots.against_next(named, anchors=ANCHORS)
-    assert sorted(tuple(r)[1:] for r in found.collect()) == sorted(plain.values())
+    plain = spots.against_next(docs, anchors=ANCHORS, part_rows=4).drop("doc_id").collect()
+    named = docs.withColumn("doc_id", as_id.get(kind, F.col("doc_id").cast(kind)))
+    found = spots.against_next(named, anchors=ANCHORS, part_rows=4)
+    assert sorted(tuple(r)[1:] for r in found.collect()) == sorted(map(tuple, plain))
     assert found.schema["doc_id"].dataType == named.schema["doc_id"].dataType
 
 
-def test_ids_that_many_rows_share_spread_over_partitions(spark, modules, many_partitions):
-    """A third of the rows have one id, a third none; their texts decide the order."""
+def test_ids_that_many_rows_share_spread_over_parts(spark, modules):
+    """A third of the rows have one id, a third none; the hash of id and text decides their order, and no part is large."""
     rows = [((7, None, k)[k % 3], f"the word{k:03d} of text{k * 31 % 97:02d}") for k in range(300)]
-    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
-    found = spots.against_next(table(spark, rows), anchors=ANCHORS).collect()
+    docs = table(spark, rows)
+    keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key")).collect()
+    order = sorted(map(tuple, keyed), key=lambda r: (r[0] is None, -(r[0] or 0), r[2]))
+    found = spots.against_next(docs, anchors=ANCHORS, part_rows=10).collect()
     expected = []
-    for k, (i, text) in enumerate(order):
+    for k, (i, text, _) in enumerate(order):
         half, ahead = len(text) // 2, order[(k + 1) % 300][1]
         expected.append((i, hashlib.sha256((text[: len(text) - half] + ahead[:half]).encode()).hexdigest()))
     assert sorted(((r["doc_id"], r["edited_sha256"]) for r in found), key=str) == sorted(expected, key=str)
+    held = docs.select(F.col("doc_id").alias("at"), F.xxhash64("doc_id", "text").alias("row_key"))
+    heads = spots._heads(held, 10)
+    assert len(heads) > 20 and sum(h[:2] == (True, 7) for h in heads) > 5 and sum(not h[0] for h in heads) > 5
 
 
 def test_similar_equals_brute_force(spark, messy):
