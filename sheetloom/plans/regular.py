@@ -297,21 +297,29 @@ def unaligned_reads_sheet(samples: DataFrame, ref: DataFrame, prefix: str = PREF
     )
 
 
+def aligned_reads_rows(samples: DataFrame, ref: DataFrame, prefix: str = PREFIX) -> DataFrame:
+    """One row per CRAM with its id, numbered over the rows that have one (W4); its file set is not looked up yet."""
+    crams = filled(samples.where("for_aligned"), ids.SAMPLE_ID, "cram_path")
+    rows = with_tissue(crams, ref)
+    rows = rows.select(
+        "donor_part", "label", "aligned_type", ids.SAMPLE_ID, "cram_path", *schemas.order_of(rows)
+    )
+    numbered = running_number(rows, ["donor_part", "label", "aligned_type"], "number")
+    minted = ids.aligned_reads_id(
+        prefix, F.col("donor_part"), F.col("label"), F.col("aligned_type"), F.col("number")
+    )
+    return numbered.withColumn("submitted_id", minted)
+
+
 def aligned_reads_sheet(
     samples: DataFrame, ref: DataFrame, prefix: str = PREFIX, file_sets: DataFrame | None = None
 ) -> DataFrame:
-    """One row per CRAM, numbered over the rows that have one (W4), linked to FileSet.
+    """One row per CRAM, linked to FileSet.
 
     ``file_sets`` are the :func:`file_set_rows` where they are at hand.
     """
-    crams = filled(samples.where("for_aligned"), ids.SAMPLE_ID, "cram_path")
-    rows = with_tissue(crams, ref)
-    rows = rows.select(
-        "donor_part", "label", "aligned_type", ids.SAMPLE_ID, "cram_path", *schemas.order_of(rows)
-    )
-    group = ["donor_part", "label", "aligned_type"]
-    numbered = running_number(rows, group, "number")
-    numbered = numbered.withColumn("stem", F.upper(F.concat_ws("_", *group)))
+    rows = aligned_reads_rows(samples, ref, prefix)
+    numbered = rows.withColumn("stem", F.upper(F.concat_ws("_", "donor_part", "label", "aligned_type")))
     file_set = ids.mint(prefix, "FILE-SET", F.col("stem"), F.col("number").cast("string"))
     sizes = file_set_sizes(file_set_rows(samples, ref) if file_sets is None else file_sets)
     linked = link(numbered, sizes, "number", file_set, "file_set")
@@ -319,9 +327,7 @@ def aligned_reads_sheet(
     return conform(
         linked,
         schemas.ALIGNED_READS,
-        submitted_id=ids.aligned_reads_id(
-            prefix, F.col("donor_part"), F.col("label"), F.col("aligned_type"), F.col("number")
-        ),
+        submitted_id=F.col("submitted_id"),
         filename=name,
         description=F.col(ids.SAMPLE_ID),
         alignment_details="Sorted",

@@ -448,10 +448,10 @@ def codec_dangling_links(spark, sf):
 
 
 def duplicate_reads(spark, sf):
-    """Read ids that stand on more than one row."""
-    (samples, _), ref = _staged(spark, sf), harness.tissue_ref(spark)
-    unaligned = plain(regular.unaligned_reads_sheet(samples, ref)).select("submitted_id")
-    aligned = plain(regular.aligned_reads_sheet(samples, ref)).select("submitted_id")
+    """Read ids that stand on more than one row. Ids need no look at the file sets."""
+    (samples, _), ref = _staged(spark, sf, "input_bam", "cram_path", "for_unaligned", "for_aligned", "aligned_type"), harness.tissue_ref(spark)
+    unaligned = regular.unaligned_reads_sheet(samples, ref).select("submitted_id")
+    aligned = regular.aligned_reads_rows(samples, ref).select("submitted_id")
     return links.duplicate_ids(unaligned.unionByName(aligned))
 
 
