@@ -228,7 +228,7 @@ def manifest(
         leaf([F.col(c) for c in columns]).alias("digest"),
         *[value.alias(f"held_{name}") for name, value in held.items()],
     )
-    leaves = settled(positioned(rows, "doc_id", "digest"))
+    leaves = settled(positioned(settled(rows), "doc_id", "digest"))  # sorting by range samples its rows first: not the texts again
     ground = leaves.select("tree", "n", F.lit(0).alias("level"), "pos", "digest")
     nodes = ground.unionByName(nodes_above(leaves))
 
