@@ -85,9 +85,9 @@ def linear_svm(x: np.ndarray, y: np.ndarray, penalty: float = PENALTY, steps: in
     Both classes weigh the same, whatever their sizes.
     """
     share = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1))
-    centre = (share[:, None] * x).sum(0)
-    z = (x - centre).astype(np.float32)
-    rate = 1 / (2 * float((share[:, None] * z * z).sum()) + 2 + penalty)  # the trace bounds the largest curvature
+    centre = share.astype(x.dtype) @ x  # nothing as large as ``x`` is made but ``z``
+    z = (x - centre).astype(np.float32, copy=False)
+    rate = 1 / (2 * float(share @ np.einsum("ij,ij->i", z, z)) + 2 + penalty)  # the trace bounds the largest curvature
     w, b, aw, ab, t = np.zeros(x.shape[1]), 0.0, np.zeros(x.shape[1]), 0.0, 1.0
     for _ in range(steps):
         # products in the matrix's own type: a vector of doubles would have it converted every time
@@ -159,9 +159,9 @@ def fit(x: np.ndarray, language: np.ndarray) -> Model:
     tasks += [((language == languages[f][i]) | (language == languages[f][j]), language == languages[f][i]) for f, i, j in pairs]
     made = []
     for rows, positive in tasks:
-        y = np.where(positive[rows], 1.0, -1.0)
-        w, b = linear_svm(x[rows], y)
-        made.append((w, b, slope(x[rows] @ w + b, y)))
+        y, own = np.where(positive[rows], 1.0, -1.0), x if rows.all() else x[rows]
+        w, b = linear_svm(own, y)
+        made.append((w, b, slope(own @ w.astype(own.dtype) + b, y)))
     if not made:
         return Model(families, languages)
     return Model(
@@ -205,7 +205,9 @@ def train(docs: DataFrame, usable: Column | None = None, most: int = SAMPLE_ROWS
 
     seen = texts.mapInArrow(vectors, "lang string, x binary")
     rows = seen.orderBy(F.xxhash64("x"), "x", "lang").limit(most).toPandas()
-    x = np.frombuffer(b"".join(rows["x"]), np.float16).reshape(len(rows), DIMENSIONS).astype(np.float32)
+    x = np.empty((len(rows), DIMENSIONS), np.float32)
+    for k, raw in enumerate(rows.pop("x")):
+        x[k] = np.frombuffer(raw, np.float16)
     return fit(x, rows["lang"].to_numpy(str))
 
 
