@@ -36,7 +36,7 @@ def stages(spark, tmp_path_factory):
 def test_stages_return_documents(stages):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "quality_rules", "line_dedup", "simhash_near_dedup", "packing"]
     assert all(s.columns == stages[0].columns for s in stages[:-1])
-    assert 0 < stages[4].count() < stages[3].count() <= stages[2].count() < stages[1].count() <= stages[0].count()
+    assert 0 < stages[4].count() <= stages[3].count() <= stages[2].count() < stages[1].count() <= stages[0].count()
 
 
 def test_languages(stages):
@@ -97,14 +97,14 @@ def test_messy_rows(spark, messy, empty):
 def test_registered():
     names = set(contract.queries())
     assert names >= {*queries.QUERIES, "pipeline"}
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert set(queries.ORACLE) <= set(contract.oracle_sql()) and "pipeline" not in contract.oracle_sql()
 
 
 @pytest.mark.parametrize("name", queries.ORACLE)
 def test_query_equals_its_sql(spark, name):
     database = duckdb.connect()
-    for table in ("documents", "pages", "labels"):
+    for table in ("documents", "embeddings", "pages", "labels"):
         database.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     found = database.execute(queries.ORACLE[name])
     names = [d[0] for d in found.description]
