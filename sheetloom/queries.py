@@ -105,7 +105,7 @@ def appended_numbers(spark, sf):
 
 def merge_audit(spark, sf):
     """A2: rows that keep-first drops, by sheet: how many, for how many kept rows, and how many stand in another file."""
-    samples, ref = harness.samples(spark, sf), harness.tissue_ref(spark)
+    (samples, _), ref = _staged(spark, sf, "for_analyte", "analyte_label"), harness.tissue_ref(spark)
     sheets = {
         "Tissue": regular.tissue_rows(samples, ref),
         "TissueSample": regular.tissue_sample_rows(samples, ref),
@@ -113,7 +113,7 @@ def merge_audit(spark, sf):
     }
     found = []
     for name, rows in sheets.items():
-        lost = merged_rows(rows.select("submitted_id", "external_id", *order_of(rows)), "submitted_id")
+        lost = merged_rows(rows.select("submitted_id", *order_of(rows)), "submitted_id")
         found.append(
             lost.agg(
                 F.count(F.lit(1)).alias("merged"),

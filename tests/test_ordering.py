@@ -188,6 +188,29 @@ def test_merged_rows_name_the_row_that_stays(spark, rows):
     assert found.count() + first_by(df, "k").count() == len(placed)
 
 
+@pytest.mark.parametrize("taken", [["k"], ["k", "file_ord", "kept_file_ord"], ["k", "v", "kept_pos"]])
+def test_merged_rows_are_shuffled_once_whatever_is_taken(spark, taken):
+    """A reader that takes some columns only does not have the rows derived and dealt again."""
+    _, df = table(spark, skewed())
+    expected = Counter(map(tuple, merged_rows(df, "k").select(taken).collect()))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = merged_rows(df, "k").select(taken)
+        plan = found._jdf.queryExecution().executedPlan().toString().splitlines()
+        dealt = [line for line in plan if "REPARTITION_BY_COL" in line]
+        assert [("ReusedExchange" in line) for line in dealt].count(False) == 1 and len(dealt) == 2
+        assert Counter(map(tuple, found.collect())) == expected
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_merged_rows_leave_out_one_of_two_rows_in_one_place(spark):
+    """As many rows are listed as keep-first drops, also where two rows claim the same place."""
+    df = spark.createDataFrame([(0, 0, 1, "a", "x"), (0, 0, 1, "a", "y"), (0, 1, 0, None, "z")], "file_ord int, block long, pos long, k string, v string")
+    found = merged_rows(df, "k").collect()
+    assert len(found) == df.count() - first_by(df, "k").count() == 1 and found[0]["k"] == "a"
+
+
 def test_lookup_of_a_code_that_holds_half_of_the_rows(spark):
     """With broadcasts and adaptive plans off, no task gets the hot code whole, and codes that are not there stay."""
     rows = [("hot" if i % 2 else f"c{i % 7}" if i % 3 else None, "x", str(i)) for i in range(2000)]
