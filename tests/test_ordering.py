@@ -141,6 +141,34 @@ def test_offsets_are_for_blocks_with_earlier_ones_only(spark):
     assert "ReusedExchange" in numbered._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("taken", [["k", "n"], ["n"], ["k", "g", "v", "n"]])
+def test_numbered_rows_are_shuffled_once_whatever_is_taken(spark, taken):
+    """Counts and numbers read one shuffle also where a reader takes some columns only."""
+    placed, df = table(spark, skewed())
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = running_number(df, ["k", "g"], "n").select(taken)
+        dealt = [line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "REPARTITION_BY_COL" in line]
+        assert [("ReusedExchange" in line) for line in dealt].count(False) == 1 and len(dealt) == 2
+        every = Counter(dict(zip(("k", "g", "v", "n"), row[3:], strict=True))["n"] for row in brute_numbers(placed).elements())
+        assert Counter(r["n"] for r in found.collect()) == every
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_a_record_of_a_link_has_a_counter_per_edge_of_its_target(spark):
+    """Thirteen edges, at most two into one sheet: two counters and not thirteen."""
+    from sheetloom.plans.bundle import CODEC_EDGES
+
+    columns = {"submitted_id", *(column for _, column, _ in CODEC_EDGES)}
+    names = {name for child, _, parent in CODEC_EDGES for name in (child, parent)}
+    sheets = {name: spark.createDataFrame([tuple(f"{c}1" for c in sorted(columns))], [*sorted(columns)]) for name in names}
+    report = dangling_links(sheets, CODEC_EDGES)
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert "AS n1#" in plan and "AS n2#" not in plan
+    assert sorted((r.sheet, r.link, r.links, r.dangling) for r in report.collect()) == sorted((c, k, 1, 1) for c, k, _ in CODEC_EDGES)
+
+
 @pytest.mark.parametrize("cuts", [[200], [1, 399], [100, 200, 300], [0, 400]])
 @pytest.mark.parametrize("threshold", ["-1", "10MB"])
 def test_runs_over_later_files_number_as_one_run(spark, tmp_path, cuts, threshold):
