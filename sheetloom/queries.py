@@ -127,7 +127,7 @@ def merge_audit(spark, sf):
 def bundle_read_back(spark, sf):
     """Sheets written as a bundle and read back; rows and filled cells of each, and its last id in row order."""
     staging = harness.staging(spark)
-    samples, ref = staging(harness.samples(spark, sf), "samples"), harness.tissue_ref(spark)
+    samples, ref = staging(harness.samples(spark, sf).select(*_KEYS), "samples"), harness.tissue_ref(spark)
     sheets = {
         "Donor": regular.donor_sheet(harness.donors(spark, sf)),
         "Tissue": regular.tissue_sheet(samples, ref),

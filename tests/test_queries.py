@@ -70,3 +70,28 @@ def test_nothing_is_left_of_a_failure_and_settings_are_put_back(spark, tmp_path)
     spark.range(5).checkpoint()
     harness.staging(spark)(QUERIES["donor_sheet"](spark, SF), "donors")
     assert not list(tmp_path.iterdir())
+
+
+@pytest.mark.parametrize(
+    "name, table, columns",
+    [
+        ("bundle_read_back", "samples", "collaborator_sample_id donor_id"),
+        ("regular_from_files", "rows", "sample_id cram_path donor_id collaborator_sample_id input_bam"),
+        ("codec_from_files", "rows", "sample_id collaborator_sample_id MolConsensusBAM RAW_BAM donor_id vcf"),
+        ("codec_dangling_links", "samples", "collaborator_sample_id donor_id RAW_BAM MolConsensusBAM vcf"),
+    ],
+)
+def test_a_query_stages_the_columns_it_reads(spark, monkeypatch, name, table, columns):
+    """The first table that is staged has these and the place of a row, which is one number."""
+
+    class Seen(Exception):
+        pass
+
+    def staged(self, df, called):
+        assert called == table and set(df.columns) == {*columns.split(), "file_ord", "block", "pos"}
+        assert df.schema["pos"].dataType.simpleString() == "bigint"
+        raise Seen
+
+    monkeypatch.setattr(harness.Staging, "__call__", staged)
+    with pytest.raises(Seen):
+        QUERIES[name](spark, SF)
