@@ -220,9 +220,9 @@ def regular_from_files(spark, sf):
 def codec_from_files(spark, sf):
     """The CODEC workflow over files."""
     staging = harness.staging(spark)
-    folder, rows = staging.path("in"), staging(harness.codec_samples(spark, sf), "rows")
-    donors, ref = _dimensions(spark, sf, folder)
     columns = ("sample_id", ids.SAMPLE_ID, "MolConsensusBAM", "RAW_BAM", "donor_id", "vcf")
+    folder, rows = staging.path("in"), staging(harness.codec_samples(spark, sf).select(*columns, "file_ord", "block", "pos"), "rows")
+    donors, ref = _dimensions(spark, sf, folder)
     path = _written(rows, f"{folder}/codec", *columns)
     return _summed_up(codec_sheets(spark, donors, ref, [path], folder=staging.path("sheets")), CODEC_FILLED)
 
