@@ -3,7 +3,8 @@
 Texts become histograms of hashed byte n-grams. Linear support vector machines, one against the rest, tell the
 families apart; within a family one machine for each pair of languages votes. They are fitted on the
 driver from at most :data:`SAMPLE_ROWS` labelled rows of :data:`DIMENSIONS` numbers each, drawn evenly from all
-languages, whatever their number; every text is read whole. Where there are more than :data:`SAMPLE_ROWS` languages,
+languages, whatever their number; they come there compressed, and the fit makes no copy of them all. Every text is read
+whole. Where there are more than :data:`SAMPLE_ROWS` languages,
 each gives one row, so the sample grows with the languages and no language is left out.
 
 Defined results: ``und`` with score 0 for a text that is null, empty or without a letter, and where nothing
@@ -13,7 +14,8 @@ rows get equal results; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import zlib
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from itertools import combinations
 
@@ -85,14 +87,16 @@ def linear_svm(x: np.ndarray, y: np.ndarray, penalty: float = PENALTY, steps: in
     Both classes weigh the same, whatever their sizes.
     """
     share = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1))
-    centre = share.astype(x.dtype) @ x  # nothing as large as ``x`` is made but ``z``
-    z = (x - centre).astype(np.float32, copy=False)
-    rate = 1 / (2 * float(share @ np.einsum("ij,ij->i", z, z)) + 2 + penalty)  # the trace bounds the largest curvature
+    # rows are taken from the centre in the products, so that nothing as large as ``x`` is made
+    centre = (share.astype(x.dtype) @ x).astype(float)
+    spread = float(share @ np.einsum("ij,ij->i", x, x)) - (2 - share.sum()) * float(centre @ centre)
+    rate = 1 / (2 * max(spread, 0.0) + 2 + penalty)  # the trace bounds the largest curvature
     w, b, aw, ab, t = np.zeros(x.shape[1]), 0.0, np.zeros(x.shape[1]), 0.0, 1.0
     for _ in range(steps):
         # products in the matrix's own type: a vector of doubles would have it converted every time
-        slack = 2 * share * np.maximum(0, 1 - y * (z @ aw.astype(z.dtype) + ab)) * -y
-        nw, nb = aw - rate * (slack.astype(z.dtype) @ z + penalty * aw), ab - rate * slack.sum()
+        slack = 2 * share * np.maximum(0, 1 - y * (x @ aw.astype(x.dtype) - centre @ aw + ab)) * -y
+        pull = slack.astype(x.dtype) @ x - slack.sum() * centre
+        nw, nb = aw - rate * (pull + penalty * aw), ab - rate * slack.sum()
         tn = (1 + (1 + 4 * t * t) ** 0.5) / 2
         aw, ab = nw + (t - 1) / tn * (nw - w), nb + (t - 1) / tn * (nb - b)
         w, b, t = nw, nb, tn
@@ -157,11 +161,13 @@ def fit(x: np.ndarray, language: np.ndarray) -> Model:
     pairs = tuple((f, i, j) for f, codes in enumerate(languages) for i, j in combinations(range(len(codes)), 2))
     tasks = [(np.ones(len(x), bool), of == f) for f in families] if len(families) > 1 else []
     tasks += [((language == languages[f][i]) | (language == languages[f][j]), language == languages[f][i]) for f, i, j in pairs]
-    made = []
-    for rows, positive in tasks:
-        y, own = np.where(positive[rows], 1.0, -1.0), x if rows.all() else x[rows]
+
+    def machine(rows: np.ndarray, positive: np.ndarray) -> tuple[np.ndarray, float, float]:
+        y, own = np.where(positive[rows], 1.0, -1.0), x if rows.all() else x[rows]  # gone before the next one's is made
         w, b = linear_svm(own, y)
-        made.append((w, b, slope(own @ w.astype(own.dtype) + b, y)))
+        return w, b, slope(own @ w.astype(own.dtype) + b, y)
+
+    made = [machine(*task) for task in tasks]
     if not made:
         return Model(families, languages)
     return Model(
@@ -170,6 +176,18 @@ def fit(x: np.ndarray, language: np.ndarray) -> Model:
     )
 
 
+def packed(x: np.ndarray) -> list[bytes]:
+    """Rows as the sample is sent to the driver: half-precision numbers, compressed, as most of them are 0."""
+    return [zlib.compress(row.astype(np.float16).tobytes(), 1) for row in x]
+
+
+def unpacked(raw: Sequence[bytes]) -> np.ndarray:
+    x = np.empty((len(raw), DIMENSIONS), np.float32)
+    for k, row in enumerate(raw):
+        x[k] = np.frombuffer(zlib.decompress(row), np.float16)
+    return x
+
+
 def train(docs: DataFrame, usable: Column | None = None, most: int = SAMPLE_ROWS) -> Model:
     """Fit on a bounded sample of rows with a language: those with the smallest hash of their id, evenly by language.
 
@@ -200,15 +218,11 @@ def train(docs: DataFrame, usable: Column | None = None, most: int = SAMPLE_ROWS
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, last, x in histograms(batch.column(1)):
-                raw = [row.astype(np.float16).tobytes() for row in x]
-                yield pa.RecordBatch.from_arrays([batch.column(0)[first:last], pa.array(raw, pa.binary())], names=["lang", "x"])
+                yield pa.RecordBatch.from_arrays([batch.column(0)[first:last], pa.array(packed(x), pa.binary())], names=["lang", "x"])
 
     seen = texts.mapInArrow(vectors, "lang string, x binary")
     rows = seen.orderBy(F.xxhash64("x"), "x", "lang").limit(most).toPandas()
-    x = np.empty((len(rows), DIMENSIONS), np.float32)
-    for k, raw in enumerate(rows.pop("x")):
-        x[k] = np.frombuffer(raw, np.float16)
-    return fit(x, rows["lang"].to_numpy(str))
+    return fit(unpacked(rows.pop("x")), rows["lang"].to_numpy(str))
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:

@@ -1,7 +1,9 @@
+import tracemalloc
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,3 +102,34 @@ def test_many_languages_are_told_apart(spark, modules, monkeypatch):
     got = lid.predict(docs, model).collect()
     assert np.mean([r["lang"] == r["lang_pred"] for r in got if r["doc_id"] >= 400]) > 0.95
     assert {r["lang_pred"] for r in got} == {f"lang{k}" for k in range(40)}
+
+
+def test_fit_makes_no_copy_of_its_sample():
+    draw = np.random.default_rng(3)
+    x = draw.random((1600, lid.DIMENSIONS), np.float32)
+    names = np.array(["de", "en", "es", "fr"] * 400)
+    tracemalloc.start()
+    lid.fit(x, names)
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert most < 0.6 * x.nbytes  # the rows of one pair; a centred copy took as much as the sample
+
+
+def test_sample_is_sent_compressed():
+    docs = pq.read_table(f"{SF}/documents.parquet", columns=["text"]).column(0).combine_chunks()
+    x = np.concatenate([part for _, _, part in lid.histograms(docs)])
+    raw = lid.packed(x)
+    assert sum(map(len, raw)) < len(x) * lid.DIMENSIONS // 2  # a quarter of the plain numbers
+    assert np.array_equal(lid.unpacked(raw), x.astype(np.float16).astype(np.float32))
+
+
+def test_machine_equals_one_on_centred_rows():
+    draw = np.random.default_rng(4)
+    x = draw.random((300, 40), np.float32)
+    x[:90, 0] += 0.3
+    y = np.where(np.arange(300) < 90, 1.0, -1.0)
+    share = np.where(y > 0, 0.5 / 90, 0.5 / 210)
+    centre = share @ x
+    w, b = lid.linear_svm(x, y)
+    w2, b2 = lid.linear_svm((x - centre).astype(np.float32), y)
+    assert np.allclose(w, w2, atol=1e-3) and np.isclose(b, b2 - centre @ w2, atol=1e-3)
