@@ -10,6 +10,7 @@ import __spark_entry__ as contract
 from sheetloom import harness, scratch
 from sheetloom.oracle import ORACLE
 from sheetloom.queries import QUERIES
+from sheetloom.sources.staging import Staging
 
 SF = "/root/testdata/sf0.001"
 TABLES = (
@@ -95,3 +96,16 @@ def test_a_query_stages_the_columns_it_reads(spark, monkeypatch, name, table, co
     monkeypatch.setattr(harness.Staging, "__call__", staged)
     with pytest.raises(Seen):
         QUERIES[name](spark, SF)
+
+
+def test_file_sets_stage_what_is_read_twice_only(spark, monkeypatch):
+    staged, write = [], Staging.__call__
+
+    def noted(self, df, name):
+        staged.append(name)
+        return write(self, df, name)
+
+    monkeypatch.setattr(Staging, "__call__", noted)
+    with scratch(spark):
+        assert contract.queries()["fileset_sheet_linked"](spark, SF).count()
+    assert staged == ["samples"]
