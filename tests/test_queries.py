@@ -1,5 +1,6 @@
 """Every registered query against its SQL, and the driver contract."""
 
+import time
 from collections import Counter
 from pathlib import Path
 
@@ -109,3 +110,47 @@ def test_file_sets_stage_what_is_read_twice_only(spark, monkeypatch):
     with scratch(spark):
         assert contract.queries()["fileset_sheet_linked"](spark, SF).count()
     assert staged == ["samples"]
+
+
+def shuffled(spark):
+    """Shuffle files on disk, with their bytes."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n")
+    return {f: f.stat().st_size for f in map(Path, files) if f.name.startswith("shuffle_") and f.exists()}
+
+
+def bytes_left(spark, before):
+    """Bytes of shuffle files that are not among ``before``; Spark removes them a moment after an execution."""
+    for _ in range(40):
+        left = sum(size for f, size in shuffled(spark).items() if f not in before)
+        if left < 20_000:
+            break
+        time.sleep(0.25)
+    return left
+
+
+@pytest.mark.parametrize("name", ["regular_from_files", "codec_from_files"])
+def test_a_workflow_keeps_nothing_on_disk_that_is_done_with(spark, tmp_path, monkeypatch, name):
+    """Neither shuffles of what is written, nor rows and manifests that were read: the disk holds one sheet's work at a time."""
+    before, written, write = shuffled(spark), [], Staging.__call__
+
+    def noted(self, df, called):
+        staged = write(self, df, called)
+        if called.startswith("sum_"):
+            written.append(called)
+            assert bytes_left(spark, before) < 20_000
+        return staged
+
+    monkeypatch.setattr(Staging, "__call__", noted)
+    with scratch(spark, str(tmp_path)) as folder:
+        rows = QUERIES[name](spark, SF).collect()
+        assert len(written) == len(rows) > 9
+        (root,) = [p for p in Path(folder).iterdir() if (p / "in").exists()]
+        assert sorted(p.name for p in (root / "in").iterdir()) == ["donors", "tissues"] and not (root / "rows").exists()
+
+
+def test_a_bundle_keeps_no_shuffles(spark, tmp_path):
+    """Of all that is done before the bundle is read, that is staging and writing."""
+    before = shuffled(spark)
+    with scratch(spark, str(tmp_path)):
+        QUERIES["bundle_read_back"](spark, SF)
+        assert bytes_left(spark, before) < 20_000
