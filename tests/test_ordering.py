@@ -12,6 +12,7 @@ from sheetloom.operators import links
 from sheetloom.operators.links import collisions, dangling_links, duplicate_ids, group_sizes, link
 from sheetloom.operators.ordering import first_by, last_numbers, last_values, merged_rows, running_number
 from sheetloom.operators.skew import broadcastable, lookup, semi_join
+from sheetloom.sources.staging import Staging
 
 ROW = "file_ord int, block long, pos long, k string, g string, v string"
 
@@ -169,6 +170,45 @@ def test_a_record_of_a_link_has_a_counter_per_edge_of_its_target(spark):
     assert sorted((r.sheet, r.link, r.links, r.dangling) for r in report.collect()) == sorted((c, k, 1, 1) for c, k, _ in CODEC_EDGES)
 
 
+def test_links_are_settled_target_by_target(spark, tmp_path, monkeypatch):
+    """The same report as from one plan, of a chain with shared, null and missing targets, a sheet that points to itself, and an
+    edge without rows; each sheet is staged once, and is gone when its targets are settled."""
+    rng = random.Random(3)
+    edges = [("B", "up", "A"), ("C", "up", "B"), ("C", "side", "A"), ("D", "up", "C"), ("D", "own", "D"), ("E", "up", "B"), ("A", "of", "F")]
+    sizes = {"A": 30, "B": 60, "C": 90, "D": 120, "E": 0, "F": 2}
+
+    def links_of(name):
+        return {column: parent for child, column, parent in edges if child == name}
+
+    def link_to(parent):
+        return rng.choice([None, f"{parent}0", *[f"{parent}{rng.randrange(sizes[parent] * 5 // 4)}" for _ in range(8)]])
+
+    data = {n: [{"submitted_id": f"{n}{i}", **{c: link_to(to) for c, to in links_of(n).items()}} for i in range(size)] for n, size in sizes.items()}
+    types = {n: ", ".join(f"{c} string" for c in ("submitted_id", *links_of(n), "other")) for n in data}
+    sheets = {n: spark.createDataFrame([{**r, "other": "x"} for r in rows], types[n]).repartition(3) for n, rows in data.items()}
+    brute = []
+    for child, column, parent in edges:
+        ids, filled = {r["submitted_id"] for r in data[parent]}, [r[column] for r in data[child] if r[column] is not None]
+        brute.append((child, column, parent, len(filled), sum(v not in ids for v in filled)))
+
+    held, write = [], Staging.__call__
+
+    def noted(self, df, name):
+        found = write(self, df, name)
+        held.append({p.name for p in next(tmp_path.iterdir()).iterdir()})
+        if name.startswith("ids_of_"):
+            assert "other" not in found.columns
+        return found
+
+    monkeypatch.setattr(Staging, "__call__", noted)
+    report = dangling_links(sheets, edges, Staging(spark, str(tmp_path)))
+    assert sorted(map(tuple, report.collect())) == sorted(brute) == sorted(map(tuple, dangling_links(sheets, edges).collect()))
+    assert report.dtypes == dangling_links(sheets, edges).dtypes and any(row[4] for row in brute)
+    ids = [{n for n in names if n.startswith("ids_of_")} for names in held]
+    assert max(map(len, ids)) < len(sheets) and len(held) == len(sheets) + len({parent for _, _, parent in edges})
+    assert {p.name for p in next(tmp_path.iterdir()).iterdir()} == {f"links_to_{n}" for n in "ABCDF"}
+
+
 @pytest.mark.parametrize("cuts", [[200], [1, 399], [100, 200, 300], [0, 400]])
 @pytest.mark.parametrize("threshold", ["-1", "10MB"])
 def test_runs_over_later_files_number_as_one_run(spark, tmp_path, cuts, threshold):

@@ -10,6 +10,7 @@ import pytest
 import __spark_entry__ as contract
 from sheetloom import harness, scratch
 from sheetloom.oracle import ORACLE
+from sheetloom.plans.bundle import REGULAR_EDGES
 from sheetloom.queries import QUERIES
 from sheetloom.sources.staging import Staging
 
@@ -154,3 +155,19 @@ def test_a_bundle_keeps_no_shuffles(spark, tmp_path):
     with scratch(spark, str(tmp_path)):
         QUERIES["bundle_read_back"](spark, SF)
         assert bytes_left(spark, before) < 20_000
+
+
+def test_a_report_on_links_holds_the_shuffles_of_one_sheet(spark, tmp_path, monkeypatch):
+    """Whenever a sheet or a target is done, its shuffles are gone, and in the end all ids are, too."""
+    before, steps, write = shuffled(spark), [], Staging.__call__
+
+    def noted(self, df, called):
+        staged = write(self, df, called)
+        steps.append(called)
+        assert bytes_left(spark, before) < 20_000
+        return staged
+
+    monkeypatch.setattr(Staging, "__call__", noted)
+    with scratch(spark, str(tmp_path)) as folder:
+        assert QUERIES["dangling_links"](spark, SF).count() == len(REGULAR_EDGES)
+        assert any(step.startswith("links_to_") for step in steps) and not list(Path(folder).glob("*/ids_of_*"))
